@@ -91,6 +91,10 @@ def explode_mentions_join(df: DataFrame, tokens_col: str, terms_df: DataFrame, m
     The term side is broadcast behind a measured size check; above it the join
     shuffles on the token and AQE splits skewed tokens. The other columns of
     ``df`` must identify a message (carry a key column if texts can repeat).
+    Output adds ``term_col`` and ``mention_pos``, a deterministic position that
+    makes (message, term, mention_pos) unique: the token position for
+    ``per_mention`` and ``distinct`` (first occurrence), the copy number for
+    ``last_mention``.
     """
     _check_mode(mode)
     terms = terms_df.select(F.lower(F.col(term_col)).alias("_term")).where(F.col("_term").isNotNull()).distinct()
@@ -100,9 +104,9 @@ def explode_mentions_join(df: DataFrame, tokens_col: str, terms_df: DataFrame, m
         *other, "_pos", F.lower("_tok").alias("_term"))
     hits = toks.join(terms, "_term", "inner")
     if mode == "per_mention":
-        return hits.select(*other, F.col("_term").alias(term_col))
+        return hits.select(*other, F.col("_term").alias(term_col), F.col("_pos").alias("mention_pos"))
     if mode == "distinct":
-        return hits.select(*other, F.col("_term").alias(term_col)).dropDuplicates(other + [term_col])
+        return hits.groupBy(*other, F.col("_term").alias(term_col)).agg(F.min("_pos").alias("mention_pos"))
     # last_mention: per message the hit at the highest position, once per hit.
     last = hits.groupBy(*other).agg(F.max_by("_term", "_pos").alias("_last"), F.count("*").alias("_n"))
-    return last.select(*other, F.explode(F.array_repeat("_last", F.col("_n").cast("int"))).alias(term_col))
+    return last.select(*other, F.posexplode(F.array_repeat("_last", F.col("_n").cast("int"))).alias("mention_pos", term_col))

@@ -1,4 +1,253 @@
-"""Registered queries that need more than one Spark plan: model fits, writes and
-streaming runs (filled in below as they are built)."""
+"""Registered queries that need more than one Spark plan: model fits, sink/source
+round trips through the shared scratch folder, and streaming runs.
+
+Writes go to fresh paths under ``spark.checkpoint.dir`` (``session.scratch_path``),
+never to a machine-local folder. Streaming runs use ``availableNow`` so each
+query processes every input file and stops; their result equals a batch answer,
+which is what the SQL oracle states.
+"""
 
 from __future__ import annotations
+
+import datetime
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from brandpulse.functions.text import ascii_strip, clean_tokens, json_field
+from brandpulse.operators.labels import label_split, parse_labeled, serialize_labeled, split_column
+from brandpulse.operators.model import SentimentModel, doc_vectors, fit_sentiment, sample_eval, train_and_report
+from brandpulse.operators.scoring import score_entities
+from brandpulse.operators.mentions import match_terms, mention_array
+from brandpulse.plans import sqlfrag as S
+from brandpulse.plans.catalog import TERMS, _docs, _labels, _score_sql, register
+from brandpulse.plans.composites import score_mentions, training_rows
+from brandpulse.session import scratch_path
+from brandpulse.sinks.writers import latest_scores, write_label_split, write_labeled_text, write_scores_version
+from brandpulse.sources.readers import read_labeled_text, read_reviews_csv, read_table
+from brandpulse.streaming.ingest import dedup_stream, ingest_stream, read_dedup_counts, route_stream
+
+# Model settings of the reference (vector size 128, min count 0, 200 iterations), fixed seed.
+FIT = dict(vector_size=128, min_count=0, iterations=200, seed=7)
+
+
+def _reviews(spark, sf) -> DataFrame:
+    return _docs(spark, sf).join(_labels(spark, sf), "doc_id").select(
+        "doc_id", F.col("text").alias("content"), F.col("quality").cast("string").alias("recommended"))
+
+
+def _comment_sql() -> str:
+    return S.normalize_sql(S.ascii_sql("coalesce(d.text, 'None')"))
+
+
+# ---------------------------------------------------------------------------
+# Sources and sinks through files
+
+@register("csv_roundtrip", """
+SELECT d.doc_id, d.text AS content, CAST(l.quality AS VARCHAR) AS recommended
+FROM documents d JOIN labels l USING (doc_id)
+""")
+def q_csv_roundtrip(spark, sf):
+    path = scratch_path(spark, "csv_roundtrip")
+    (_reviews(spark, sf).write.option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    back = read_reviews_csv(spark, path, schema="doc_id BIGINT, content STRING, recommended STRING")
+    return back.select("doc_id", "content", "recommended")
+
+
+@register("labeled_text_roundtrip", f"""
+SELECT comment, sentiment FROM (
+  SELECT {S.normalize_sql('p[1]')} AS comment, {S.strict_int_sql('p[2]')} AS sentiment
+  FROM (SELECT string_split({S.ascii_sql('line')}, ':::') AS p
+        FROM (SELECT unnest(regexp_split_to_array(d.text || ':::' || l.quality, '\r\n|\r|\n')) AS line
+              FROM documents d JOIN labels l USING (doc_id)))
+  WHERE len(p) = 2) WHERE sentiment IS NOT NULL
+""")
+def q_labeled_text_roundtrip(spark, sf):
+    # K2 then S3: a text sink splits a review holding line breaks into several
+    # lines, exactly as the reference's text files did; only lines that still
+    # hold '<content>:::<label>' parse.
+    path = scratch_path(spark, "labeled_text")
+    write_labeled_text(_reviews(spark, sf), path)
+    return parse_labeled(read_labeled_text(spark, path))
+
+
+@register("label_split_files", f"""
+SELECT {S.split_sql('doc_id')} AS split, CAST(l.quality AS VARCHAR) AS label, d.text AS sentiment
+FROM documents d JOIN labels l USING (doc_id)
+""")
+def q_label_split_files(spark, sf):
+    path = scratch_path(spark, "label_split")
+    # Text output is one value per line, so the written texts must not hold newlines:
+    # the check writes parquet, which keeps whole texts with their line breaks.
+    write_label_split(label_split(_reviews(spark, sf), "doc_id"), path, fmt="parquet")
+    back = spark.read.parquet(path)
+    return back.select("split", F.col("label").cast("string").alias("label"), "sentiment")
+
+
+@register("scores_upsert", f"""
+WITH r1 AS ({_score_sql('per_mention')}),
+     r2 AS (SELECT * FROM ({_score_sql('distinct')}) WHERE term IN {S.in_list(TERMS[:3])})
+SELECT term AS airline, score, total_comments, positive_comments FROM r2
+UNION ALL
+SELECT term AS airline, score, total_comments, positive_comments FROM r1 WHERE term NOT IN (SELECT term FROM r2)
+""")
+def q_scores_upsert(spark, sf):
+    from brandpulse.plans.catalog import _scores
+
+    root = scratch_path(spark, "scores")
+    run1 = _scores(spark, sf, "per_mention").withColumnRenamed("term", "airline").withColumn("processing_id", F.lit("r1"))
+    run2 = (_scores(spark, sf, "distinct").where(F.col("term").isin(TERMS[:3]))
+            .withColumnRenamed("term", "airline").withColumn("processing_id", F.lit("r2")))
+    cols = ["airline", "score", "processing_id", "total_comments", "positive_comments"]
+    write_scores_version(spark, run1.select(*cols), root)
+    write_scores_version(spark, run2.select(*cols), root)
+    return latest_scores(spark, root).select("airline", "score", "total_comments", "positive_comments")
+
+
+# ---------------------------------------------------------------------------
+# Model (M1-M9)
+
+@register("w2v_vocab", f"""
+SELECT DISTINCT unnest(string_split(comment, ' ')) AS word
+FROM (SELECT {_comment_sql()} AS comment FROM documents d JOIN labels l USING (doc_id))
+WHERE {S.split_sql('comment')} = 'train'
+""")
+def q_w2v_vocab(spark, sf):
+    from brandpulse.operators.model import word2vec
+
+    train = training_rows(_reviews(spark, sf)).where(F.col("split") == "train")
+    model = word2vec(vector_size=8, min_count=0, seed=7).fit(train)
+    return model.getVectors().select("word")
+
+
+@register("doc_vector", f"""
+WITH vocab AS (
+  SELECT DISTINCT unnest(string_split(comment, ' ')) AS w
+  FROM (SELECT {_comment_sql()} AS comment FROM documents d JOIN labels l USING (doc_id))
+  WHERE {S.split_sql('comment')} = 'train'
+), vec AS (SELECT w, CAST(length(w) AS DOUBLE) AS a, CAST(ascii(w) AS DOUBLE) AS b FROM vocab),
+toks AS (SELECT doc_id, unnest(t) AS w, len(t) AS n FROM (SELECT doc_id, {S.tokens_sql('text')} AS t FROM documents))
+SELECT doc_id, coalesce(sum(a), 0) / max(n) AS v0, coalesce(sum(b), 0) / max(n) AS v1
+FROM toks LEFT JOIN vec USING (w) GROUP BY doc_id
+""")
+def q_doc_vector(spark, sf):
+    train = training_rows(_reviews(spark, sf)).where(F.col("split") == "train")
+    vocab = train.select(F.explode("comment").alias("word")).distinct()
+    vectors = vocab.select("word", F.array(F.length("word").cast("double"), F.ascii("word").cast("double")).alias("vector"))
+    docs = _docs(spark, sf).select("doc_id", clean_tokens(ascii_strip("text")).alias("tokens"))
+    out = doc_vectors(docs, "tokens", vectors, ["doc_id"], dim=2)
+    return out.select("doc_id", F.col("result")[0].alias("v0"), F.col("result")[1].alias("v1"))
+
+
+def _fit(spark, sf) -> tuple[SentimentModel, DataFrame]:
+    rows = training_rows(_reviews(spark, sf))
+    return train_and_report(rows, **FIT)
+
+
+@register("svm_eval")
+def q_svm_eval(spark, sf):
+    _, report = _fit(spark, sf)
+    return report
+
+
+@register("svm_eval_sgd")
+def q_svm_eval_sgd(spark, sf):
+    rows = training_rows(_reviews(spark, sf))
+    _, report = train_and_report(rows, trainer="sgd", **FIT)
+    return report
+
+
+@register("sample_eval")
+def q_sample_eval(spark, sf):
+    model, _ = _fit(spark, sf)
+    samples = read_table(spark, sf, "benchmark", "item_id", "text")
+    return sample_eval(model, samples, "text", label=1)
+
+
+@register("model_roundtrip")
+def q_model_roundtrip(spark, sf):
+    rows = training_rows(_reviews(spark, sf))
+    model = fit_sentiment(rows.where(F.col("split") == "train"), **FIT)
+    path = scratch_path(spark, "model")
+    model.save(path)
+    loaded = SentimentModel.load(spark, path)
+    keyed = rows.withColumn("_k", F.monotonically_increasing_id()).checkpoint()
+    before = model.predict(keyed).select("_k", F.col("prediction").alias("before"))
+    after = loaded.predict(keyed).select("_k", F.col("prediction").alias("after"), "split")
+    return before.join(after, "_k").groupBy("split").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("before") == F.col("after")).alias("same"))
+
+
+def _messages(spark, sf) -> DataFrame:
+    docs = _docs(spark, sf)
+    return docs.select(F.to_json(F.struct(F.col("doc_id").alias("id"), F.col("text"))).alias("value"))
+
+
+@register("brand_scores_model")
+def q_brand_scores_model(spark, sf):
+    res = score_mentions(_messages(spark, sf), _reviews(spark, sf), TERMS, run_id="run-model", fit_kw=FIT)
+    return res.scores
+
+
+@register("brand_predictions_model")
+def q_brand_predictions_model(spark, sf):
+    res = score_mentions(_messages(spark, sf), _reviews(spark, sf), TERMS, run_id="run-model", fit_kw=FIT,
+                         processing_time=datetime.datetime(2024, 1, 1))
+    return res.predictions
+
+
+# ---------------------------------------------------------------------------
+# Streaming (S7, X1-X3, K5, X4): conversations are the collected JSON-lines files.
+
+def _stream_source(spark, sf, files: int = 4) -> str:
+    src = scratch_path(spark, "stream_src")
+    conv = read_table(spark, sf, "conversations", "conv_id", "turn", "role", "text")
+    conv.select(F.to_json(F.struct("conv_id", "turn", "role", "text")).alias("value")) \
+        .repartition(files).write.text(src)
+    return src
+
+
+def _conv_sql_tokens() -> str:
+    return S.tokens_sql(S.rt_sql(S.ascii_sql("text")))
+
+
+@register("stream_route", f"""
+SELECT conv_id, turn, 'stream_' || term || '.json' AS stream FROM (
+  SELECT conv_id, turn, unnest(list_distinct({S.hits_sql(_conv_sql_tokens(), TERMS)})) AS term FROM conversations)
+""")
+def q_stream_route(spark, sf):
+    src = _stream_source(spark, sf)
+    out, ckpt = scratch_path(spark, "route_out"), scratch_path(spark, "route_ckpt")
+    route_stream(spark, src, out, ckpt, TERMS).awaitTermination()
+    back = spark.read.text(out)
+    return back.select(json_field("value", "conv_id", "BIGINT").alias("conv_id"),
+                       json_field("value", "turn", "BIGINT").alias("turn"), "stream")
+
+
+@register("stream_ingest", f"""
+SELECT conv_id, turn, text FROM conversations
+WHERE len({S.hits_sql(_conv_sql_tokens(), TERMS)}) > 0
+""")
+def q_stream_ingest(spark, sf):
+    src = _stream_source(spark, sf)
+    out, ckpt = scratch_path(spark, "ingest_out"), scratch_path(spark, "ingest_ckpt")
+    ingest_stream(spark, src, out, ckpt, TERMS).awaitTermination()
+    back = spark.read.text(out)
+    return back.select(json_field("value", "conv_id", "BIGINT").alias("conv_id"),
+                       json_field("value", "turn", "BIGINT").alias("turn"),
+                       json_field("value", "text", "STRING").alias("text"))
+
+
+@register("stream_dedup_counts", f"""
+SELECT text, count(*) AS n, count(*) - 1 AS retweets
+FROM (SELECT {S.rt_sql(S.ascii_sql('text'))} AS text FROM conversations) GROUP BY text
+""")
+def q_stream_dedup_counts(spark, sf):
+    src = _stream_source(spark, sf)
+    out, ckpt = scratch_path(spark, "dedup_out"), scratch_path(spark, "dedup_ckpt")
+    dedup_stream(spark, src, out, ckpt).awaitTermination()
+    return read_dedup_counts(spark, out)
+
+
+__all__ = ["FIT", "score_entities", "serialize_labeled", "split_column", "match_terms", "mention_array"]
