@@ -7,6 +7,7 @@ Catalyst can prune, push down and codegen around it.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -61,24 +62,29 @@ def _java_replacement(text: str) -> str:
     return text.replace("\\", "\\\\").replace("$", "\\$")
 
 
-# The normaliser runs as five passes instead of thirteen. This is exact, not an
-# approximation: the six contraction patterns each hold one apostrophe followed by
-# a different letter, so two of them can never match the same span, and inserting
-# a space in front of a match creates or breaks no other match; likewise the five
-# punctuation steps are single characters that no replacement re-introduces.
-# tests/test_text.py checks it against the thirteen-step chain on all documents.
-_CONTRACTIONS = r"('s|'ve|n't|'re|'d|'ll)"
-_SPACED = r"([,!])"
-_ESCAPED = r"([()?])"
+# Characters step 1 keeps; on ASCII-only input (after F2) the characters it
+# replaces are the finite rest of ASCII, so step 1 becomes one ``translate``.
+_KEPT = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789(),!?'`")
+_ASCII_REPLACED = "".join(chr(i) for i in range(128) if chr(i) not in _KEPT)
+# Steps 2-12 match literal text: apply them as plain (byte-search) replacements,
+# in the same order, instead of running the regex engine.
+_LITERAL_STEPS = [(re.sub(r"\\(.)", r"\1", p), out) for p, out in NORMALIZE_STEPS[1:-1]]
 
 
-def normalize_text(c: ColumnOrName) -> Column:
-    """F5 + F10 + F9: the reference's cleaner as native regex passes, then trim, lower."""
+def normalize_text(c: ColumnOrName, ascii_input: bool = False) -> Column:
+    """F5 + F10 + F9: the reference's cleaner, then trim and lower-case.
+
+    Same thirteen steps in the same order; steps 2-12 run as literal
+    ``replace``; with ``ascii_input`` (the text went through ``ascii_strip``)
+    step 1 is a ``translate`` of the non-kept ASCII characters to spaces.
+    """
     x = _col(c)
-    x = F.regexp_replace(x, NORMALIZE_STEPS[0][0], " ")
-    x = F.regexp_replace(x, _CONTRACTIONS, " $1")
-    x = F.regexp_replace(x, _SPACED, " $1 ")
-    x = F.regexp_replace(x, _ESCAPED, " \\\\$1 ")
+    if ascii_input:
+        x = F.translate(x, _ASCII_REPLACED, " " * len(_ASCII_REPLACED))
+    else:
+        x = F.regexp_replace(x, NORMALIZE_STEPS[0][0], " ")
+    for literal, output in _LITERAL_STEPS:
+        x = F.replace(x, F.lit(literal), F.lit(output))
     x = F.regexp_replace(x, NORMALIZE_STEPS[-1][0], " ")
     return F.lower(F.trim(x))
 
@@ -91,6 +97,11 @@ def normalize_text_stepwise(c: ColumnOrName) -> Column:
     return F.lower(F.trim(x))
 
 
+def clean_text(c: ColumnOrName) -> Column:
+    """F2 then F5: ASCII-strip, then normalise (the order the reference uses)."""
+    return normalize_text(ascii_strip(c), ascii_input=True)
+
+
 def ascii_strip(c: ColumnOrName) -> Column:
     """delete (not replace) every non-ASCII character, astral ones included."""
     return F.regexp_replace(_col(c), r"[^\x00-\x7F]", "")
@@ -107,9 +118,14 @@ def tokenize(c: ColumnOrName) -> Column:
     return F.split(_col(c), " ", -1)
 
 
-def clean_tokens(c: ColumnOrName) -> Column:
+def clean_tokens(c: ColumnOrName, ascii_input: bool = False) -> Column:
     """F5 then F6: token array of a text."""
-    return tokenize(normalize_text(c))
+    return tokenize(normalize_text(c, ascii_input=ascii_input))
+
+
+def clean_text_tokens(c: ColumnOrName) -> Column:
+    """token array of a raw text."""
+    return tokenize(clean_text(c))
 
 
 def json_text(c: ColumnOrName, field: str = "text", strict: bool = True, failfast: bool = False) -> Column:

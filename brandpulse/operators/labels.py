@@ -14,6 +14,8 @@ from brandpulse.functions.text import (
     LABELED_NONE,
     LABELED_SEPARATOR,
     ascii_strip,
+    clean_text,
+    clean_text_tokens,
     clean_tokens,
     normalize_text,
     strict_int,
@@ -51,7 +53,7 @@ def parse_labeled(df: DataFrame, line_col: str = "value", keep: list[str] | None
         .where(F.size("_parts") == 2)
         .select(
             *keep,
-            normalize_text(F.col("_parts")[0]).alias("comment"),
+            normalize_text(F.col("_parts")[0], ascii_input=True).alias("comment"),
             strict_int(F.col("_parts")[1]).alias("sentiment"),
         )
         .where(F.col("sentiment").isNotNull())
@@ -131,7 +133,7 @@ def reviews_to_training(df: DataFrame, content_col: str = "content", label_col:
     return (
         df.select(
             *keep,
-            normalize_text(ascii_strip(F.coalesce(F.col(content_col).cast("string"), F.lit(LABELED_NONE)))).alias("comment"),
+            clean_text((F.coalesce(F.col(content_col).cast("string"), F.lit(LABELED_NONE)))).alias("comment"),
             strict_int(ascii_strip(F.col(label_col).cast("string"))).alias("sentiment"),
         )
         .where(F.col("sentiment").isNotNull())
@@ -140,4 +142,4 @@ def reviews_to_training(df: DataFrame, content_col: str = "content", label_col:
 
 def tokens_of(c: Column | str) -> Column:
     """Token array of a raw review text."""
-    return clean_tokens(ascii_strip(c))
+    return clean_text_tokens(c)

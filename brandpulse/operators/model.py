@@ -35,6 +35,14 @@ SGD_STEP = 1.0
 SGD_REG = 0.01
 
 DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+# Word2Vec keeps two vocabulary x vector-size float matrices on the driver and
+# broadcasts them each iteration: refuse a fit whose vocabulary would pass this.
+DEFAULT_MAX_MODEL_BYTES = 4 * 1024 ** 3
+# Sizing of the ML stages from measured counts (not from the cluster size alone):
+# few large partitions for small training sets, where task overhead per
+# iteration dominates; more as the training set grows.
+TOKENS_PER_W2V_PARTITION = 200_000
+ROWS_PER_SVC_PARTITION = 100_000
 
 
 @dataclass
@@ -124,11 +132,11 @@ def doc_vectors(df: DataFrame, tokens_col: str, vectors: DataFrame, key_cols: li
 
 
 def word2vec(input_col: str = "comment", output_col: str = "result", vector_size: int = VECTOR_SIZE,
-             min_count: int = MIN_COUNT, seed: int | None = 42, num_partitions: int = 1,
+             min_count: int = MIN_COUNT, seed: int | None = 42, num_partitions: int | None = 1,
              max_iter: int = 1) -> Word2Vec:
     """M1 estimator with the reference's settings (seed and parallelism as arguments)."""
     w2v = Word2Vec(vectorSize=vector_size, minCount=min_count, inputCol=input_col, outputCol=output_col,
-                   numPartitions=num_partitions, maxIter=max_iter)
+                   numPartitions=num_partitions or 1, maxIter=max_iter)
     if seed is not None:
         w2v.setSeed(seed)
     return w2v
@@ -136,25 +144,52 @@ def word2vec(input_col: str = "comment", output_col: str = "result", vector_size
 
 def fit_sentiment(train: DataFrame, input_col: str = "comment", label_col: str = "sentiment",
                   vector_size: int = VECTOR_SIZE, min_count: int = MIN_COUNT, iterations: int = SVM_ITERATIONS,
-                  trainer: str = "linearsvc", seed: int | None = 42, num_partitions: int = 1,
-                  reg_param: float = SGD_REG) -> SentimentModel:
-    """M1 + M3 + M5 (+M7's fit): word vectors on the training rows, then the classifier."""
-    w2v_model = word2vec(input_col, "result", vector_size, min_count, seed, num_partitions).fit(train)
-    feats = w2v_model.transform(train).select(F.col(label_col).cast("double").alias("label"), "result")
-    if trainer == "linearsvc":
-        svc = LinearSVC(featuresCol="result", labelCol="label", maxIter=iterations, regParam=reg_param,
-                        fitIntercept=False, standardization=False, threshold=0.0)
-        return SentimentModel(w2v=w2v_model, svc=svc.fit(feats), input_col=input_col)
-    if trainer == "sgd":
-        from pyspark.mllib.classification import SVMWithSGD
-        from pyspark.mllib.linalg import Vectors as MLlibVectors
-        from pyspark.mllib.regression import LabeledPoint
-
-        points = feats.rdd.map(lambda r: LabeledPoint(r["label"], MLlibVectors.fromML(r["result"])))
-        sgd = SVMWithSGD.train(points, iterations=iterations, step=SGD_STEP, regParam=reg_param)
-        return SentimentModel(w2v=w2v_model, weights=[float(x) for x in sgd.weights], intercept=float(sgd.intercept),
-                              input_col=input_col)
-    raise ValueError(f"unknown trainer {trainer!r}")
+                  trainer: str = "linearsvc", seed: int | None = 42, num_partitions: int | None = None,
+                  reg_param: float = SGD_REG, max_model_bytes: int = DEFAULT_MAX_MODEL_BYTES) -> SentimentModel:
+    """M1 + M3 + M5 (+M7's fit): word vectors on the training rows, then the classifier.
+
+    The training rows are persisted once (Word2Vec reads them twice, the
+    classifier's features once more) and sized from measured counts. The
+    vocabulary the driver will hold is estimated first with an HLL sketch
+    (``approx_count_distinct``, no shuffle of tokens) and the fit refused above
+    ``max_model_bytes``: raise ``min_count`` then.
+    """
+    from math import ceil
+
+    from pyspark import StorageLevel
+
+    train = train.select(input_col, label_col).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        stats = train.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size(input_col)).alias("tokens")).first()
+        vocab = train.select(F.explode(input_col).alias("_w")).agg(F.approx_count_distinct("_w")).first()[0] or 0
+        if vocab * vector_size * 8 > max_model_bytes:
+            raise ValueError(f"about {vocab} distinct tokens x {vector_size} would pass the driver budget "
+                             f"({max_model_bytes} bytes): raise min_count")
+        parallelism = train.sparkSession.sparkContext.defaultParallelism
+        w2v_parts = num_partitions or max(1, min(parallelism, (stats["tokens"] or 0) // TOKENS_PER_W2V_PARTITION))
+        w2v_model = word2vec(input_col, "result", vector_size, min_count, seed, w2v_parts).fit(train)
+        feats = w2v_model.transform(train).select(F.col(label_col).cast("double").alias("label"), "result")
+        svc_parts = max(1, ceil((stats["rows"] or 0) / ROWS_PER_SVC_PARTITION))
+        feats = feats.coalesce(svc_parts).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if trainer == "linearsvc":
+                svc = LinearSVC(featuresCol="result", labelCol="label", maxIter=iterations, regParam=reg_param,
+                                fitIntercept=False, standardization=False, threshold=0.0)
+                return SentimentModel(w2v=w2v_model, svc=svc.fit(feats), input_col=input_col)
+            if trainer == "sgd":
+                from pyspark.mllib.classification import SVMWithSGD
+                from pyspark.mllib.linalg import Vectors as MLlibVectors
+                from pyspark.mllib.regression import LabeledPoint
+
+                points = feats.rdd.map(lambda r: LabeledPoint(r["label"], MLlibVectors.fromML(r["result"])))
+                sgd = SVMWithSGD.train(points, iterations=iterations, step=SGD_STEP, regParam=reg_param)
+                return SentimentModel(w2v=w2v_model, weights=[float(x) for x in sgd.weights],
+                                      intercept=float(sgd.intercept), input_col=input_col)
+            raise ValueError(f"unknown trainer {trainer!r}")
+        finally:
+            feats.unpersist()
+    finally:
+        train.unpersist()
 
 
 def pipeline(input_col: str = "comment", vector_size: int = VECTOR_SIZE, min_count: int = MIN_COUNT,

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from brandpulse.functions.text import (
     ascii_strip,
+    clean_text_tokens,
     clean_tokens,
     json_field,
     keep_text,
@@ -81,7 +82,7 @@ def oracle_sql() -> dict[str, str]:
 
 
 def _docs(spark, sf, *cols):
-    return read_table(spark, sf, "documents", *(cols or ("doc_id", "text")))
+    return read_table(spark, sf, "documents", *(cols or ("doc_id", "text")), spread=True)
 
 
 def _labels(spark, sf):
@@ -147,7 +148,7 @@ SELECT doc_id, CAST(unnest(range(len(toks))) AS BIGINT) AS pos, unnest(toks) AS
 """)
 def q_tokenize(spark, sf):
     return (_docs(spark, sf)
-            .select("doc_id", F.posexplode(clean_tokens(ascii_strip("text"))).alias("pos", "token"))
+            .select("doc_id", F.posexplode(clean_text_tokens("text")).alias("pos", "token"))
             .select("doc_id", F.col("pos").cast("bigint").alias("pos"), "token"))
 
 
@@ -269,7 +270,7 @@ def _mention_sql(mode: str) -> str:
 
 
 def _mentions(spark, sf, mode: str) -> DataFrame:
-    m = mention_array(match_terms(clean_tokens(ascii_strip("text")), TERMS), mode)
+    m = mention_array(match_terms(clean_text_tokens("text"), TERMS), mode)
     return (_docs(spark, sf).select("doc_id", m.alias("m")).where(F.size("m") > 0)
             .select("doc_id", F.explode("m").alias("term")))
 
@@ -284,7 +285,7 @@ FROM ({_mention_sql(mode)}) m JOIN labels l USING (doc_id) GROUP BY term"""
 def _scores(spark, sf, mode: str) -> DataFrame:
     # Mentions are computed on the document side (narrow) and only (doc_id, terms)
     # meets the labels: the join never moves the text.
-    m = mention_array(match_terms(clean_tokens(ascii_strip("text")), TERMS), mode)
+    m = mention_array(match_terms(clean_text_tokens("text"), TERMS), mode)
     hits = _docs(spark, sf).select("doc_id", m.alias("m")).where(F.size("m") > 0)
     mentions = hits.join(_labels(spark, sf), "doc_id").select(F.explode("m").alias("term"),
                                                                F.col("quality").alias("prediction"))
@@ -321,7 +322,7 @@ def q_predictions_table(spark, sf):
     d = _docs(spark, sf).join(_labels(spark, sf), "doc_id").select(_message_text().alias("comment"), "quality")
     c = d.groupBy("comment").agg((F.count(F.lit(1)) - 1).alias("retweets"), F.max("quality").alias("prediction"))
     m = c.select("comment", "retweets", "prediction",
-                 match_terms(clean_tokens("comment"), TERMS).alias("h")).where(F.size("h") > 0)
+                 match_terms(clean_tokens("comment", ascii_input=True), TERMS).alias("h")).where(F.size("h") > 0)
     e = m.select("comment", "retweets", "prediction", F.posexplode("h").alias("mention_pos", "airline"))
     rows = with_run_columns(e, RUN_ID, RUN_TIME, [F.col("airline"), F.col("mention_pos").cast("string"), F.col("comment")])
     return rows.select("airline", "id", "processing_time", "processing_id", "comment", "retweets", "prediction")
@@ -444,7 +445,7 @@ GROUP BY split
 """)
 def q_error_rate(spark, sf):
     pred = (_docs(spark, sf)
-            .select("doc_id", (F.size(match_terms(clean_tokens(ascii_strip("text")), TERMS)) > 0).cast("int").alias("prediction"))
+            .select("doc_id", (F.size(match_terms(clean_text_tokens("text"), TERMS)) > 0).cast("int").alias("prediction"))
             .join(_labels(spark, sf), "doc_id")
             .select(split_column("doc_id").alias("split"), "quality", "prediction"))
     return error_rate(pred, "quality", "prediction", ["split"])

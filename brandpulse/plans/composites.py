@@ -92,18 +92,18 @@ def score_mentions(messages: DataFrame, reviews: DataFrame | None, terms: str |
 
     if isinstance(terms, DataFrame) and terms.count() > max_inline_terms:
         # Very large term table: distinct texts first, then tokens matched by join.
-        counted = count_repeats(texts, "text").select("text", "retweets", clean_tokens("text").alias("_tok"))
+        counted = count_repeats(texts, "text").select("text", "retweets", clean_tokens("text", ascii_input=True).alias("_tok"))
         term_table = terms.select(F.col(terms.columns[0]).alias("airline"))
         mentions = explode_mentions_join(counted, "_tok", term_table, mode, term_col="airline")
         matched = mentions.select("text", "retweets").distinct()
-        scored = model.predict(matched.withColumn(model.input_col, clean_tokens("text"))).select("text", "prediction")
+        scored = model.predict(matched.withColumn(model.input_col, clean_tokens("text", ascii_input=True))).select("text", "prediction")
         mentions = mentions.join(scored, "text")
     else:
         term_list = (normalize_terms([r[0] for r in terms.collect()]) if isinstance(terms, DataFrame)
                      else normalize_terms(terms))
-        hits = texts.select("text", match_terms(clean_tokens("text"), term_list).alias("hits")).where(F.size("hits") > 0)
+        hits = texts.select("text", match_terms(clean_tokens("text", ascii_input=True), term_list).alias("hits")).where(F.size("hits") > 0)
         counted = count_repeats(hits, "text", extra_keys=["hits"])
-        scored = model.predict(counted.withColumn(model.input_col, clean_tokens("text")))
+        scored = model.predict(counted.withColumn(model.input_col, clean_tokens("text", ascii_input=True)))
         mentions = scored.select(
             "text", "retweets", "prediction",
             F.posexplode(mention_array("hits", mode)).alias("mention_pos", "airline"),

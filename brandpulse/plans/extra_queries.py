@@ -14,7 +14,7 @@ import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brandpulse.functions.text import ascii_strip, clean_tokens, json_field
+from brandpulse.functions.text import ascii_strip, clean_text_tokens, clean_tokens, json_field
 from brandpulse.operators.labels import label_split, parse_labeled, serialize_labeled, split_column
 from brandpulse.operators.model import SentimentModel, doc_vectors, fit_sentiment, sample_eval, train_and_report
 from brandpulse.operators.scoring import score_entities
@@ -135,7 +135,7 @@ def q_doc_vector(spark, sf):
     train = training_rows(_reviews(spark, sf)).where(F.col("split") == "train")
     vocab = train.select(F.explode("comment").alias("word")).distinct()
     vectors = vocab.select("word", F.array(F.length("word").cast("double"), F.ascii("word").cast("double")).alias("vector"))
-    docs = _docs(spark, sf).select("doc_id", clean_tokens(ascii_strip("text")).alias("tokens"))
+    docs = _docs(spark, sf).select("doc_id", clean_text_tokens("text").alias("tokens"))
     out = doc_vectors(docs, "tokens", vectors, ["doc_id"], dim=2)
     return out.select("doc_id", F.col("result")[0].alias("v0"), F.col("result")[1].alias("v1"))
 
@@ -202,7 +202,7 @@ def q_brand_predictions_model(spark, sf):
 
 def _stream_source(spark, sf, files: int = 4) -> str:
     src = scratch_path(spark, "stream_src")
-    conv = read_table(spark, sf, "conversations", "conv_id", "turn", "role", "text")
+    conv = read_table(spark, sf, "conversations", "conv_id", "turn", "role", "text", spread=True)
     conv.select(F.to_json(F.struct("conv_id", "turn", "role", "text")).alias("value")) \
         .repartition(files).write.text(src)
     return src

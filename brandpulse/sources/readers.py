@@ -15,10 +15,29 @@ from brandpulse.functions.text import json_text, record_text
 REVIEW_SCHEMA = "content STRING, recommended STRING"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    """A driver test table (one parquet file per table); ``cols`` prunes the scan."""
+def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str, spread: bool = False) -> DataFrame:
+    """A driver test table (one parquet file per table); ``cols`` prunes the scan.
+
+    ``spread``: for text-heavy tables whose per-row work dominates (regex
+    cleaning), see ``spread``.
+    """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df.select(*cols) if cols else df
+    df = df.select(*cols) if cols else df
+    return spread_partitions(df) if spread else df
+
+
+def spread_partitions(df: DataFrame) -> DataFrame:
+    """Spread an under-partitioned scan over the cluster's cores.
+
+    A single-row-group file is one input split, so all per-row work would run in
+    one task. Only when the scan yields fewer partitions than the session's
+    default parallelism is it round-robin repartitioned; a large input (many
+    splits) is left as it is, so at scale this adds no shuffle.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
 
 
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
