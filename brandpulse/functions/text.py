@@ -161,6 +161,29 @@ def record_text(c: ColumnOrName, compat: bool = False) -> Column:
     return F.coalesce(t, F.lit(NULL_SENTINEL)) if compat else t
 
 
+def emit_if(c: ColumnOrName, pred) -> Column:
+    """Generator: one row holding ``c`` when ``pred(c)`` is true, no row otherwise.
+
+    Use it instead of ``select(expr AS x).where(pred(x))`` when ``expr`` is
+    costly: Catalyst pushes such a ``where`` below the projection and
+    substitutes the alias, so the expression runs twice (in the filter and again
+    in the projection). A generator evaluates it once and leaves no filter to push.
+    """
+    return F.explode(F.filter(F.array(_col(c)), pred))
+
+
+def emit_text(c: ColumnOrName, compat: bool = False) -> Column:
+    """W2 as a generator: the text when it is kept (see ``keep_text``), else no row."""
+    if compat:
+        return emit_if(c, lambda t: ~t.startswith(NULL_SENTINEL))
+    return emit_if(c, lambda t: t.isNotNull())
+
+
+def emit_nonempty(c: ColumnOrName) -> Column:
+    """Generator: the array when it has at least one element, else no row."""
+    return emit_if(c, lambda a: F.size(a) > 0)
+
+
 def keep_text(c: ColumnOrName, compat: bool = False) -> Column:
     """W2 predicate: keep a record's text. Compat also drops text starting 'null' (T7)."""
     x = _col(c)

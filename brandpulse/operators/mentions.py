@@ -70,10 +70,12 @@ def explode_mentions(df: DataFrame, tokens_col: str, terms: Iterable[str], mode:
     term_list = list(terms)
     keep_cols = list(keep) if keep is not None else [c for c in df.columns if c != tokens_col]
     hits = match_terms(tokens_col, term_list)
-    staged = df.select(*keep_cols, mention_array(hits, mode).alias("_m")).where(F.size("_m") > 0)
+    # explode yields no row for an empty array: no filter on the computed array
+    # (Catalyst would push it down and evaluate the matching twice).
+    m = mention_array(hits, mode)
     if with_position:
-        return staged.select(*keep_cols, F.posexplode("_m").alias("mention_pos", term_col))
-    return staged.select(*keep_cols, F.explode("_m").alias(term_col))
+        return df.select(*keep_cols, F.posexplode(m).alias("mention_pos", term_col))
+    return df.select(*keep_cols, F.explode(m).alias(term_col))
 
 
 def _checked_broadcast(terms_df: DataFrame, term_col: str, max_bytes: int) -> DataFrame:

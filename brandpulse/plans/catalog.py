@@ -24,6 +24,8 @@ from brandpulse.functions.text import (
     ascii_strip,
     clean_text_tokens,
     clean_tokens,
+    emit_nonempty,
+    emit_text,
     json_field,
     keep_text,
     normalize_text,
@@ -184,7 +186,7 @@ SELECT doc_id, text FROM (
 def q_record_text(spark, sf):
     docs = _docs(spark, sf, "doc_id", "text", "lang", "n_chars")
     recs = docs.select("doc_id", _record_json().alias("value"))
-    return recs.select("doc_id", record_text("value").alias("text")).where(keep_text("text"))
+    return recs.select("doc_id", emit_text(record_text("value")).alias("text"))
 
 
 @register("json_encode", """
@@ -271,8 +273,7 @@ def _mention_sql(mode: str) -> str:
 
 def _mentions(spark, sf, mode: str) -> DataFrame:
     m = mention_array(match_terms(clean_text_tokens("text"), TERMS), mode)
-    return (_docs(spark, sf).select("doc_id", m.alias("m")).where(F.size("m") > 0)
-            .select("doc_id", F.explode("m").alias("term")))
+    return _docs(spark, sf).select("doc_id", F.explode(m).alias("term"))
 
 
 def _score_sql(mode: str) -> str:
@@ -286,7 +287,7 @@ def _scores(spark, sf, mode: str) -> DataFrame:
     # Mentions are computed on the document side (narrow) and only (doc_id, terms)
     # meets the labels: the join never moves the text.
     m = mention_array(match_terms(clean_text_tokens("text"), TERMS), mode)
-    hits = _docs(spark, sf).select("doc_id", m.alias("m")).where(F.size("m") > 0)
+    hits = _docs(spark, sf).select("doc_id", emit_nonempty(m).alias("m"))
     mentions = hits.join(_labels(spark, sf), "doc_id").select(F.explode("m").alias("term"),
                                                                F.col("quality").alias("prediction"))
     return score_entities(mentions, "term", "prediction")
@@ -322,7 +323,7 @@ def q_predictions_table(spark, sf):
     d = _docs(spark, sf).join(_labels(spark, sf), "doc_id").select(_message_text().alias("comment"), "quality")
     c = d.groupBy("comment").agg((F.count(F.lit(1)) - 1).alias("retweets"), F.max("quality").alias("prediction"))
     m = c.select("comment", "retweets", "prediction",
-                 match_terms(clean_tokens("comment", ascii_input=True), TERMS).alias("h")).where(F.size("h") > 0)
+                 emit_nonempty(match_terms(clean_tokens("comment", ascii_input=True), TERMS)).alias("h"))
     e = m.select("comment", "retweets", "prediction", F.posexplode("h").alias("mention_pos", "airline"))
     rows = with_run_columns(e, RUN_ID, RUN_TIME, [F.col("airline"), F.col("mention_pos").cast("string"), F.col("comment")])
     return rows.select("airline", "id", "processing_time", "processing_id", "comment", "retweets", "prediction")

@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brandpulse.functions.text import clean_tokens, keep_text, normalize_terms, record_text
+from brandpulse.functions.text import clean_tokens, emit_nonempty, emit_text, keep_text, normalize_terms, record_text
 from brandpulse.operators.labels import label_split, parse_labeled, reviews_to_training, split_column
 from brandpulse.operators.mentions import DEFAULT_MAX_INLINE_TERMS, explode_mentions_join, match_terms, mention_array
 from brandpulse.operators.model import SentimentModel, fit_sentiment, sample_eval, train_and_report
@@ -52,7 +52,7 @@ class MentionResult:
 
 def message_texts(messages: DataFrame, value_col: str = "value", compat: bool = False) -> DataFrame:
     """S1 + F1-F4 + W2: raw JSON lines to ``text`` (one row per record kept)."""
-    return messages.select(record_text(value_col, compat=compat).alias("text")).where(keep_text("text", compat=compat))
+    return messages.select(emit_text(record_text(value_col, compat=compat), compat=compat).alias("text"))
 
 
 def training_rows(reviews: DataFrame, content_col: str = "content", label_col: str = "recommended",
@@ -101,7 +101,7 @@ def score_mentions(messages: DataFrame, reviews: DataFrame | None, terms: str |
     else:
         term_list = (normalize_terms([r[0] for r in terms.collect()]) if isinstance(terms, DataFrame)
                      else normalize_terms(terms))
-        hits = texts.select("text", match_terms(clean_tokens("text", ascii_input=True), term_list).alias("hits")).where(F.size("hits") > 0)
+        hits = texts.select("text", emit_nonempty(match_terms(clean_tokens("text", ascii_input=True), term_list)).alias("hits"))
         counted = count_repeats(hits, "text", extra_keys=["hits"])
         scored = model.predict(counted.withColumn(model.input_col, clean_tokens("text", ascii_input=True)))
         mentions = scored.select(

@@ -51,10 +51,9 @@ def read_messages(spark: SparkSession, path: str, compat: bool = False) -> DataF
     Default: records without a string ``text`` are dropped. ``compat``: the
     reference's rules (fail on a malformed line, drop text starting 'null').
     """
-    from brandpulse.functions.text import keep_text
+    from brandpulse.functions.text import emit_text
 
-    df = read_json_lines(spark, path).select(record_text("value", compat=compat).alias("text"))
-    return df.where(keep_text("text", compat=compat))
+    return read_json_lines(spark, path).select(emit_text(record_text("value", compat=compat), compat=compat).alias("text"))
 
 
 def read_reviews_csv(spark: SparkSession, path: str, schema: str | None = None, content_col: str = "content",
