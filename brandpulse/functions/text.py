@@ -172,6 +172,17 @@ def emit_if(c: ColumnOrName, pred) -> Column:
     return F.explode(F.filter(F.array(_col(c)), pred))
 
 
+def emit_row_if(fields: dict[str, Column], pred) -> Column:
+    """Generator over one struct (``inline``): its fields become columns, when ``pred`` holds.
+
+    Same purpose as ``emit_if`` for several computed columns at once; filters
+    applied later on these columns stop at the generator instead of re-running
+    the expressions below it.
+    """
+    row = F.struct(*[c.alias(n) for n, c in fields.items()])
+    return F.inline(F.filter(F.array(row), pred))
+
+
 def emit_text(c: ColumnOrName, compat: bool = False) -> Column:
     """W2 as a generator: the text when it is kept (see ``keep_text``), else no row."""
     if compat:

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brandpulse.functions.text import (
+    emit_if,
+    emit_row_if,
     LABELED_NONE,
     LABELED_SEPARATOR,
     ascii_strip,
@@ -48,16 +50,12 @@ def parse_labeled(df: DataFrame, line_col: str = "value", keep: list[str] | None
     """
     keep = list(keep or [])
     parts = F.split(ascii_strip(F.col(line_col)), LABELED_SEPARATOR, -1)
-    return (
-        df.select(*keep, parts.alias("_parts"))
-        .where(F.size("_parts") == 2)
-        .select(
-            *keep,
-            normalize_text(F.col("_parts")[0], ascii_input=True).alias("comment"),
-            strict_int(F.col("_parts")[1]).alias("sentiment"),
-        )
-        .where(F.col("sentiment").isNotNull())
-    )
+    staged = df.select(*keep, emit_if(parts, lambda p: F.size(p) == 2).alias("_parts"))
+    fields = {
+        "comment": normalize_text(F.col("_parts")[0], ascii_input=True),
+        "sentiment": strict_int(F.col("_parts")[1]),
+    }
+    return staged.select(*keep, emit_row_if(fields, lambda r: r["sentiment"].isNotNull()))
 
 
 def hash_bucket(key: Column | str, buckets: int = 10) -> Column:
@@ -130,14 +128,13 @@ def reviews_to_training(df: DataFrame, content_col: str = "content", label_col:
     if compat:
         lines = df.select(*keep, serialize_labeled(content_col, label_col).alias("value"))
         return parse_labeled(lines, keep=keep)
-    return (
-        df.select(
-            *keep,
-            clean_text((F.coalesce(F.col(content_col).cast("string"), F.lit(LABELED_NONE)))).alias("comment"),
-            strict_int(ascii_strip(F.col(label_col).cast("string"))).alias("sentiment"),
-        )
-        .where(F.col("sentiment").isNotNull())
-    )
+    fields = {
+        "comment": clean_text(F.coalesce(F.col(content_col).cast("string"), F.lit(LABELED_NONE))),
+        "sentiment": strict_int(ascii_strip(F.col(label_col).cast("string"))),
+    }
+    # Emitted through a generator: a later filter (e.g. on the split, which is
+    # computed from the comment) stops there instead of re-running the cleaner.
+    return df.select(*keep, emit_row_if(fields, lambda r: r["sentiment"].isNotNull()))
 
 
 def tokens_of(c: Column | str) -> Column:

@@ -63,11 +63,19 @@ class SentimentModel:
 
     def vectors(self, df: DataFrame, max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
                 key_cols: list[str] | None = None) -> DataFrame:
-        """M2: add the document vector column (library broadcast path or join path)."""
+        """M2: add the document vector column.
+
+        The library path broadcasts the whole vocabulary; it is taken only when
+        its measured size is under ``max_broadcast_bytes`` (or no key is given).
+        Otherwise the join path computes the same vectors and joins them back on
+        ``key_cols`` (which must identify a row).
+        """
         if key_cols is None or self.vocabulary_bytes() <= max_broadcast_bytes:
             return self.w2v.transform(df)
-        arr = doc_vectors(df, self.input_col, self.w2v.getVectors(), key_cols, self.w2v.getVectorSize())
-        return arr.withColumn(self.features_col, array_to_vector(self.features_col))
+        vec = doc_vectors(df, self.input_col, self.w2v.getVectors(), key_cols, self.w2v.getVectorSize(),
+                          out_col=self.features_col, max_broadcast_bytes=max_broadcast_bytes)
+        vec = vec.withColumn(self.features_col, array_to_vector(self.features_col))
+        return df.join(vec, key_cols, "left")
 
     def predict(self, df: DataFrame, prediction_col: str = "prediction", **kw) -> DataFrame:
         """M2 + M6: 0/1 prediction (INT) for each row's token array."""
@@ -109,26 +117,30 @@ def linear_margin(features: Column, weights: list[float], intercept: float = 0.0
 
 
 def doc_vectors(df: DataFrame, tokens_col: str, vectors: DataFrame, key_cols: list[str], dim: int,
-                out_col: str = "result", word_col: str = "word", vector_col: str = "vector") -> DataFrame:
-    """M2 without a broadcast: mean of known word vectors over *all* tokens.
+                out_col: str = "result", word_col: str = "word", vector_col: str = "vector",
+                max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """M2 by join: ``(key..., out_col)``, the mean of known word vectors over *all* tokens.
 
     Unknown tokens count in the denominator, an empty document is all zeros
     (the ``Word2VecModel.transform`` rule). ``vectors`` is (word, vector) with a
-    Spark ML vector or an array. Tokens are exploded, left-joined to the vectors
-    on the word and summed per document (partial aggregation in each task, so a
-    document's tokens never cross the network one by one).
+    Spark ML vector or an array. Tokens are exploded and left-joined to the
+    vectors on the word: the vector table is broadcast only if its counted size
+    fits ``max_broadcast_bytes``; then each document's tokens stay in their task
+    and the partial aggregate sends one row per document to the shuffle. Above
+    the bound it is a shuffle join (AQE splits skewed words).
     """
     vec = vectors.select(F.col(word_col).alias("_w"), F.col(vector_col).alias("_v"))
     if dict(vectors.dtypes)[vector_col] != "array<double>":
         vec = vec.withColumn("_v", vector_to_array("_v"))
+    if vec.count() * (dim * 8 + 64) <= max_broadcast_bytes:
+        vec = F.broadcast(vec)
     toks = df.select(*key_cols, F.size(tokens_col).alias("_n"), F.explode_outer(tokens_col).alias("_w"))
     joined = toks.join(vec, "_w", "left")
     sums = joined.groupBy(*key_cols, "_n").agg(
         *[F.sum(F.col("_v")[i]).alias(f"_s{i}") for i in range(dim)]
     )
     arr = F.array(*[F.coalesce(F.try_divide(F.col(f"_s{i}"), F.col("_n")), F.lit(0.0)) for i in range(dim)])
-    means = sums.select(*key_cols, arr.alias(out_col))
-    return df.join(means, key_cols, "left")
+    return sums.select(*key_cols, arr.alias(out_col))
 
 
 def word2vec(input_col: str = "comment", output_col: str = "result", vector_size: int = VECTOR_SIZE,
