@@ -155,13 +155,14 @@ def score_from_saved_text(spark: SparkSession, messages: DataFrame, labeled_path
     rows = parse_labeled(read_labeled_text(spark, labeled_path))
     train = rows.select(F.split("comment", " ", -1).alias("comment"), "sentiment",
                         split_column(F.col("comment")).alias("split")).where(F.col("split") == "train").drop("split")
-    model = fit_sentiment(train, **kw.pop("fit_kw", {}))
+    model = fit_sentiment(train, **kw.pop("fit_kw", None) or {})
     return score_mentions(messages, None, terms, mode=mode, compat=compat, model=model, **kw).predictions
 
 
 def split_reviews(spark: SparkSession, csv_path: str, out_path: str, single_file: bool = False) -> None:
     """C4: review CSV -> positive/negative x train/valid outputs (one partitioned write)."""
     reviews = read_reviews_csv(spark, csv_path)
+    # The stable split is keyed on the review text (CSV rows carry no id).
     keyed = reviews.withColumn("_key", F.col("content"))
     write_label_split(label_split(keyed, "_key"), out_path, single_file=single_file)
 

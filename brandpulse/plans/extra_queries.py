@@ -251,3 +251,73 @@ def q_stream_dedup_counts(spark, sf):
 
 
 __all__ = ["FIT", "score_entities", "serialize_labeled", "split_column", "match_terms", "mention_array"]
+
+
+# ---------------------------------------------------------------------------
+# Inspection and the remaining composite jobs
+
+@register("head_json", """
+SELECT event_id, '{' || chr(10) || '  "event_id" : ' || event_id || ',' || chr(10) || '  "event_type" : "' || event_type
+       || '",' || chr(10) || '  "value" : ' || CAST(value AS VARCHAR) || chr(10) || '}' AS record
+FROM events ORDER BY event_id LIMIT 4
+""")
+def q_head_json(spark, sf):
+    from brandpulse.functions.text import to_json_record
+
+    ev = read_table(spark, sf, "events", "event_id", "event_type", "value")
+    first = ev.orderBy("event_id").limit(4)
+    return first.select("event_id", to_json_record("event_id", "event_type", "value", pretty=True).alias("record"))
+
+
+def _write_reviews_csv(spark, sf) -> str:
+    path = scratch_path(spark, "reviews_csv")
+    (_reviews(spark, sf).select("content", "recommended").write.option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    return path
+
+
+@register("prepare_reviews", """
+SELECT unnest(regexp_split_to_array(d.text || ':::' || CAST(l.quality AS VARCHAR), '\\r\\n|\\r|\\n')) AS value
+FROM documents d JOIN labels l USING (doc_id)
+""")
+def q_prepare_reviews(spark, sf):
+    from brandpulse.plans.composites import prepare_reviews
+
+    out = scratch_path(spark, "labeled_out")
+    prepare_reviews(spark, _write_reviews_csv(spark, sf), out)
+    return spark.read.text(out)
+
+
+@register("split_reviews", f"""
+SELECT split, label, unnest(regexp_split_to_array(content, '\\r\\n|\\r|\\n')) AS value FROM (
+  SELECT {S.split_sql('d.text')} AS split, CAST(l.quality AS VARCHAR) AS label, d.text AS content
+  FROM documents d JOIN labels l USING (doc_id))
+""")
+def q_split_reviews(spark, sf):
+    from brandpulse.plans.composites import split_reviews
+
+    out = scratch_path(spark, "split_out")
+    split_reviews(spark, _write_reviews_csv(spark, sf), out)
+    back = spark.read.text(out)
+    return back.select("split", F.col("label").cast("string").alias("label"), "value")
+
+
+@register("train_report_text")
+def q_train_report_text(spark, sf):
+    from brandpulse.plans.composites import train_and_report_text
+
+    path = scratch_path(spark, "labeled_in")
+    write_labeled_text(_reviews(spark, sf), path)
+    samples = read_table(spark, sf, "benchmark", "text")
+    _, report = train_and_report_text(spark, path, samples=samples, **FIT)
+    return report
+
+
+@register("score_from_saved_text")
+def q_score_from_saved_text(spark, sf):
+    from brandpulse.plans.composites import score_from_saved_text
+
+    path = scratch_path(spark, "labeled_in")
+    write_labeled_text(_reviews(spark, sf), path)
+    return score_from_saved_text(spark, _messages(spark, sf), path, TERMS, run_id="run-text",
+                                 processing_time=datetime.datetime(2024, 1, 1), fit_kw=FIT)
