@@ -60,6 +60,15 @@ def test_normalize_passes_equal_steps_on_documents(spark):
         assert r["fast"] == py_normalize(r["t"])
 
 
+def test_ascii_fast_path_equals_steps_on_documents(spark):
+    """clean_text (translate on ASCII input) equals ascii_strip + the thirteen regex steps."""
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").select("text")
+    woven = F.replace(F.replace(F.col("text"), F.lit("the "), F.lit("the's (")), F.lit("on "), F.lit("on'll? "))
+    rows = docs.select(woven.alias("t")).select(
+        T.clean_text("t").alias("fast"), T.normalize_text_stepwise(T.ascii_strip("t")).alias("steps")).collect()
+    assert all(r["fast"] == r["steps"] for r in rows)
+
+
 def test_ascii_strip_matches_python(spark):
     docs = spark.read.parquet(f"{SF01}/documents.parquet").select("text")
     for r in docs.select("text", T.ascii_strip("text").alias("a")).collect():
