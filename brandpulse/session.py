@@ -40,13 +40,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     Also registers it as the SparkContext checkpoint dir so ``DataFrame.checkpoint()``
     (reliable, never ``localCheckpoint``) works.
     """
-    root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a Connect session has no SparkContext
+        sc = None
+    root = spark.conf.get(CHECKPOINT_CONF, None) or (sc.getCheckpointDir() if sc else None)
     if not root:
         # Only reached in local runs (tests, bench): a cluster names its shared folder.
         root = tempfile.mkdtemp(prefix="brandpulse-ckpt-", dir=os.environ.get("BRANDPULSE_SCRATCH", "/tmp"))
         spark.conf.set(CHECKPOINT_CONF, root)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root
 
 

@@ -34,10 +34,12 @@ def spread_partitions(df: DataFrame) -> DataFrame:
     default parallelism is it round-robin repartitioned; a large input (many
     splits) is left as it is, so at scale this adds no shuffle.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. a Connect session): leave as is
+        return df
+    return df.repartition(target) if current < target else df
 
 
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
