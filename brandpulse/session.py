@@ -48,7 +48,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         # Only reached in local runs (tests, bench): a cluster names its shared folder.
         root = tempfile.mkdtemp(prefix="brandpulse-ckpt-", dir=os.environ.get("BRANDPULSE_SCRATCH", "/tmp"))
-        spark.conf.set(CHECKPOINT_CONF, root)
+        try:
+            spark.conf.set(CHECKPOINT_CONF, root)
+        except Exception:  # noqa: BLE001 - core settings may be read-only at runtime
+            pass
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root
