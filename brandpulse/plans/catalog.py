@@ -299,7 +299,7 @@ for _mode, _suffix in (("per_mention", "per"), ("last_mention", "last"), ("disti
 
 
 @register("rank_entities", f"""
-SELECT *, rank() OVER (ORDER BY score DESC) AS rank FROM ({_score_sql('per_mention')})
+SELECT *, CAST(rank() OVER (ORDER BY score DESC) AS INTEGER) AS rank FROM ({_score_sql('per_mention')})
 """)
 def q_rank_entities(spark, sf):
     return rank_entities(_scores(spark, sf, "per_mention"), "term")

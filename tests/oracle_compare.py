@@ -56,6 +56,21 @@ def digest(cols: list[str], rows: list[tuple]) -> tuple[list[str], int, str]:
     return [cols[i] for i in order], len(rows), h
 
 
+SPARK_TO_DUCK = {
+    "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "float": "FLOAT",
+    "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE", "boolean": "BOOLEAN",
+    "smallint": "SMALLINT", "tinyint": "TINYINT", "date": "DATE",
+}
+
+
+def types_of_spark(df) -> dict[str, str]:
+    return {n: SPARK_TO_DUCK.get(t, t.upper()) for n, t in df.dtypes}
+
+
+def types_of_duck(rel) -> dict[str, str]:
+    return {n: str(t) for n, t in zip(rel.columns, rel.types)}
+
+
 def compare(spark, sf_dir: str, names: list[str] | None = None, verbose: bool = True) -> dict[str, dict]:
     import __spark_entry__ as E
 
@@ -73,10 +88,14 @@ def compare(spark, sf_dir: str, names: list[str] | None = None, verbose: bool =
             if name in sqls:
                 rel = con.sql(sqls[name])
                 d_cols, d_n, d_h = digest(rel.columns, rel.fetchall())
-                rec.update(duck_rows=d_n, cols_match=s_cols == d_cols, rows_match=s_n == d_n, hash_match=s_h == d_h)
+                st, dt = types_of_spark(df), types_of_duck(rel)
+                rec.update(duck_rows=d_n, cols_match=s_cols == d_cols, rows_match=s_n == d_n, hash_match=s_h == d_h,
+                           types_match=st == dt)
+                if st != dt:
+                    rec["types"] = {k: (st.get(k), dt.get(k)) for k in set(st) | set(dt) if st.get(k) != dt.get(k)}
                 if s_cols != d_cols:
                     rec["cols"] = (s_cols, d_cols)
-                rec["ok"] = s_cols == d_cols and s_n == d_n and s_h == d_h
+                rec["ok"] = s_cols == d_cols and s_n == d_n and s_h == d_h and st == dt
             else:
                 rec["ok"] = True
         except Exception as e:  # noqa: BLE001 - report and go on
