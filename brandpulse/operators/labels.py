@@ -18,7 +18,6 @@ from brandpulse.functions.text import (
     ascii_strip,
     clean_text,
     clean_text_tokens,
-    clean_tokens,
     normalize_text,
     strict_int,
 )

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline
 from pyspark.ml.classification import LinearSVC, LinearSVCModel
 from pyspark.ml.feature import Word2Vec, Word2VecModel
 from pyspark.ml.functions import array_to_vector, vector_to_array

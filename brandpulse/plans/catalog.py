@@ -37,7 +37,6 @@ from brandpulse.functions.text import (
     to_json_record,
 )
 from brandpulse.operators.labels import (
-    hash_bucket,
     label_split,
     parse_labeled,
     reviews_to_training,
@@ -452,4 +451,4 @@ def q_error_rate(spark, sf):
     return error_rate(pred, "quality", "prediction", ["split"])
 
 
-__all__ = ["queries", "oracle_sql", "TERMS", "hash_bucket"]
+__all__ = ["TERMS", "oracle_sql", "queries", "register"]

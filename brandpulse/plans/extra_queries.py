@@ -14,11 +14,9 @@ import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brandpulse.functions.text import ascii_strip, clean_text_tokens, clean_tokens, json_field
-from brandpulse.operators.labels import label_split, parse_labeled, serialize_labeled, split_column
+from brandpulse.functions.text import clean_text_tokens, json_field
+from brandpulse.operators.labels import label_split, parse_labeled
 from brandpulse.operators.model import SentimentModel, doc_vectors, fit_sentiment, sample_eval, train_and_report
-from brandpulse.operators.scoring import score_entities
-from brandpulse.operators.mentions import match_terms, mention_array
 from brandpulse.plans import sqlfrag as S
 from brandpulse.plans.catalog import TERMS, _docs, _labels, _score_sql, register
 from brandpulse.plans.composites import score_mentions, training_rows
@@ -250,7 +248,7 @@ def q_stream_dedup_counts(spark, sf):
     return read_dedup_counts(spark, out)
 
 
-__all__ = ["FIT", "score_entities", "serialize_labeled", "split_column", "match_terms", "mention_array"]
+__all__ = ["FIT"]
 
 
 # ---------------------------------------------------------------------------

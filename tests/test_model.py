@@ -1,8 +1,6 @@
 """Model: invariants on small fixtures and the driver tables."""
 
 import pytest
-from pyspark.ml.linalg import Vectors
-from pyspark.sql import functions as F
 
 from brandpulse.operators.model import SentimentModel, doc_vectors, fit_sentiment, sample_eval, word2vec
 from brandpulse.operators.scoring import error_rate

@@ -2,7 +2,6 @@
 
 import datetime as dt
 import json
-import uuid
 
 from pyspark.sql import functions as F
 
