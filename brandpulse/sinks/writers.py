@@ -25,10 +25,19 @@ SCORES_SCHEMA = "airline STRING, score DOUBLE, processing_id STRING, total_comme
 
 
 def _shape(df: DataFrame, num_files: int | None, single_file: bool, partition_cols: list[str] | None = None) -> DataFrame:
+    """Output layout: one file, a fixed number of files, or AQE-rebalanced by the partition columns.
+
+    Without a shuffle a ``partitionBy`` write makes every task open one file per
+    partition value (tasks x values small files). ``rebalance`` groups rows by
+    the partition columns and lets AQE split a value that holds many rows (a hot
+    brand) over several tasks and merge small ones.
+    """
     if single_file:
         return df.coalesce(1)
     if num_files:
         return df.repartition(num_files, *partition_cols) if partition_cols else df.repartition(num_files)
+    if partition_cols:
+        return df.hint("rebalance", *partition_cols)
     return df
 
 
@@ -38,8 +47,8 @@ def write_label_split(df: DataFrame, path: str, single_file: bool = False, fmt:
     ``df`` is ``labels.label_split`` output; folders are ``split=<s>/label=<l>``.
     """
     out = df.select("split", "label", "sentiment")
-    if single_file:
-        out = out.repartition("split", "label")
+    # single_file: one file per output folder, as the reference's coalesce(1) per part.
+    out = out.repartition("split", "label") if single_file else _shape(out, None, False, ["split", "label"])
     writer = out.write.mode("error").partitionBy("split", "label")
     if fmt == "text":
         writer.text(path)

@@ -102,3 +102,20 @@ def test_run_score_job_versions(spark):
     assert got == {"klm": 2, "delta": 1}          # delta kept from the first run
     assert spark.read.parquet(preds).count() == 4  # appended, partitioned by airline
     assert s1.count() == 2
+
+
+def test_sink_schemas_and_report_lines(spark):
+    from pyspark.sql.types import _parse_datatype_string
+
+    from brandpulse.operators.labels import random_split
+    from brandpulse.sinks.writers import PREDICTIONS_SCHEMA, SCORES_SCHEMA, error_report
+
+    res = score_mentions(_msgs(spark, ["klm vs delta", "delta"]), None, "klm, delta", model=_model(spark), run_id="r")
+    assert res.predictions.schema.simpleString() == _parse_datatype_string(PREDICTIONS_SCHEMA).simpleString()
+    assert res.scores.schema.simpleString() == _parse_datatype_string(SCORES_SCHEMA).simpleString()
+    report = spark.createDataFrame([("train", 0.25), ("valid", 0.5)], "split string, error double")
+    assert sorted(error_report(report)) == ["Training error:0.25", "Validation error:0.5"]
+    df = spark.range(1000)
+    a, b = random_split(df, seed=5)
+    a2, _ = random_split(df, seed=5)
+    assert a.count() + b.count() == 1000 and sorted(r[0] for r in a.collect()) == sorted(r[0] for r in a2.collect())
