@@ -115,7 +115,7 @@ def _list_versions(spark, table_root: str) -> list[str]:
 
 def error_report(report: DataFrame) -> list[str]:
     """K8: the reference's report lines ('Training error:<e>') from an error table (small)."""
-    names = {"train": "Training error:", "valid": "Validation error:", None: "Samples error:"}
+    names = {"train": "Training error:", "valid": "Validation error:", "samples": "Samples error:", None: "Samples error:"}
     rows = [r.asDict() for r in report.collect()]  # one row per split: bounded by the number of splits
     return [f"{names.get(r.get('split'), 'Error:')}{r['error']}" for r in rows]
 

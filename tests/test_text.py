@@ -130,3 +130,12 @@ def test_strict_int(spark):
 def test_json_pretty(spark):
     got = _one(spark, T.to_json_record("x", pretty=True), "a")
     assert got.startswith("{\n") and '"x" : "a"' in got
+
+
+def test_reference_terms_reachability():
+    from brandpulse.defaults import REFERENCE_TERMS
+
+    listed = REFERENCE_TERMS.split(",")
+    terms = T.normalize_terms(REFERENCE_TERMS)
+    assert len(listed) == 29 and len(terms) == 28
+    assert len([t for t in terms if "_" not in t]) == 25
