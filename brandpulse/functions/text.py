@@ -136,12 +136,17 @@ def json_text(c: ColumnOrName, field: str = "text", strict: bool = True, failfas
     string (a number, an object, ...) also gives NULL, as in the reference, which
     drops such records; the field is parsed into a VARIANT so its JSON type is
     known, and the other fields of the record are skipped, not materialised.
-    ``failfast`` makes a malformed record fail the job (compat, T8).
+    ``failfast`` (compat, T8): a line that is not JSON at all (empty, broken)
+    fails the job, while valid JSON that is not an object with a string field
+    (``[1]``, ``"x"``, ``{"delete": {}}``) gives NULL, as in the reference; this
+    parses the whole record (``parse_json``), so it is the slower path.
     """
-    options = {"mode": "FAILFAST"} if failfast else {}
-    if not strict:
-        return F.from_json(_col(c), f"`{field}` STRING", options)[field]
-    v = F.from_json(_col(c), f"`{field}` VARIANT", options)[field]
+    if failfast:
+        v = F.variant_get(F.parse_json(_col(c)), f"$['{field}']", "variant")
+    elif not strict:
+        return F.from_json(_col(c), f"`{field}` STRING")[field]
+    else:
+        v = F.from_json(_col(c), f"`{field}` VARIANT")[field]
     return F.when(F.schema_of_variant(v) == F.lit("STRING"), F.variant_get(v, "$", "string"))
 
 

@@ -102,12 +102,21 @@ def test_keep_text_compat(spark):
     assert sorted(r[0] for r in df.where(T.keep_text("x")).collect()) == ["nullify it", "ok"]
 
 
-def test_failfast_compat(spark):
-    df = spark.createDataFrame([("not json",)], "x string")
+@pytest.mark.parametrize("line", ["not json", ""])
+def test_failfast_compat(spark, line):
+    df = spark.createDataFrame([(line,)], "x string")
     with pytest.raises(Exception):
         df.select(T.record_text("x", compat=True)).collect()
 
 
+@pytest.mark.parametrize("line,text", [
+    ("[1]", "null"), ('"just a string"', "null"), ('{"delete":{}}', "null"), ('{"text":123}', "null"),
+    ('{"text":"RT ok"}', "ok"), ('{"text":"nullify"}', "nullify"),
+])
+def test_compat_valid_json_without_text(spark, line, text):
+    assert _one(spark, T.record_text(F.col("x"), compat=True), line) == text
+
+
 def test_safe_name(spark):
     assert _one(spark, T.safe_name(F.col("x")), "@Some Air/x#") == "_Some_Air_x_"
     assert _one(spark, T.safe_name(F.col("x")), "a-b_c.9") == "a-b_c.9"
