@@ -86,6 +86,26 @@ def _checked_broadcast(terms_df: DataFrame, term_col: str, max_bytes: int) -> Da
     return terms_df
 
 
+def match_terms_table(df: DataFrame, tokens_col: str, terms_df: DataFrame, term_col: str = "term",
+                      max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """W4 for a term *table* of any size: the other columns of ``df`` plus ``hits``.
+
+    ``hits`` is the same array ``match_terms`` gives (matching tokens, lower-cased,
+    in token order, repeats kept); rows without a hit are dropped. Tokens are
+    matched by an equi-join (term side broadcast behind a measured size check)
+    and gathered back per message: a message's hits are bounded by its own
+    length. The other columns must identify a message and are the grouping key.
+    """
+    terms = terms_df.select(F.lower(F.col(term_col)).alias("_term")).where(F.col("_term").isNotNull()).distinct()
+    terms = _checked_broadcast(terms, "_term", max_broadcast_bytes)
+    other = [c for c in df.columns if c != tokens_col]
+    toks = df.select(*other, F.posexplode(tokens_col).alias("_pos", "_tok")).select(
+        *other, F.struct("_pos", F.lower("_tok").alias("_term")).alias("_hit"), F.lower("_tok").alias("_term"))
+    matched = toks.join(terms, "_term", "inner")
+    gathered = matched.groupBy(*other).agg(F.array_sort(F.collect_list("_hit")).alias("_hits"))
+    return gathered.select(*other, F.transform("_hits", lambda h: h["_term"]).alias("hits"))
+
+
 def explode_mentions_join(df: DataFrame, tokens_col: str, terms_df: DataFrame, mode: str = "per_mention",
                           term_col: str = "term", max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """G1 for a term *table* of any size: tokens are matched by an equi-join.

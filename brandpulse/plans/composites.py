@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from brandpulse.functions.text import clean_tokens, emit_nonempty, emit_text, keep_text, normalize_terms, record_text
 from brandpulse.operators.labels import label_split, parse_labeled, reviews_to_training, split_column
-from brandpulse.operators.mentions import DEFAULT_MAX_INLINE_TERMS, explode_mentions_join, match_terms, mention_array
+from brandpulse.operators.mentions import DEFAULT_MAX_INLINE_TERMS, match_terms, match_terms_table, mention_array
 from brandpulse.operators.model import SentimentModel, fit_sentiment, sample_eval, train_and_report
 from brandpulse.operators.scoring import count_repeats, rank_entities, score_entities
 from brandpulse.sinks.writers import (
@@ -91,23 +91,21 @@ def score_mentions(messages: DataFrame, reviews: DataFrame | None, terms: str |
         model = fit_sentiment(train, **(fit_kw or {}))
 
     if isinstance(terms, DataFrame) and terms.count() > max_inline_terms:
-        # Very large term table: distinct texts first, then tokens matched by join.
-        counted = count_repeats(texts, "text").select("text", "retweets", clean_tokens("text", ascii_input=True).alias("_tok"))
-        term_table = terms.select(F.col(terms.columns[0]).alias("airline"))
-        mentions = explode_mentions_join(counted, "_tok", term_table, mode, term_col="airline")
-        matched = mentions.select("text", "retweets").distinct()
-        scored = model.predict(matched.withColumn(model.input_col, clean_tokens("text", ascii_input=True))).select("text", "prediction")
-        mentions = mentions.join(scored, "text")
+        # Very large term table: distinct texts first, then their hits by an equi-join.
+        counted = count_repeats(texts, "text").select("text", "retweets",
+                                                      clean_tokens("text", ascii_input=True).alias("_tok"))
+        counted = match_terms_table(counted, "_tok", terms, term_col=terms.columns[0])
     else:
         term_list = (normalize_terms([r[0] for r in terms.collect()]) if isinstance(terms, DataFrame)
                      else normalize_terms(terms))
         hits = texts.select("text", emit_nonempty(match_terms(clean_tokens("text", ascii_input=True), term_list)).alias("hits"))
         counted = count_repeats(hits, "text", extra_keys=["hits"])
-        scored = model.predict(counted.withColumn(model.input_col, clean_tokens("text", ascii_input=True)))
-        mentions = scored.select(
-            "text", "retweets", "prediction",
-            F.posexplode(mention_array("hits", mode)).alias("mention_pos", "airline"),
-        )
+    # Only distinct texts that name a term are vectorised and classified.
+    scored = model.predict(counted.withColumn(model.input_col, clean_tokens("text", ascii_input=True)))
+    mentions = scored.select(
+        "text", "retweets", "prediction",
+        F.posexplode(mention_array("hits", mode)).alias("mention_pos", "airline"),
+    )
 
     # Row id: stable under recomputation. Compat: the n copies of a last mention share one id.
     mentions = mentions.withColumnRenamed("text", "comment")

@@ -115,3 +115,14 @@ def test_latest_per_key_with_hot_key(spark):
     assert len(got) == 1 + len({i % 1000 for i in range(n) if i % 3})
     plan = latest_per_key(df, ["k"], ["v"])._jdf.queryExecution().executedPlan().toString()
     assert "Partial" in plan or "partial" in plan
+
+
+def test_match_terms_table_equals_inline_on_documents(spark):
+    from brandpulse.operators.mentions import match_terms, match_terms_table
+
+    terms = ["that", "with", "this", "from", "tion", "than"]
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", clean_tokens(ascii_strip("text")).alias("tokens"))
+    inline = {r["doc_id"]: r["h"] for r in docs.select("doc_id", match_terms("tokens", terms).alias("h")).collect() if r["h"]}
+    tdf = spark.createDataFrame([(t.upper(),) for t in terms], "term string")
+    table = {r["doc_id"]: r["hits"] for r in match_terms_table(docs, "tokens", tdf).collect()}
+    assert table == inline and len(table) > 100

@@ -87,7 +87,7 @@ def test_large_term_table_path_equals_inline(spark):
                            processing_time=dt.datetime(2024, 1, 1))
         b = score_mentions(_msgs(spark, texts), None, terms_df, mode=mode, model=model, run_id="r",
                            processing_time=dt.datetime(2024, 1, 1), max_inline_terms=0)
-        key = lambda rows: sorted((r["airline"], r["comment"], r["prediction"]) for r in rows)
+        key = lambda rows: sorted((r["airline"], r["id"], r["comment"], r["prediction"]) for r in rows)
         assert key(a.predictions.collect()) == key(b.predictions.collect()), mode
         assert sorted(tuple(r) for r in a.scores.collect()) == sorted(tuple(r) for r in b.scores.collect())
 
