@@ -452,3 +452,23 @@ def q_error_rate(spark, sf):
 
 
 __all__ = ["TERMS", "oracle_sql", "queries", "register"]
+
+
+# ---------------------------------------------------------------------------
+# A term *table* derived from the data (every distinct cleaned token of the
+# benchmark passages, thousands of terms): the join path of W4/G1.
+
+@register("mentions_table", f"""
+WITH terms AS (SELECT DISTINCT lower(unnest({S.tokens_sql('text')})) AS term FROM benchmark),
+toks AS (SELECT doc_id, unnest(t) AS token, unnest(range(len(t))) AS pos
+         FROM (SELECT doc_id, {S.tokens_sql('text')} AS t FROM documents))
+SELECT doc_id, term, CAST(pos AS BIGINT) AS mention_pos FROM toks JOIN terms ON lower(toks.token) = terms.term
+""")
+def q_mentions_table(spark, sf):
+    from brandpulse.operators.mentions import explode_mentions_join
+
+    bench = read_table(spark, sf, "benchmark", "text")
+    terms = bench.select(F.explode(clean_text_tokens("text")).alias("term"))
+    docs = _docs(spark, sf).select("doc_id", clean_text_tokens("text").alias("tokens"))
+    out = explode_mentions_join(docs, "tokens", terms, "per_mention", term_col="term")
+    return out.select("doc_id", "term", F.col("mention_pos").cast("bigint").alias("mention_pos"))
