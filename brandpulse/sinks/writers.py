@@ -9,8 +9,6 @@ for small outputs, it funnels the write through one task).
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -78,39 +76,39 @@ def write_predictions(df: DataFrame, path: str, num_files: int | None = None, pa
 def write_scores_version(spark, scores: DataFrame, table_root: str, key_cols: list[str] | None = None) -> str:
     """K4: keyed last-write-wins merge of ``scores`` into the latest version under ``table_root``.
 
-    Entities not in this run keep their previous row. Each merge writes a new
-    ``version=<n>`` folder and never touches the one it reads.
+    Entities not in this run keep their previous row. Each merge writes the
+    next ``version=<n>`` folder (mode ``error``: a concurrent writer of the same
+    version fails instead of overwriting) and never touches the one it reads.
     """
     key_cols = key_cols or ["airline"]
-    versions = _list_versions(spark, table_root)
-    target = f"{table_root.rstrip('/')}/version={len(versions):06d}-{uuid.uuid4().hex[:8]}"
-    if versions:
-        old = spark.read.parquet(versions[-1])
-        merged = upsert_latest(old, scores.select(*old.columns), key_cols)
+    table, latest = _latest_version(spark, table_root)
+    if latest is None:
+        merged, version = scores, 0
     else:
-        merged = scores
+        old = table.where(F.col("version") == latest).drop("version")
+        merged, version = upsert_latest(old, scores.select(*old.columns), key_cols), latest + 1
+    target = f"{table_root.rstrip('/')}/version={version}"
     merged.write.mode("error").parquet(target)
     return target
 
 
 def latest_scores(spark, table_root: str) -> DataFrame:
     """Read the newest version written by ``write_scores_version``."""
-    versions = _list_versions(spark, table_root)
-    if not versions:
+    table, latest = _latest_version(spark, table_root)
+    if latest is None:
         raise FileNotFoundError(f"no score versions under {table_root}")
-    return spark.read.parquet(versions[-1])
-
-
-def _list_versions(spark, table_root: str) -> list[str]:
-    """Version folders under ``table_root`` (through the Hadoop FS API: works on any shared store)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(table_root)
-    fs = root.getFileSystem(conf)
-    if not fs.exists(root):
-        return []
-    names = [s.getPath().toString() for s in fs.listStatus(root) if s.getPath().getName().startswith("version=")]
-    return sorted(names, key=lambda p: p.rsplit("version=", 1)[1])
+    return table.where(F.col("version") == latest).drop("version")
+
+
+def _latest_version(spark, table_root: str) -> tuple[DataFrame | None, int | None]:
+    """The versioned table (partition column ``version``) and its highest version, if any."""
+    try:
+        table = spark.read.parquet(table_root)
+    except Exception:  # noqa: BLE001 - no table yet (path not found)
+        return None, None
+    if "version" not in table.columns:
+        return None, None
+    return table, table.agg(F.max("version")).first()[0]
 
 
 def error_report(report: DataFrame) -> list[str]:
