@@ -204,9 +204,9 @@ def fit_sentiment(train: DataFrame, input_col: str = "comment", label_col: str =
         train.unpersist()
 
 
-def pipeline(input_col: str = "comment", vector_size: int = VECTOR_SIZE, min_count: int = MIN_COUNT,
-             iterations: int = SVM_ITERATIONS, seed: int | None = 42) -> Pipeline:
-    """M7 as one Spark ML ``Pipeline`` (Word2Vec -> LinearSVC), for ``PipelineModel`` save/load."""
+def sentiment_estimator(input_col: str = "comment", vector_size: int = VECTOR_SIZE, min_count: int = MIN_COUNT,
+                        iterations: int = SVM_ITERATIONS, seed: int | None = 42) -> Pipeline:
+    """M7 as one Spark ML estimator (Word2Vec -> LinearSVC; needs a double ``label``), saved as a ``PipelineModel``."""
     svc = LinearSVC(featuresCol="result", labelCol="label", maxIter=iterations, regParam=SGD_REG,
                     fitIntercept=False, standardization=False, threshold=0.0)
     return Pipeline(stages=[word2vec(input_col, "result", vector_size, min_count, seed), svc])

@@ -79,3 +79,20 @@ def test_vocabulary_guard(spark):
     df = _separable(spark, 20)
     with pytest.raises(ValueError):
         fit_sentiment(df, vector_size=8, iterations=1, max_model_bytes=10)
+
+
+def test_single_estimator_save_load(spark):
+    from pyspark.ml import PipelineModel
+    from pyspark.sql import functions as F
+
+    from brandpulse.operators.model import sentiment_estimator
+    from brandpulse.session import scratch_path
+
+    df = _separable(spark, 80).withColumn("label", F.col("sentiment").cast("double"))
+    fitted = sentiment_estimator(vector_size=8, iterations=10, seed=2).fit(df)
+    path = scratch_path(spark, "estimator")
+    fitted.write().save(path)
+    again = PipelineModel.load(path)
+    a = [r[0] for r in fitted.transform(df).select("prediction").collect()]
+    b = [r[0] for r in again.transform(df).select("prediction").collect()]
+    assert a == b
