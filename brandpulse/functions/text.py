@@ -188,6 +188,17 @@ def emit_row_if(fields: dict[str, Column], pred) -> Column:
     return F.inline(F.filter(F.array(row), pred))
 
 
+def array_input(c: ColumnOrName) -> Column:
+    """An array column as generator input that infers no filter.
+
+    For ``explode(col)`` of a plain column Spark infers ``size(col) > 0`` and
+    pushes it below the projection that computed ``col``: the expression (e.g.
+    the whole text cleaner) would then run twice. Wrapping the column makes the
+    input an expression; ``coalesce(col, [])`` explodes to the same rows.
+    """
+    return F.coalesce(_col(c), F.array().cast("array<string>"))
+
+
 def emit_text(c: ColumnOrName, compat: bool = False) -> Column:
     """W2 as a generator: the text when it is kept (see ``keep_text``), else no row."""
     if compat:

@@ -23,6 +23,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from brandpulse.functions.text import array_input
+
 MODES = ("per_mention", "last_mention", "distinct")
 
 # Beyond this many terms the literal set would bloat every task's plan.
@@ -99,7 +101,7 @@ def match_terms_table(df: DataFrame, tokens_col: str, terms_df: DataFrame, term_
     terms = terms_df.select(F.lower(F.col(term_col)).alias("_term")).where(F.col("_term").isNotNull()).distinct()
     terms = _checked_broadcast(terms, "_term", max_broadcast_bytes)
     other = [c for c in df.columns if c != tokens_col]
-    toks = df.select(*other, F.posexplode(tokens_col).alias("_pos", "_tok")).select(
+    toks = df.select(*other, F.posexplode(array_input(tokens_col)).alias("_pos", "_tok")).select(
         *other, F.struct("_pos", F.lower("_tok").alias("_term")).alias("_hit"), F.lower("_tok").alias("_term"))
     matched = toks.join(terms, "_term", "inner")
     gathered = matched.groupBy(*other).agg(F.array_sort(F.collect_list("_hit")).alias("_hits"))
@@ -122,7 +124,7 @@ def explode_mentions_join(df: DataFrame, tokens_col: str, terms_df: DataFrame, m
     terms = terms_df.select(F.lower(F.col(term_col)).alias("_term")).where(F.col("_term").isNotNull()).distinct()
     terms = _checked_broadcast(terms, "_term", max_broadcast_bytes)
     other = [c for c in df.columns if c != tokens_col]
-    toks = df.select(*other, F.posexplode(tokens_col).alias("_pos", "_tok")).select(
+    toks = df.select(*other, F.posexplode(array_input(tokens_col)).alias("_pos", "_tok")).select(
         *other, "_pos", F.lower("_tok").alias("_term"))
     hits = toks.join(terms, "_term", "inner")
     if mode == "per_mention":
