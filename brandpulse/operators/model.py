@@ -73,7 +73,8 @@ class SentimentModel:
         if key_cols is None or self.vocabulary_bytes() <= max_broadcast_bytes:
             return self.w2v.transform(df)
         vec = doc_vectors(df, self.input_col, self.w2v.getVectors(), key_cols, self.w2v.getVectorSize(),
-                          out_col=self.features_col, max_broadcast_bytes=max_broadcast_bytes)
+                          out_col=self.features_col, max_broadcast_bytes=max_broadcast_bytes,
+                          vector_rows=self.w2v.getVectors().count())
         vec = vec.withColumn(self.features_col, array_to_vector(self.features_col))
         return df.join(vec, key_cols, "left")
 
@@ -118,21 +119,31 @@ def linear_margin(features: Column, weights: list[float], intercept: float = 0.0
 
 def doc_vectors(df: DataFrame, tokens_col: str, vectors: DataFrame, key_cols: list[str], dim: int,
                 out_col: str = "result", word_col: str = "word", vector_col: str = "vector",
-                max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+                max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, vector_rows: int | None = None) -> DataFrame:
     """M2 by join: ``(key..., out_col)``, the mean of known word vectors over *all* tokens.
 
     Unknown tokens count in the denominator, an empty document is all zeros
     (the ``Word2VecModel.transform`` rule). ``vectors`` is (word, vector) with a
     Spark ML vector or an array. Tokens are exploded and left-joined to the
-    vectors on the word: the vector table is broadcast only if its counted size
-    fits ``max_broadcast_bytes``; then each document's tokens stay in their task
-    and the partial aggregate sends one row per document to the shuffle. Above
-    the bound it is a shuffle join (AQE splits skewed words).
+    vectors on the word. The table is hinted for broadcast only if its row
+    count x size fits ``max_broadcast_bytes``: pass ``vector_rows`` when it is
+    known (a fitted model's vocabulary); otherwise the table is first written
+    once with ``checkpoint()`` to the shared checkpoint folder (so a derived
+    table is not computed twice, once to count and once to join) and counted
+    from there. Broadcast, each document's tokens stay in their task and the
+    partial aggregate sends one row per document to the shuffle; above the bound
+    it is a shuffle join (AQE splits skewed words).
     """
     vec = vectors.select(F.col(word_col).alias("_w"), F.col(vector_col).alias("_v"))
     if dict(vectors.dtypes)[vector_col] != "array<double>":
         vec = vec.withColumn("_v", vector_to_array("_v"))
-    if vec.count() * (dim * 8 + 64) <= max_broadcast_bytes:
+    if vector_rows is None:
+        from brandpulse.session import checkpoint_root
+
+        checkpoint_root(vec.sparkSession)   # the session's shared folder (set locally only if unset)
+        vec = vec.checkpoint(eager=True)
+        vector_rows = vec.count()
+    if vector_rows * (dim * 8 + 64) <= max_broadcast_bytes:
         vec = F.broadcast(vec)
     toks = df.select(*key_cols, F.size(tokens_col).alias("_n"), F.explode_outer(tokens_col).alias("_w"))
     joined = toks.join(vec, "_w", "left")
