@@ -62,10 +62,9 @@ def _java_replacement(text: str) -> str:
     return text.replace("\\", "\\\\").replace("$", "\\$")
 
 
-# Characters step 1 keeps; on ASCII-only input (after F2) the characters it
-# replaces are the finite rest of ASCII, so step 1 becomes one ``translate``.
-_KEPT = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789(),!?'`")
-_ASCII_REPLACED = "".join(chr(i) for i in range(128) if chr(i) not in _KEPT)
+# On ASCII-only input (after F2) the characters step 1 replaces are a finite set
+# (the ASCII characters its pattern matches), so step 1 becomes one ``translate``.
+_ASCII_REPLACED = "".join(chr(i) for i in range(128) if re.fullmatch(NORMALIZE_STEPS[0][0], chr(i)))
 # Steps 2-12 match literal text: apply them as plain (byte-search) replacements,
 # in the same order, instead of running the regex engine.
 _LITERAL_STEPS = [(re.sub(r"\\(.)", r"\1", p), out) for p, out in NORMALIZE_STEPS[1:-1]]
