@@ -43,6 +43,9 @@ DEFAULT_MAX_MODEL_BYTES = 4 * 1024 ** 3
 # iteration dominates; more as the training set grows.
 TOKENS_PER_W2V_PARTITION = 200_000
 ROWS_PER_SVC_PARTITION = 100_000
+# Each Word2Vec partition sends back its copy of the vectors it touched every
+# iteration (partitions x vocabulary x size floats to merge): keep it bounded.
+MAX_W2V_PARTITIONS = 64
 
 
 @dataclass
@@ -189,7 +192,8 @@ def fit_sentiment(train: DataFrame, input_col: str = "comment", label_col: str =
             raise ValueError(f"about {vocab} distinct tokens x {vector_size} would pass the driver budget "
                              f"({max_model_bytes} bytes): raise min_count")
         parallelism = train.sparkSession.sparkContext.defaultParallelism
-        w2v_parts = num_partitions or max(1, min(parallelism, (stats["tokens"] or 0) // TOKENS_PER_W2V_PARTITION))
+        w2v_parts = num_partitions or max(1, min(parallelism, MAX_W2V_PARTITIONS,
+                                                 (stats["tokens"] or 0) // TOKENS_PER_W2V_PARTITION))
         w2v_model = word2vec(input_col, "result", vector_size, min_count, seed, w2v_parts).fit(train)
         feats = w2v_model.transform(train).select(F.col(label_col).cast("double").alias("label"), "result")
         svc_parts = max(1, ceil((stats["rows"] or 0) / ROWS_PER_SVC_PARTITION))
