@@ -319,3 +319,74 @@ def q_score_from_saved_text(spark, sf):
     write_labeled_text(_reviews(spark, sf), path)
     return score_from_saved_text(spark, _messages(spark, sf), path, TERMS, run_id="run-text",
                                  processing_time=datetime.datetime(2024, 1, 1), fit_kw=FIT)
+
+
+# ---------------------------------------------------------------------------
+# C1 end to end with a deterministic classifier, so the whole composite path
+# (JSON records -> text -> hits before the shuffle -> repeat counts -> document
+# vectors -> linear prediction -> mention rows -> scores) has an SQL oracle.
+# Word vectors are a rule on the training vocabulary: [length, code of first char].
+
+RULE_WEIGHTS = [0.0, 1.0]
+RULE_INTERCEPT = -100.0
+
+
+class RuleModel:
+    """A stand-in for ``SentimentModel`` with fixed word vectors and weights (same ``predict`` contract)."""
+
+    input_col = "comment"
+
+    def __init__(self, vectors: DataFrame):
+        self.vectors = vectors
+
+    def predict(self, df: DataFrame, prediction_col: str = "prediction") -> DataFrame:
+        from brandpulse.operators.model import linear_margin
+
+        vec = doc_vectors(df.select("text", self.input_col), self.input_col, self.vectors, ["text"], dim=2)
+        margin = linear_margin(F.col("result"), RULE_WEIGHTS, RULE_INTERCEPT)
+        return df.join(vec.select("text", (margin > 0).cast("int").alias(prediction_col)), "text")
+
+
+def _rule_model(spark, sf) -> RuleModel:
+    train = training_rows(_reviews(spark, sf)).where(F.col("split") == "train")
+    vocab = train.select(F.explode("comment").alias("word")).distinct()
+    return RuleModel(vocab.select("word", F.array(F.length("word").cast("double"),
+                                                  F.ascii("word").cast("double")).alias("vector")))
+
+
+def _rule_sql(final: str) -> str:
+    return f"""
+WITH msgs AS (SELECT {S.rt_sql(S.ascii_sql('text'))} AS text FROM documents),
+hits AS (SELECT text, {S.hits_sql(S.tokens_sql('text'), TERMS)} AS h FROM msgs),
+counted AS (SELECT text, h, count(*) - 1 AS retweets FROM hits WHERE len(h) > 0 GROUP BY text, h),
+vocab AS (
+  SELECT DISTINCT unnest(string_split(comment, ' ')) AS w
+  FROM (SELECT {_comment_sql()} AS comment FROM documents d JOIN labels l USING (doc_id))
+  WHERE {S.split_sql('comment')} = 'train'),
+vec AS (SELECT w, CAST(length(w) AS DOUBLE) AS a, CAST(ascii(w) AS DOUBLE) AS b FROM vocab),
+toks AS (SELECT text, unnest(t) AS w, len(t) AS n FROM (SELECT text, {S.tokens_sql('text')} AS t FROM counted)),
+dv AS (SELECT text, coalesce(sum(a), 0) / max(n) AS v0, coalesce(sum(b), 0) / max(n) AS v1
+       FROM toks LEFT JOIN vec USING (w) GROUP BY text),
+pred AS (SELECT text, CAST(({RULE_INTERCEPT!r} + {RULE_WEIGHTS[0]!r} * v0) + {RULE_WEIGHTS[1]!r} * v1 > 0 AS INTEGER)
+           AS prediction FROM dv),
+m AS (SELECT c.text AS comment, c.retweets, p.prediction, unnest(c.h) AS airline,
+             unnest(range(len(c.h))) AS mention_pos FROM counted c JOIN pred p USING (text))
+{final}"""
+
+
+@register("brand_scores_rule", _rule_sql("""
+SELECT airline, CAST(sum(prediction) AS DOUBLE) / count(*) AS score, 'run-rule' AS processing_id,
+       count(*) AS total_comments, CAST(sum(prediction) AS BIGINT) AS positive_comments FROM m GROUP BY airline"""))
+def q_brand_scores_rule(spark, sf):
+    res = score_mentions(_messages(spark, sf), None, TERMS, model=_rule_model(spark, sf), run_id="run-rule")
+    return res.scores
+
+
+@register("brand_predictions_rule", _rule_sql("""
+SELECT airline, sha256(concat_ws('|', 'run-rule', airline, CAST(mention_pos AS VARCHAR), comment)) AS id,
+       TIMESTAMP '2024-01-01 00:00:00' AS processing_time, 'run-rule' AS processing_id, comment,
+       retweets, prediction FROM m"""))
+def q_brand_predictions_rule(spark, sf):
+    res = score_mentions(_messages(spark, sf), None, TERMS, model=_rule_model(spark, sf), run_id="run-rule",
+                         processing_time=datetime.datetime(2024, 1, 1))
+    return res.predictions
