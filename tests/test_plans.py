@@ -25,7 +25,7 @@ SINGLE_PLAN = ["ascii_strip", "rt_strip", "normalize_text", "tokenize", "json_fi
                "mentions_per", "mentions_last", "mentions_distinct", "score_per", "score_last", "score_distinct",
                "rank_entities", "predictions_table", "hash_split", "label_split", "serialize_labeled", "parse_labeled",
                "train_tokens", "upsert_latest", "linear_predict", "error_rate", "mentions_table", "doc_vector",
-               "head_json"]
+               "head_json", "brand_scores_rule", "brand_predictions_rule"]
 
 
 @pytest.mark.parametrize("name", SINGLE_PLAN)

@@ -139,3 +139,30 @@ def test_windowed_dedup_stream_equals_batch(spark):
     want = sorted(tuple(r) for r in rows.groupBy(F.window("t", "1 day").alias("w"), "text").count().select(
         F.col("w.start"), F.col("w.end"), "text", F.col("count"), F.col("count") - 1).collect())
     assert got == want and len(want) > 5
+
+
+def test_literal_rows_and_sink_layout_options(spark):
+    """S4 literal relation; H3 one file per output part; H4 a fixed number of files."""
+    import os
+
+    from brandpulse.operators.labels import label_split
+    from brandpulse.sinks.writers import write_label_split, write_predictions
+    from brandpulse.sources.readers import literal_samples
+
+    lit = literal_samples(spark, [(["a", "b"],), (["c"],)], "comment array<string>")
+    assert lit.count() == 2 and lit.columns == ["comment"]
+
+    def files(path):
+        return sorted(os.path.relpath(os.path.join(d, f), path) for d, _, fs in os.walk(path.replace("file:", ""))
+                      for f in fs if f.startswith("part-"))
+
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", F.col("text").alias("content"),
+                                                                    (F.col("doc_id") % 2).cast("string").alias("recommended"))
+    one = scratch_path(spark, "k1")
+    write_label_split(label_split(docs, "doc_id"), one, single_file=True, fmt="parquet")
+    parts = files(one)
+    assert len(parts) == len({os.path.dirname(p) for p in parts}) == 4
+    preds = spark.range(1000).select(F.lit("klm").alias("airline"), F.col("id").cast("string").alias("id"))
+    out = scratch_path(spark, "k3")
+    write_predictions(preds, out, num_files=3, partition_by_term=False)
+    assert len(files(out)) == 3
