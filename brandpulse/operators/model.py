@@ -59,27 +59,19 @@ class SentimentModel:
     input_col: str = "comment"
     features_col: str = "result"
 
-    def vocabulary_bytes(self) -> int:
-        """Measured size of the broadcast ``Word2VecModel.transform`` would make."""
-        n = self.w2v.getVectors().count()
-        return n * (self.w2v.getVectorSize() * 4 + 64)
-
-    def vectors(self, df: DataFrame, max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
-                key_cols: list[str] | None = None) -> DataFrame:
+    def vectors(self, df: DataFrame, max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
         """M2: add the document vector column.
 
         The library path broadcasts the whole vocabulary; it is taken only when
-        its measured size is under ``max_broadcast_bytes`` (or no key is given).
-        Otherwise the join path computes the same vectors and joins them back on
-        ``key_cols`` (which must identify a row).
+        its measured size is under ``max_broadcast_bytes``. Otherwise the join
+        path (``doc_vectors``) computes the same vectors without that broadcast.
         """
-        if key_cols is None or self.vocabulary_bytes() <= max_broadcast_bytes:
+        n_words = self.w2v.getVectors().count()
+        if n_words * (self.w2v.getVectorSize() * 4 + 64) <= max_broadcast_bytes:
             return self.w2v.transform(df)
-        vec = doc_vectors(df, self.input_col, self.w2v.getVectors(), key_cols, self.w2v.getVectorSize(),
-                          out_col=self.features_col, max_broadcast_bytes=max_broadcast_bytes,
-                          vector_rows=self.w2v.getVectors().count())
-        vec = vec.withColumn(self.features_col, array_to_vector(self.features_col))
-        return df.join(vec, key_cols, "left")
+        out = doc_vectors(df, self.input_col, self.w2v.getVectors(), None, self.w2v.getVectorSize(),
+                          out_col=self.features_col, max_broadcast_bytes=max_broadcast_bytes, vector_rows=n_words)
+        return out.withColumn(self.features_col, array_to_vector(self.features_col))
 
     def predict(self, df: DataFrame, prediction_col: str = "prediction", **kw) -> DataFrame:
         """M2 + M6: 0/1 prediction (INT) for each row's token array."""
@@ -120,22 +112,29 @@ def linear_margin(features: Column, weights: list[float], intercept: float = 0.0
     return F.aggregate(products, F.lit(float(intercept)), lambda acc, v: acc + v)
 
 
-def doc_vectors(df: DataFrame, tokens_col: str, vectors: DataFrame, key_cols: list[str], dim: int,
+def doc_vectors(df: DataFrame, tokens_col: str, vectors: DataFrame, key_cols: list[str] | None, dim: int,
                 out_col: str = "result", word_col: str = "word", vector_col: str = "vector",
                 max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, vector_rows: int | None = None) -> DataFrame:
-    """M2 by join: ``(key..., out_col)``, the mean of known word vectors over *all* tokens.
+    """M2 by join: the mean of known word vectors over *all* tokens.
 
     Unknown tokens count in the denominator, an empty document is all zeros
     (the ``Word2VecModel.transform`` rule). ``vectors`` is (word, vector) with a
-    Spark ML vector or an array. Tokens are exploded and left-joined to the
-    vectors on the word. The table is hinted for broadcast only if its row
-    count x size fits ``max_broadcast_bytes``: pass ``vector_rows`` when it is
-    known (a fitted model's vocabulary); otherwise the table is first written
-    once with ``checkpoint()`` to the shared checkpoint folder (so a derived
-    table is not computed twice, once to count and once to join) and counted
-    from there. Broadcast, each document's tokens stay in their task and the
-    partial aggregate sends one row per document to the shuffle; above the bound
-    it is a shuffle join (AQE splits skewed words).
+    Spark ML vector or an array. With ``key_cols`` the result is ``(key...,
+    out_col)``; without, ``df`` with ``out_col`` added, joined back on a compact
+    key: the md5 of the token list (tokens hold no space, so the joined list is
+    the list), so exploded token rows carry 16 bytes, not the message, and equal
+    token lists share one vector; ``df`` is then written once with
+    ``checkpoint()`` since it is read twice.
+
+    Tokens are exploded and left-joined to the vectors on the word. The table
+    is hinted for broadcast only if its row count x size fits
+    ``max_broadcast_bytes``: pass ``vector_rows`` when it is known (a fitted
+    model's vocabulary); otherwise the table is first written once with
+    ``checkpoint()`` to the shared checkpoint folder (a derived table is then not
+    computed twice, once to count and once to join) and counted from there.
+    Broadcast, each document's tokens stay in their task and the partial
+    aggregate sends one row per document to the shuffle; above the bound it is a
+    shuffle join (AQE splits skewed words).
     """
     vec = vectors.select(F.col(word_col).alias("_w"), F.col(vector_col).alias("_v"))
     if dict(vectors.dtypes)[vector_col] != "array<double>":
@@ -148,13 +147,24 @@ def doc_vectors(df: DataFrame, tokens_col: str, vectors: DataFrame, key_cols: li
         vector_rows = vec.count()
     if vector_rows * (dim * 8 + 64) <= max_broadcast_bytes:
         vec = F.broadcast(vec)
-    toks = df.select(*key_cols, F.size(tokens_col).alias("_n"), F.explode_outer(tokens_col).alias("_w"))
+    keyed, keys = df, list(key_cols or [])
+    if key_cols is None:
+        # The rows are read twice (tokens out, vectors back in): write them once
+        # so the plan that produced them (parsing, cleaning, a shuffle) runs once.
+        keyed = df.withColumn("_k", F.md5(F.array_join(F.col(tokens_col), " "))).checkpoint(eager=True)
+        keys = ["_k"]
+    toks = keyed.select(*keys, F.size(tokens_col).alias("_n"), F.explode_outer(tokens_col).alias("_w"))
     joined = toks.join(vec, "_w", "left")
-    sums = joined.groupBy(*key_cols, "_n").agg(
+    sums = joined.groupBy(*keys, "_n").agg(
         *[F.sum(F.col("_v")[i]).alias(f"_s{i}") for i in range(dim)]
     )
     arr = F.array(*[F.coalesce(F.try_divide(F.col(f"_s{i}"), F.col("_n")), F.lit(0.0)) for i in range(dim)])
-    return sums.select(*key_cols, arr.alias(out_col))
+    means = sums.select(*keys, arr.alias(out_col))
+    if key_cols is not None:
+        return means
+    zeros = F.array(*[F.lit(0.0) for _ in range(dim)])
+    return (keyed.join(means, "_k", "left").drop("_k")
+            .withColumn(out_col, F.coalesce(F.col(out_col), zeros)))
 
 
 def word2vec(input_col: str = "comment", output_col: str = "result", vector_size: int = VECTOR_SIZE,

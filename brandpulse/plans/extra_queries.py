@@ -342,9 +342,9 @@ class RuleModel:
     def predict(self, df: DataFrame, prediction_col: str = "prediction") -> DataFrame:
         from brandpulse.operators.model import linear_margin
 
-        vec = doc_vectors(df.select("text", self.input_col), self.input_col, self.vectors, ["text"], dim=2)
+        vec = doc_vectors(df, self.input_col, self.vectors, None, dim=2)
         margin = linear_margin(F.col("result"), RULE_WEIGHTS, RULE_INTERCEPT)
-        return df.join(vec.select("text", (margin > 0).cast("int").alias(prediction_col)), "text")
+        return vec.withColumn(prediction_col, (margin > 0).cast("int")).drop("result")
 
 
 def _rule_model(spark, sf) -> RuleModel:

@@ -39,7 +39,7 @@ def test_doc_vector_rule_and_join_path(spark):
     model = fit_sentiment(spark.createDataFrame([(["a", "b"], 1), (["b", "c"], 0)], "comment array<string>, sentiment int"),
                           vector_size=3, iterations=5, seed=1)
     a = {r["k"]: r["prediction"] for r in model.predict(docs).collect()}
-    b = {r["k"]: r["prediction"] for r in model.predict(docs, max_broadcast_bytes=0, key_cols=["k"]).collect()}
+    b = {r["k"]: r["prediction"] for r in model.predict(docs, max_broadcast_bytes=0).collect()}
     assert a == b
 
 
