@@ -148,3 +148,53 @@ def test_reference_terms_reachability():
     terms = T.normalize_terms(REFERENCE_TERMS)
     assert len(listed) == 29 and len(terms) == 28
     assert len([t for t in terms if "_" not in t]) == 25
+
+
+def test_cleaning_matches_python_on_random_strings(spark):
+    """Property: ascii_strip + normaliser (both forms) equal Python's re steps on random text."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    alphabet = st.sampled_from(list("aAzZ09 \t\n\r\x0b\x0c\x00\x1c\x7f'`(),!?.-_:;\"\\$@#") +
+                               ["'s", "'ve", "n't", "'re", "'d", "'ll", "RT", "é", "ß", "😀", " ", " "])
+    samples: list[str] = []
+
+    @settings(max_examples=300, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(alphabet, max_size=40).map("".join))
+    def collect(s):
+        samples.append(s)
+
+    collect()
+    df = spark.createDataFrame([(s,) for s in samples], "x string")
+    rows = df.select("x", T.clean_text("x").alias("fast"),
+                     T.normalize_text_stepwise(T.ascii_strip("x")).alias("steps"),
+                     T.normalize_text(T.ascii_strip("x")).alias("general")).collect()
+    assert len(rows) == len(samples)
+    for r in rows:
+        want = py_normalize(py_ascii(r["x"]))
+        assert r["fast"] == want, repr(r["x"])
+        assert r["steps"] == want, repr(r["x"])
+        assert r["general"] == want, repr(r["x"])
+
+
+def test_record_text_matches_python_on_random_records(spark):
+    """Property: JSON line -> text equals Python's json parse, ASCII strip and RT strip."""
+    import json as _json
+
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    texts = st.lists(st.sampled_from(list("RTrt x\n\t\"\\/é😀'") + ["RT ", " ", "\x00"]), max_size=20).map("".join)
+    lines: list[tuple[str, str | None]] = []
+
+    @settings(max_examples=200, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(texts, st.booleans())
+    def collect(t, ascii_escape):
+        line = _json.dumps({"id": 1, "text": t, "user": {"name": t}}, ensure_ascii=ascii_escape)
+        a = py_ascii(t)
+        lines.append((line, a[3:] if a.startswith("RT") else a))
+
+    collect()
+    df = spark.createDataFrame([(line,) for line, _ in lines], "x string")
+    got = [r[0] for r in df.select(T.record_text("x")).collect()]
+    assert got == [want for _, want in lines]
