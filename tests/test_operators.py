@@ -126,3 +126,61 @@ def test_match_terms_table_equals_inline_on_documents(spark):
     tdf = spark.createDataFrame([(t.upper(),) for t in terms], "term string")
     table = {r["doc_id"]: r["hits"] for r in match_terms_table(docs, "tokens", tdf).collect()}
     assert table == inline and len(table) > 100
+
+
+def _py_mentions(tokens, terms, mode):
+    hits = [t.lower() for t in tokens if t.lower() in terms]
+    if mode == "per_mention":
+        return hits
+    if mode == "last_mention":
+        return [hits[-1]] * len(hits) if hits else []
+    return list(dict.fromkeys(hits))
+
+
+@pytest.mark.parametrize("mode", ["per_mention", "last_mention", "distinct"])
+def test_mention_modes_match_python_on_random_tokens(spark, mode):
+    import random
+
+    rnd = random.Random(11)
+    vocab = ["klm", "KLM", "delta", "Delta", "x", "", "british_airways", "vs", "jetblue"]
+    terms = ["klm", "delta", "jetblue", "british_airways"]
+    rows = [(i, [rnd.choice(vocab) for _ in range(rnd.randint(0, 8))]) for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, tokens array<string>")
+    got = {}
+    for r in explode_mentions(df, "tokens", terms, mode, with_position=True).collect():
+        got.setdefault(r["id"], []).append((r["mention_pos"], r["term"]))
+    for i, toks in rows:
+        assert [t for _, t in sorted(got.get(i, []))] == _py_mentions(toks, set(terms), mode), (i, toks)
+
+
+def test_scores_match_python_on_random_mentions(spark):
+    """Repeat counts and per-entity scores against a Python computation (many repeats, one hot key)."""
+    import random
+    from collections import Counter
+
+    from brandpulse.plans.composites import score_mentions
+
+    class FixedModel:  # prediction = 1 when the text holds 'good'
+        input_col = "comment"
+
+        def predict(self, df):
+            return df.withColumn("prediction", F.array_contains("comment", "good").cast("int"))
+
+    rnd = random.Random(5)
+    texts = ["klm good", "klm bad", "delta good delta", "jetblue klm good", "nothing"]
+    weights = [40, 5, 10, 3, 2]          # 'klm good' holds most of the rows
+    msgs = [rnd.choices(texts, weights)[0] for _ in range(600)]
+    import json as _json
+
+    df = spark.createDataFrame([(_json.dumps({"text": t}),) for t in msgs], "value string")
+    res = score_mentions(df, None, "klm, delta, jetblue", model=FixedModel(), run_id="r")
+    got = {r["airline"]: (r["total_comments"], r["positive_comments"], r["score"]) for r in res.scores.collect()}
+    want_tot, want_pos = Counter(), Counter()
+    for t in set(msgs):                   # each distinct text counts once per mention
+        toks = t.split(" ")
+        for term in [x for x in toks if x in {"klm", "delta", "jetblue"}]:
+            want_tot[term] += 1
+            want_pos[term] += int("good" in toks)
+    assert got == {k: (want_tot[k], want_pos[k], want_pos[k] / want_tot[k]) for k in want_tot}
+    reps = {r["comment"]: r["retweets"] for r in res.predictions.collect()}
+    assert all(reps[t] == msgs.count(t) - 1 for t in reps)
