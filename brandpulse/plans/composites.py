@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brandpulse.functions.text import clean_tokens, emit_nonempty, emit_text, keep_text, normalize_terms, record_text
+from brandpulse.functions.text import clean_tokens, emit_nonempty, emit_text, normalize_terms, record_text
 from brandpulse.operators.labels import label_split, parse_labeled, reviews_to_training, split_column
 from brandpulse.operators.mentions import DEFAULT_MAX_INLINE_TERMS, match_terms, match_terms_table, mention_array
 from brandpulse.operators.model import SentimentModel, fit_sentiment, sample_eval, train_and_report
