@@ -196,8 +196,13 @@ def fit_sentiment(train: DataFrame, input_col: str = "comment", label_col: str =
 
     train = train.select(input_col, label_col).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        stats = train.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size(input_col)).alias("tokens")).first()
-        vocab = train.select(F.explode(input_col).alias("_w")).agg(F.approx_count_distinct("_w")).first()[0] or 0
+        # One pass: rows (one outer-exploded row has position 0 or none), tokens, distinct-token sketch.
+        stats = train.select(F.posexplode_outer(input_col).alias("_p", "_w")).agg(
+            F.count_if(F.col("_p").isNull() | (F.col("_p") == 0)).alias("rows"),
+            F.count("_w").alias("tokens"),
+            F.approx_count_distinct("_w").alias("vocab"),
+        ).first()
+        vocab = stats["vocab"] or 0
         if vocab * vector_size * 8 > max_model_bytes:
             raise ValueError(f"about {vocab} distinct tokens x {vector_size} would pass the driver budget "
                              f"({max_model_bytes} bytes): raise min_count")
