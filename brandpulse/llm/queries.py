@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brandpulse.llm import line_dedup, mixing, quality, topk
+from brandpulse.llm import line_dedup, mixing, quality, substring_dedup, suffix_dedup, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -70,3 +70,16 @@ FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec
 """)
 def op9(spark, sf):
     return topk.top_k(table(spark, sf, "embeddings"), lambda i: i % 50 == 0)
+
+
+@register("op2_suffix_dedup")
+def op2(spark, sf):
+    out = suffix_dedup.suffix_dedup(table(spark, sf, "documents"))
+    return out.select("doc_id", F.col("n_units").alias("n_bytes"), "n_removed",
+                      F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op4_substring_dedup")
+def op4(spark, sf):
+    out = substring_dedup.substring_dedup(table(spark, sf, "documents"))
+    return out.select("doc_id", F.col("n_units").alias("n_words"), "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
