@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brandpulse.llm import line_dedup, mixing, quality, substring_dedup, suffix_dedup, topk
+from brandpulse.llm import line_dedup, minhash_dedup, mixing, quality, substring_dedup, suffix_dedup, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -83,3 +83,8 @@ def op2(spark, sf):
 def op4(spark, sf):
     out = substring_dedup.substring_dedup(table(spark, sf, "documents"))
     return out.select("doc_id", F.col("n_units").alias("n_words"), "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op3_minhash_dedup")
+def op3(spark, sf):
+    return minhash_dedup.minhash_dedup(table(spark, sf, "documents")).drop("_h")

@@ -292,6 +292,12 @@ def _compare(rows, s: Scheme, sort: Callable):
          pa.array((last - begin + 1).astype(np.int32))], ["_d", "_h", "start", "count"])
 
 
+def _agreement(rows: DataFrame) -> DataFrame:
+    """``(key, mixed)`` for keys that occur twice or more: whether their digests differ."""
+    return (rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("digest").alias("lo"), F.max("digest").alias("hi"))
+            .where("n >= 2").select("key", (F.col("lo") != F.col("hi")).alias("mixed")))
+
+
 _SPAN = "_d long, _h long, start int, count int"
 
 
@@ -306,16 +312,19 @@ def repeated_spans(rows: DataFrame, s: Scheme, deal: Callable[[DataFrame], DataF
         _scanner(s), "_d long, _h long, start array<int>, count array<int>, key array<long>, digest array<long>")
     found = scratch(found, f"{name}-segments")
     occ = found.select("_d", "_h", F.inline(F.arrays_zip("start", "count", "key", "digest")))
-    stat = (occ.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("digest").alias("lo"), F.max("digest").alias("hi"))
-            .where("n >= 2").select("key", (F.col("lo") != F.col("hi")).alias("mixed")))
+    # Tables of keys are written before they are joined back: both sides of the join are then plain
+    # shuffles, whose skewed partitions can be split (an anchor that a third of all texts hold).
+    stat = scratch(_agreement(occ), f"{name}-anchors")
     often = scratch(occ.join(stat, "key"), f"{name}-often")
     pure = often.where("NOT mixed").select(*span)
     mixed = often.where("mixed")
     per = (mixed.groupBy("key", "digest")
            .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*span)).alias("rep")))
-    kinds = per.groupBy("key").agg((F.count(F.lit(1)) > hot).alias("hot"))
-    reps = scratch(per.join(kinds, "key").select("key", "digest", "n", "rep.*", "hot"), f"{name}-reps")
-    whole = mixed.join(reps.where("n >= 2").select("key", "digest"), ["key", "digest"]).select(*span)
+    per = scratch(per.select("key", "digest", "n", "rep.*"), f"{name}-distinct")
+    large = scratch(per.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > hot)
+                    .select("key", F.lit(True).alias("hot")), f"{name}-hot")
+    reps = per.join(large, "key", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    whole = mixed.join(per.where("n >= 2").select("key", "digest"), ["key", "digest"]).select(*span)
 
     want = reps.groupBy("_d", "_h").agg(
         F.collect_list(F.struct("key", "digest", "n", "start", "count", "hot")).alias("want"))
@@ -323,11 +332,10 @@ def repeated_spans(rows: DataFrame, s: Scheme, deal: Callable[[DataFrame], DataF
     compared = deal(packed.where("NOT hot")).mapInArrow(_comparer(s, sort), _SPAN)
 
     blocks = packed.where("hot").select("key", "digest", "_d", "_h", "start", "count", "windows")
-    block_stat = (blocks.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("digest").alias("lo"), F.max("digest").alias("hi"))
-                  .where("m >= 2").select("key", (F.col("lo") != F.col("hi")).alias("mixed")))
-    twice = blocks.join(block_stat, "key")
+    twice = blocks.join(scratch(_agreement(blocks), f"{name}-blocks"), "key")
     single = twice.where("mixed").select("key", "_d", "_h", F.col("start").alias("at"), F.posexplode("windows").alias("i", "w"))
-    dup = single.groupBy("key", "w").agg(F.count(F.lit(1)).alias("m")).where("m >= 2").select("key", "w")
+    dup = scratch(single.groupBy("key", "w").agg(F.count(F.lit(1)).alias("m")).where("m >= 2").select("key", "w"),
+                  f"{name}-singles")
     singles = single.join(dup, ["key", "w"]).select("_d", "_h", (F.col("at") + F.col("i")).alias("start"), F.lit(1).alias("count"))
     spans = pure
     for more in (whole, compared, twice.where("NOT mixed").select(*span), singles):
