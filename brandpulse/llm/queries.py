@@ -9,7 +9,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brandpulse.llm import line_dedup, minhash_dedup, mixing, quality, substring_dedup, suffix_dedup, topk
+from brandpulse.llm import (
+    line_dedup,
+    minhash_dedup,
+    mixing,
+    quality,
+    sentencepiece_codec,
+    substring_dedup,
+    suffix_dedup,
+    token_counts,
+    topk,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -88,3 +98,25 @@ def op4(spark, sf):
 @register("op3_minhash_dedup")
 def op3(spark, sf):
     return minhash_dedup.minhash_dedup(table(spark, sf, "documents")).drop("_h")
+
+
+def piece_model() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@register("op8_sentencepiece")
+def op8(spark, sf):
+    path = piece_model()
+    out = sentencepiece_codec.sentencepiece_decode(
+        sentencepiece_codec.sentencepiece_encode(table(spark, sf, "documents"), path), path)
+    return out.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"),
+                      F.size("ids").cast("long").alias("n_tokens"), F.xxhash64("ids").alias("ids_hash"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"),
+                      (F.col("decoded") == F.col("text")).alias("round_trip"))
+
+
+@register("op10_token_counts")
+def op10(spark, sf):
+    return token_counts.token_counts(table(spark, sf, "documents"), piece_model())
