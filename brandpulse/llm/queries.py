@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from brandpulse.llm import (
     line_dedup,
+    lm_scoring,
     minhash_dedup,
     mixing,
     quality,
@@ -120,3 +121,8 @@ def op8(spark, sf):
 @register("op10_token_counts")
 def op10(spark, sf):
     return token_counts.token_counts(table(spark, sf, "documents"), piece_model())
+
+
+@register("op6_lm_scoring")
+def op6(spark, sf):
+    return lm_scoring.lm_scores(table(spark, sf, "documents"), piece_model())
