@@ -7,7 +7,7 @@
     spark-submit brandpulse/cli.py target  <messages dir> <labelled text> <output root>
     spark-submit brandpulse/cli.py ingest  <collected files dir> <output dir> [--once]
 
-Outputs are Parquet tables under the output root (``predictions/``, ``scores/``)
+Outputs are Parquet tables under the output root (``predictions/``, ``scores/``, ``ranking/``)
 instead of the reference's table store; the checkpoint folder comes from the
 session (``spark.checkpoint.dir``).
 """
@@ -52,10 +52,15 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = SparkSession.builder.appName(f"brandpulse-{args.cmd}").getOrCreate()
     if args.cmd == "score":
-        scores = C.run_score_job(spark, read_json_lines(spark, args.messages), read_reviews_csv(spark, args.reviews),
-                                 args.terms, f"{args.out}/predictions", f"{args.out}/scores",
-                                 mode=args.mode, compat=args.compat)
-        C.ranking(scores).show(100, truncate=False)
+        scores, report = C.run_score_job_report(
+            spark, read_json_lines(spark, args.messages), read_reviews_csv(spark, args.reviews),
+            args.terms, f"{args.out}/predictions", f"{args.out}/scores", mode=args.mode, compat=args.compat)
+        for line in error_report(report):
+            print(line)
+        ranked = C.ranking(scores)
+        ranked.write.mode("overwrite").parquet(f"{args.out}/ranking")
+        print(f"ranking: {args.out}/ranking; its first rows:")
+        ranked.orderBy("rank", "airline").show(20, truncate=False)
     elif args.cmd == "train":
         samples = spark.read.parquet(args.samples) if args.samples else None
         _, report = C.train_and_report_text(spark, args.labeled, samples=samples)
@@ -66,9 +71,11 @@ def main(argv: list[str] | None = None) -> None:
     elif args.cmd == "prepare":
         C.prepare_reviews(spark, args.reviews, args.out)
     elif args.cmd == "target":
-        preds = C.score_from_saved_text(spark, read_json_lines(spark, args.messages), args.labeled, args.terms,
-                                        compat=args.compat)
-        write_predictions(preds, f"{args.out}/predictions")
+        res = C.score_from_saved_text(spark, read_json_lines(spark, args.messages), args.labeled, args.terms,
+                                      compat=args.compat)
+        for line in error_report(res.report):
+            print(line)
+        write_predictions(res.predictions, f"{args.out}/predictions", res.run_id)
     elif args.cmd == "ingest":
         from brandpulse.streaming.ingest import route_stream
 

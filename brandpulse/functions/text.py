@@ -130,8 +130,8 @@ def clean_text_tokens(c: ColumnOrName) -> Column:
 def json_text(c: ColumnOrName, field: str = "text", strict: bool = True, failfast: bool = False) -> Column:
     """the string value of a top-level field of a JSON record.
 
-    A malformed line, an empty line, a non-object record, a missing or null field
-    all give NULL. With ``strict`` (default) a field whose JSON value is not a
+    A malformed line (anything after the record included), an empty line, a non-object
+    record, a missing or null field all give NULL. With ``strict`` (default) a field whose JSON value is not a
     string (a number, an object, ...) also gives NULL, as in the reference, which
     drops such records; the field is parsed into a VARIANT so its JSON type is
     known, and the other fields of the record are skipped, not materialised.
@@ -140,13 +140,23 @@ def json_text(c: ColumnOrName, field: str = "text", strict: bool = True, failfas
     (``[1]``, ``"x"``, ``{"delete": {}}``) gives NULL, as in the reference; this
     parses the whole record (``parse_json``), so it is the slower path.
     """
+    line = _col(c)
+    boxed = F.concat(F.lit("["), line, F.lit("]"))
+    if not strict:
+        return F.from_json(line, f"`{field}` STRING")[field]
     if failfast:
-        v = F.variant_get(F.parse_json(_col(c)), f"$['{field}']", "variant")
-    elif not strict:
-        return F.from_json(_col(c), f"`{field}` STRING")[field]
-    else:
-        v = F.from_json(_col(c), f"`{field}` VARIANT")[field]
-    return F.when(F.schema_of_variant(v) == F.lit("STRING"), F.variant_get(v, "$", "string"))
+        parsed = F.parse_json(boxed)
+        broken = (F.trim(line) == "") | F.variant_get(parsed, "$[1]", "variant").isNotNull()
+        fail = F.when(broken, F.raise_error(F.concat(F.lit("not one JSON value: "), line)).cast("string"))
+        value = F.array(F.variant_get(parsed, f"$[0]['{field}']", "variant"))
+        text = F.get(F.transform(value, lambda v: F.when(F.schema_of_variant(v) == F.lit("STRING"),
+                                                         F.variant_get(v, "$", "string"))), F.lit(0))
+        return F.coalesce(fail, text)
+    # The boxed line parses only if nothing follows the record; one element only if it is one record.
+    records = F.filter(F.array(F.from_json(boxed, f"ARRAY<STRUCT<`{field}`: VARIANT>>")), lambda r: F.size(r) == 1)
+    texts = F.transform(records, lambda r: F.when(F.schema_of_variant(r[0][field]) == F.lit("STRING"),
+                                                  F.variant_get(r[0][field], "$", "string")))
+    return F.when(F.rtrim(line).endswith("}"), F.get(texts, F.lit(0)))
 
 
 def json_field(c: ColumnOrName, field: str, ddl_type: str = "STRING") -> Column:
@@ -222,13 +232,18 @@ def term_list(c: ColumnOrName) -> Column:
 
 
 def normalize_terms(terms: str | Iterable[str]) -> list[str]:
-    """Driver-side F11 for a term parameter: same rule as ``term_list``, order kept."""
+    """Driver-side F11 for a term parameter: same rule as ``term_list``, order kept, nulls dropped."""
     items = terms.lower().replace(" ", "").split(",") if isinstance(terms, str) else [
-        t.lower().replace(" ", "") for t in terms
+        t.lower().replace(" ", "") for t in terms if t is not None
     ]
     return list(dict.fromkeys(items))
 
 
+def normalize_term(c: ColumnOrName) -> Column:
+    """F11 for one term of a term table: lower-case, spaces deleted (null stays null)."""
+    return F.replace(F.lower(_col(c)), F.lit(" "), F.lit(""))
+
+
 def safe_name(c: ColumnOrName) -> Column:
     """each character outside [-_.A-Za-z0-9] becomes '_'."""
     return F.regexp_replace(_col(c), SAFE_NAME_PATTERN, "_")

@@ -17,7 +17,6 @@ from brandpulse.functions.text import (
     LABELED_SEPARATOR,
     ascii_strip,
     clean_text,
-    clean_text_tokens,
     normalize_text,
     strict_int,
 )
@@ -26,17 +25,23 @@ TRAIN = "train"
 VALID = "valid"
 
 
-def select_reviews(df: DataFrame, content_col: str = "content", label_col: str = "recommended") -> DataFrame:
-    """Project and rename to ``(sentiment, recommended)`` as the reference does."""
-    return df.select(F.col(content_col).alias("sentiment"), F.col(label_col).alias("recommended"))
+def one_line(c: Column | str) -> Column:
+    """A text as one line: every line break becomes one space (the cleaner would do the same)."""
+    return F.regexp_replace(F.col(c) if isinstance(c, str) else c, r"\r\n|\r|\n", " ")
 
 
-def serialize_labeled(content: Column | str, label: Column | str) -> Column:
-    """``"<content>:::<label>"`` with a missing value written as ``None``."""
+def serialize_labeled(content: Column | str, label: Column | str, compat: bool = False) -> Column:
+    """``"<content>:::<label>"`` with a missing value written as ``None``.
+
+    A review is one line: its line breaks become spaces, so no token is lost when the lines are read back.
+    ``compat`` leaves them raw, as the reference does; such a review falls into several lines, of which only
+    the last carries a label.
+    """
     c = F.col(content) if isinstance(content, str) else content
     lab = F.col(label) if isinstance(label, str) else label
     none = F.lit(LABELED_NONE)
-    return F.concat_ws(LABELED_SEPARATOR, F.coalesce(c.cast("string"), none), F.coalesce(lab.cast("string"), none))
+    c = F.coalesce(c.cast("string"), none)
+    return F.concat_ws(LABELED_SEPARATOR, c if compat else one_line(c), F.coalesce(lab.cast("string"), none))
 
 
 def parse_labeled(df: DataFrame, line_col: str = "value", keep: list[str] | None = None) -> DataFrame:
@@ -98,22 +103,6 @@ def label_split(df: DataFrame, key_col: str, content_col: str = "content", label
     )
 
 
-def training_tokens(labeled: DataFrame, key_col: str | None = None, train_fraction: float = 0.8) -> DataFrame:
-    """M8: parsed labelled rows to ``(comment ARRAY<STRING>, sentiment INT, split)``.
-
-    ``labeled`` has ``comment`` (already normalised text) and ``sentiment``.
-    With ``key_col`` the split is the stable hash split on that key; otherwise on
-    the normalised comment text itself.
-    """
-    key = F.col(key_col) if key_col else F.col("comment")
-    return labeled.select(
-        *([F.col(key_col)] if key_col else []),
-        F.split(F.col("comment"), " ", -1).alias("comment"),
-        F.col("sentiment"),
-        split_column(key, train_fraction).alias("split"),
-    )
-
-
 def reviews_to_training(df: DataFrame, content_col: str = "content", label_col: str = "recommended",
                         compat: bool = False, keep: list[str] | None = None) -> DataFrame:
     """Columns to ``(comment STRING, sentiment INT)`` with the reference's rules.
@@ -125,7 +114,7 @@ def reviews_to_training(df: DataFrame, content_col: str = "content", label_col:
     """
     keep = list(keep or [])
     if compat:
-        lines = df.select(*keep, serialize_labeled(content_col, label_col).alias("value"))
+        lines = df.select(*keep, serialize_labeled(content_col, label_col, compat=True).alias("value"))
         return parse_labeled(lines, keep=keep)
     fields = {
         "comment": clean_text(F.coalesce(F.col(content_col).cast("string"), F.lit(LABELED_NONE))),
@@ -135,7 +124,3 @@ def reviews_to_training(df: DataFrame, content_col: str = "content", label_col:
     # computed from the comment) stops there instead of re-running the cleaner.
     return df.select(*keep, emit_row_if(fields, lambda r: r["sentiment"].isNotNull()))
 
-
-def tokens_of(c: Column | str) -> Column:
-    """Token array of a raw review text."""
-    return clean_text_tokens(c)

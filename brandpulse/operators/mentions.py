@@ -23,7 +23,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brandpulse.functions.text import array_input
+from brandpulse.functions.text import array_input, emit_nonempty, normalize_term
 
 MODES = ("per_mention", "last_mention", "distinct")
 
@@ -71,41 +71,43 @@ def explode_mentions(df: DataFrame, tokens_col: str, terms: Iterable[str], mode:
     _check_mode(mode)
     term_list = list(terms)
     keep_cols = list(keep) if keep is not None else [c for c in df.columns if c != tokens_col]
-    hits = match_terms(tokens_col, term_list)
-    # explode yields no row for an empty array: no filter on the computed array
-    # (Catalyst would push it down and evaluate the matching twice).
-    m = mention_array(hits, mode)
+    # Two generators: the first emits the hits once, the second builds the mode's array from that column
+    # (which names it several times), so the matching is not evaluated again.
+    hits = df.select(*keep_cols, emit_nonempty(match_terms(tokens_col, term_list)).alias("_hits"))
+    m = mention_array("_hits", mode)
     if with_position:
-        return df.select(*keep_cols, F.posexplode(m).alias("mention_pos", term_col))
-    return df.select(*keep_cols, F.explode(m).alias(term_col))
+        return hits.select(*keep_cols, F.posexplode(m).alias("mention_pos", term_col))
+    return hits.select(*keep_cols, F.explode(m).alias(term_col))
 
 
-def _checked_broadcast(terms_df: DataFrame, term_col: str, max_bytes: int) -> DataFrame:
-    """Broadcast the term table only if its measured size is under ``max_bytes``."""
-    stats = terms_df.agg(F.count("*").alias("n"), F.sum(F.length(term_col) + 16).alias("b")).first()
-    if stats["b"] is not None and stats["b"] <= max_bytes:
-        return F.broadcast(terms_df)
-    return terms_df
+def term_table(terms_df: DataFrame, term_col: str) -> DataFrame:
+    """F11 for a term table: ``(_term)``, lower-case, spaces deleted, nulls dropped, distinct."""
+    return terms_df.select(normalize_term(term_col).alias("_term")).where(F.col("_term").isNotNull()).distinct()
+
+
+def _checked_broadcast(terms: DataFrame, max_bytes: int) -> DataFrame:
+    """Hint a broadcast only if the measured size is under ``max_bytes``."""
+    size = terms.agg(F.sum(F.octet_length("_term") + 16)).first()[0]
+    return F.broadcast(terms) if size is not None and size <= max_bytes else terms
 
 
 def match_terms_table(df: DataFrame, tokens_col: str, terms_df: DataFrame, term_col: str = "term",
                       max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """W4 for a term *table* of any size: the other columns of ``df`` plus ``hits``.
 
-    ``hits`` is the same array ``match_terms`` gives (matching tokens, lower-cased,
-    in token order, repeats kept); rows without a hit are dropped. Tokens are
-    matched by an equi-join (term side broadcast behind a measured size check)
-    and gathered back per message: a message's hits are bounded by its own
-    length. The other columns must identify a message and are the grouping key.
+    ``hits`` is the same array ``match_terms`` gives for the same terms (matching tokens, lower-cased, in token
+    order, repeats kept); rows without a hit are dropped. Tokens are exploded under a compact key (two 64-bit
+    hashes of the other columns, which must identify a message), matched by an equi-join, gathered by key
+    and joined back to the messages: a message's text is never copied to its tokens.
     """
-    terms = terms_df.select(F.lower(F.col(term_col)).alias("_term")).where(F.col("_term").isNotNull()).distinct()
-    terms = _checked_broadcast(terms, "_term", max_broadcast_bytes)
+    terms = _checked_broadcast(term_table(terms_df, term_col), max_broadcast_bytes)
     other = [c for c in df.columns if c != tokens_col]
-    toks = df.select(*other, F.posexplode(array_input(tokens_col)).alias("_pos", "_tok")).select(
-        *other, F.struct("_pos", F.lower("_tok").alias("_term")).alias("_hit"), F.lower("_tok").alias("_term"))
-    matched = toks.join(terms, "_term", "inner")
-    gathered = matched.groupBy(*other).agg(F.array_sort(F.collect_list("_hit")).alias("_hits"))
-    return gathered.select(*other, F.transform("_hits", lambda h: h["_term"]).alias("hits"))
+    keyed = df.withColumns({"_k1": F.xxhash64(*other), "_k2": F.xxhash64(F.lit(1), *other)})
+    toks = keyed.select("_k1", "_k2", F.posexplode(array_input(tokens_col)).alias("_pos", "_tok")).select(
+        "_k1", "_k2", "_pos", F.lower("_tok").alias("_term"))
+    gathered = (toks.join(terms, "_term", "inner").groupBy("_k1", "_k2")
+                .agg(F.array_sort(F.collect_list(F.struct("_pos", "_term"))).alias("_hits")))
+    return keyed.join(gathered, ["_k1", "_k2"]).select(*other, F.transform("_hits", lambda h: h["_term"]).alias("hits"))
 
 
 def explode_mentions_join(df: DataFrame, tokens_col: str, terms_df: DataFrame, mode: str = "per_mention",
@@ -121,8 +123,7 @@ def explode_mentions_join(df: DataFrame, tokens_col: str, terms_df: DataFrame, m
     ``last_mention``.
     """
     _check_mode(mode)
-    terms = terms_df.select(F.lower(F.col(term_col)).alias("_term")).where(F.col("_term").isNotNull()).distinct()
-    terms = _checked_broadcast(terms, "_term", max_broadcast_bytes)
+    terms = _checked_broadcast(term_table(terms_df, term_col), max_broadcast_bytes)
     other = [c for c in df.columns if c != tokens_col]
     toks = df.select(*other, F.posexplode(array_input(tokens_col)).alias("_pos", "_tok")).select(
         *other, "_pos", F.lower("_tok").alias("_term"))

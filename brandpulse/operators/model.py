@@ -1,16 +1,15 @@
 """Sentiment model: word vectors + linear classifier.
 
-Spark ML does the distributed work: ``Word2Vec`` (M1), document vectors (M2),
-``LinearSVC`` (M5: hinge loss + L2, distributed L-BFGS over ``treeAggregate``)
-and prediction (M6). The reference trains ``SVMWithSGD``; ``trainer="sgd"``
-keeps that optimiser (``pyspark.mllib``) and applies its weights with a native
-expression, so scoring never goes through a Python worker.
-
-Scale note on M2: ``Word2VecModel.transform`` broadcasts the whole vocabulary
-(vocabulary x vector size floats). ``doc_vectors`` measures that size first and,
-above ``max_broadcast_bytes``, computes the same vectors with an equi-join of
-exploded tokens against ``getVectors()`` and a per-document hash aggregate
-instead (no broadcast, AQE handles skewed words).
+Spark ML does the distributed work: ``Word2Vec`` (M1), document vectors of the training rows (M2) and
+``LinearSVC`` (M5: hinge loss + L2, distributed L-BFGS over ``treeAggregate``). ``trainer="sgd"`` keeps the
+reference's optimiser, full-batch hinge-loss steps, as native aggregates (``hinge_sgd``).
+
+Scoring (M2 + M6) has one path at every size. The classifier is linear and a document vector is the mean of
+its word vectors, so the classifier is folded into the words: ``s(word) = w . v(word)``, one DOUBLE for each
+word, and ``margin = intercept + mean of s over all tokens`` (unknown words count as 0, as they do in the
+mean). Tokens are exploded under a compact key and joined to the word scores: 8 bytes for each token instead
+of a vector, no array in the shuffle. The score table is hinted for broadcast only behind a measured size;
+the result does not depend on that hint.
 """
 
 from __future__ import annotations
@@ -20,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LinearSVC, LinearSVCModel
 from pyspark.ml.feature import Word2Vec, Word2VecModel
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,19 +32,15 @@ SVM_ITERATIONS = 200
 # Library defaults the reference relied on for its SGD trainer.
 SGD_STEP = 1.0
 SGD_REG = 0.01
+SGD_TOLERANCE = 0.001
 
-DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
-# Word2Vec keeps two vocabulary x vector-size float matrices on the driver and
-# broadcasts them each iteration: refuse a fit whose vocabulary would pass this.
-DEFAULT_MAX_MODEL_BYTES = 4 * 1024 ** 3
-# Sizing of the ML stages from measured counts (not from the cluster size alone):
-# few large partitions for small training sets, where task overhead per
-# iteration dominates; more as the training set grows.
-TOKENS_PER_W2V_PARTITION = 200_000
-ROWS_PER_SVC_PARTITION = 100_000
-# Each Word2Vec partition sends back its copy of the vectors it touched every
-# iteration (partitions x vocabulary x size floats to merge): keep it bounded.
-MAX_W2V_PARTITIONS = 64
+DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+# Labelled rows a fit may use (chosen by a stable hash beyond that): the driver holds the vocabulary of
+# these rows, so this bounds its memory. Scoring covers all rows.
+DEFAULT_MAX_TRAIN_ROWS = 1_000_000
+# Partitions of the training rows. Word2Vec's result depends on it, so it is an argument and never taken
+# from the cluster.
+TRAIN_PARTITIONS = 8
 
 
 @dataclass
@@ -59,36 +54,32 @@ class SentimentModel:
     input_col: str = "comment"
     features_col: str = "result"
 
-    def vectors(self, df: DataFrame, max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-        """M2: add the document vector column.
+    def vectors(self, df: DataFrame) -> DataFrame:
+        """M2: add the document vector column (``Word2VecModel.transform``; for training and samples)."""
+        return self.w2v.transform(df)
 
-        The library path broadcasts the whole vocabulary; it is taken only when
-        its measured size is under ``max_broadcast_bytes``. Otherwise the join
-        path (``doc_vectors``) computes the same vectors without that broadcast.
-        """
-        n_words = self.w2v.getVectors().count()
-        if n_words * (self.w2v.getVectorSize() * 4 + 64) <= max_broadcast_bytes:
-            return self.w2v.transform(df)
-        out = doc_vectors(df, self.input_col, self.w2v.getVectors(), None, self.w2v.getVectorSize(),
-                          out_col=self.features_col, max_broadcast_bytes=max_broadcast_bytes, vector_rows=n_words)
-        return out.withColumn(self.features_col, array_to_vector(self.features_col))
+    def linear(self) -> tuple[list[float], float]:
+        """Weights and intercept of the classifier, whichever trainer made it."""
+        if self.svc is not None:
+            return [float(x) for x in self.svc.coefficients.toArray()], float(self.svc.intercept)
+        return list(self.weights), float(self.intercept)
 
     def predict(self, df: DataFrame, prediction_col: str = "prediction", **kw) -> DataFrame:
         """M2 + M6: 0/1 prediction (INT) for each row's token array."""
-        feats = self.vectors(df, **kw)
-        if self.svc is not None:
-            out = self.svc.transform(feats).drop("rawPrediction")
-            return out.withColumn(prediction_col, F.col(prediction_col).cast("int"))
-        margin = linear_margin(vector_to_array(self.features_col), self.weights, self.intercept)
-        return feats.withColumn(prediction_col, (margin > 0).cast("int"))
+        weights, intercept = self.linear()
+        scores = word_scores(self.w2v.getVectors(), weights)
+        margin = token_margins(df, self.input_col, scores, intercept, "_margin", **kw)
+        return margin.withColumn(prediction_col, (F.col("_margin") > 0).cast("int")).drop("_margin")
 
     def save(self, path: str) -> None:
         """K6 + K7: persist both parts under one folder (new path, never in place)."""
         self.w2v.write().overwrite().save(f"{path}/word2vec")
+        spark = self.w2v.getVectors().sparkSession
+        kind = "linearsvc" if self.svc is not None else "sgd"
+        spark.createDataFrame([(kind,)], "trainer string").write.mode("overwrite").json(f"{path}/kind")
         if self.svc is not None:
             self.svc.write().overwrite().save(f"{path}/classifier")
         else:
-            spark = self.w2v.getVectors().sparkSession
             spark.createDataFrame([(list(self.weights), float(self.intercept))], "weights array<double>, intercept double") \
                 .write.mode("overwrite").parquet(f"{path}/sgd_weights")
 
@@ -96,13 +87,11 @@ class SentimentModel:
     def load(spark, path: str) -> "SentimentModel":
         """S5 + S6: load a model saved by ``save``."""
         w2v = Word2VecModel.load(f"{path}/word2vec")
-        try:
-            svc = LinearSVCModel.load(f"{path}/classifier")
-            return SentimentModel(w2v=w2v, svc=svc, input_col=w2v.getInputCol(), features_col=w2v.getOutputCol())
-        except Exception:  # noqa: BLE001 - the sgd layout has no classifier folder
-            row = spark.read.parquet(f"{path}/sgd_weights").first()
-            return SentimentModel(w2v=w2v, weights=list(row["weights"]), intercept=row["intercept"],
-                                  input_col=w2v.getInputCol(), features_col=w2v.getOutputCol())
+        cols = dict(w2v=w2v, input_col=w2v.getInputCol(), features_col=w2v.getOutputCol())
+        if spark.read.schema("trainer string").json(f"{path}/kind").first()["trainer"] == "linearsvc":
+            return SentimentModel(svc=LinearSVCModel.load(f"{path}/classifier"), **cols)
+        row = spark.read.parquet(f"{path}/sgd_weights").first()
+        return SentimentModel(weights=list(row["weights"]), intercept=row["intercept"], **cols)
 
 
 def linear_margin(features: Column, weights: list[float], intercept: float = 0.0) -> Column:
@@ -112,59 +101,54 @@ def linear_margin(features: Column, weights: list[float], intercept: float = 0.0
     return F.aggregate(products, F.lit(float(intercept)), lambda acc, v: acc + v)
 
 
-def doc_vectors(df: DataFrame, tokens_col: str, vectors: DataFrame, key_cols: list[str] | None, dim: int,
+def _as_array(vectors: DataFrame, vector_col: str) -> Column:
+    return F.col(vector_col) if dict(vectors.dtypes)[vector_col].startswith("array") else vector_to_array(vector_col)
+
+
+def word_scores(vectors: DataFrame, weights: list[float], word_col: str = "word", vector_col: str = "vector") -> DataFrame:
+    """The classifier folded into the words: ``(_w, _s DOUBLE)`` with ``_s = weights . vector``."""
+    return vectors.select(F.col(word_col).alias("_w"), linear_margin(_as_array(vectors, vector_col), weights).alias("_s"))
+
+
+def _maybe_broadcast(table: DataFrame, row_bytes: Column, max_bytes: int) -> DataFrame:
+    """Hint a broadcast only if the measured size fits; otherwise a shuffle join (AQE splits skewed keys)."""
+    size = table.agg(F.sum(row_bytes)).first()[0] or 0
+    return F.broadcast(table) if size <= max_bytes else table
+
+
+def token_margins(df: DataFrame, tokens_col: str, scores: DataFrame, intercept: float, out_col: str = "margin",
+                  max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """``df`` with ``out_col``: ``intercept + mean over all tokens of the word's score`` (unknown: 0).
+
+    Rows meet their margin by the 128-bit hash of the token list, so equal token lists share one margin: the
+    mean over the token rows of a key is the same however many rows hold that list. An empty list has the
+    intercept, a null one too. Token rows carry the key and the word only.
+    """
+    scores = _maybe_broadcast(scores, F.octet_length("_w") + 24, max_broadcast_bytes)
+    joined = F.array_join(F.coalesce(F.col(tokens_col), F.array().cast("array<string>")), " ", "")
+    key = F.unhex(F.md5(F.concat_ws(":", F.size(tokens_col).cast("string"), joined)))
+    keyed = df.withColumn("_k", key)
+    toks = keyed.select("_k", F.explode_outer(tokens_col).alias("_w"))
+    means = (toks.join(scores, "_w", "left").groupBy("_k")
+             .agg((F.lit(float(intercept)) + F.avg(F.coalesce("_s", F.lit(0.0)))).alias(out_col)))
+    return keyed.join(means, "_k", "left").drop("_k")
+
+
+def doc_vectors(df: DataFrame, tokens_col: str, vectors: DataFrame, key_cols: list[str], dim: int,
                 out_col: str = "result", word_col: str = "word", vector_col: str = "vector",
-                max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, vector_rows: int | None = None) -> DataFrame:
-    """M2 by join: the mean of known word vectors over *all* tokens.
-
-    Unknown tokens count in the denominator, an empty document is all zeros
-    (the ``Word2VecModel.transform`` rule). ``vectors`` is (word, vector) with a
-    Spark ML vector or an array. With ``key_cols`` the result is ``(key...,
-    out_col)``; without, ``df`` with ``out_col`` added, joined back on a compact
-    key: the md5 of the token list (tokens hold no space, so the joined list is
-    the list), so exploded token rows carry 16 bytes, not the message, and equal
-    token lists share one vector; ``df`` is then written once with
-    ``checkpoint()`` since it is read twice.
-
-    Tokens are exploded and left-joined to the vectors on the word. The table
-    is hinted for broadcast only if its row count x size fits
-    ``max_broadcast_bytes``: pass ``vector_rows`` when it is known (a fitted
-    model's vocabulary); otherwise the table is first written once with
-    ``checkpoint()`` to the shared checkpoint folder (a derived table is then not
-    computed twice, once to count and once to join) and counted from there.
-    Broadcast, each document's tokens stay in their task and the partial
-    aggregate sends one row per document to the shuffle; above the bound it is a
-    shuffle join (AQE splits skewed words).
+                max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """M2 by join: ``(key..., out_col)``, the mean of the known word vectors over *all* tokens of a key.
+
+    Unknown tokens count in the denominator, an empty document is all zeros (the ``Word2VecModel.transform``
+    rule). Rows with equal keys hold equal tokens or are taken as one document. ``vectors`` is (word, vector)
+    with a Spark ML vector or an array, of any size; for classifying, ``token_margins`` moves 8 bytes a token.
     """
-    vec = vectors.select(F.col(word_col).alias("_w"), F.col(vector_col).alias("_v"))
-    if dict(vectors.dtypes)[vector_col] != "array<double>":
-        vec = vec.withColumn("_v", vector_to_array("_v"))
-    if vector_rows is None:
-        from brandpulse.session import checkpoint_root
-
-        checkpoint_root(vec.sparkSession)   # the session's shared folder (set locally only if unset)
-        vec = vec.checkpoint(eager=True)
-        vector_rows = vec.count()
-    if vector_rows * (dim * 8 + 64) <= max_broadcast_bytes:
-        vec = F.broadcast(vec)
-    keyed, keys = df, list(key_cols or [])
-    if key_cols is None:
-        # The rows are read twice (tokens out, vectors back in): write them once
-        # so the plan that produced them (parsing, cleaning, a shuffle) runs once.
-        keyed = df.withColumn("_k", F.md5(F.array_join(F.col(tokens_col), " "))).checkpoint(eager=True)
-        keys = ["_k"]
-    toks = keyed.select(*keys, F.size(tokens_col).alias("_n"), F.explode_outer(tokens_col).alias("_w"))
-    joined = toks.join(vec, "_w", "left")
-    sums = joined.groupBy(*keys, "_n").agg(
-        *[F.sum(F.col("_v")[i]).alias(f"_s{i}") for i in range(dim)]
-    )
-    arr = F.array(*[F.coalesce(F.try_divide(F.col(f"_s{i}"), F.col("_n")), F.lit(0.0)) for i in range(dim)])
-    means = sums.select(*keys, arr.alias(out_col))
-    if key_cols is not None:
-        return means
-    zeros = F.array(*[F.lit(0.0) for _ in range(dim)])
-    return (keyed.join(means, "_k", "left").drop("_k")
-            .withColumn(out_col, F.coalesce(F.col(out_col), zeros)))
+    vec = vectors.select(F.col(word_col).alias("_w"), _as_array(vectors, vector_col).alias("_v"))
+    vec = _maybe_broadcast(vec, F.octet_length("_w") + 8 * dim + 40, max_broadcast_bytes)
+    toks = df.select(*key_cols, F.explode_outer(tokens_col).alias("_w"))
+    means = toks.join(vec, "_w", "left").groupBy(*key_cols).agg(
+        *[F.avg(F.coalesce(F.col("_v")[i], F.lit(0.0))).alias(f"_m{i}") for i in range(dim)])
+    return means.select(*key_cols, F.array(*[F.col(f"_m{i}") for i in range(dim)]).alias(out_col))
 
 
 def word2vec(input_col: str = "comment", output_col: str = "result", vector_size: int = VECTOR_SIZE,
@@ -178,68 +162,81 @@ def word2vec(input_col: str = "comment", output_col: str = "result", vector_size
     return w2v
 
 
+def training_sample(train: DataFrame, max_rows: int, cols: list[str]) -> DataFrame:
+    """At most about ``max_rows`` rows, by a stable hash of the row; all rows when there are no more."""
+    n = train.count()
+    if n <= max_rows:
+        return train
+    cut = int(2 ** 20 * max_rows / n)
+    return train.where(F.pmod(F.xxhash64(*cols), F.lit(2 ** 20)) < cut)
+
+
+def hinge_sgd(rows: DataFrame, features_col: str, label_col: str, dim: int, iterations: int = SVM_ITERATIONS,
+              step: float = SGD_STEP, reg: float = SGD_REG, tolerance: float = SGD_TOLERANCE) -> list[float]:
+    """M5 as the reference trains it: full-batch hinge-loss steps, one native aggregate each.
+
+    Step t moves by ``step / sqrt(t)`` along the mean gradient and shrinks the weights by the L2 term. Stops
+    when the weights move by less than ``tolerance`` relative to their length (from the second step on).
+    """
+    x, sign = F.col(features_col), 2.0 * F.col(label_col) - 1.0
+    weights = [0.0] * dim
+    for t in range(1, iterations + 1):
+        inside = sign * linear_margin(x, weights) < 1.0
+        push = F.when(inside, sign).otherwise(0.0)
+        row = rows.select(push.alias("_p"), x.alias("_x")).agg(
+            F.count(F.lit(1)), *[F.sum(F.col("_p") * F.col("_x")[i]) for i in range(dim)]).first()
+        if not row[0]:
+            return weights
+        rate = step / t ** 0.5
+        after = [w * (1.0 - rate * reg) + rate * g / row[0] for w, g in zip(weights, row[1:])]
+        moved = sum((a - b) ** 2 for a, b in zip(after, weights)) ** 0.5
+        weights = after
+        if t > 1 and moved < tolerance * max(sum(a * a for a in after) ** 0.5, 1.0):
+            break
+    return weights
+
+
 def fit_sentiment(train: DataFrame, input_col: str = "comment", label_col: str = "sentiment",
                   vector_size: int = VECTOR_SIZE, min_count: int = MIN_COUNT, iterations: int = SVM_ITERATIONS,
-                  trainer: str = "linearsvc", seed: int | None = 42, num_partitions: int | None = None,
-                  reg_param: float = SGD_REG, max_model_bytes: int = DEFAULT_MAX_MODEL_BYTES) -> SentimentModel:
+                  trainer: str = "linearsvc", seed: int | None = 42, num_partitions: int = TRAIN_PARTITIONS,
+                  reg_param: float = SGD_REG, max_train_rows: int = DEFAULT_MAX_TRAIN_ROWS) -> SentimentModel:
     """M1 + M3 + M5 (+M7's fit): word vectors on the training rows, then the classifier.
 
-    The training rows are persisted once (Word2Vec reads them twice, the
-    classifier's features once more) and sized from measured counts. The
-    vocabulary the driver will hold is estimated first with an HLL sketch
-    (``approx_count_distinct``, no shuffle of tokens) and the fit refused above
-    ``max_model_bytes``: raise ``min_count`` then.
+    Uses at most about ``max_train_rows`` rows. They are dealt to ``num_partitions`` partitions by hash and
+    sorted there, so the result does not depend on the cluster's cores or on the input's layout.
     """
-    from math import ceil
-
     from pyspark import StorageLevel
 
-    train = train.select(input_col, label_col).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = training_sample(train.select(input_col, label_col), max_train_rows, [input_col, label_col])
+    rows = (rows.repartition(num_partitions, F.xxhash64(input_col, label_col)).sortWithinPartitions(input_col, label_col)
+            .persist(StorageLevel.MEMORY_AND_DISK))
     try:
-        # One pass: rows (one outer-exploded row has position 0 or none), tokens, distinct-token sketch.
-        stats = train.select(F.posexplode_outer(input_col).alias("_p", "_w")).agg(
-            F.count_if(F.col("_p").isNull() | (F.col("_p") == 0)).alias("rows"),
-            F.count("_w").alias("tokens"),
-            F.approx_count_distinct("_w").alias("vocab"),
-        ).first()
-        vocab = stats["vocab"] or 0
-        if vocab * vector_size * 8 > max_model_bytes:
-            raise ValueError(f"about {vocab} distinct tokens x {vector_size} would pass the driver budget "
-                             f"({max_model_bytes} bytes): raise min_count")
-        parallelism = train.sparkSession.sparkContext.defaultParallelism
-        w2v_parts = num_partitions or max(1, min(parallelism, MAX_W2V_PARTITIONS,
-                                                 (stats["tokens"] or 0) // TOKENS_PER_W2V_PARTITION))
-        w2v_model = word2vec(input_col, "result", vector_size, min_count, seed, w2v_parts).fit(train)
-        feats = w2v_model.transform(train).select(F.col(label_col).cast("double").alias("label"), "result")
-        svc_parts = max(1, ceil((stats["rows"] or 0) / ROWS_PER_SVC_PARTITION))
-        feats = feats.coalesce(svc_parts).persist(StorageLevel.MEMORY_AND_DISK)
+        w2v_model = word2vec(input_col, "result", vector_size, min_count, seed, num_partitions).fit(rows)
+        feats = (w2v_model.transform(rows).select(F.col(label_col).cast("double").alias("label"), "result")
+                 .persist(StorageLevel.MEMORY_AND_DISK))
         try:
             if trainer == "linearsvc":
                 svc = LinearSVC(featuresCol="result", labelCol="label", maxIter=iterations, regParam=reg_param,
                                 fitIntercept=False, standardization=False, threshold=0.0)
                 return SentimentModel(w2v=w2v_model, svc=svc.fit(feats), input_col=input_col)
             if trainer == "sgd":
-                from pyspark.mllib.classification import SVMWithSGD
-                from pyspark.mllib.linalg import Vectors as MLlibVectors
-                from pyspark.mllib.regression import LabeledPoint
-
-                points = feats.rdd.map(lambda r: LabeledPoint(r["label"], MLlibVectors.fromML(r["result"])))
-                sgd = SVMWithSGD.train(points, iterations=iterations, step=SGD_STEP, regParam=reg_param)
-                return SentimentModel(w2v=w2v_model, weights=[float(x) for x in sgd.weights],
-                                      intercept=float(sgd.intercept), input_col=input_col)
+                points = feats.select("label", vector_to_array("result").alias("x"))
+                weights = hinge_sgd(points, "x", "label", vector_size, iterations, SGD_STEP, reg_param)
+                return SentimentModel(w2v=w2v_model, weights=weights, input_col=input_col)
             raise ValueError(f"unknown trainer {trainer!r}")
         finally:
             feats.unpersist()
     finally:
-        train.unpersist()
+        rows.unpersist()
 
 
 def sentiment_estimator(input_col: str = "comment", vector_size: int = VECTOR_SIZE, min_count: int = MIN_COUNT,
-                        iterations: int = SVM_ITERATIONS, seed: int | None = 42) -> Pipeline:
+                        iterations: int = SVM_ITERATIONS, seed: int | None = 42,
+                        num_partitions: int = TRAIN_PARTITIONS) -> Pipeline:
     """M7 as one Spark ML estimator (Word2Vec -> LinearSVC; needs a double ``label``), saved as a ``PipelineModel``."""
     svc = LinearSVC(featuresCol="result", labelCol="label", maxIter=iterations, regParam=SGD_REG,
                     fitIntercept=False, standardization=False, threshold=0.0)
-    return Pipeline(stages=[word2vec(input_col, "result", vector_size, min_count, seed), svc])
+    return Pipeline(stages=[word2vec(input_col, "result", vector_size, min_count, seed, num_partitions), svc])
 
 
 def evaluate(model: SentimentModel, df: DataFrame, label_col: str = "sentiment",

@@ -54,18 +54,21 @@ def rank_entities(scores: DataFrame, entity_col: str = "term", min_comments: int
                   top_k: int | None = None) -> DataFrame:
     """Rank entities by score (highest first), ties share a rank.
 
-    The input is the score table: one row per entity, so its size is bounded by
-    the term list, not by the data. That bound is what makes the global ordering
-    window (a single partition) safe here; it is never applied to message rows.
+    One row per entity. Ranks come from the distinct scores: entities are counted by score (a pre-aggregated
+    shuffle), the counts are summed down the scores, and an entity's rank is one more than the entities above
+    its score. Only the summing window is ordered in one place, over distinct score values, not entities.
+    ``top_k`` first finds the k-th best score by a top-k plan and drops what lies below it.
     """
-    w = Window.orderBy(F.col("score").desc_nulls_last())
-    ranked = (
-        scores.where(F.col("total_comments") >= F.lit(min_comments))
-        .withColumn("rank", F.rank().over(w))
-    )
+    kept = scores.where(F.col("total_comments") >= F.lit(min_comments))
     if top_k is not None:
-        ranked = ranked.where(F.col("rank") <= F.lit(top_k))
-    return ranked
+        least = (kept.select("score").orderBy(F.col("score").desc_nulls_last()).limit(top_k)
+                 .agg(F.min(F.coalesce("score", F.lit(float("-inf")))).alias("_least")))
+        kept = kept.join(F.broadcast(least), F.coalesce("score", F.lit(float("-inf"))) >= F.col("_least")).drop("_least")
+    per = kept.groupBy(F.col("score").alias("_score")).agg(F.count(F.lit(1)).alias("_n"))
+    above = Window.orderBy(F.col("_score").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranks = per.select("_score", (F.sum("_n").over(above) - F.col("_n") + 1).cast("int").alias("rank"))
+    ranked = kept.join(ranks, F.col("score").eqNullSafe(F.col("_score"))).drop("_score")
+    return ranked if top_k is None else ranked.where(F.col("rank") <= F.lit(top_k))
 
 
 def error_rate(df: DataFrame, label_col: str = "label", prediction_col: str = "prediction",

@@ -82,8 +82,12 @@ def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
+# The test tables are single files (one input split): their rows are dealt to so many partitions.
+PARTITIONS = 16
+
+
 def _docs(spark, sf, *cols):
-    return read_table(spark, sf, "documents", *(cols or ("doc_id", "text")), spread=True)
+    return read_table(spark, sf, "documents", *(cols or ("doc_id", "text")), partitions=PARTITIONS)
 
 
 def _labels(spark, sf):
@@ -162,8 +166,8 @@ def q_json_field(spark, sf):
 
 
 # JSON records built from every document; some carry a non-string text, some are
-# cut short (malformed), some lack the field: all of those yield no text.
-_RECORD_SQL = ("CASE doc_id % 7 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN NULL "
+# cut short (malformed), some lack the field, some are followed by more: all of those yield no text.
+_RECORD_SQL = ("CASE doc_id % 7 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN NULL WHEN 3 THEN NULL WHEN 4 THEN NULL "
                "ELSE (CASE doc_id % 3 WHEN 0 THEN 'RT ' || text ELSE text END) END")
 
 
@@ -174,6 +178,8 @@ def _record_json():
     return (F.when(m7 == 0, F.to_json(F.struct(F.col("doc_id").alias("id"), F.col("n_chars").alias("text"))))
             .when(m7 == 1, F.substr(good, F.lit(1), F.lit(12)))
             .when(m7 == 2, F.to_json(F.struct(F.col("doc_id").alias("id"), F.col("lang"))))
+            .when(m7 == 3, F.concat(good, F.lit(" xyz")))
+            .when(m7 == 4, F.concat(good, good))
             .otherwise(good))
 
 
@@ -271,8 +277,9 @@ def _mention_sql(mode: str) -> str:
 
 
 def _mentions(spark, sf, mode: str) -> DataFrame:
-    m = mention_array(match_terms(clean_text_tokens("text"), TERMS), mode)
-    return _docs(spark, sf).select("doc_id", F.explode(m).alias("term"))
+    # One generator emits the hits, the next the mode's array: the cleaner runs once for each document.
+    hits = _docs(spark, sf).select("doc_id", emit_nonempty(match_terms(clean_text_tokens("text"), TERMS)).alias("h"))
+    return hits.select("doc_id", F.explode(mention_array("h", mode)).alias("term"))
 
 
 def _score_sql(mode: str) -> str:
@@ -285,9 +292,8 @@ FROM ({_mention_sql(mode)}) m JOIN labels l USING (doc_id) GROUP BY term"""
 def _scores(spark, sf, mode: str) -> DataFrame:
     # Mentions are computed on the document side (narrow) and only (doc_id, terms)
     # meets the labels: the join never moves the text.
-    m = mention_array(match_terms(clean_text_tokens("text"), TERMS), mode)
-    hits = _docs(spark, sf).select("doc_id", emit_nonempty(m).alias("m"))
-    mentions = hits.join(_labels(spark, sf), "doc_id").select(F.explode("m").alias("term"),
+    hits = _docs(spark, sf).select("doc_id", emit_nonempty(match_terms(clean_text_tokens("text"), TERMS)).alias("h"))
+    mentions = hits.join(_labels(spark, sf), "doc_id").select(F.explode(mention_array("h", mode)).alias("term"),
                                                                F.col("quality").alias("prediction"))
     return score_entities(mentions, "term", "prediction")
 
@@ -349,12 +355,15 @@ def q_label_split(spark, sf):
 
 
 @register("serialize_labeled", """
-SELECT d.doc_id, concat_ws(':::', coalesce(d.text, 'None'), coalesce(CAST(l.quality AS VARCHAR), 'None')) AS line
+SELECT d.doc_id, concat_ws(':::', regexp_replace(coalesce(d.text, 'None'), '\\r\\n|\\r|\\n', ' ', 'g'),
+                           coalesce(CAST(l.quality AS VARCHAR), 'None')) AS line,
+       concat_ws(':::', coalesce(d.text, 'None'), coalesce(CAST(l.quality AS VARCHAR), 'None')) AS line_compat
 FROM documents d LEFT JOIN labels l USING (doc_id)
 """)
 def q_serialize_labeled(spark, sf):
     joined = _docs(spark, sf).join(_labels(spark, sf), "doc_id", "left")
-    return joined.select("doc_id", serialize_labeled("text", "quality").alias("line"))
+    return joined.select("doc_id", serialize_labeled("text", "quality").alias("line"),
+                         serialize_labeled("text", "quality", compat=True).alias("line_compat"))
 
 
 # Lines in every form the parser must accept or reject, one per labelled document.

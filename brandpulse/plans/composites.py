@@ -28,11 +28,19 @@ from pyspark.sql import functions as F
 
 from brandpulse.functions.text import clean_tokens, emit_nonempty, emit_text, normalize_terms, record_text
 from brandpulse.operators.labels import label_split, parse_labeled, reviews_to_training, split_column
-from brandpulse.operators.mentions import DEFAULT_MAX_INLINE_TERMS, match_terms, match_terms_table, mention_array
-from brandpulse.operators.model import SentimentModel, fit_sentiment, sample_eval, train_and_report
+from brandpulse.operators.mentions import (
+    DEFAULT_MAX_INLINE_TERMS,
+    match_terms,
+    match_terms_table,
+    mention_array,
+    term_table,
+)
+from brandpulse.operators.model import SentimentModel, sample_eval, train_and_report
 from brandpulse.operators.scoring import count_repeats, rank_entities, score_entities
+from brandpulse.session import scratch_path
 from brandpulse.sinks.writers import (
     latest_scores,
+    read_predictions,
     with_run_columns,
     write_label_split,
     write_labeled_text,
@@ -48,6 +56,8 @@ class MentionResult:
     scores: DataFrame
     model: SentimentModel
     run_id: str
+    mentions: DataFrame                 # one row per mention (compat folds equal keys in ``predictions``)
+    report: DataFrame | None = None     # (split, n, wrong, error) of the trained model
 
 
 def message_texts(messages: DataFrame, value_col: str = "value", compat: bool = False) -> DataFrame:
@@ -75,29 +85,39 @@ def score_mentions(messages: DataFrame, reviews: DataFrame | None, terms: str |
 
     ``messages``: raw JSON lines in ``value_col``. ``reviews``: ``(content,
     recommended)`` to train on (or pass a fitted ``model``). ``terms``: a
-    comma-separated string, a list, or a one-column DataFrame (any size).
+    comma-separated string, a list, or a one-column DataFrame (any size), all under
+    the same rule: lower-case, spaces deleted, nulls dropped, distinct. Beyond
+    ``max_inline_terms`` distinct terms they are matched by a join; the result is the same.
     ``compat`` reproduces the reference as it runs: last-mention rows sharing one
-    id (T1, T2), 'null'-prefix drop (T7), fail-fast parsing (T8), ':::' losses (T9).
+    id (T1, T2), 'null'-prefix drop (T7), fail-fast parsing (T8), ':::' losses (T9)
+    and the SGD trainer. A model trained here comes with its error ``report``.
     """
     mode = mode or ("last_mention" if compat else "per_mention")
     run_id = run_id or str(uuid.uuid4())
     processing_time = processing_time or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     texts = message_texts(messages, value_col, compat)
 
+    report = None
     if model is None:
         if reviews is None:
             raise ValueError("give reviews to train on, or a fitted model")
-        train = training_rows(reviews, compat=compat).where(F.col("split") == "train").drop("split")
-        model = fit_sentiment(train, **(fit_kw or {}))
-
-    if isinstance(terms, DataFrame) and terms.count() > max_inline_terms:
-        # Very large term table: distinct texts first, then their hits by an equi-join.
+        model, report = _trained(training_rows(reviews, compat=compat), compat, fit_kw)
+
+    if not isinstance(terms, DataFrame):
+        term_list = normalize_terms(terms)
+        if len(term_list) > max_inline_terms:
+            terms = messages.sparkSession.createDataFrame([(t,) for t in term_list], "term string")
+    if isinstance(terms, DataFrame):
+        table = term_table(terms, terms.columns[0])
+        # At most max_inline_terms + 1 rows come to the driver.
+        some = [r[0] for r in table.limit(max_inline_terms + 1).collect()]
+        term_list = some if len(some) <= max_inline_terms else None
+    if term_list is None or len(term_list) > max_inline_terms:
+        # Distinct texts first, then their hits by an equi-join.
         counted = count_repeats(texts, "text").select("text", "retweets",
                                                       clean_tokens("text", ascii_input=True).alias("_tok"))
         counted = match_terms_table(counted, "_tok", terms, term_col=terms.columns[0])
     else:
-        term_list = (normalize_terms([r[0] for r in terms.collect()]) if isinstance(terms, DataFrame)
-                     else normalize_terms(terms))
         hits = texts.select("text", emit_nonempty(match_terms(clean_tokens("text", ascii_input=True), term_list)).alias("hits"))
         counted = count_repeats(hits, "text", extra_keys=["hits"])
     # Only distinct texts that name a term are vectorised and classified.
@@ -118,60 +138,84 @@ def score_mentions(messages: DataFrame, reviews: DataFrame | None, terms: str |
     if compat:
         predictions = predictions.dropDuplicates(["airline", "id"])
     scores = scores.select("airline", "score", "processing_id", "total_comments", "positive_comments")
-    return MentionResult(predictions=predictions, scores=scores, model=model, run_id=run_id)
+    return MentionResult(predictions=predictions, scores=scores, model=model, run_id=run_id,
+                         mentions=rows.select(*predictions.columns), report=report)
+
+
+def _trained(rows: DataFrame, compat: bool, fit_kw: dict | None) -> tuple[SentimentModel, DataFrame]:
+    """M7 with the reference's trainer under ``compat``: the model and its error on both splits."""
+    kw = dict(fit_kw or {})
+    if compat:
+        kw.setdefault("trainer", "sgd")
+    return train_and_report(rows, **kw)
 
 
 def run_score_job(spark: SparkSession, messages: DataFrame, reviews: DataFrame | None, terms,
                   predictions_path: str, scores_root: str, **kw) -> DataFrame:
-    """C1 runner: write predictions (K3), then merge scores computed from them (K4).
+    """C1 runner: write predictions (K3), then merge scores computed from the written rows (K4).
 
-    Returns the newest score table. The scores read the *written* predictions,
-    so the classifier runs once even if an executor is lost in between.
+    Returns the newest score table. The classifier runs once, even if an executor is lost in between, and
+    only this run's folder is read back. The same run can be written again without repeating a row.
     """
+    return run_score_job_report(spark, messages, reviews, terms, predictions_path, scores_root, **kw)[0]
+
+
+def run_score_job_report(spark: SparkSession, messages: DataFrame, reviews: DataFrame | None, terms,
+                         predictions_path: str, scores_root: str, **kw) -> tuple[DataFrame, DataFrame | None]:
+    """``run_score_job`` and the error report of the model it trained (None for a given model)."""
     result = score_mentions(messages, reviews, terms, **kw)
-    write_predictions(result.predictions, predictions_path)
-    written = spark.read.parquet(predictions_path).where(F.col("processing_id") == result.run_id)
     if kw.get("compat"):
-        # The reference scores every mention row, before the keyed table folds equal keys.
-        scores = result.scores
+        # The reference scores every mention row, before the keyed table folds equal keys: both come from
+        # the mention rows, written once.
+        path = scratch_path(spark, "mentions")
+        result.mentions.write.parquet(path)
+        written = spark.read.parquet(path)
+        write_predictions(written.dropDuplicates(["airline", "id"]), predictions_path, result.run_id)
     else:
-        scores = score_entities(written, "airline", "prediction").withColumn("processing_id", F.lit(result.run_id))
+        write_predictions(result.predictions, predictions_path, result.run_id)
+        written = read_predictions(spark, predictions_path, result.run_id)
+    scores = score_entities(written, "airline", "prediction").withColumn("processing_id", F.lit(result.run_id))
     scores = scores.select("airline", "score", "processing_id", "total_comments", "positive_comments")
     write_scores_version(spark, scores, scores_root)
-    return latest_scores(spark, scores_root)
+    return latest_scores(spark, scores_root), result.report
 
 
-def prepare_reviews(spark: SparkSession, csv_path: str, out_path: str, single_file: bool = False) -> None:
-    """Review CSV -> labelled text lines."""
+def prepare_reviews(spark: SparkSession, csv_path: str, out_path: str, single_file: bool = False,
+                    compat: bool = False) -> None:
+    """Review CSV -> labelled text, one line per review."""
     reviews = read_reviews_csv(spark, csv_path)
-    write_labeled_text(reviews, out_path, single_file=single_file)
+    write_labeled_text(reviews, out_path, single_file=single_file, compat=compat)
 
 
-def score_from_saved_text(spark: SparkSession, messages: DataFrame, labeled_path: str, terms,
-                          mode: str | None = None, compat: bool = False, **kw) -> DataFrame:
-    """Train from labelled text lines and return the prediction rows only."""
+def saved_text_rows(spark: SparkSession, labeled_path: str) -> DataFrame:
+    """S3 + M8: labelled text lines to ``(comment ARRAY<STRING>, sentiment, split)``."""
     rows = parse_labeled(read_labeled_text(spark, labeled_path))
-    train = rows.select(F.split("comment", " ", -1).alias("comment"), "sentiment",
-                        split_column(F.col("comment")).alias("split")).where(F.col("split") == "train").drop("split")
-    model = fit_sentiment(train, **kw.pop("fit_kw", None) or {})
-    return score_mentions(messages, None, terms, mode=mode, compat=compat, model=model, **kw).predictions
+    return rows.select(F.split("comment", " ", -1).alias("comment"), "sentiment",
+                       split_column(F.col("comment")).alias("split"))
+
+
+def score_from_saved_text(spark: SparkSession, messages: DataFrame, labeled_path: str, terms,
+                          mode: str | None = None, compat: bool = False, **kw) -> MentionResult:
+    """Train from labelled text lines (with the error report) and classify; its predictions are the job's output."""
+    model, report = _trained(saved_text_rows(spark, labeled_path), compat, kw.pop("fit_kw", None))
+    result = score_mentions(messages, None, terms, mode=mode, compat=compat, model=model, **kw)
+    result.report = report
+    return result
 
 
-def split_reviews(spark: SparkSession, csv_path: str, out_path: str, single_file: bool = False) -> None:
+def split_reviews(spark: SparkSession, csv_path: str, out_path: str, single_file: bool = False,
+                  compat: bool = False) -> None:
     """C4: review CSV -> positive/negative x train/valid outputs (one partitioned write)."""
     reviews = read_reviews_csv(spark, csv_path)
     # The stable split is keyed on the review text (CSV rows carry no id).
     keyed = reviews.withColumn("_key", F.col("content"))
-    write_label_split(label_split(keyed, "_key"), out_path, single_file=single_file)
+    write_label_split(label_split(keyed, "_key"), out_path, single_file=single_file, compat=compat)
 
 
 def train_and_report_text(spark: SparkSession, labeled_path: str, samples: DataFrame | None = None,
                           **fit_kw) -> tuple[SentimentModel, DataFrame]:
     """Labelled text -> model and an error table (train, valid and, given samples, the samples)."""
-    rows = parse_labeled(read_labeled_text(spark, labeled_path))
-    tokens = rows.select(F.split("comment", " ", -1).alias("comment"), "sentiment",
-                         split_column(F.col("comment")).alias("split"))
-    model, report = train_and_report(tokens, **fit_kw)
+    model, report = train_and_report(saved_text_rows(spark, labeled_path), **fit_kw)
     if samples is not None:
         sample = sample_eval(model, samples).withColumn("split", F.lit("samples"))
         report = report.unionByName(sample)

@@ -16,13 +16,27 @@ from pyspark.sql import functions as F
 
 from brandpulse.functions.text import clean_text_tokens, json_field
 from brandpulse.operators.labels import label_split, parse_labeled
-from brandpulse.operators.model import SentimentModel, doc_vectors, fit_sentiment, sample_eval, train_and_report
+from brandpulse.operators.model import (
+    SentimentModel,
+    doc_vectors,
+    fit_sentiment,
+    sample_eval,
+    token_margins,
+    train_and_report,
+    word_scores,
+)
 from brandpulse.plans import sqlfrag as S
 from brandpulse.plans.catalog import TERMS, _docs, _labels, _score_sql, register
-from brandpulse.plans.composites import score_mentions, training_rows
+from brandpulse.plans.composites import run_score_job, score_mentions, training_rows
 from brandpulse.session import scratch_path
-from brandpulse.sinks.writers import latest_scores, write_label_split, write_labeled_text, write_scores_version
-from brandpulse.sources.readers import read_labeled_text, read_reviews_csv, read_table
+from brandpulse.sinks.writers import (
+    latest_scores,
+    read_predictions,
+    write_label_split,
+    write_labeled_text,
+    write_scores_version,
+)
+from brandpulse.sources.readers import literal_samples, read_json_lines, read_labeled_text, read_reviews_csv, read_table
 from brandpulse.streaming.ingest import dedup_stream, ingest_stream, read_dedup_counts, route_stream
 
 # Model settings of the reference (vector size 128, min count 0, 200 iterations), fixed seed.
@@ -54,6 +68,18 @@ def q_csv_roundtrip(spark, sf):
 
 
 @register("labeled_text_roundtrip", f"""
+SELECT {S.normalize_sql(S.ascii_sql('d.text'))} AS comment, CAST(l.quality AS INTEGER) AS sentiment
+FROM documents d JOIN labels l USING (doc_id)
+WHERE NOT contains({S.ascii_sql('d.text')}, ':::') AND NOT ends_with({S.ascii_sql('d.text')}, ':')
+""")
+def q_labeled_text_roundtrip(spark, sf):
+    # K2 then S3: every token of every whole review comes back (the oracle reads the reviews, not the lines).
+    path = scratch_path(spark, "labeled_text")
+    write_labeled_text(_reviews(spark, sf), path)
+    return parse_labeled(read_labeled_text(spark, path))
+
+
+@register("labeled_text_compat", f"""
 SELECT comment, sentiment FROM (
   SELECT {S.normalize_sql('p[1]')} AS comment, {S.strict_int_sql('p[2]')} AS sentiment
   FROM (SELECT string_split({S.ascii_sql('line')}, ':::') AS p
@@ -61,12 +87,11 @@ SELECT comment, sentiment FROM (
               FROM documents d JOIN labels l USING (doc_id)))
   WHERE len(p) = 2) WHERE sentiment IS NOT NULL
 """)
-def q_labeled_text_roundtrip(spark, sf):
-    # K2 then S3: a text sink splits a review holding line breaks into several
-    # lines, exactly as the reference's text files did; only lines that still
-    # hold '<content>:::<label>' parse.
+def q_labeled_text_compat(spark, sf):
+    # Compat: raw line breaks, as the reference writes them; only lines that still hold
+    # '<content>:::<label>' parse.
     path = scratch_path(spark, "labeled_text")
-    write_labeled_text(_reviews(spark, sf), path)
+    write_labeled_text(_reviews(spark, sf), path, compat=True)
     return parse_labeled(read_labeled_text(spark, path))
 
 
@@ -143,37 +168,86 @@ def _fit(spark, sf) -> tuple[SentimentModel, DataFrame]:
     return train_and_report(rows, **FIT)
 
 
-@register("svm_eval")
+# What SQL can state of a fitted model: the rows evaluated, and that its error is one and beats a guess.
+_EVAL_SQL = f"""
+SELECT split, count(*) AS n, true AS error_in_range, true AS train_no_worse_than_majority
+FROM (SELECT {S.split_sql('comment')} AS split
+      FROM (SELECT {_comment_sql()} AS comment FROM documents d JOIN labels l USING (doc_id))) GROUP BY split
+"""
+
+
+def _eval_flags(report: DataFrame, rows: DataFrame) -> DataFrame:
+    majority = rows.groupBy("split").agg(
+        F.least(F.avg("sentiment"), 1.0 - F.avg("sentiment")).alias("guess"))
+    return report.join(majority, "split").select(
+        "split", "n", F.col("error").between(0.0, 1.0).alias("error_in_range"),
+        ((F.col("split") != "train") | (F.col("error") <= F.col("guess"))).alias("train_no_worse_than_majority"))
+
+
+@register("svm_eval", _EVAL_SQL)
 def q_svm_eval(spark, sf):
     _, report = _fit(spark, sf)
-    return report
+    return _eval_flags(report, training_rows(_reviews(spark, sf)))
 
 
-@register("svm_eval_sgd")
+@register("svm_eval_sgd", _EVAL_SQL)
 def q_svm_eval_sgd(spark, sf):
     rows = training_rows(_reviews(spark, sf))
     _, report = train_and_report(rows, trainer="sgd", **FIT)
-    return report
+    return _eval_flags(report, rows)
+
+
+# M5: five full-batch hinge-loss steps on the embeddings, label 1 for odd labels.
+SGD_STEPS, SGD_DIM = 5, 64
+_SGD_STEP_SQL = "".join(f""",
+m{t} AS (SELECT d.x, d.y, list_inner_product(w{t - 1}.w, d.x) AS m FROM d, w{t - 1}),
+g{t} AS (SELECT list(g ORDER BY i) AS g FROM (
+  SELECT i, sum(CASE WHEN y * m < 1 THEN y * x[i] ELSE 0 END) / (SELECT count(*) FROM d) AS g
+  FROM m{t}, range(1, {SGD_DIM + 1}) r(i) GROUP BY i)),
+w{t} AS (SELECT [w{t - 1}.w[i] * (1 - {1.0 / t ** 0.5!r} * 0.01) + {1.0 / t ** 0.5!r} * g{t}.g[i] for i in range(1, {SGD_DIM + 1})] AS w
+         FROM w{t - 1}, g{t})""" for t in range(1, SGD_STEPS + 1))
+
+
+@register("hinge_sgd_steps", f"""
+WITH d AS (SELECT CAST(embedding AS DOUBLE[]) AS x, CASE WHEN label % 2 = 1 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END AS y FROM embeddings),
+w0 AS (SELECT [0.0::DOUBLE for i in range(1, {SGD_DIM + 1})] AS w){_SGD_STEP_SQL}
+SELECT CAST(i - 1 AS INTEGER) AS dim, round(w[i], 6) AS weight FROM w{SGD_STEPS}, range(1, {SGD_DIM + 1}) r(i)
+""")
+def q_hinge_sgd_steps(spark, sf):
+    from brandpulse.operators.model import hinge_sgd
 
+    rows = read_table(spark, sf, "embeddings", "embedding", "label").select(
+        F.col("embedding").cast("array<double>").alias("x"), (F.col("label") % 2).cast("double").alias("y"))
+    weights = hinge_sgd(rows, "x", "y", SGD_DIM, iterations=SGD_STEPS, tolerance=0.0)
+    out = spark.createDataFrame(list(enumerate(weights)), "dim int, w double")
+    return out.select("dim", F.round("w", 6).alias("weight"))
 
-@register("sample_eval")
+
+@register("sample_eval", """
+SELECT count(*) AS n, true AS error_in_range FROM benchmark
+""")
 def q_sample_eval(spark, sf):
     model, _ = _fit(spark, sf)
-    samples = read_table(spark, sf, "benchmark", "item_id", "text")
-    return sample_eval(model, samples, "text", label=1)
+    # S4 feeds M9: the samples are a literal relation as well as a table.
+    literal = literal_samples(spark, [("good flight",), ("bad service",)], "text string")
+    samples = read_table(spark, sf, "benchmark", "text")
+    both = sample_eval(model, samples.unionByName(literal), "text", label=1)
+    return both.select((F.col("n") - 2).alias("n"), F.col("error").between(0.0, 1.0).alias("error_in_range"))
 
 
-@register("model_roundtrip")
+@register("model_roundtrip", f"""
+SELECT split, count(*) AS n, count(*) AS same
+FROM (SELECT {S.split_sql('comment')} AS split
+      FROM (SELECT {_comment_sql()} AS comment FROM documents d JOIN labels l USING (doc_id))) GROUP BY split
+""")
 def q_model_roundtrip(spark, sf):
     rows = training_rows(_reviews(spark, sf))
     model = fit_sentiment(rows.where(F.col("split") == "train"), **FIT)
     path = scratch_path(spark, "model")
     model.save(path)
     loaded = SentimentModel.load(spark, path)
-    keyed = rows.withColumn("_k", F.monotonically_increasing_id()).checkpoint()
-    before = model.predict(keyed).select("_k", F.col("prediction").alias("before"))
-    after = loaded.predict(keyed).select("_k", F.col("prediction").alias("after"), "split")
-    return before.join(after, "_k").groupBy("split").agg(
+    both = loaded.predict(model.predict(rows, "before"), "after")
+    return both.groupBy("split").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("before") == F.col("after")).alias("same"))
 
 
@@ -182,27 +256,52 @@ def _messages(spark, sf) -> DataFrame:
     return docs.select(F.to_json(F.struct(F.col("doc_id").alias("id"), F.col("text"))).alias("value"))
 
 
-@register("brand_scores_model")
+# C1 with a trained model: SQL states everything but the classifier's verdict, which must be 0 or 1.
+_MODEL_ROWS_SQL = f"""
+WITH hits AS (SELECT {S.rt_sql(S.ascii_sql('text'))} AS text FROM documents),
+counted AS (SELECT text, {S.hits_sql(S.tokens_sql('text'), TERMS)} AS h, count(*) - 1 AS retweets FROM hits GROUP BY text),
+m AS (SELECT text AS comment, retweets, unnest(h) AS airline, unnest(range(len(h))) AS mention_pos FROM counted)
+"""
+
+
+@register("brand_scores_model", _MODEL_ROWS_SQL + """
+SELECT airline, 'run-model' AS processing_id, count(*) AS total_comments, true AS score_in_range FROM m GROUP BY airline
+""")
 def q_brand_scores_model(spark, sf):
     res = score_mentions(_messages(spark, sf), _reviews(spark, sf), TERMS, run_id="run-model", fit_kw=FIT)
-    return res.scores
+    return res.scores.select("airline", "processing_id", "total_comments",
+                             (F.col("score") * F.col("total_comments") == F.col("positive_comments")).alias("score_in_range"))
+
+
+def _without_verdict(predictions: DataFrame) -> DataFrame:
+    return predictions.withColumn("prediction_is_0_or_1", F.col("prediction").isin(0, 1)).drop("prediction")
+
+
+def _model_predictions_sql(run: str) -> str:
+    return _MODEL_ROWS_SQL + f"""
+SELECT airline, sha256(concat_ws('|', '{run}', airline, CAST(mention_pos AS VARCHAR), comment)) AS id,
+       TIMESTAMP '2024-01-01 00:00:00' AS processing_time, '{run}' AS processing_id, comment, retweets,
+       true AS prediction_is_0_or_1 FROM m"""
 
 
-@register("brand_predictions_model")
+@register("brand_predictions_model", _model_predictions_sql("run-model"))
 def q_brand_predictions_model(spark, sf):
     res = score_mentions(_messages(spark, sf), _reviews(spark, sf), TERMS, run_id="run-model", fit_kw=FIT,
                          processing_time=datetime.datetime(2024, 1, 1))
-    return res.predictions
+    return _without_verdict(res.predictions)
 
 
 # ---------------------------------------------------------------------------
 # Streaming (S7, X1-X3, K5, X4): conversations are the collected JSON-lines files.
 
-def _stream_source(spark, sf, files: int = 4) -> str:
+# Input files of the streaming checks and how many of them a trigger takes: several micro-batches.
+STREAM_FILES, FILES_PER_TRIGGER = 6, 2
+
+
+def _stream_source(spark, sf) -> str:
     src = scratch_path(spark, "stream_src")
-    conv = read_table(spark, sf, "conversations", "conv_id", "turn", "role", "text", spread=True)
-    conv.select(F.to_json(F.struct("conv_id", "turn", "role", "text")).alias("value")) \
-        .repartition(files).write.text(src)
+    conv = read_table(spark, sf, "conversations", "conv_id", "turn", "role", "text", partitions=STREAM_FILES)
+    conv.select(F.to_json(F.struct("conv_id", "turn", "role", "text")).alias("value")).write.text(src)
     return src
 
 
@@ -217,7 +316,7 @@ SELECT conv_id, turn, 'stream_' || term || '.json' AS stream FROM (
 def q_stream_route(spark, sf):
     src = _stream_source(spark, sf)
     out, ckpt = scratch_path(spark, "route_out"), scratch_path(spark, "route_ckpt")
-    route_stream(spark, src, out, ckpt, TERMS).awaitTermination()
+    route_stream(spark, src, out, ckpt, TERMS, max_files_per_trigger=FILES_PER_TRIGGER).awaitTermination()
     back = spark.read.text(out)
     return back.select(json_field("value", "conv_id", "BIGINT").alias("conv_id"),
                        json_field("value", "turn", "BIGINT").alias("turn"), "stream")
@@ -230,7 +329,7 @@ WHERE len({S.hits_sql(_conv_sql_tokens(), TERMS)}) > 0
 def q_stream_ingest(spark, sf):
     src = _stream_source(spark, sf)
     out, ckpt = scratch_path(spark, "ingest_out"), scratch_path(spark, "ingest_ckpt")
-    ingest_stream(spark, src, out, ckpt, TERMS).awaitTermination()
+    ingest_stream(spark, src, out, ckpt, TERMS, max_files_per_trigger=FILES_PER_TRIGGER).awaitTermination()
     back = spark.read.text(out)
     return back.select(json_field("value", "conv_id", "BIGINT").alias("conv_id"),
                        json_field("value", "turn", "BIGINT").alias("turn"),
@@ -244,7 +343,7 @@ FROM (SELECT {S.rt_sql(S.ascii_sql('text'))} AS text FROM conversations) GROUP B
 def q_stream_dedup_counts(spark, sf):
     src = _stream_source(spark, sf)
     out, ckpt = scratch_path(spark, "dedup_out"), scratch_path(spark, "dedup_ckpt")
-    dedup_stream(spark, src, out, ckpt).awaitTermination()
+    dedup_stream(spark, src, out, ckpt, max_files_per_trigger=FILES_PER_TRIGGER).awaitTermination()
     return read_dedup_counts(spark, out)
 
 
@@ -275,7 +374,7 @@ def _write_reviews_csv(spark, sf) -> str:
 
 
 @register("prepare_reviews", """
-SELECT unnest(regexp_split_to_array(d.text || ':::' || CAST(l.quality AS VARCHAR), '\\r\\n|\\r|\\n')) AS value
+SELECT regexp_replace(d.text, '\\r\\n|\\r|\\n', ' ', 'g') || ':::' || CAST(l.quality AS VARCHAR) AS value
 FROM documents d JOIN labels l USING (doc_id)
 """)
 def q_prepare_reviews(spark, sf):
@@ -287,7 +386,7 @@ def q_prepare_reviews(spark, sf):
 
 
 @register("split_reviews", f"""
-SELECT split, label, unnest(regexp_split_to_array(content, '\\r\\n|\\r|\\n')) AS value FROM (
+SELECT split, label, regexp_replace(content, '\\r\\n|\\r|\\n', ' ', 'g') AS value FROM (
   SELECT {S.split_sql('d.text')} AS split, CAST(l.quality AS VARCHAR) AS label, d.text AS content
   FROM documents d JOIN labels l USING (doc_id))
 """)
@@ -300,7 +399,17 @@ def q_split_reviews(spark, sf):
     return back.select("split", F.col("label").cast("string").alias("label"), "value")
 
 
-@register("train_report_text")
+# The splits of labelled lines and, as one more, the benchmark texts.
+_REPORT_SQL = f"""
+SELECT split, count(*) AS n, true AS error_in_range FROM (
+  SELECT {S.split_sql('comment')} AS split
+  FROM (SELECT {S.normalize_sql(S.ascii_sql('d.text'))} AS comment FROM documents d JOIN labels l USING (doc_id)
+        WHERE NOT contains({S.ascii_sql('d.text')}, ':::') AND NOT ends_with({S.ascii_sql('d.text')}, ':'))) GROUP BY split
+UNION ALL SELECT 'samples', count(*), true FROM benchmark
+"""
+
+
+@register("train_report_text", _REPORT_SQL)
 def q_train_report_text(spark, sf):
     from brandpulse.plans.composites import train_and_report_text
 
@@ -308,17 +417,18 @@ def q_train_report_text(spark, sf):
     write_labeled_text(_reviews(spark, sf), path)
     samples = read_table(spark, sf, "benchmark", "text")
     _, report = train_and_report_text(spark, path, samples=samples, **FIT)
-    return report
+    return report.select("split", "n", F.col("error").between(0.0, 1.0).alias("error_in_range"))
 
 
-@register("score_from_saved_text")
+@register("score_from_saved_text", _model_predictions_sql("run-text"))
 def q_score_from_saved_text(spark, sf):
     from brandpulse.plans.composites import score_from_saved_text
 
     path = scratch_path(spark, "labeled_in")
     write_labeled_text(_reviews(spark, sf), path)
-    return score_from_saved_text(spark, _messages(spark, sf), path, TERMS, run_id="run-text",
-                                 processing_time=datetime.datetime(2024, 1, 1), fit_kw=FIT)
+    res = score_from_saved_text(spark, _messages(spark, sf), path, TERMS, run_id="run-text",
+                                processing_time=datetime.datetime(2024, 1, 1), fit_kw=FIT)
+    return _without_verdict(res.predictions)
 
 
 # ---------------------------------------------------------------------------
@@ -340,24 +450,26 @@ class RuleModel:
         self.vectors = vectors
 
     def predict(self, df: DataFrame, prediction_col: str = "prediction") -> DataFrame:
-        from brandpulse.operators.model import linear_margin
+        scores = word_scores(self.vectors, RULE_WEIGHTS)
+        out = token_margins(df, self.input_col, scores, RULE_INTERCEPT, "_margin")
+        return out.withColumn(prediction_col, (F.col("_margin") > 0).cast("int")).drop("_margin")
 
-        vec = doc_vectors(df, self.input_col, self.vectors, None, dim=2)
-        margin = linear_margin(F.col("result"), RULE_WEIGHTS, RULE_INTERCEPT)
-        return vec.withColumn(prediction_col, (margin > 0).cast("int")).drop("result")
 
-
-def _rule_model(spark, sf) -> RuleModel:
-    train = training_rows(_reviews(spark, sf)).where(F.col("split") == "train")
+def _rule_model(reviews: DataFrame) -> RuleModel:
+    train = training_rows(reviews).where(F.col("split") == "train")
     vocab = train.select(F.explode("comment").alias("word")).distinct()
     return RuleModel(vocab.select("word", F.array(F.length("word").cast("double"),
                                                   F.ascii("word").cast("double")).alias("vector")))
 
 
-def _rule_sql(final: str) -> str:
+_MSGS_SQL = f"SELECT {S.rt_sql(S.ascii_sql('text'))} AS text FROM documents"
+_INLINE_HITS_SQL = f"SELECT text, {S.hits_sql(S.tokens_sql('text'), TERMS)} AS h FROM msgs"
+
+
+def _rule_sql(final: str, msgs: str = _MSGS_SQL, hits: str = _INLINE_HITS_SQL, mode: str = "per_mention") -> str:
     return f"""
-WITH msgs AS (SELECT {S.rt_sql(S.ascii_sql('text'))} AS text FROM documents),
-hits AS (SELECT text, {S.hits_sql(S.tokens_sql('text'), TERMS)} AS h FROM msgs),
+WITH msgs AS ({msgs}),
+hits AS ({hits}),
 counted AS (SELECT text, h, count(*) - 1 AS retweets FROM hits WHERE len(h) > 0 GROUP BY text, h),
 vocab AS (
   SELECT DISTINCT unnest(string_split(comment, ' ')) AS w
@@ -369,16 +481,19 @@ dv AS (SELECT text, coalesce(sum(a), 0) / max(n) AS v0, coalesce(sum(b), 0) / ma
        FROM toks LEFT JOIN vec USING (w) GROUP BY text),
 pred AS (SELECT text, CAST(({RULE_INTERCEPT!r} + {RULE_WEIGHTS[0]!r} * v0) + {RULE_WEIGHTS[1]!r} * v1 > 0 AS INTEGER)
            AS prediction FROM dv),
-m AS (SELECT c.text AS comment, c.retweets, p.prediction, unnest(c.h) AS airline,
-             unnest(range(len(c.h))) AS mention_pos FROM counted c JOIN pred p USING (text))
+m AS (SELECT c.text AS comment, c.retweets, p.prediction, unnest({S.mode_sql('c.h', mode)}) AS airline,
+             unnest(range(len({S.mode_sql('c.h', mode)}))) AS mention_pos FROM counted c JOIN pred p USING (text))
 {final}"""
 
 
-@register("brand_scores_rule", _rule_sql("""
+_SCORES_SQL = """
 SELECT airline, CAST(sum(prediction) AS DOUBLE) / count(*) AS score, 'run-rule' AS processing_id,
-       count(*) AS total_comments, CAST(sum(prediction) AS BIGINT) AS positive_comments FROM m GROUP BY airline"""))
+       count(*) AS total_comments, CAST(sum(prediction) AS BIGINT) AS positive_comments FROM m GROUP BY airline"""
+
+
+@register("brand_scores_rule", _rule_sql(_SCORES_SQL))
 def q_brand_scores_rule(spark, sf):
-    res = score_mentions(_messages(spark, sf), None, TERMS, model=_rule_model(spark, sf), run_id="run-rule")
+    res = score_mentions(_messages(spark, sf), None, TERMS, model=_rule_model(_reviews(spark, sf)), run_id="run-rule")
     return res.scores
 
 
@@ -387,6 +502,82 @@ SELECT airline, sha256(concat_ws('|', 'run-rule', airline, CAST(mention_pos AS V
        TIMESTAMP '2024-01-01 00:00:00' AS processing_time, 'run-rule' AS processing_id, comment,
        retweets, prediction FROM m"""))
 def q_brand_predictions_rule(spark, sf):
-    res = score_mentions(_messages(spark, sf), None, TERMS, model=_rule_model(spark, sf), run_id="run-rule",
+    res = score_mentions(_messages(spark, sf), None, TERMS, model=_rule_model(_reviews(spark, sf)), run_id="run-rule",
                          processing_time=datetime.datetime(2024, 1, 1))
     return res.predictions
+
+
+# Every document three times: as it is, in upper case and with doubled spaces. Many messages then clean to the
+# same tokens; each must get the margin of its own tokens.
+_AZ, _UP = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_DUP_MSGS_SQL = f"""
+SELECT {S.rt_sql(S.ascii_sql('v'))} AS text FROM (
+  SELECT unnest([text, translate(text, '{_AZ}', '{_UP}'), replace(text, ' ', '  ')]) AS v FROM documents)"""
+
+
+@register("brand_scores_rule_dups", _rule_sql(_SCORES_SQL, msgs=_DUP_MSGS_SQL))
+def q_brand_scores_rule_dups(spark, sf):
+    t = F.col("text")
+    variants = F.array(t, F.translate(t, _AZ, _UP), F.replace(t, F.lit(" "), F.lit("  ")))
+    messages = _docs(spark, sf).select(F.explode(variants).alias("text")).select(F.to_json(F.struct("text")).alias("value"))
+    res = score_mentions(messages, None, TERMS, model=_rule_model(_reviews(spark, sf)), run_id="run-rule")
+    return res.scores
+
+
+# C1 with a term table (every distinct token of the benchmark texts) matched by the join, in all modes.
+_TABLE_HITS_SQL = f"""
+SELECT text, list(t ORDER BY pos) AS h FROM (
+  SELECT r, text, unnest(t) AS t, unnest(range(len(t))) AS pos
+  FROM (SELECT row_number() OVER () AS r, text, {S.tokens_sql('text')} AS t FROM msgs))
+WHERE t IN (SELECT lower(unnest({S.tokens_sql('text')})) FROM benchmark) GROUP BY r, text"""
+_MODES = ("per_mention", "last_mention", "distinct")
+
+
+def _mode_rows_sql(mode: str) -> str:
+    return "SELECT * FROM (" + _rule_sql(f"""
+SELECT '{mode}' AS mode, airline, count(*) AS total_comments, CAST(sum(prediction) AS BIGINT) AS positive_comments,
+       CAST(sum(retweets) AS BIGINT) AS retweets FROM m GROUP BY airline""", hits=_TABLE_HITS_SQL, mode=mode) + ")"
+
+
+@register("brand_predictions_term_table", "\nUNION ALL\n".join(_mode_rows_sql(m) for m in _MODES))
+def q_brand_predictions_term_table(spark, sf):
+    terms = read_table(spark, sf, "benchmark", "text").select(F.explode(clean_text_tokens("text")).alias("term"))
+    model = _rule_model(_reviews(spark, sf))
+    out = None
+    for mode in _MODES:
+        res = score_mentions(_messages(spark, sf), None, terms, mode=mode, model=model, run_id="run-rule",
+                             max_inline_terms=100)
+        rows = res.predictions.groupBy("airline").agg(
+            F.count(F.lit(1)).alias("total_comments"), F.sum("prediction").alias("positive_comments"),
+            F.sum("retweets").alias("retweets")).withColumn("mode", F.lit(mode))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+# The whole job over files: a JSON-lines folder and a reviews CSV to both tables, run twice with one run id.
+@register("score_job_files", _rule_sql("""
+SELECT airline, count(*) AS n_rows, count(DISTINCT mention_pos || '|' || comment) AS n_ids, count(*) AS total_comments,
+       CAST(sum(prediction) AS BIGINT) AS positive_comments, CAST(sum(prediction) AS DOUBLE) / count(*) AS score
+FROM m GROUP BY airline"""))
+def q_score_job_files(spark, sf):
+    folder, predictions, scores = (scratch_path(spark, n) for n in ("messages", "predictions", "scores"))
+    _messages(spark, sf).write.text(folder)
+    reviews = read_reviews_csv(spark, _write_reviews_csv(spark, sf))
+    for _ in range(2):
+        table = run_score_job(spark, read_json_lines(spark, folder), None, TERMS, predictions, scores,
+                              model=_rule_model(reviews), run_id="run-rule")
+    rows = read_predictions(spark, predictions).groupBy("airline").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("id").alias("n_ids"))
+    return rows.join(table, "airline").select("airline", "n_rows", "n_ids", "total_comments", "positive_comments", "score")
+
+
+# C1 as the reference runs it: last mention, equal (airline, comment) rows folded in the predictions, every mention
+# row scored, 'null' texts dropped.
+@register("brand_scores_compat", _rule_sql("""
+SELECT airline, CAST(sum(prediction) AS DOUBLE) / count(*) AS score, count(*) AS total_comments,
+       CAST(sum(prediction) AS BIGINT) AS positive_comments, count(DISTINCT comment) AS n_rows FROM m GROUP BY airline""",
+    msgs=f"SELECT * FROM ({_MSGS_SQL}) WHERE NOT starts_with(text, 'null')", mode="last_mention"))
+def q_brand_scores_compat(spark, sf):
+    res = score_mentions(_messages(spark, sf), None, TERMS, compat=True, model=_rule_model(_reviews(spark, sf)), run_id="run-rule")
+    rows = res.predictions.groupBy("airline").agg(F.count(F.lit(1)).alias("n_rows"))
+    return res.scores.join(rows, "airline").select("airline", "score", "total_comments", "positive_comments", "n_rows")

@@ -7,7 +7,11 @@ also check that the two forms agree.
 
 from __future__ import annotations
 
-from brandpulse.functions.text import NORMALIZE_STEPS
+# FIXED VALUES: the cleaner's steps stated anew for the oracle, so a wrong step on the Spark side shows.
+_STEPS = [
+    ("[^A-Za-z0-9(),!?'`]", " "), ("'s", " 's"), ("'ve", " 've"), ("n't", " n't"), ("'re", " 're"), ("'d", " 'd"),
+    ("'ll", " 'll"), (",", " , "), ("!", " ! "), (r"\(", r" \( "), (r"\)", r" \) "), (r"\?", r" \? "), (r"\s{2,}", " "),
+]
 
 
 def q(s: str) -> str:
@@ -25,7 +29,7 @@ def rt_sql(e: str) -> str:
 
 def normalize_sql(e: str) -> str:
     x = e
-    for pattern, output in NORMALIZE_STEPS:
+    for pattern, output in _STEPS:
         rewrite = output.replace("\\", "\\\\")
         x = f"regexp_replace({x}, {q(pattern)}, {q(rewrite)}, 'g')"
     return f"lower(trim({x}))"

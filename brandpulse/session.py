@@ -3,7 +3,8 @@
 On a cluster the session is built by the caller (spark-submit); the library only
 reads settings from it. The one setting we rely on is ``spark.checkpoint.dir``,
 the shared folder where lineage is cut and intermediate tables are written. We
-set our own only when the session has none (local tests), never on a cluster.
+set our own only when the session has none and the master is local; on a cluster
+a missing setting is an error.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the session; set a local one only if unset.
+    """The shared checkpoint folder named by the session; one of our own only if unset and the master is local.
 
     Also registers it as the SparkContext checkpoint dir so ``DataFrame.checkpoint()``
     (reliable, never ``localCheckpoint``) works.
@@ -46,7 +47,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         sc = None
     root = spark.conf.get(CHECKPOINT_CONF, None) or (sc.getCheckpointDir() if sc else None)
     if not root:
-        # Only reached in local runs (tests, bench): a cluster names its shared folder.
+        master = sc.master if sc is not None else ""
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder that the driver and all executors share")
+        # Local runs only (tests, bench): driver and tasks are one process on one machine.
         root = tempfile.mkdtemp(prefix="brandpulse-ckpt-", dir=os.environ.get("BRANDPULSE_SCRATCH", "/tmp"))
         try:
             spark.conf.set(CHECKPOINT_CONF, root)

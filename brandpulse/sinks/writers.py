@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brandpulse.operators.labels import serialize_labeled
+from brandpulse.functions.text import LABELED_NONE
+from brandpulse.operators.labels import one_line, serialize_labeled
 from brandpulse.operators.upsert import upsert_latest
 
 PREDICTIONS_SCHEMA = (
@@ -33,18 +34,24 @@ def _shape(df: DataFrame, num_files: int | None, single_file: bool, partition_co
     if single_file:
         return df.coalesce(1)
     if num_files:
-        return df.repartition(num_files, *partition_cols) if partition_cols else df.repartition(num_files)
+        # Rows are dealt round the files, not by the partition columns: a hot brand is spread over all tasks.
+        return df.repartition(num_files)
     if partition_cols:
         return df.hint("rebalance", *partition_cols)
     return df
 
 
-def write_label_split(df: DataFrame, path: str, single_file: bool = False, fmt: str = "text") -> None:
+def write_label_split(df: DataFrame, path: str, single_file: bool = False, fmt: str = "text",
+                      compat: bool = False) -> None:
     """K1: the four positive/negative x train/valid outputs as one partitioned write.
 
-    ``df`` is ``labels.label_split`` output; folders are ``split=<s>/label=<l>``.
+    ``df`` is ``labels.label_split`` output; folders are ``split=<s>/label=<l>``. As text, a review is one
+    line (line breaks become spaces; ``compat`` leaves them raw) and a missing one is the text 'None'.
     """
-    out = df.select("split", "label", "sentiment")
+    text = F.col("sentiment")
+    if fmt == "text":
+        text = F.coalesce(text if compat else one_line(text), F.lit(LABELED_NONE))
+    out = df.select("split", "label", text.alias("sentiment"))
     # single_file: one file per output folder, as the reference's coalesce(1) per part.
     out = out.repartition("split", "label") if single_file else _shape(out, None, False, ["split", "label"])
     writer = out.write.mode("error").partitionBy("split", "label")
@@ -55,22 +62,40 @@ def write_label_split(df: DataFrame, path: str, single_file: bool = False, fmt:
 
 
 def write_labeled_text(df: DataFrame, path: str, content_col: str = "content", label_col: str = "recommended",
-                       single_file: bool = False) -> None:
-    """K2: ``<content>:::<label>`` lines."""
-    out = _shape(df.select(serialize_labeled(content_col, label_col).alias("value")), None, single_file)
+                       single_file: bool = False, compat: bool = False) -> None:
+    """K2: ``<content>:::<label>`` lines, one for each review (see ``labels.serialize_labeled``)."""
+    out = _shape(df.select(serialize_labeled(content_col, label_col, compat).alias("value")), None, single_file)
     out.write.mode("error").text(path)
 
 
-def write_predictions(df: DataFrame, path: str, num_files: int | None = None, partition_by_term: bool = True) -> None:
-    """K3: append one run's prediction rows (ids are per run, so append == upsert).
+def run_folder(path: str, run_id: str) -> str:
+    """The folder of one run's prediction rows."""
+    return f"{path.rstrip('/')}/processing_id={run_id}"
+
+
+def write_predictions(df: DataFrame, path: str, run_id: str, num_files: int | None = None,
+                      partition_by_term: bool = True) -> None:
+    """K3: one run's prediction rows, keyed by ``(airline, id)`` within the run.
 
-    Partitioned by ``airline`` so a per-brand read prunes partitions.
+    A run owns the folder ``processing_id=<run_id>`` and replaces it as a whole, so writing the same run again
+    (after a lost job, or with the same id) repeats no row; other runs are not touched. Inside, rows are
+    partitioned by ``airline``, so a per-brand read prunes partitions.
     """
-    out = _shape(df, num_files, False, ["airline"] if partition_by_term else None)
-    writer = out.write.mode("append")
+    out = _shape(df.drop("processing_id"), num_files, False, ["airline"] if partition_by_term else None)
+    writer = out.write.mode("overwrite")
     if partition_by_term:
         writer = writer.partitionBy("airline")
-    writer.parquet(path)
+    writer.parquet(run_folder(path, run_id))
+
+
+def read_predictions(spark, path: str, run_id: str | None = None) -> DataFrame:
+    """K3 read back: all runs, or one run's folder only (no scan of the others)."""
+    cols = [c.split()[0] for c in PREDICTIONS_SCHEMA.split(", ")]
+    if run_id is None:
+        return spark.read.schema(PREDICTIONS_SCHEMA).parquet(path).select(*cols)
+    own = ", ".join(c for c in PREDICTIONS_SCHEMA.split(", ") if not c.startswith("processing_id"))
+    one = spark.read.schema(own).parquet(run_folder(path, run_id))
+    return one.withColumn("processing_id", F.lit(run_id)).select(*cols)
 
 
 def write_scores_version(spark, scores: DataFrame, table_root: str, key_cols: list[str] | None = None) -> str:
@@ -79,36 +104,46 @@ def write_scores_version(spark, scores: DataFrame, table_root: str, key_cols: li
     Entities not in this run keep their previous row. Each merge writes the
     next ``version=<n>`` folder (mode ``error``: a concurrent writer of the same
     version fails instead of overwriting) and never touches the one it reads.
+    A version counts once its commit marker is there; an unfinished one is skipped and its number not reused.
     """
     key_cols = key_cols or ["airline"]
-    table, latest = _latest_version(spark, table_root)
-    if latest is None:
-        merged, version = scores, 0
-    else:
-        old = table.where(F.col("version") == latest).drop("version")
-        merged, version = upsert_latest(old, scores.select(*old.columns), key_cols), latest + 1
-    target = f"{table_root.rstrip('/')}/version={version}"
+    versions = _versions(spark, table_root)
+    done = [v for v, committed in versions if committed]
+    merged = scores
+    if done:
+        old = _version(spark, table_root, max(done))
+        merged = upsert_latest(old, scores.select(*old.columns), key_cols)
+    target = f"{table_root.rstrip('/')}/version={max((v for v, _ in versions), default=-1) + 1}"
     merged.write.mode("error").parquet(target)
     return target
 
 
 def latest_scores(spark, table_root: str) -> DataFrame:
-    """Read the newest version written by ``write_scores_version``."""
-    table, latest = _latest_version(spark, table_root)
-    if latest is None:
+    """Read the newest committed version written by ``write_scores_version``."""
+    done = [v for v, committed in _versions(spark, table_root) if committed]
+    if not done:
         raise FileNotFoundError(f"no score versions under {table_root}")
-    return table.where(F.col("version") == latest).drop("version")
-
-
-def _latest_version(spark, table_root: str) -> tuple[DataFrame | None, int | None]:
-    """The versioned table (partition column ``version``) and its highest version, if any."""
-    try:
-        table = spark.read.parquet(table_root)
-    except Exception:  # noqa: BLE001 - no table yet (path not found)
-        return None, None
-    if "version" not in table.columns:
-        return None, None
-    return table, table.agg(F.max("version")).first()[0]
+    return _version(spark, table_root, max(done))
+
+
+def _version(spark, table_root: str, version: int) -> DataFrame:
+    return spark.read.parquet(f"{table_root.rstrip('/')}/version={version}")
+
+
+def _versions(spark, table_root: str) -> list[tuple[int, bool]]:
+    """Version folders under ``table_root`` and whether each is committed, from the folder listing alone."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(table_root)
+    fs = root.getFileSystem(conf)
+    if not fs.exists(root):
+        return []
+    out = []
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if name.startswith("version=") and name[8:].isdigit():
+            marker = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
+            out.append((int(name[8:]), bool(fs.exists(marker))))
+    return sorted(out)
 
 
 def error_report(report: DataFrame) -> list[str]:

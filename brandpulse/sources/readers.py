@@ -8,38 +8,19 @@ data). Message records are kept as raw JSON lines and parsed with a one-field
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from brandpulse.functions.text import json_text, record_text
 
 REVIEW_SCHEMA = "content STRING, recommended STRING"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str, spread: bool = False) -> DataFrame:
-    """A driver test table (one parquet file per table); ``cols`` prunes the scan.
+def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str, partitions: int | None = None) -> DataFrame:
+    """A driver test table; ``cols`` prunes the scan.
 
-    ``spread``: for text-heavy tables whose per-row work dominates (regex
-    cleaning), see ``spread``.
+    ``partitions``: deal the rows to so many partitions. For a small file of text-heavy rows, which is a single
+    input split; a large input has splits enough and needs none.
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     df = df.select(*cols) if cols else df
-    return spread_partitions(df) if spread else df
-
-
-def spread_partitions(df: DataFrame) -> DataFrame:
-    """Spread an under-partitioned scan over the cluster's cores.
-
-    A single-row-group file is one input split, so all per-row work would run in
-    one task. Only when the scan yields fewer partitions than the session's
-    default parallelism is it round-robin repartitioned; a large input (many
-    splits) is left as it is, so at scale this adds no shuffle.
-    """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no SparkContext (e.g. a Connect session): leave as is
-        return df
-    return df.repartition(target) if current < target else df
+    return df.repartition(partitions) if partitions else df
 
 
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -47,26 +28,16 @@ def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def read_messages(spark: SparkSession, path: str, compat: bool = False) -> DataFrame:
-    """S1 + F1-F4 + W2: JSON-lines messages to their usable ``text``.
-
-    Default: records without a string ``text`` are dropped. ``compat``: the
-    reference's rules (fail on a malformed line, drop text starting 'null').
-    """
-    from brandpulse.functions.text import emit_text
-
-    return read_json_lines(spark, path).select(emit_text(record_text("value", compat=compat), compat=compat).alias("text"))
-
-
 def read_reviews_csv(spark: SparkSession, path: str, schema: str | None = None, content_col: str = "content",
-                     label_col: str = "recommended") -> DataFrame:
+                     label_col: str = "recommended", multi_line: bool = True) -> DataFrame:
     """Review CSV with a header, every column a string.
 
-    ``multiLine`` with RFC-4180 quote doubling: review text holds newlines. With
+    RFC-4180 quote doubling. ``multi_line``: texts may hold line breaks; a file is then one task. Files whose
+    texts hold none should be read with ``multi_line=False``: they are split like any text. With
     an explicit ``schema`` the header is only skipped; without one the columns are
     taken from the header as strings (no type inference pass).
     """
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
     if schema:
         reader = reader.schema(schema)
     df = reader.csv(path)
@@ -91,24 +62,11 @@ def stream_json_lines(spark: SparkSession, path: str, max_files_per_trigger: int
     return reader.load(path)
 
 
-def message_fields(value_col: str = "value", fields: dict[str, str] | None = None) -> list:
-    """Typed top-level fields of a JSON record besides ``text`` (e.g. ids), pruned parse."""
-    fields = fields or {}
-    if not fields:
-        return []
-    ddl = ", ".join(f"`{k}` {v}" for k, v in fields.items())
-    parsed = F.from_json(F.col(value_col), ddl)
-    return [parsed[k].alias(k) for k in fields]
-
-
 __all__ = [
     "REVIEW_SCHEMA",
-    "json_text",
     "literal_samples",
-    "message_fields",
     "read_json_lines",
     "read_labeled_text",
-    "read_messages",
     "read_reviews_csv",
     "read_table",
     "stream_json_lines",
