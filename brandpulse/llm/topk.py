@@ -133,7 +133,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vect
                 q, qm, x, xm = _block(row, dim)
                 low = np.array(row["cut"], np.int64)
                 part, own = _partials(q, qm, x, xm, parts)
-                cut = -(-low // parts)          # ceil: a sum of `parts` longs reaches low only if one reaches this
+                cut = (low + (parts - 1)) // parts   # rounded up: a sum of parts reaches low only if one reaches this
                 hit = np.zeros(own.shape, bool)
                 for p in part:
                     hit |= p >= cut[:, None]
