@@ -126,8 +126,8 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     blocks = F.ceil(F.col("n_docs") / block_rows)
     planned = (
         rows.join(targets.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-        .withColumn("whole", F.floor(F.least(want, F.lit(float(cap)))))
-        .withColumn("part", F.when(F.col("size") > 0, F.least(want, F.lit(float(cap))) - F.col("whole")).otherwise(0.0))
+        .withColumn("whole", F.when(F.col("size") > 0, F.floor(F.least(want, F.lit(float(cap))))).otherwise(0).cast("long"))
+        .withColumn("part", F.when(F.col("size") > 0, F.least(want, F.lit(float(cap))) - F.col("whole")).otherwise(F.lit(0.0)))
         .withColumn("_block", F.pmod(F.xxhash64("_h", "_d"), blocks).cast("long"))
         .select("_d", "_h", "source", "size", "source_size", "target", "whole", "part", "_block")
     )
