@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LinearSVC, LinearSVCModel
 from pyspark.ml.feature import Word2Vec, Word2VecModel
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +40,7 @@ DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 DEFAULT_MAX_TRAIN_ROWS = 1_000_000
 # Partitions of the training rows. Word2Vec's result depends on it, so it is an argument and never taken
 # from the cluster.
-TRAIN_PARTITIONS = 8
+TRAIN_PARTITIONS = 4
 
 
 @dataclass
@@ -125,13 +125,13 @@ def token_margins(df: DataFrame, tokens_col: str, scores: DataFrame, intercept:
     intercept, a null one too. Token rows carry the key and the word only.
     """
     scores = _maybe_broadcast(scores, F.octet_length("_w") + 24, max_broadcast_bytes)
-    joined = F.array_join(F.coalesce(F.col(tokens_col), F.array().cast("array<string>")), " ", "")
-    key = F.unhex(F.md5(F.concat_ws(":", F.size(tokens_col).cast("string"), joined)))
-    keyed = df.withColumn("_k", key)
-    toks = keyed.select("_k", F.explode_outer(tokens_col).alias("_w"))
-    means = (toks.join(scores, "_w", "left").groupBy("_k")
+    # Hashes are never null, so no null check (which would run the tokens' expression again) is inferred.
+    key = {"_k1": F.xxhash64(tokens_col), "_k2": F.xxhash64(F.lit(1), tokens_col)}
+    keyed = df.withColumns(key)
+    toks = keyed.select(*key, F.explode_outer(tokens_col).alias("_w"))
+    means = (toks.join(scores, "_w", "left").groupBy(*key)
              .agg((F.lit(float(intercept)) + F.avg(F.coalesce("_s", F.lit(0.0)))).alias(out_col)))
-    return keyed.join(means, "_k", "left").drop("_k")
+    return keyed.join(means, list(key), "left").drop(*key)
 
 
 def doc_vectors(df: DataFrame, tokens_col: str, vectors: DataFrame, key_cols: list[str], dim: int,
@@ -178,22 +178,28 @@ def hinge_sgd(rows: DataFrame, features_col: str, label_col: str, dim: int, iter
     Step t moves by ``step / sqrt(t)`` along the mean gradient and shrinks the weights by the L2 term. Stops
     when the weights move by less than ``tolerance`` relative to their length (from the second step on).
     """
-    x, sign = F.col(features_col), 2.0 * F.col(label_col) - 1.0
-    weights = [0.0] * dim
-    for t in range(1, iterations + 1):
-        inside = sign * linear_margin(x, weights) < 1.0
-        push = F.when(inside, sign).otherwise(0.0)
-        row = rows.select(push.alias("_p"), x.alias("_x")).agg(
-            F.count(F.lit(1)), *[F.sum(F.col("_p") * F.col("_x")[i]) for i in range(dim)]).first()
-        if not row[0]:
-            return weights
-        rate = step / t ** 0.5
-        after = [w * (1.0 - rate * reg) + rate * g / row[0] for w, g in zip(weights, row[1:])]
-        moved = sum((a - b) ** 2 for a, b in zip(after, weights)) ** 0.5
-        weights = after
-        if t > 1 and moved < tolerance * max(sum(a * a for a in after) ** 0.5, 1.0):
-            break
-    return weights
+    from pyspark import StorageLevel
+    from pyspark.ml.stat import Summarizer
+
+    sign = 2.0 * F.col(label_col) - 1.0
+    # A row's push is label sign times features; it counts while its margin is below one.
+    signed = rows.select(F.transform(F.col(features_col), lambda v: v * sign).alias("_x"))
+    signed = signed.withColumn("_v", array_to_vector("_x")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n, weights = signed.count(), [0.0] * dim
+        for t in range(1, iterations + 1 if n else 0):
+            inside = signed.where(linear_margin(F.col("_x"), weights) < 1.0)
+            total = inside.agg(Summarizer.sum(F.col("_v"))).first()[0]
+            push = total.toArray().tolist() if total is not None and len(total) else [0.0] * dim
+            rate = step / t ** 0.5
+            after = [w * (1.0 - rate * reg) + rate * g / n for w, g in zip(weights, push)]
+            moved = sum((a - b) ** 2 for a, b in zip(after, weights)) ** 0.5
+            weights = after
+            if t > 1 and moved < tolerance * max(sum(a * a for a in after) ** 0.5, 1.0):
+                break
+        return weights
+    finally:
+        signed.unpersist()
 
 
 def fit_sentiment(train: DataFrame, input_col: str = "comment", label_col: str = "sentiment",

@@ -75,10 +75,35 @@ def test_sample_eval_uses_uncleaned_split(spark):
     assert r["n"] == samples.count() and 0.0 <= r["error"] <= 1.0
 
 
-def test_vocabulary_guard(spark):
-    df = _separable(spark, 20)
-    with pytest.raises(ValueError):
-        fit_sentiment(df, vector_size=8, iterations=1, max_model_bytes=10)
+def test_training_rows_are_bounded_not_refused(spark):
+    from brandpulse.operators.model import training_sample
+
+    df = _separable(spark, 400)
+    some = training_sample(df.select("comment", "sentiment"), 100, ["comment", "sentiment"])
+    assert sorted(map(str, some.collect())) == sorted(map(str, training_sample(
+        df.repartition(7).select("comment", "sentiment"), 100, ["comment", "sentiment"]).collect()))
+    assert training_sample(df, 400, ["comment", "sentiment"]).count() == 400
+    assert fit_sentiment(df, vector_size=4, iterations=2, seed=1, max_train_rows=200).predict(df).count() == 400
+
+
+def test_equal_token_lists_get_their_own_margin(spark):
+    """The folded path equals transform + classifier, with an intercept, on texts that clean to equal tokens."""
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.sql import functions as F
+
+    from brandpulse.operators.model import linear_margin, token_margins, word_scores
+
+    w2v = word2vec(vector_size=3, min_count=0, seed=1, num_partitions=1).fit(
+        spark.createDataFrame([(["klm", "great"],), (["bad", "klm"],)], "comment array<string>"))
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(
+        [["klm", "great"]] * 3 + [["bad"], ["bad", "unknown"], ["unknown"], [], ["klm", "klm"]])], "k int, comment array<string>")
+    weights, intercept = [0.5, -1.0, 2.0], -0.01
+    want = {r[0]: r[1] for r in w2v.transform(docs).select(
+        "k", linear_margin(vector_to_array("result"), weights, intercept)).collect()}
+    for limit in (0, 1 << 20):
+        got = token_margins(docs, "comment", word_scores(w2v.getVectors(), weights), intercept, max_broadcast_bytes=limit)
+        for r in got.collect():
+            assert r["margin"] == pytest.approx(want[r["k"]], abs=1e-6)
 
 
 def test_single_estimator_save_load(spark):

@@ -81,14 +81,22 @@ def test_partitioned_sink_is_rebalanced(spark):
     assert "REBALANCE_PARTITIONS_BY_COL" in _plan(_shape(df, None, False, ["airline"]))
 
 
-def test_single_split_scan_is_spread_and_large_is_not(spark):
-    from brandpulse.sources.readers import spread_partitions
-
-    one = spark.read.parquet(f"{SF01}/documents.parquet")
-    assert one.rdd.getNumPartitions() == 1
-    assert spread_partitions(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism * 2)
-    assert spread_partitions(many) is many
+def test_read_table_partitions_are_an_argument(spark):
+    from brandpulse.sources.readers import read_table
+
+    assert read_table(spark, SF01, "documents", "doc_id").rdd.getNumPartitions() == 1
+    assert read_table(spark, SF01, "documents", "doc_id", partitions=6).rdd.getNumPartitions() == 6
+
+
+def test_scoring_moves_no_array_after_the_token_join(spark):
+    from brandpulse.operators.model import token_margins
+
+    df = spark.createDataFrame([(["a", "b"],)], "comment array<string>")
+    words = spark.createDataFrame([("a", 1.0)], "_w string, _s double")
+    toks = token_margins(df, "comment", words, 0.0)
+    for node in re.findall(r"Exchange hashpartitioning\(_k[^\n]*", toks._jdf.queryExecution().toString()):
+        assert "array" not in node
+    assert "collect_list" not in _plan(toks) and "ArrowEval" not in _plan(toks)
 
 
 @pytest.mark.parametrize("large_terms", [False, True])

@@ -46,11 +46,7 @@ def test_dedup_stream_over_several_batches_equals_batch(spark):
         return sorted(tuple(r) for r in count_repeats(texts, "text").collect())
 
     assert sorted(tuple(r) for r in read_dedup_counts(spark, out).collect()) == want()
-    # Compact, then let more files arrive: base + newer updates still give the batch answer.
-    from brandpulse.streaming.ingest import compact_dedup_counts
-
-    upto = compact_dedup_counts(spark, out)
-    assert upto is not None and compact_dedup_counts(spark, out) == upto
+    # More files arrive: a restarted query adds them.
     conv = spark.read.parquet(f"{SF001}/conversations.parquet")
     conv.select(F.to_json(F.struct("conv_id", "turn", "text")).alias("value")).repartition(2).write.mode("append").text(src)
     dedup_stream(spark, src, out, ckpt, max_files_per_trigger=1).awaitTermination()
@@ -111,7 +107,7 @@ def test_run_score_job_versions(spark):
     s2 = run_score_job(spark, _msgs(spark, ["klm again", "klm more"]), None, "klm, delta", preds, root, model=model)
     got = {r["airline"]: r["total_comments"] for r in s2.collect()}
     assert got == {"klm": 2, "delta": 1}          # delta kept from the first run
-    assert spark.read.parquet(preds).count() == 4  # appended, partitioned by airline
+    assert spark.read.parquet(preds).count() == 4  # one folder for each run
     assert s1.count() == 2
 
 
@@ -175,5 +171,71 @@ def test_literal_rows_and_sink_layout_options(spark):
     assert len(parts) == len({os.path.dirname(p) for p in parts}) == 4
     preds = spark.range(1000).select(F.lit("klm").alias("airline"), F.col("id").cast("string").alias("id"))
     out = scratch_path(spark, "k3")
-    write_predictions(preds, out, num_files=3, partition_by_term=False)
+    write_predictions(preds, out, "r1", num_files=3, partition_by_term=False)
     assert len(files(out)) == 3
+
+
+def test_a_run_written_twice_repeats_no_row(spark):
+    from brandpulse.sinks.writers import read_predictions
+
+    model, root, preds = _model(spark), scratch_path(spark, "scores"), scratch_path(spark, "preds")
+    for compat in (False, True):
+        for _ in range(2):
+            scores = run_score_job(spark, _msgs(spark, ["klm and delta", "klm klm", "delta ok"]), None, "klm, delta", preds,
+                                   root, model=model, run_id=f"run-{compat}", compat=compat)
+        rows = read_predictions(spark, preds, f"run-{compat}").collect()
+        assert len(rows) == len({(r["airline"], r["id"]) for r in rows})
+        got = {r["airline"]: r["total_comments"] for r in scores.collect()}
+        assert got == ({"delta": 3, "klm": 2} if compat else {"klm": 3, "delta": 2})
+    assert {r["processing_id"] for r in read_predictions(spark, preds).collect()} == {"run-False", "run-True"}
+
+
+def test_unfinished_score_version_is_skipped(spark):
+    import os
+
+    from brandpulse.sinks.writers import latest_scores, write_scores_version
+
+    root = scratch_path(spark, "versions")
+    one = spark.createDataFrame([("klm", 0.5, "r1", 2, 1)], "airline string, score double, processing_id string, "
+                                "total_comments bigint, positive_comments bigint")
+    write_scores_version(spark, one, root)
+    os.makedirs(f"{root.replace('file:', '')}/version=1")       # a writer that was lost before it committed
+    assert [r["airline"] for r in latest_scores(spark, root).collect()] == ["klm"]
+    target = write_scores_version(spark, one.withColumn("airline", F.lit("delta")), root)
+    assert target.endswith("version=2")
+    assert sorted(r["airline"] for r in latest_scores(spark, root).collect()) == ["delta", "klm"]
+
+
+def test_one_term_rule_for_all_forms(spark):
+    model = _model(spark)
+    table = spark.createDataFrame([("Virgin America",), (None,), ("klm",), ("KLM ",)], "term string")
+    texts = ["virginamerica and klm", "klm", "virgin america", None]
+    messages = _msgs(spark, texts)
+    got = set()
+    for terms, limit in (("Virgin America,klm,KLM ", 10), (["Virgin America", None, "klm", "KLM "], 10),
+                         (["Virgin America", None, "klm"], 1), (table, 10), (table, 1)):
+        res = score_mentions(messages, None, terms, model=model, run_id="r", max_inline_terms=limit)
+        got.add(tuple(sorted((r["airline"], r["total_comments"]) for r in res.scores.collect())))
+    assert got == {(("klm", 2), ("virginamerica", 1))}
+
+
+def test_scratch_folder_must_be_named_on_a_cluster():
+    import pytest
+
+    from brandpulse.session import checkpoint_root
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError):
+        checkpoint_root(Session())
