@@ -3,6 +3,7 @@
 import random
 import re
 
+from brandpulse.llm import common
 from brandpulse.llm.minhash_dedup import minhash_dedup
 
 
@@ -41,7 +42,8 @@ def edited(rng, words, k):
     return words
 
 
-def test_groups_equal_brute_force(spark):
+def test_groups_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(common.slices, "__defaults__", ("_t", 3000))
     rng = random.Random(5)
     texts = [None, "", " \n", "one two", "One two", "one two three", "x " * 5000]
     for _ in range(25):

@@ -8,6 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from brandpulse.llm import common, repeats
 from brandpulse.llm.substring_dedup import substring_dedup
 from brandpulse.llm.suffix_dedup import suffix_dedup
 
@@ -49,9 +50,12 @@ def corpus(seed, n=60):
     return texts
 
 
-@pytest.mark.parametrize("hot", [512, 3])
+@pytest.mark.parametrize("hot,small", [(512, False), (512, True), (3, True)])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_both_equal_brute_force(spark, seed, hot):
+def test_both_equal_brute_force(spark, seed, hot, small, monkeypatch):
+    if small:       # texts and packed strings in many slices, groups carried over batch boundaries
+        monkeypatch.setattr(common.slices, "__defaults__", ("_t", 700))
+        monkeypatch.setattr(repeats, "BUCKET_BYTES", 500)
     texts = corpus(seed)
     docs = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(texts)], "doc_id long, text string, kept string")
     docs = docs.repartition(3)
