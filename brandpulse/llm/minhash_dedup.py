@@ -1,13 +1,15 @@
 """Near-duplicate groups by b-bit MinHash.
 
-Each text's distinct word shingles give 128 minima. Bands of whole minima propose candidates; of every
+Each text's distinct word shingles give 1024 minima. Bands of whole minima propose candidates; of every
 minimum the low two bits are kept and packed, and the similarity of a candidate pair is estimated by
 counting equal bit pairs, corrected for chance agreement. Pairs that may reach the threshold are
 confirmed on their full shingle sets; groups are the components of confirmed links.
 
 No bucket is expanded into all pairs. Equal sets are one node. A bucket first proposes a star around
-one member; after those links are confirmed and components known, only members of a bucket that lie
-outside its largest component are paired, with the members of other components.
+one member. After those links are confirmed and components known, further rounds pair the members of a
+bucket that lie outside its largest component with one drawn member of it. What still lies outside is
+compared with all members of other components in its buckets, so no link is lost; a pair that shares
+several bands comes from the first of them only.
 """
 
 from __future__ import annotations
@@ -23,12 +25,11 @@ from brandpulse.llm.common import Rolling, _U, lower_ascii, mix64, null_id, odd_
 from brandpulse.llm.components import connected_components
 from brandpulse.llm.repeats import Runs, _lists
 
-MINIMA = 128
-BAND_ROWS = 4          # a pair at 0.75 shares one of the 32 bands but for a chance of 5e-6
+MINIMA = 1024
+BANDS, BAND_ROWS = 32, 4   # a pair at 0.75 shares one of the 32 bands but for a chance of 5e-6
 BITS = 2
 _LONGS = MINIMA // 64
-_X = (odd_numbers(MINIMA, 5) >> _U(32)).astype(np.uint32) | np.uint32(1)
-_Y = (odd_numbers(MINIMA, 6) >> _U(32)).astype(np.uint32) | np.uint32(1)
+_ODD = (odd_numbers(MINIMA, 5) >> _U(32)).astype(np.uint32) | np.uint32(1)
 
 
 def shingle_sets(data: np.ndarray, off: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -55,12 +56,16 @@ def signatures(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.n
     """For texts with shingles: band keys (texts x bands) and packed low bits (texts x 2 planes of longs)."""
     counts = counts[counts > 0]
     at = np.cumsum(counts) - counts
+    # The i-th order of shingles: (upper half + i * lower half) * odd number, modulo 2**32.
     x, y = (hashes >> _U(32)).astype(np.uint32), hashes.astype(np.uint32)
+    ranked = np.empty_like(x)
     minima = np.empty((MINIMA, len(counts)), np.uint32)
-    for i in range(MINIMA):
-        minima[i] = np.minimum.reduceat(x * _X[i] + y * _Y[i], at) if len(counts) else 0
-    wide = minima.astype(np.uint64)
-    bands = np.empty((MINIMA // BAND_ROWS, len(counts)), np.uint64)
+    for i in range(MINIMA if len(counts) else 0):
+        x += y
+        np.multiply(x, _ODD[i], out=ranked)
+        np.minimum.reduceat(ranked, at, out=minima[i])
+    wide = minima[:BANDS * BAND_ROWS].astype(np.uint64)
+    bands = np.empty((BANDS, len(counts)), np.uint64)
     for j in range(len(bands)):
         key = np.full(len(counts), j + 1, np.uint64)
         for r in range(BAND_ROWS):
@@ -111,13 +116,13 @@ def estimate(a: Sequence[Column], b: Sequence[Column]) -> Column:
 
 
 def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = (),
-                  width: int = 5, percent: int = 75, slack: float = 0.25) -> DataFrame:
+                  width: int = 5, percent: int = 75, slack: float = 0.075, rounds: int = 3) -> DataFrame:
     """Groups of documents whose shingle sets reach ``percent`` per cent similarity, directly or by a chain.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; a set holds the distinct ``width``-word shingles
     (a shorter text: its whole word sequence). Returns ``(id_col, _h long: hash of the text, n_shingles long,
     component_id long, kept boolean)`` with one row per input row: the smallest id of the group, and whether
-    the row has it. Pairs whose estimate is below the threshold by ``slack`` (over five standard
+    the row has it. Pairs whose estimate is below the threshold by ``slack`` (over 4.5 standard
     deviations) are not confirmed.
 
     Defined cases: a null, empty or blank text has an empty set and is linked with nothing; a null id is the
@@ -133,14 +138,15 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # One row for each distinct set.
     one = full.join(low, ["node", "_d", "_h"]).select("node", "_d", "_h", "n", "bands",
                                                       *[F.get("bits", F.lit(i)).alias(f"b{i}") for i in range(2 * _LONGS)])
-    band = one.select("node", F.explode("bands").alias("band"))
+    band = one.select("node", F.posexplode("bands").alias("no", "band"))
     # Tables of keys are written before they are joined back: both sides of the join are then plain
     # shuffles, whose skewed partitions can be split (a hot band, node or bucket).
     buckets = scratch(band.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("far"))
                       .where("hub < far").select("band", "hub"), "minhash-buckets")
     member = scratch(band.join(buckets, "band"), "minhash-members")
     bits = [f"b{i}" for i in range(2 * _LONGS)]
-    needed = scratch(one.drop("bands").join(member.select("node").distinct(), "node").dropDuplicates(["node"]),
+    needed = scratch(one.withColumn("short", F.transform("bands", lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")))
+                     .drop("bands").join(member.select("node").distinct(), "node").dropDuplicates(["node"]),
                      "minhash-needed")
     sets = scratch(rows.join(needed.select("node", "_d", "_h"), ["_d", "_h"]).select("node", "_t")
                    .mapInArrow(_sets(width), "node long, set array<long>").dropDuplicates(["node"]), "minhash-sets")
@@ -164,23 +170,41 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         common = F.size(F.array_intersect("sa", "sb"))
         return both.where(100 * common >= percent * (F.col("na") + F.col("nb") - common)).select("a", "b")
 
+    def outside(comps: DataFrame, r: int) -> tuple[DataFrame, DataFrame]:
+        """Members of buckets that hold several components, with the bucket's largest; and a member drawn of it."""
+        placed = scratch(member.join(comps, "node", "left").select("no", "band", "node", F.coalesce("comp", "node").alias("comp")),
+                         "minhash-placed")
+        lot = F.struct(F.xxhash64(F.lit(r), "node").alias("lot"), "node")
+        split = scratch(placed.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("m"), F.min(lot).alias("lot"))
+                        .groupBy("band").agg(F.max(F.struct("m", "comp", "lot")).alias("most"), F.count(F.lit(1)).alias("parts"))
+                        .where("parts > 1").select("band", F.col("most.comp").alias("big"), F.col("most.lot.node").alias("draw")),
+                        "minhash-split")
+        return placed.join(split.select("band", "big"), "band"), split
+
     star = member.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     links = scratch(confirmed(may_link(star)), "minhash-star-links")
     comps = connected_components(links, "minhash-star")
 
-    placed = (member.join(comps, "node", "left").select("band", "node", F.coalesce("comp", "node").alias("comp")))
-    placed = scratch(placed, "minhash-placed")
-    split = scratch(placed.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("m"))
-                    .groupBy("band").agg(F.max(F.struct("m", "comp")).alias("most"), F.count(F.lit(1)).alias("parts"))
-                    .where("parts > 1").select("band", F.col("most.comp").alias("big")), "minhash-split")
-    mixed = scratch(placed.join(split, "band").join(side, "node"), "minhash-mixed")
-    a = mixed.where("comp <> big").select("band", F.col("node").alias("a"), F.col("comp").alias("ca"),
+    for r in range(rounds):
+        placed, split = outside(comps, r)
+        drawn = (placed.where("comp <> big").join(split.select("band", "draw"), "band")
+                 .select(F.col("draw").alias("a"), F.col("node").alias("b")).distinct())
+        more = scratch(confirmed(may_link(drawn)), "minhash-drawn-links")
+        if more.isEmpty():
+            break
+        links = links.unionByName(more)
+        comps = connected_components(links, "minhash-drawn")
+
+    placed, _ = outside(comps, rounds)
+    mixed = scratch(placed.join(needed.select("node", "n", "short", *bits), "node"), "minhash-mixed")
+    a = mixed.where("comp <> big").select("band", "no", F.col("short").alias("sa"), F.col("node").alias("a"), F.col("comp").alias("ca"),
                                           F.col("n").alias("na"), *[F.col(c).alias(f"a{c}") for c in bits])
-    b = mixed.select("band", "big", F.col("node").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"),
+    b = mixed.select("band", "big", F.col("short").alias("sb"), F.col("node").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"),
                      *[F.col(c).alias(f"b{c}") for c in bits])
     cross = (a.join(b, "band").where((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("big")) | (F.col("a") < F.col("b")))
-                                     & possible())
-             .select("a", "b", "na", "nb").distinct().join(star, ["a", "b"], "left_anti"))
+                                     & possible() & (F.array_position(F.zip_with("sa", "sb", lambda x, y: x == y), True)
+                                                     == F.col("no") + 1))
+             .select("a", "b", "na", "nb"))
     more = scratch(confirmed(cross), "minhash-cross-links")
     if not more.isEmpty():
         comps = connected_components(links.unionByName(more), "minhash-all")
