@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brandpulse.llm.common import null_id, row_keys
+from brandpulse.llm.common import null_id, row_keys, scratch
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -36,12 +36,13 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     hashes = F.transform(keys, lambda k: F.when(
         F.char_length(k) >= min_chars,
         F.struct(F.xxhash64(F.lit(1), k).alias("a"), F.xxhash64(F.lit(2), k).alias("b"))))
-    common = (
+    # Written before it is joined back: both sides of the join are then plain shuffles, whose skewed
+    # partitions can be split (a line that a third of all rows hold).
+    common = scratch(
         rows.select("_d", F.explode(F.array_distinct(hashes)).alias("k")).where("k IS NOT NULL")
         .select("_d", F.col("k.a").alias("_a"), F.col("k.b").alias("_b"))
         .groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("_n"), F.max("_d").alias("_keep"))
-        .where(F.col("_n") >= min_docs).select("_a", "_b", "_keep")
-    )
+        .where(F.col("_n") >= min_docs).select("_a", "_b", "_keep"), "common-lines")
     places = (
         rows.select("_d", "_h", F.posexplode(hashes).alias("_p", "k")).where("k IS NOT NULL")
         .select("_d", "_h", "_p", F.col("k.a").alias("_a"), F.col("k.b").alias("_b"))
