@@ -29,3 +29,14 @@ def connected_components(edges: DataFrame, name: str, max_rounds: int = 60) -> D
         if after.where("old <> comp").isEmpty():
             return labels
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+
+
+def merged_components(comps: DataFrame, links: DataFrame, name: str) -> DataFrame:
+    """``comps (node, comp)`` after further ``links (a, b)``: only the components that a link touches are solved anew."""
+    ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct()
+    alone = ends.join(comps, "node", "left_anti").select("node", F.col("node").alias("comp"))
+    known = scratch(comps.unionByName(alone), f"{name}-known")
+    a, b = (known.select(F.col("node").alias(c), F.col("comp").alias(f"c{c}")) for c in "ab")
+    between = links.join(a, "a").join(b, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()
+    solved = connected_components(between, name).select(F.col("node").alias("comp"), F.col("comp").alias("least"))
+    return scratch(known.join(solved, "comp", "left").select("node", F.coalesce("least", "comp").alias("comp")), f"{name}-merged")

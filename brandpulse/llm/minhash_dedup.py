@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brandpulse.llm.common import Rolling, _U, lower_ascii, mix64, null_id, odd_numbers, row_keys, scratch, slices, text_bytes, word_bounds
-from brandpulse.llm.components import connected_components
+from brandpulse.llm.components import connected_components, merged_components
 from brandpulse.llm.repeats import Runs, _lists
 
 MINIMA = 1024
@@ -116,7 +116,7 @@ def estimate(a: Sequence[Column], b: Sequence[Column]) -> Column:
 
 
 def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = (),
-                  width: int = 5, percent: int = 75, slack: float = 0.075, rounds: int = 3) -> DataFrame:
+                  width: int = 5, percent: int = 75, slack: float = 0.075, rounds: int = 1) -> DataFrame:
     """Groups of documents whose shingle sets reach ``percent`` per cent similarity, directly or by a chain.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; a set holds the distinct ``width``-word shingles
@@ -192,8 +192,7 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         more = scratch(confirmed(may_link(drawn)), "minhash-drawn-links")
         if more.isEmpty():
             break
-        links = links.unionByName(more)
-        comps = connected_components(links, "minhash-drawn")
+        comps = merged_components(comps, more, "minhash-drawn")
 
     placed, _ = outside(comps, rounds)
     mixed = scratch(placed.join(needed.select("node", "n", "short", *bits), "node"), "minhash-mixed")
@@ -207,7 +206,7 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
              .select("a", "b", "na", "nb"))
     more = scratch(confirmed(cross), "minhash-cross-links")
     if not more.isEmpty():
-        comps = connected_components(links.unionByName(more), "minhash-all")
+        comps = merged_components(comps, more, "minhash-all")
 
     named = comps.join(low.select("node", "_d"), "node")
     least = named.groupBy("comp").agg(F.min("_d").alias("least"))
