@@ -26,12 +26,14 @@ def multikey_sort(runs, place: np.ndarray, group: np.ndarray, s: Scheme) -> tupl
     cuts = np.linspace(0, s.window, _CHARACTERS + 1).astype(np.int64)
     active, tied = np.arange(len(place)), group.astype(np.uint64)
     for a, b in zip(cuts[:-1], cuts[1:]):
+        if not len(active):
+            break
         at = place[active]
         named = mix64(tied * _U(0x9E3779B97F4A7C15) + runs.of(at + a, at + b))
         order = np.argsort(named, kind="stable")
         same = named[order][1:] == named[order][:-1]
         keep = np.append(same, False) | np.append(False, same)
-        group_no = np.cumsum(np.append(True, ~same))[keep] if len(order) else order
+        group_no = np.cumsum(np.append(True, ~same))[keep]
         active, tied = active[order[keep]], group_no.astype(np.uint64)
     joined = np.flatnonzero(tied[1:] == tied[:-1])
     return active[joined], active[joined + 1]
