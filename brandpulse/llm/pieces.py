@@ -17,7 +17,7 @@ from brandpulse.llm.common import Rolling
 MARK = "▁"
 MARK_BYTES = MARK.encode()
 LONG_UNIT = 200          # characters; longer units are merged one by one with a heap
-INDEX_BYTES = 1 << 18    # unit bytes indexed at once
+INDEX_BYTES = 1 << 17    # unit bytes indexed at once
 _NONE = -np.inf
 
 
@@ -74,7 +74,7 @@ class Vocabulary:
 class Encoder:
     """Encodes units; what a task has seen is kept by hash, up to a bound, then started anew."""
 
-    def __init__(self, vocabulary: Vocabulary, most_units: int = 1_000_000):
+    def __init__(self, vocabulary: Vocabulary, most_units: int = 500_000):
         self.v = vocabulary
         self.most = most_units
         self.width = max(len(p) for p in vocabulary.pieces)
@@ -174,7 +174,8 @@ class Encoder:
         stop = np.repeat(first + size, size)
         unit_of = np.repeat(np.arange(len(size)), size)
         place, length, piece = self.edges(text, stop)
-        edge = np.zeros((total, self.width + 1), np.int32)     # edges by place (a counting sort) and length; 0: none
+        small = np.uint16 if len(self.v.table) < 1 << 16 else np.int32
+        edge = np.zeros((total, self.width + 1), small)        # edges by place (a counting sort) and length; 0: none
         edge[place, length] = piece
         lead = np.flatnonzero((text & 0xC0) != 0x80)
         if not len(lead) or lead[0] != 0:
@@ -219,7 +220,7 @@ class Encoder:
         count = np.where(unknown, after - begin, 1)
         at = np.cumsum(count) - count
         out = np.zeros(int(count.sum()), np.int32)
-        out[at[~unknown]] = ids[~unknown]
+        out[at[~unknown]] = ids[~unknown].astype(np.int32)
         raw = np.flatnonzero(unknown)
         if len(raw):        # characters without a piece: their bytes
             n = count[raw]

@@ -19,7 +19,7 @@ from brandpulse.llm.common import null_id, row_keys, slices
 from brandpulse.llm.pieces import Encoder, Vocabulary, marked, unit_bounds
 
 # Text bytes whose distinct units are indexed together.
-TASK_SLICE = 4 << 20
+TASK_SLICE = 1 << 20
 
 
 def _encoder(v: Vocabulary, carried: list[str]):
