@@ -1,4 +1,4 @@
-"""Connected components of an edge table, as joins: least-label spreading with pointer jumping."""
+"""Connected components of an edge table, as joins: hooking to the least neighbour, pointer jumping, contraction."""
 
 from __future__ import annotations
 
@@ -8,27 +8,42 @@ from pyspark.sql import functions as F
 from brandpulse.llm.common import scratch
 
 
-def connected_components(edges: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, name: str) -> DataFrame:
     """``(node, comp)`` for every node of ``edges (a, b)``: the least node that can be reached.
 
-    A round takes each node's least label among its neighbours, then the label of that label, so distances
-    shrink by half. Every round is written to the shared scratch folder. A node with very many links is
-    pre-aggregated in the minimum, and its partitions of the plain equi-joins can be split.
+    A round hooks every root to its least neighbouring root; of two that hook each other the smaller stays a
+    root, and it is the least of its tree. Trees are flattened by pointer jumping, then edges are mapped to
+    their roots, without loops and doubles. Every root with an edge joins another, so roots at least halve in a
+    round and there is no bound on rounds to reach. Every step is written to the shared scratch folder. A node with
+    very many links is pre-aggregated in the minimum, and its partitions of the plain equi-joins can be split.
     """
     both = scratch(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct(), f"{name}-edges")
-    labels = scratch(both.groupBy("a").agg(F.min("b").alias("near"))
-                     .select(F.col("a").alias("node"), F.least("a", "near").alias("comp")), f"{name}-labels")
-    for _ in range(max_rounds):
-        near = (both.join(labels.select(F.col("node").alias("b"), F.col("comp").alias("c")), "b")
-                .groupBy("a").agg(F.min("c").alias("c")).withColumnRenamed("a", "node"))
-        step = labels.join(near, "node").select("node", "comp", F.least("comp", "c").alias("c"))
-        over = labels.select(F.col("node").alias("c"), F.col("comp").alias("cc"))
-        after = scratch(step.join(over, "c").select("node", F.col("comp").alias("old"), F.least("c", "cc").alias("comp")),
-                        f"{name}-labels")
-        labels = after.select("node", "comp")
+    levels = []
+    while not both.isEmpty():
+        near = scratch(both.groupBy("a").agg(F.min("b").alias("near")), f"{name}-near")
+        back = near.select(F.col("a").alias("near"), F.col("near").alias("back"))
+        stays = (F.col("back") == F.col("a")) & (F.col("a") < F.col("near"))
+        hooked = near.join(back, "near").select(F.col("a").alias("node"), F.when(stays, F.col("a")).otherwise(F.col("near")).alias("comp"))
+        up = _flat(scratch(hooked, f"{name}-hooked"), name)
+        levels.append(up)
+        a, b = (up.select(F.col("node").alias(c), F.col("comp").alias(f"c{c}")) for c in "ab")
+        both = scratch(both.join(a, "a").join(b, "b").where("ca <> cb")
+                       .select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), f"{name}-edges")
+    comps = levels.pop() if levels else both.select(F.col("a").alias("node"), F.col("b").alias("comp"))
+    for up in reversed(levels):
+        over = comps.select(F.col("node").alias("comp"), F.col("comp").alias("over"))
+        comps = scratch(up.join(over, "comp", "left").select("node", F.coalesce("over", "comp").alias("comp")), f"{name}-labels")
+    return comps
+
+
+def _flat(up: DataFrame, name: str) -> DataFrame:
+    """Trees ``(node, comp: parent, its own for a root)`` to ``(node, comp: root)``; every jump halves the depth."""
+    while True:
+        over = up.select(F.col("node").alias("comp"), F.col("comp").alias("over"))
+        after = scratch(up.join(over, "comp").select("node", F.col("comp").alias("old"), F.col("over").alias("comp")), f"{name}-jumped")
+        up = after.select("node", "comp")
         if after.where("old <> comp").isEmpty():
-            return labels
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+            return up
 
 
 def merged_components(comps: DataFrame, links: DataFrame, name: str) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 import re
 
 from brandpulse.llm import common
+from brandpulse.llm.components import connected_components
 from brandpulse.llm.minhash_dedup import minhash_dedup
 
 
@@ -72,3 +73,15 @@ def test_one_large_group_and_repeated_rows(spark):
     assert all(got[(d, n)] == (c, k) for d, n, c, k in want)
     assert got[(500, 3)] == (None, False) and got[(None, 3)] == (None, True) and got[(None, 0)] == (None, True)
     assert minhash_dedup(docs.limit(0)).count() == 0
+
+
+def test_components_of_a_long_path_and_small_graphs(spark):
+    rng = random.Random(3)
+    path = [rng.getrandbits(62) - 2 ** 61 for _ in range(1000)]       # node labels in no order along the path
+    star = [(9, i) for i in range(1, 9)]
+    links = [*zip(path, path[1:]), *star, (20, 21), (21, 20), (30, 30)]
+    edges = spark.createDataFrame(links, "a long, b long").repartition(3)
+    got = {r.node: r.comp for r in connected_components(edges, "test-path").collect()}
+    want = {n: min(path) for n in path} | {n: 1 for n in range(1, 10)} | {20: 20, 21: 20}
+    assert got == want
+    assert connected_components(edges.limit(0), "test-none").count() == 0
