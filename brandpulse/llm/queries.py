@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brandpulse.llm import (
+    conversations,
     line_dedup,
     lm_scoring,
     minhash_dedup,
@@ -126,3 +127,8 @@ def op10(spark, sf):
 @register("op6_lm_scoring")
 def op6(spark, sf):
     return lm_scoring.lm_scores(table(spark, sf, "documents"), piece_model())
+
+
+@register("op13_conversation_repair")
+def op13(spark, sf):
+    return conversations.repair_conversations(table(spark, sf, "conversations"))
