@@ -21,6 +21,7 @@ from brandpulse.llm import (
     suffix_dedup,
     token_counts,
     topk,
+    whitening,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,3 +133,12 @@ def op6(spark, sf):
 @register("op13_conversation_repair")
 def op13(spark, sf):
     return conversations.repair_conversations(table(spark, sf, "conversations"))
+
+
+@register("op11_embedding_whitening")
+def op11(spark, sf):
+    out = whitening.whiten(table(spark, sf, "embeddings"))
+    one = F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "c")
+    return (out.select("vec_id", "n", F.col("deviation").cast("long").alias("deviation"), "identity_error", one)
+            .select("vec_id", (F.col("at") + 1).alias("component"), "n", "deviation",
+                    F.col("c.whitened").alias("whitened"), F.col("c.explained").alias("explained"), "identity_error"))
