@@ -15,6 +15,7 @@ from brandpulse.llm import (
     lm_scoring,
     minhash_dedup,
     mixing,
+    nbsvm,
     quality,
     sentencepiece_codec,
     substring_dedup,
@@ -142,3 +143,8 @@ def op11(spark, sf):
     return (out.select("vec_id", "n", F.col("deviation").cast("long").alias("deviation"), "identity_error", one)
             .select("vec_id", (F.col("at") + 1).alias("component"), "n", "deviation",
                     F.col("c.whitened").alias("whitened"), F.col("c.explained").alias("explained"), "identity_error"))
+
+
+@register("op12_quality_classifier")
+def op12(spark, sf):
+    return nbsvm.quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
