@@ -26,6 +26,7 @@ from brandpulse.operators.model import (
     word_scores,
 )
 from brandpulse.plans import sqlfrag as S
+from brandpulse.plans.catalog import _SQL as _SQL_OF
 from brandpulse.plans.catalog import TERMS, _docs, _labels, _score_sql, register
 from brandpulse.plans.composites import run_score_job, score_mentions, training_rows
 from brandpulse.session import scratch_path
@@ -38,6 +39,7 @@ from brandpulse.sinks.writers import (
 )
 from brandpulse.sources.readers import literal_samples, read_json_lines, read_labeled_text, read_reviews_csv, read_table
 from brandpulse.streaming.ingest import dedup_stream, ingest_stream, read_dedup_counts, route_stream
+from brandpulse.streaming.scores import read_stream_scores, scores_stream
 
 # Model settings of the reference (vector size 128, min count 0, 200 iterations), fixed seed.
 FIT = dict(vector_size=128, min_count=0, iterations=200, seed=7)
@@ -581,3 +583,32 @@ def q_brand_scores_compat(spark, sf):
     res = score_mentions(_messages(spark, sf), None, TERMS, compat=True, model=_rule_model(_reviews(spark, sf)), run_id="run-rule")
     rows = res.predictions.groupBy("airline").agg(F.count(F.lit(1)).alias("n_rows"))
     return res.scores.join(rows, "airline").select("airline", "score", "total_comments", "positive_comments", "n_rows")
+
+
+# X4, second half: the same scores, kept up over a stream that is stopped and started again.
+@register("stream_scores", "SELECT airline, score, total_comments, positive_comments FROM (" + _rule_sql(_SCORES_SQL) + ")")
+def q_stream_scores(spark, sf):
+    src, out, ckpt = (scratch_path(spark, n) for n in ("scores_src", "scores_out", "scores_ckpt"))
+    model = _rule_model(_reviews(spark, sf))
+    half = F.pmod(F.xxhash64("value"), F.lit(2))
+    messages = _messages(spark, sf)
+    for part in (0, 1):
+        messages.where(half == part).repartition(STREAM_FILES // 2).write.mode("append").text(src)
+        scores_stream(spark, src, out, ckpt, TERMS, model, max_files_per_trigger=FILES_PER_TRIGGER,
+                      compact_every=2).awaitTermination()
+    return read_stream_scores(spark, out)
+
+
+@register("scores_upsert_buckets", _SQL_OF["scores_upsert"])
+def q_scores_upsert_buckets(spark, sf):
+    from brandpulse.plans.catalog import _scores
+    from brandpulse.sinks.keyed import KeyedTable
+
+    table = KeyedTable(spark, scratch_path(spark, "scores_keyed"), ["airline"],
+                       "airline string, score double, total_comments bigint, positive_comments bigint", "latest")
+    first = _scores(spark, sf, "per_mention").withColumnRenamed("term", "airline")
+    second = _scores(spark, sf, "distinct").where(F.col("term").isin(TERMS[:3])).withColumnRenamed("term", "airline")
+    table.upsert(first)
+    table.compact()
+    table.upsert(second)
+    return table.read()

@@ -49,8 +49,9 @@ def test_dedup_stream_over_several_batches_equals_batch(spark):
     # More files arrive: a restarted query adds them.
     conv = spark.read.parquet(f"{SF001}/conversations.parquet")
     conv.select(F.to_json(F.struct("conv_id", "turn", "text")).alias("value")).repartition(2).write.mode("append").text(src)
-    dedup_stream(spark, src, out, ckpt, max_files_per_trigger=1).awaitTermination()
+    dedup_stream(spark, src, out, ckpt, max_files_per_trigger=1, compact_every=3).awaitTermination()
     assert sorted(tuple(r) for r in read_dedup_counts(spark, out).collect()) == want()
+    assert spark.read.parquet(out + "/updates").select("batch").distinct().count() < 3     # folded ones have expired
 
 
 def _msgs(spark, texts):
@@ -140,7 +141,7 @@ def test_windowed_dedup_stream_equals_batch(spark):
         spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").text(src)
     out, ckpt = scratch_path(spark, "o"), scratch_path(spark, "c")
     dedup_stream(spark, src, out, ckpt, max_files_per_trigger=1, window="1 day", watermark="1 hour").awaitTermination()
-    got = sorted(tuple(r) for r in read_dedup_counts(spark, out).collect())
+    got = sorted(tuple(r) for r in read_dedup_counts(spark, out, windowed=True).collect())
     raw = spark.read.text(src)
     rows = raw.select(record_text("value").alias("text"), record_time("value").alias("t"))
     want = sorted(tuple(r) for r in rows.groupBy(F.window("t", "1 day").alias("w"), "text").count().select(
