@@ -1,7 +1,8 @@
 """Sentiment model: word vectors + linear classifier.
 
 Spark ML does the distributed work: ``Word2Vec`` (M1), document vectors of the training rows (M2) and
-``LinearSVC`` (M5: hinge loss + L2, distributed L-BFGS over ``treeAggregate``). ``trainer="sgd"`` keeps the
+the linear classifier (M5: hinge loss + L2) in few jobs, by dual ascent inside partitions (``operators.dual``).
+``trainer="linearsvc"`` solves the same problem with Spark ML's L-BFGS, a job a step, and ``trainer="sgd"`` keeps the
 reference's optimiser, full-batch hinge-loss steps, as native aggregates (``hinge_sgd``).
 
 Scoring (M2 + M6) has one path at every size. The classifier is linear and a document vector is the mean of
@@ -23,6 +24,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from brandpulse.operators.dual import hinge_dual
 from brandpulse.operators.scoring import error_rate
 
 # Reference settings (fixed values): vector size 128, minimum count 0, 200 iterations.
@@ -48,7 +50,7 @@ class SentimentModel:
     """A fitted word-vector model and linear classifier."""
 
     w2v: Word2VecModel
-    weights: list[float] | None = None      # set for trainer="sgd"
+    weights: list[float] | None = None      # set for trainer="dual" and "sgd"
     intercept: float = 0.0
     svc: LinearSVCModel | None = None        # set for trainer="linearsvc"
     input_col: str = "comment"
@@ -204,7 +206,7 @@ def hinge_sgd(rows: DataFrame, features_col: str, label_col: str, dim: int, iter
 
 def fit_sentiment(train: DataFrame, input_col: str = "comment", label_col: str = "sentiment",
                   vector_size: int = VECTOR_SIZE, min_count: int = MIN_COUNT, iterations: int = SVM_ITERATIONS,
-                  trainer: str = "linearsvc", seed: int | None = 42, num_partitions: int = TRAIN_PARTITIONS,
+                  trainer: str = "dual", seed: int | None = 42, num_partitions: int = TRAIN_PARTITIONS,
                   reg_param: float = SGD_REG, max_train_rows: int = DEFAULT_MAX_TRAIN_ROWS) -> SentimentModel:
     """M1 + M3 + M5 (+M7's fit): word vectors on the training rows, then the classifier.
 
@@ -225,8 +227,11 @@ def fit_sentiment(train: DataFrame, input_col: str = "comment", label_col: str =
                 svc = LinearSVC(featuresCol="result", labelCol="label", maxIter=iterations, regParam=reg_param,
                                 fitIntercept=False, standardization=False, threshold=0.0)
                 return SentimentModel(w2v=w2v_model, svc=svc.fit(feats), input_col=input_col)
+            points = feats.select("label", vector_to_array("result").alias("x"))
+            if trainer == "dual":
+                fit = hinge_dual(points, "x", "label", vector_size, reg_param, seed=seed or 1)
+                return SentimentModel(w2v=w2v_model, weights=fit.weights, input_col=input_col)
             if trainer == "sgd":
-                points = feats.select("label", vector_to_array("result").alias("x"))
                 weights = hinge_sgd(points, "x", "label", vector_size, iterations, SGD_STEP, reg_param)
                 return SentimentModel(w2v=w2v_model, weights=weights, input_col=input_col)
             raise ValueError(f"unknown trainer {trainer!r}")

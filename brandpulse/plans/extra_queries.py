@@ -37,6 +37,7 @@ from brandpulse.sinks.writers import (
     write_labeled_text,
     write_scores_version,
 )
+from brandpulse.sources.records import read_json_concat, read_reviews_csv_split
 from brandpulse.sources.readers import literal_samples, read_json_lines, read_labeled_text, read_reviews_csv, read_table
 from brandpulse.streaming.ingest import dedup_stream, ingest_stream, read_dedup_counts, route_stream
 from brandpulse.streaming.scores import read_stream_scores, scores_stream
@@ -57,6 +58,34 @@ def _comment_sql() -> str:
 # ---------------------------------------------------------------------------
 # Sources and sinks through files
 
+_CSV_SQL = """
+SELECT d.doc_id, d.text AS content, CAST(l.quality AS VARCHAR) AS recommended
+FROM documents d JOIN labels l USING (doc_id)
+"""
+
+
+@register("csv_split_scan", _CSV_SQL)
+def q_csv_split_scan(spark, sf):
+    # One file, whole texts with their line breaks, read by byte ranges.
+    path = scratch_path(spark, "csv_split")
+    (_reviews(spark, sf).coalesce(1).write.option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    back = read_reviews_csv_split(spark, path, schema="doc_id BIGINT, content STRING, recommended STRING")
+    return back.select("doc_id", "content", "recommended")
+
+
+@register("json_concat_scan", "SELECT doc_id, text, lang FROM documents")
+def q_json_concat_scan(spark, sf):
+    # Objects appended one after the other: nothing stands between them.
+    path = scratch_path(spark, "json_concat")
+    docs = _docs(spark, sf, "doc_id", "text", "lang")
+    record = F.to_json(F.struct("doc_id", "text", "lang", F.struct(F.lit("}{").alias("name")).alias("user")))
+    (docs.select(F.substr(record, F.lit(1), F.char_length(record) - 1).alias("value")).coalesce(1)
+     .write.option("lineSep", "}").text(path))
+    back = read_json_concat(spark, path)
+    return back.select(*[json_field("value", c, t).alias(c) for c, t in (("doc_id", "BIGINT"), ("text", "STRING"), ("lang", "STRING"))])
+
+
 @register("csv_roundtrip", """
 SELECT d.doc_id, d.text AS content, CAST(l.quality AS VARCHAR) AS recommended
 FROM documents d JOIN labels l USING (doc_id)
@@ -225,6 +254,33 @@ def q_hinge_sgd_steps(spark, sf):
     return out.select("dim", F.round("w", 6).alias("weight"))
 
 
+# M5 by dual ascent, one dimension of the embeddings at a time: there the optimum can be stated. The objective is
+# convex and piecewise quadratic, so it lies at a breakpoint or where the slope between two breakpoints is zero.
+DUAL_DIMS, DUAL_REG = (0, 1, 2), 0.01
+_DUAL_SQL = "\nUNION ALL\n".join(f"""
+SELECT {d} AS dim, round(objective, 4) AS objective FROM (
+  WITH z AS (SELECT CAST(embedding[{d + 1}] AS DOUBLE) * (CASE WHEN label % 2 = 1 THEN 1 ELSE -1 END) AS z FROM embeddings),
+  b AS (SELECT DISTINCT 1 / z AS w FROM z WHERE z <> 0),
+  mids AS (SELECT (w + lead(w) OVER (ORDER BY w)) / 2 AS w FROM b
+           UNION ALL SELECT min(w) - 1 FROM b UNION ALL SELECT max(w) + 1 FROM b),
+  c AS (SELECT w FROM b UNION ALL
+        SELECT sum(CASE WHEN z * w < 1 THEN z ELSE 0 END) / ({DUAL_REG} * count(*)) FROM mids, z WHERE w IS NOT NULL GROUP BY w)
+  SELECT min(p) AS objective FROM (
+    SELECT w, avg(greatest(0, 1 - z * w)) + {DUAL_REG} / 2 * w * w AS p FROM c, z GROUP BY w))""" for d in DUAL_DIMS)
+
+
+@register("hinge_dual_objective", _DUAL_SQL)
+def q_hinge_dual_objective(spark, sf):
+    from brandpulse.operators.dual import hinge_dual
+
+    rows = read_table(spark, sf, "embeddings", "embedding", "label").repartition(4, "embedding")
+    out = []
+    for d in DUAL_DIMS:
+        points = rows.select(F.array(F.col("embedding")[d].cast("double")).alias("x"), (F.col("label") % 2).cast("double").alias("y"))
+        out.append((d, hinge_dual(points, "x", "y", 1, DUAL_REG, tolerance=1e-7).objective))
+    return spark.createDataFrame(out, "dim int, objective double").select("dim", F.round("objective", 4).alias("objective"))
+
+
 @register("sample_eval", """
 SELECT count(*) AS n, true AS error_in_range FROM benchmark
 """)
@@ -272,7 +328,7 @@ SELECT airline, 'run-model' AS processing_id, count(*) AS total_comments, true A
 def q_brand_scores_model(spark, sf):
     res = score_mentions(_messages(spark, sf), _reviews(spark, sf), TERMS, run_id="run-model", fit_kw=FIT)
     return res.scores.select("airline", "processing_id", "total_comments",
-                             (F.col("score") * F.col("total_comments") == F.col("positive_comments")).alias("score_in_range"))
+                             (F.round(F.col("score") * F.col("total_comments")) == F.col("positive_comments")).alias("score_in_range"))
 
 
 def _without_verdict(predictions: DataFrame) -> DataFrame:
