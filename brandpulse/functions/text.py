@@ -159,6 +159,28 @@ def json_text(c: ColumnOrName, field: str = "text", strict: bool = True, failfas
     return F.when(F.rtrim(line).endswith("}"), F.get(texts, F.lit(0)))
 
 
+def parsed_record(c: ColumnOrName, field: str = "text") -> Column:
+    """One parse of a raw line to a struct ``(text, reason)``; exactly one of both is not NULL.
+
+    ``text`` is that of ``record_text``. Reasons: ``empty`` (nothing but white space), ``malformed`` (not exactly one
+    JSON object), ``no_text`` (the field is missing or null), ``text_not_string``.
+    """
+    line = _col(c)
+    boxed = F.concat(F.lit("["), line, F.lit("]"))
+    once = F.struct(line.alias("line"), F.from_json(boxed, f"ARRAY<STRUCT<`{field}`: VARIANT>>").alias("records"))
+
+    def judge(x: Column) -> Column:
+        one = F.coalesce((F.size(x["records"]) == 1) & F.rtrim(x["line"]).endswith("}"), F.lit(False))
+        value = F.get(x["records"], F.lit(0))[field]
+        reason = (F.when(F.coalesce(F.trim(x["line"]), F.lit("")) == "", "empty").when(~one, "malformed")
+                  .when(value.isNull() | F.is_variant_null(value), "no_text")
+                  .when(F.schema_of_variant(value) != F.lit("STRING"), "text_not_string"))
+        text = F.when(reason.isNull(), rt_strip(ascii_strip(F.variant_get(value, "$", "string"))))
+        return F.struct(text.alias("text"), reason.alias("reason"))
+
+    return F.get(F.transform(F.array(once), judge), F.lit(0))
+
+
 def json_field(c: ColumnOrName, field: str, ddl_type: str = "STRING") -> Column:
     """F1 for any typed field: ``from_json`` with a one-field schema (pruned parse)."""
     return F.from_json(_col(c), f"`{field}` {ddl_type}")[field]

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from brandpulse.session import scratch_path
+
 
 def count_repeats(df: DataFrame, text_col: str = "text", extra_keys: list[str] | None = None) -> DataFrame:
     """A1 + F12: one row per distinct text with ``n`` (copies) and ``retweets`` (n - 1).
@@ -54,19 +56,31 @@ def rank_entities(scores: DataFrame, entity_col: str = "term", min_comments: int
                   top_k: int | None = None) -> DataFrame:
     """Rank entities by score (highest first), ties share a rank.
 
-    One row per entity. Ranks come from the distinct scores: entities are counted by score (a pre-aggregated
-    shuffle), the counts are summed down the scores, and an entity's rank is one more than the entities above
-    its score. Only the summing window is ordered in one place, over distinct score values, not entities.
-    ``top_k`` first finds the k-th best score by a top-k plan and drops what lies below it.
+    Ranks come from the distinct scores, each with its number of entities (a pre-aggregated shuffle), in range
+    partitions: a range is summed down on its own, the sums of the ranges before it are added, and an entity's rank
+    is one more than the entities above its score. The ranges are written once, so both steps see the same;
+    what meets in one place is one number for each range. ``top_k`` first finds the k-th best score by a top-k plan
+    and drops what lies below it.
     """
+    spark = scores.sparkSession
     kept = scores.where(F.col("total_comments") >= F.lit(min_comments))
     if top_k is not None:
         least = (kept.select("score").orderBy(F.col("score").desc_nulls_last()).limit(top_k)
                  .agg(F.min(F.coalesce("score", F.lit(float("-inf")))).alias("_least")))
         kept = kept.join(F.broadcast(least), F.coalesce("score", F.lit(float("-inf"))) >= F.col("_least")).drop("_least")
     per = kept.groupBy(F.col("score").alias("_score")).agg(F.count(F.lit(1)).alias("_n"))
-    above = Window.orderBy(F.col("_score").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranks = per.select("_score", (F.sum("_n").over(above) - F.col("_n") + 1).cast("int").alias("rank"))
+    path = scratch_path(spark, "rank-ranges")
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (per.repartitionByRange(ranges, F.col("_score").desc_nulls_last()).withColumn("_range", F.spark_partition_id())
+     .write.parquet(path))
+    per = spark.read.schema("_score double, _n bigint, _range int").parquet(path)
+    counts = dict(map(tuple, per.groupBy("_range").agg(F.sum("_n")).collect()))          # one row a range
+    before = [(r, sum(n for q, n in counts.items() if q < r)) for r in counts]
+    starts = F.broadcast(spark.createDataFrame(before, "_range int, _before bigint"))
+    above = (Window.partitionBy("_range").orderBy(F.col("_score").desc_nulls_last())
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranks = per.withColumn("_upto", F.sum("_n").over(above)).join(starts, "_range").select(
+        "_score", (F.col("_before") + F.col("_upto") - F.col("_n") + 1).cast("int").alias("rank"))
     ranked = kept.join(ranks, F.col("score").eqNullSafe(F.col("_score"))).drop("_score")
     return ranked if top_k is None else ranked.where(F.col("rank") <= F.lit(top_k))
 

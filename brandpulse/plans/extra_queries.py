@@ -668,3 +668,74 @@ def q_scores_upsert_buckets(spark, sf):
     table.compact()
     table.upsert(second)
     return table.read()
+
+
+# X1, then S1 over all its outputs: a record that names several terms is collected several times and counted once.
+@register("record_dedup", f"""
+SELECT text, count(*) AS n, count(*) - 1 AS retweets FROM (
+  SELECT {S.rt_sql(S.ascii_sql('text'))} AS text FROM conversations WHERE len({S.hits_sql(_conv_sql_tokens(), TERMS)}) > 0)
+GROUP BY text
+""")
+def q_record_dedup(spark, sf):
+    from brandpulse.operators.dedup_records import dedup_records
+    from brandpulse.operators.scoring import count_repeats
+    from brandpulse.plans.composites import message_texts
+    from brandpulse.streaming.ingest import routed_records
+
+    conv = read_table(spark, sf, "conversations", "conv_id", "turn", "text", partitions=STREAM_FILES)
+    raw = conv.select(F.to_json(F.struct(F.concat_ws(":", "conv_id", "turn").alias("id"), "text")).alias("value"))
+    out = scratch_path(spark, "collected")
+    routed_records(raw, TERMS).select("value", "stream").write.partitionBy("stream").text(out)
+    once = dedup_records(spark.read.text(out).select("value"))
+    return count_repeats(message_texts(once), "text")
+
+
+# Lines in every form a collector meets, blank ones included; each ends in exactly one output.
+@register("stream_deadletter", f"""
+SELECT outcome, reason, text, count(*) AS n FROM (
+  SELECT CASE WHEN reason IS NULL THEN 'records' ELSE 'dead' END AS outcome, reason,
+         CASE WHEN reason IS NULL THEN {S.rt_sql(S.ascii_sql('r'))} END AS text
+  FROM (SELECT CASE doc_id % 7 WHEN 0 THEN 'text_not_string' WHEN 1 THEN 'malformed' WHEN 2 THEN 'no_text'
+                               WHEN 3 THEN 'malformed' WHEN 4 THEN 'malformed' END AS reason,
+               CASE doc_id % 3 WHEN 0 THEN 'RT ' || text ELSE text END AS r FROM documents)
+  UNION ALL SELECT 'dead', 'empty', NULL FROM documents)
+GROUP BY outcome, reason, text
+""")
+def q_stream_deadletter(spark, sf):
+    from brandpulse.plans.catalog import _record_json
+    from brandpulse.streaming.routing import deadletter_stream, read_dead, read_records
+
+    src, out, ckpt = (scratch_path(spark, n) for n in ("dead_src", "dead_out", "dead_ckpt"))
+    docs = _docs(spark, sf, "doc_id", "text", "lang", "n_chars")
+    lines = docs.select(F.explode(F.array(_record_json(), F.lit("  "))).alias("value"))
+    lines.repartition(STREAM_FILES).write.text(src)
+    deadletter_stream(spark, src, out, ckpt, max_files_per_trigger=FILES_PER_TRIGGER).awaitTermination()
+    none = F.lit(None).cast("string")
+    both = (read_records(spark, out).select(F.lit("records").alias("outcome"), none.alias("reason"), "text")
+            .unionByName(read_dead(spark, out).select(F.lit("dead").alias("outcome"), "reason", none.alias("text"))))
+    return both.groupBy("outcome", "reason", "text").agg(F.count(F.lit(1)).alias("n"))
+
+
+# X1 with a term table: every distinct token of the benchmark texts, half of them added while the stream runs.
+@register("stream_route_table", f"""
+WITH terms AS (SELECT DISTINCT lower(unnest({S.tokens_sql('text')})) AS term FROM benchmark),
+live AS (SELECT term, 0 AS since FROM terms WHERE length(term) % 2 = 0 UNION ALL SELECT term, 1 FROM terms WHERE length(term) % 2 = 1)
+SELECT DISTINCT conv_id, turn, 'stream_' || regexp_replace(term, '[^-_.A-Za-z0-9]', '_', 'g') || '.json' AS stream
+FROM (SELECT conv_id, turn, conv_id % 2 AS part, unnest({_conv_sql_tokens()}) AS token FROM conversations) t
+JOIN live ON lower(t.token) = live.term AND live.since <= t.part
+""")
+def q_stream_route_table(spark, sf):
+    from brandpulse.streaming.routing import put_terms, route_table_stream
+
+    src, out, ckpt, root = (scratch_path(spark, n) for n in ("table_src", "table_out", "table_ckpt", "table_terms"))
+    bench = read_table(spark, sf, "benchmark", "text")
+    terms = bench.select(F.explode(clean_text_tokens("text")).alias("term")).distinct()
+    conv = read_table(spark, sf, "conversations", "conv_id", "turn", "role", "text")
+    record = F.to_json(F.struct("conv_id", "turn", "role", "text")).alias("value")
+    for part in (0, 1):       # the even conversations arrive first, before the terms of odd length are tracked
+        put_terms(spark, root, terms.where(F.char_length("term") % 2 == part))
+        conv.where(F.col("conv_id") % 2 == part).select(record).repartition(FILES_PER_TRIGGER).write.mode("append").text(src)
+        route_table_stream(spark, src, out, ckpt, root, max_files_per_trigger=FILES_PER_TRIGGER).awaitTermination()
+    back = spark.read.text(out)
+    return back.select(json_field("value", "conv_id", "BIGINT").alias("conv_id"),
+                       json_field("value", "turn", "BIGINT").alias("turn"), "stream").distinct()

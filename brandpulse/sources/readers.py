@@ -15,12 +15,14 @@ REVIEW_SCHEMA = "content STRING, recommended STRING"
 def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str, partitions: int | None = None) -> DataFrame:
     """A driver test table; ``cols`` prunes the scan.
 
-    ``partitions``: deal the rows to so many partitions. For a small file of text-heavy rows, which is a single
-    input split; a large input has splits enough and needs none.
+    ``partitions``: deal the rows to so many partitions where the scan has fewer splits than the session has cores
+    (a small file of text-heavy rows is a single split); a large input has splits enough and is not shuffled.
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     df = df.select(*cols) if cols else df
-    return df.repartition(partitions) if partitions else df
+    if partitions and df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
+        return df.repartition(partitions)
+    return df
 
 
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
