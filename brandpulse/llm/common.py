@@ -80,46 +80,98 @@ def odd_numbers(n: int, seed: int = 2) -> np.ndarray:
     return _stream(seed, n) | _U(1)
 
 
-_BASE = 0x2545F4914F6CDD1D
+# Hashes of runs are polynomials over the prime field of 2**31 - 1, in two lanes with bases of their own. (Sums
+# modulo 2**64 would be cheaper, but there long runs of two letters in certain orders agree whatever the base.)
+_P = _U(2 ** 31 - 1)
+_BASES = (1_220_703_125, 1_583_458_089)
+_SHIFT = _U(31)
+_CHUNK = 1 << 14
+_KEPT: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _fold(x: np.ndarray) -> np.ndarray:
+    """``x`` in place to a smaller number of the same residue (twice: to the residue or, at most, the prime more)."""
+    high = x >> _SHIFT
+    x &= _P
+    x += high
+    return x
 
 
-_POWERS: list = [np.zeros(0, np.uint64), np.zeros(0, np.uint64)]
+def _powers(base: int, n: int) -> np.ndarray:
+    out, done = np.ones(max(n, 1), np.uint64), 1
+    while done < n:
+        m = min(done, n - done)
+        out[done:done + m] = (out[:m] * _U(pow(base, done, int(_P)))) % _P
+        done += m
+    return out[:n]
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """``B**i`` and ``B**-i`` modulo 2**64 for ``i < n``; those for a usual slice are kept."""
-    if n <= len(_POWERS[0]):
-        return _POWERS[0][:n], _POWERS[1][:n]
-    n, asked = max(n, SLICE_BYTES + (1 << 16)), n
-    up = np.full(n, _BASE, np.uint64)
-    down = np.full(n, pow(_BASE, -1, 2 ** 64), np.uint64)
-    if n:
-        up[0] = down[0] = 1
-    up, down = np.multiply.accumulate(up), np.multiply.accumulate(down)
-    if n <= 2 * SLICE_BYTES:
-        _POWERS[:] = [up, down]
-    return up[:asked], down[:asked]
+def powers(lane: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """``B**i`` and ``B**-i`` of a lane's base for ``i < n``; those for a usual slice are kept."""
+    if lane in _KEPT and n <= len(_KEPT[lane][0]):
+        return _KEPT[lane][0][:n], _KEPT[lane][1][:n]
+    size = max(n, SLICE_BYTES + (1 << 16))
+    both = _powers(_BASES[lane], size), _powers(pow(_BASES[lane], -1, int(_P)), size)
+    if size <= 2 * SLICE_BYTES:
+        _KEPT[lane] = both
+    return both[0][:n], both[1][:n]
 
 
-class Rolling:
-    """Hashes of any byte ranges of one array, from a prefix sum of ``table[byte] * B**i``."""
+class Runs:
+    """Hashes of any runs of 64-bit values, from prefix sums of ``value * B**i``.
 
-    def __init__(self, data: np.ndarray, seed: int = 1):
-        up, self._down = powers(len(data) + 1)
-        self._sum = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(byte_table(seed)[data] * up[:len(data)], out=self._sum[1:])
+    Equal for equal runs. Two given unequal runs of n values collide with probability about 2**-62 over the choice of
+    the bases, and at most (n / 2**31) ** 2 whatever the runs are; where a hash decides alone, this is the chance
+    of error.
+    """
+
+    def __init__(self, values: np.ndarray):
+        n = len(values)
+        self._sums, self._downs = [], []
+        for lane, shift in enumerate((_U(0), _U(33))):
+            up, down = powers(lane, n + 1)
+            total = np.zeros(n + 1, np.uint64)
+            for a in range(0, n, _CHUNK):          # pieces that stay in the cache
+                x = values[a:a + _CHUNK] >> shift
+                x &= _P
+                x *= up[a:a + len(x)]
+                total[a + 1:a + 1 + len(x)] = _fold(x)
+            self._sums.append(np.cumsum(total, out=total))
+            self._downs.append(down)
+
+    @staticmethod
+    def _mixed(lanes: list[tuple[np.ndarray, np.ndarray]], length) -> np.ndarray:
+        """Differences of prefix sums, brought back to the first place, as one hash."""
+        out = []
+        for x, down in lanes:
+            x = _fold(_fold(x))
+            x *= down
+            x = _fold(_fold(x))
+            out.append(np.subtract(x, _P, out=x, where=x >= _P))
+        out[1] <<= _U(32)
+        out[0] |= out[1]
+        out[0] += length
+        return mix64(out[0])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Equal for equal byte strings; unequal strings collide with probability about 2**-60."""
-        raw = (self._sum[end] - self._sum[start]) * self._down[start]
-        return mix64(raw + (end - start).astype(np.uint64) * _U(0x9E3779B97F4A7C15))
+        return self._mixed([(t[end] - t[start], d[start]) for t, d in zip(self._sums, self._downs)],
+                           (end - start).astype(np.uint64) * _U(0x9E3779B97F4A7C15))
 
     def fixed(self, width: int) -> np.ndarray:
-        """Hash of every window of ``width`` bytes, by start."""
-        n = len(self._sum) - width
-        if n <= 0:
-            return np.zeros(0, np.uint64)
-        return mix64((self._sum[width:] - self._sum[:n]) * self._down[:n])
+        """Hash of every run of ``width`` values, by start."""
+        n = max(0, len(self._sums[0]) - width)
+        out = np.empty(n, np.uint64)
+        for a in range(0, n, _CHUNK):
+            b = min(a + _CHUNK, n)
+            out[a:b] = self._mixed([(t[a + width:b + width] - t[a:b], d[a:b]) for t, d in zip(self._sums, self._downs)], _U(0))
+        return out
+
+
+class Rolling(Runs):
+    """Hashes of any byte ranges of one array."""
+
+    def __init__(self, data: np.ndarray, seed: int = 1):
+        super().__init__(byte_table(seed)[data])
 
 
 # ---------------------------------------------------------------------------

@@ -21,9 +21,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brandpulse.llm.common import Rolling, _U, lower_ascii, mix64, null_id, odd_numbers, row_keys, scratch, slices, text_bytes, word_bounds
+from brandpulse.llm.common import Rolling, Runs, _U, lower_ascii, mix64, null_id, odd_numbers, row_keys, scratch, slices, text_bytes, word_bounds
 from brandpulse.llm.components import connected_components, merged_components
-from brandpulse.llm.repeats import Runs, _lists
+from brandpulse.llm.repeats import _lists
 
 MINIMA = 1024
 BANDS, BAND_ROWS = 32, 4   # a pair at 0.75 shares one of the 32 bands but for a chance of 5e-6

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brandpulse.llm.common import _U, byte_table, mix64, powers, scratch, slices, text_bytes, word_bounds
+from brandpulse.llm.common import _U, Runs, byte_table, mix64, scratch, slices, text_bytes, word_bounds
 
 HOT = 512
 BUCKET_BYTES = 1 << 20     # packed strings compared at once (a group of one anchor stays together)
@@ -49,23 +49,6 @@ class Scheme:
         return Runs(byte_table()[data]).of(start, end), start, end, first
 
 
-class Runs:
-    """Hashes of runs of 64-bit values, from prefix sums of ``value * B**i``."""
-
-    def __init__(self, values: np.ndarray):
-        up, self._down = powers(len(values) + 1)
-        self._sum = np.zeros(len(values) + 1, np.uint64)
-        np.cumsum(values * up[:len(values)], out=self._sum[1:])
-
-    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        raw = (self._sum[end] - self._sum[start]) * self._down[start]
-        return mix64(raw + (end - start).astype(np.uint64) * _U(0x9E3779B97F4A7C15))
-
-    def fixed(self, width: int) -> np.ndarray:
-        n = max(0, len(self._sum) - width)
-        return mix64((self._sum[width:width + n] - self._sum[:n]) * self._down[:n])
-
-
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     """Place of the leftmost least value (by its upper half) in every run of ``width`` values."""
     n = len(values)
