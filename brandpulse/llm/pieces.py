@@ -119,7 +119,38 @@ class Encoder:
         return self._ids, self._at[found][back], self._len[found][back]
 
     def encode(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pieces of every unit, one after the other, and how many each has."""
+        """Pieces of every unit, one after the other, and how many each has.
+
+        Units over ``INDEX_BYTES`` are cut first where no occurrence of a piece spans two neighbouring characters:
+        no merge can cross such a place, so the parts are units of their own.
+        """
+        far = np.flatnonzero(end - start > INDEX_BYTES)
+        if not len(far):
+            return self._encode_units(data, start, end)
+        cuts = [start]
+        for u in far.tolist():
+            cuts.append(self.free_places(data[start[u]:end[u]]) + start[u])
+        begin = np.unique(np.concatenate(cuts))
+        unit = np.searchsorted(start, begin, side="right") - 1
+        ids, lengths = self._encode_units(data, begin, np.minimum(np.append(begin[1:], end[-1]), end[unit]))
+        return ids, np.bincount(unit, weights=lengths, minlength=len(start)).astype(np.int64)
+
+    def free_places(self, text: np.ndarray) -> np.ndarray:
+        """Places inside a text where a character begins and that no piece spans, found block by block."""
+        out = []
+        for a in range(0, len(text), INDEX_BYTES):
+            low, high = max(0, a - self.width), min(len(text), a + INDEX_BYTES + self.width)
+            part = text[low:high]
+            place, length, _ = self.edges(part, np.full(len(part), len(part)))
+            mark = np.zeros(len(part) + 1, np.int64)
+            np.add.at(mark, place + 1, 1)
+            np.add.at(mark, place + length, -1)
+            free = (np.cumsum(mark[:-1]) == 0) & ((part & 0xC0) != 0x80)
+            places = np.flatnonzero(free) + low
+            out.append(places[(places >= max(a, 1)) & (places < a + INDEX_BYTES)])
+        return np.concatenate(out) if out else np.zeros(0, np.int64)
+
+    def _encode_units(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         size = end - start
         ids, lengths = [], np.zeros(len(start), np.int64)
         bounds = np.searchsorted(np.cumsum(size), np.arange(INDEX_BYTES, int(size.sum()) + INDEX_BYTES, INDEX_BYTES))

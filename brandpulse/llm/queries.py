@@ -101,7 +101,7 @@ def op4(spark, sf):
 
 @register("op3_minhash_dedup")
 def op3(spark, sf):
-    return minhash_dedup.minhash_dedup(table(spark, sf, "documents")).drop("_h")
+    return minhash_dedup.minhash_dedup(table(spark, sf, "documents")).drop("_h", "_group")
 
 
 def piece_model() -> str:

@@ -56,7 +56,7 @@ def test_groups_equal_brute_force(spark, monkeypatch):
     rng.shuffle(texts)
     rows = [(i * 3 % 1009, t) for i, t in enumerate(texts)]
     docs = spark.createDataFrame([(d, t, 1) for d, t in rows], "doc_id long, text string, n long").repartition(4)
-    got = sorted(map(tuple, minhash_dedup(docs).drop("_h").collect()))
+    got = sorted(map(tuple, minhash_dedup(docs).drop("_h", "_group").collect()))
     want = brute(rows)
     assert got == want
     assert any(not r[3] for r in want)
@@ -75,6 +75,43 @@ def test_one_large_group_and_repeated_rows(spark):
     assert minhash_dedup(docs.limit(0)).count() == 0
 
 
+def test_template_documents_do_not_meet(spark, monkeypatch):
+    from brandpulse.llm import minhash_dedup as M
+
+    rng = random.Random(11)
+    template = " ".join(f"t{i}" for i in range(60))
+    rows = [(i, template + " " + " ".join(f"w{rng.random():.6f}" for _ in range(60))) for i in range(300)]
+    near = [(1000 + i, " ".join(edited(rng, rows[i][1].split(), 2))) for i in range(0, 40, 2)]
+    counts, real = {}, M.scratch
+
+    def counted(df, name):
+        out = real(df, name)
+        counts[name] = out.count()
+        return out
+
+    monkeypatch.setattr(M, "scratch", counted)
+    docs = spark.createDataFrame(rows + near, "doc_id long, text string").repartition(3)
+    got = sorted(map(tuple, minhash_dedup(docs, rounds=0).drop("_h", "_group").collect()))
+    assert got == brute(rows + near)
+    # Template shingles are common and come last: hardly any set has one among its rarest.
+    assert counts["minhash-mixed"] > 200 and counts.get("minhash-apart", 0) <= 5 * len(near) * 30
+
+
+def test_words_that_collide_in_sums_modulo_a_power_of_two(spark):
+    pattern = [0]
+    while len(pattern) < 4096:
+        pattern += [1 - x for x in pattern]
+    rows = []
+    for n in (1024, 4096):
+        a, b = ("".join("ab"[x ^ k] for x in pattern[:n]) for k in (0, 1))
+        rows += [(len(rows), " ".join([a] * 5)), (len(rows) + 1, " ".join([b] * 5))]
+        rows += [(100 + len(rows), " ".join(["x y"[::2], *(["p q"[::2]] if k else []), a if k else b, "r", "s", "t"])) for k in (0, 1)]
+    # Runs of two words in the same orders.
+    rows += [(50 + k, " ".join("uv"[x ^ k] for x in pattern)) for k in (0, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, minhash_dedup(docs).drop("_h", "_group").collect())) == brute(rows)
+
+
 def test_components_of_a_long_path_and_small_graphs(spark):
     rng = random.Random(3)
     path = [rng.getrandbits(62) - 2 ** 61 for _ in range(1000)]       # node labels in no order along the path

@@ -74,3 +74,21 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
     assert sorted(map(tuple, got), key=str) == sorted([(1, 10, ""), (1, 10, ""), (None, 10, "x"), (None, 0, "")], key=str)
     for op in (suffix_dedup, substring_dedup):
         assert op(docs.limit(0)).count() == 0
+
+
+def test_patterns_that_collide_in_sums_modulo_a_power_of_two(spark):
+    pattern = [0]
+    while len(pattern) < 4096:
+        pattern += [1 - x for x in pattern]
+    word = lambda n, k: "".join("ab"[x ^ k] for x in pattern[:n])
+    texts = [" ".join(["one", word(n, k), *"c d e f g h i j".split()]) for n in (1024, 4096) for k in (0, 1)]
+    texts += [" ".join("uv"[x ^ k] for x in pattern[:2048]) for k in (0, 1)] + [word(1024, 0), word(1024, 1)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = (substring_dedup(docs, window=35, gram=5).select("doc_id", "n_units", "n_removed", F.size("removed"), F.sha2("kept", 256))
+           .orderBy("doc_id").collect())
+    assert [tuple(r)[1:] for r in got] == as_words(texts, 35)
+    got = (substring_dedup(docs, window=7, gram=3).select("doc_id", "n_units", "n_removed", F.size("removed"), F.sha2("kept", 256))
+           .orderBy("doc_id").collect())
+    assert [tuple(r)[1:] for r in got] == as_words(texts, 7)
+    got = suffix_dedup(docs).select("doc_id", "n_units", "n_removed", F.size("removed"), F.sha2("kept", 256)).orderBy("doc_id").collect()
+    assert [tuple(r)[1:] for r in got] == as_bytes(texts, 400)

@@ -52,3 +52,24 @@ def test_empty_table(spark):
     empty = docs(spark).limit(0)
     assert token_counts(empty, MODEL).count() == 0
     assert sentencepiece_decode(sentencepiece_encode(empty, MODEL), MODEL).count() == 0
+
+
+def test_units_that_collide_in_sums_modulo_a_power_of_two(spark):
+    lib = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    pattern = [0]
+    while len(pattern) < 4096:
+        pattern += [1 - x for x in pattern]
+    words = ["".join("ab"[x ^ k] for x in pattern[:n]) for n in (1024, 2048, 4096) for k in (0, 1)]
+    rows = [(i, w) for i, w in enumerate(words)] + [(99, " ".join(words))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert {r.doc_id: r.ids for r in sentencepiece_encode(df, MODEL).collect()} == {i: lib.encode(t) for i, t in rows}
+    assert {r.doc_id: r.n_tokens for r in token_counts(df, MODEL).collect()} == {i: len(lib.encode(t)) for i, t in rows}
+
+
+def test_long_unbroken_texts(spark):
+    lib = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    rng = random.Random(8)
+    rows = [(0, "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=") for _ in range(300_000))),
+            (1, "".join(rng.choice("日本é#xyz{};") for _ in range(150_000)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.ids for r in sentencepiece_encode(df, MODEL).collect()} == {i: lib.encode(t) for i, t in rows}
