@@ -46,11 +46,15 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: the one with the smallest id."""
-    kept = (minhash_dedup.minhash_dedup(docs, ID, TEXT).where("kept")
-            .select(id_key(ID).alias("_d"), "_h").distinct())
-    named = docs.withColumn("_d", id_key(ID)).withColumn("_h", F.xxhash64(F.coalesce(F.col(TEXT), F.lit(""))))
-    return named.join(kept, ["_d", "_h"], "left_semi").select(*docs.columns)
+    """One document of each near-duplicate group stays: the one with the smallest id, of several the one with the
+    smallest hash of its text, and of repeated rows one. Texts without words are in no group and stay."""
+    groups = minhash_dedup.minhash_dedup(docs, ID, TEXT).withColumn("_d", id_key(ID))
+    chosen = (groups.where("_group IS NOT NULL").groupBy("_group").agg(F.min(F.struct("_d", "_h")).alias("row")).select("row.*")
+              .unionByName(groups.where("_group IS NULL").select("_d", "_h").distinct().withColumn("_every", F.lit(True)), True))
+    named = docs.select(F.struct("*").alias("_row"), id_key(ID).alias("_d"),
+                        F.xxhash64(F.coalesce(F.col(TEXT), F.lit(""))).alias("_h"))
+    kept = named.join(chosen, ["_d", "_h"]).withColumn("_alone", F.when(F.col("_every"), F.monotonically_increasing_id()))
+    return kept.dropDuplicates(["_d", "_h", "_alone"]).select("_row.*")
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
