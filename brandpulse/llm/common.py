@@ -126,16 +126,21 @@ class Runs:
     """
 
     def __init__(self, values: np.ndarray):
-        n = len(values)
+        self._prepare(len(values), [lambda some, k=k: (values[some] >> _U(33 * k)) & _P for k in (0, 1)])
+
+    def _prepare(self, n: int, lanes) -> None:
+        """``lanes`` give the numbers below the prime of a range of values, a new array each time."""
         self._sums, self._downs = [], []
-        for lane, shift in enumerate((_U(0), _U(33))):
+        high = np.empty(_CHUNK, np.uint64)
+        for lane, numbers in enumerate(lanes):
             up, down = powers(lane, n + 1)
             total = np.zeros(n + 1, np.uint64)
             for a in range(0, n, _CHUNK):          # pieces that stay in the cache
-                x = values[a:a + _CHUNK] >> shift
-                x &= _P
+                x = numbers(slice(a, a + _CHUNK))
                 x *= up[a:a + len(x)]
-                total[a + 1:a + 1 + len(x)] = _fold(x)
+                np.right_shift(x, _SHIFT, out=high[:len(x)])
+                x &= _P
+                np.add(x, high[:len(x)], out=total[a + 1:a + 1 + len(x)])
             self._sums.append(np.cumsum(total, out=total))
             self._downs.append(down)
 
@@ -171,7 +176,8 @@ class Rolling(Runs):
     """Hashes of any byte ranges of one array."""
 
     def __init__(self, data: np.ndarray, seed: int = 1):
-        super().__init__(byte_table(seed)[data])
+        tables = [(byte_table(seed) >> _U(33 * k)) & _P for k in (0, 1)]
+        self._prepare(len(data), [lambda some, t=t: t[data[some]] for t in tables])
 
 
 # ---------------------------------------------------------------------------
