@@ -42,6 +42,14 @@ def null_id(col: str = "_d") -> Column:
     return F.when(F.col(col) != F.lit(NULL_ID), F.col(col))
 
 
+def one_thread(spark) -> None:
+    """Let numpy's matrix products in Python workers use the one core of their task, not every core of the executor.
+
+    (Several threads spin on each other's products of a few thousand rows: twice the CPU time for no gain.)
+    """
+    spark.sparkContext.environment.setdefault("OPENBLAS_NUM_THREADS", "1")
+
+
 def scratch(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared scratch folder and read it from there (cuts lineage)."""
     spark = df.sparkSession
