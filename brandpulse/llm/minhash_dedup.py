@@ -5,11 +5,12 @@ minimum the low two bits are kept and packed, and the similarity of a candidate
 counting equal bit pairs, corrected for chance agreement. Pairs that may reach the threshold are
 confirmed on their full shingle sets; groups are the components of confirmed links.
 
-No bucket is expanded into all pairs. Equal sets are one node. A bucket first proposes a star around
+Equal sets are one node. A bucket first proposes a star around
 one member. After those links are confirmed and components known, further rounds pair the members of a
-bucket that lie outside its largest component with one drawn member of it. What still lies outside meets the
-members of all such buckets by its rarest shingles (see below): an exact filter, so no link between them is
-lost, and documents that share a template but little else do not meet.
+bucket that lie outside its largest component with one drawn member of it. What still lies outside is compared
+with the members of other components in its buckets, once an exact filter on rare shingles has taken out the
+members that can reach nobody there (documents that share a template but little else). A bucket of many sets that
+do share rare shingles but stay below the threshold still costs the square of their number.
 """
 
 from __future__ import annotations
@@ -145,7 +146,8 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                       .where("hub < far").select("band", "hub"), "minhash-buckets")
     member = scratch(band.join(buckets, "band"), "minhash-members")
     bits = [f"b{i}" for i in range(2 * _LONGS)]
-    needed = scratch(one.drop("bands").join(member.select("node").distinct(), "node").dropDuplicates(["node"]),
+    needed = scratch(one.withColumn("short", F.transform("bands", lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")))
+                     .drop("bands").join(member.select("node").distinct(), "node").dropDuplicates(["node"]),
                      "minhash-needed")
     sets = scratch(rows.join(needed.select("node", "_d", "_h"), ["_d", "_h"]).select("node", "_t")
                    .mapInArrow(_sets(width), "node long, set array<long>").dropDuplicates(["node"]), "minhash-sets")
@@ -193,31 +195,34 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             break
         comps = merged_components(comps, more, "minhash-drawn")
 
-    # What still lies outside. Of two sets that reach the threshold each has one of the other's rarest shingles among
-    # its own rarest: the first n - ceil(n * threshold) + 1 in an order that all sets share, rarest first. Only sets
-    # that agree in such a shingle meet, whatever buckets they are in; template shingles are common and come last.
+    # What still lies outside meets the other components in its buckets. Of two sets that reach the threshold each
+    # has one of the other's rarest shingles among its own rarest: the first n - ceil(n * threshold) + 1 in an order
+    # that all sets share, rarest first. So only members stay that share such a shingle with another component of
+    # their bucket; template shingles are common and come last.
     placed, _ = outside(comps, rounds)
-    mixed = scratch(placed.groupBy("node").agg(F.min("comp").alias("comp"), F.max((F.col("comp") != F.col("big")).cast("int")).alias("out")),
-                    "minhash-mixed")
+    mixed = scratch(placed.select("node").distinct(), "minhash-mixed")
     if not mixed.isEmpty():
-        item = mixed.select("node").join(sets, "node").select("node", F.explode("set").alias("item"))
+        item = mixed.join(sets, "node").select("node", F.explode("set").alias("item"))
         often = scratch(item.groupBy("item").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "minhash-often")
         ordered = (item.join(often, "item", "left").groupBy("node")
                    .agg(F.array_sort(F.collect_list(F.struct(F.coalesce("m", F.lit(1)).alias("m"), "item"))).alias("all")))
         first = F.size("all") - F.ceil(F.size("all") * F.lit(percent) / 100.0).cast("int") + 1
-        heads = (ordered.select("node", F.explode(F.slice("all", F.lit(1), first)).alias("s")).where("s.m > 1")
-                 .select("node", F.col("s.item").alias("item")).join(mixed, "node")
-                 .join(needed.select("node", "n"), "node"))
-        heads = scratch(heads, "minhash-heads")
-        # A shingle whose sets are all of one component has nothing to add.
-        apart = heads.groupBy("item").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("item")
-        heads = scratch(heads.join(apart, "item"), "minhash-apart")
-        a = heads.where("out = 1").select("item", F.col("node").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"))
-        b = heads.select("item", F.col("node").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"), F.col("out").alias("ob"))
-        sizes = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-        cross = (a.join(b, "item").where((F.col("ca") != F.col("cb")) & ((F.col("ob") == 0) | (F.col("a") < F.col("b"))) & sizes)
-                 .select("a", "b").distinct())
-        more = scratch(confirmed(may_link(cross)), "minhash-cross-links")
+        heads = scratch(ordered.select("node", F.explode(F.slice("all", F.lit(1), first)).alias("s")).where("s.m > 1")
+                        .select("node", F.col("s.item").alias("item")), "minhash-heads")
+        met = placed.select("band", "node", "comp").join(heads, "node")
+        apart = scratch(met.groupBy("band", "item").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
+                        .select("band", "item"), "minhash-apart")
+        live = scratch(met.join(apart, ["band", "item"]).select("band", "node").distinct(), "minhash-live")
+        near = scratch(placed.join(live, ["band", "node"]).join(needed.select("node", "n", "short", *bits), "node"), "minhash-near")
+        a = near.where("comp <> big").select("band", "no", F.col("short").alias("sa"), F.col("node").alias("a"), F.col("comp").alias("ca"),
+                                             F.col("n").alias("na"), *[F.col(c).alias(f"a{c}") for c in bits])
+        b = near.select("band", "big", F.col("short").alias("sb"), F.col("node").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"),
+                        *[F.col(c).alias(f"b{c}") for c in bits])
+        cross = (a.join(b, "band").where((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("big")) | (F.col("a") < F.col("b")))
+                                         & possible() & (F.array_position(F.zip_with("sa", "sb", lambda x, y: x == y), True)
+                                                         == F.col("no") + 1))
+                 .select("a", "b", "na", "nb"))
+        more = scratch(confirmed(cross), "minhash-cross-links")
         if not more.isEmpty():
             comps = merged_components(comps, more, "minhash-all")
 
