@@ -1,10 +1,10 @@
 """Suffix-array dedup: byte strings of a fixed length that start more than once are cut out.
 
 Suffixes enter at their anchors (see ``repeats``). Sampled splitters range-partition them by their leading
-bytes; a bucket sorts the suffixes that its packed strings hold by multikey quicksort, a quarter of the
-window's length being one character (its 64-bit name), and neighbours are compared byte by byte. Ranges are cut between
-different leads, so equal suffixes share a bucket; classes too large for one bucket are compared across all
-buckets by counting.
+bytes; a bucket orders the suffixes that its packed strings hold by four keys, the hashes of the window's quarters, one
+key after the other within equal ones, and neighbours are compared byte by byte. (The order groups equal suffixes; it
+is not the order of their bytes.) Ranges are cut between different leads, so equal suffixes share a bucket; exact
+copies and classes too large for one bucket are settled by counts of hashes across all buckets.
 """
 
 from __future__ import annotations

@@ -1,10 +1,9 @@
-"""Token counts by finite-state transducers over chunks of text.
+"""Token counts from composable maps of chunks of text.
 
-The tokenizer is compiled into a transducer over bytes: its state is the unit read so far, a transition
-inside a unit emits nothing, one that ends a unit emits the unit's token count (compiled once for each
-distinct unit). A chunk of text is a map of states: whatever state it is entered in, after its first cut the
-rest is fixed. Such a map is (bytes up to the first cut, tokens emitted between cuts, bytes after the last
-cut); maps compose associatively, and the chunks of a long text are composed in a tree.
+No finite transducer is compiled: the state between two bytes is the unit read so far, and a unit's token count comes
+from the piece encoder (each distinct unit of a task once). A chunk of text is a map of such states: whatever state
+it is entered in, after its first cut the rest is fixed. The map is (bytes up to the first cut, tokens between cuts,
+bytes after the last cut); maps compose associatively, and the chunks of a long text are reduced in a tree.
 """
 
 from __future__ import annotations
