@@ -3,7 +3,8 @@
 Spark ML does the distributed work: ``Word2Vec`` (M1), document vectors of the training rows (M2) and
 the linear classifier (M5: hinge loss + L2) in few jobs, by dual ascent inside partitions (``operators.dual``).
 ``trainer="linearsvc"`` solves the same problem with Spark ML's L-BFGS, a job a step, and ``trainer="sgd"`` keeps the
-reference's optimiser, full-batch hinge-loss steps, as native aggregates (``hinge_sgd``).
+reference's optimiser, full-batch hinge-loss steps, as native aggregates (``hinge_sgd``). ``vectors="table"`` learns the
+word vectors of all rows over partitioned tables (``operators.word_table``) where a vocabulary is too large for the driver.
 
 Scoring (M2 + M6) has one path at every size. The classifier is linear and a document vector is the mean of
 its word vectors, so the classifier is folded into the words: ``s(word) = w . v(word)``, one DOUBLE for each
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 
 from brandpulse.operators.dual import hinge_dual
 from brandpulse.operators.scoring import error_rate
+from brandpulse.operators.word_table import WordTable, fit_word_table
 
 # Reference settings (fixed values): vector size 128, minimum count 0, 200 iterations.
 VECTOR_SIZE = 128
@@ -49,7 +51,7 @@ TRAIN_PARTITIONS = 4
 class SentimentModel:
     """A fitted word-vector model and linear classifier."""
 
-    w2v: Word2VecModel
+    w2v: Word2VecModel | WordTable
     weights: list[float] | None = None      # set for trainer="dual" and "sgd"
     intercept: float = 0.0
     svc: LinearSVCModel | None = None        # set for trainer="linearsvc"
@@ -57,7 +59,7 @@ class SentimentModel:
     features_col: str = "result"
 
     def vectors(self, df: DataFrame) -> DataFrame:
-        """M2: add the document vector column (``Word2VecModel.transform``; for training and samples)."""
+        """M2: add the document vector column (``transform`` of the word vectors; for training and samples)."""
         return self.w2v.transform(df)
 
     def linear(self) -> tuple[list[float], float]:
@@ -75,10 +77,14 @@ class SentimentModel:
 
     def save(self, path: str) -> None:
         """K6 + K7: persist both parts under one folder (new path, never in place)."""
-        self.w2v.write().overwrite().save(f"{path}/word2vec")
+        vectors = "table" if isinstance(self.w2v, WordTable) else "word2vec"
+        if vectors == "table":
+            self.w2v.save(f"{path}/word2vec")
+        else:
+            self.w2v.write().overwrite().save(f"{path}/word2vec")
         spark = self.w2v.getVectors().sparkSession
         kind = "linearsvc" if self.svc is not None else "sgd"
-        spark.createDataFrame([(kind,)], "trainer string").write.mode("overwrite").json(f"{path}/kind")
+        spark.createDataFrame([(kind, vectors)], "trainer string, vectors string").write.mode("overwrite").json(f"{path}/kind")
         if self.svc is not None:
             self.svc.write().overwrite().save(f"{path}/classifier")
         else:
@@ -88,9 +94,14 @@ class SentimentModel:
     @staticmethod
     def load(spark, path: str) -> "SentimentModel":
         """S5 + S6: load a model saved by ``save``."""
-        w2v = Word2VecModel.load(f"{path}/word2vec")
-        cols = dict(w2v=w2v, input_col=w2v.getInputCol(), features_col=w2v.getOutputCol())
-        if spark.read.schema("trainer string").json(f"{path}/kind").first()["trainer"] == "linearsvc":
+        kind = spark.read.schema("trainer string, vectors string").json(f"{path}/kind").first()
+        if kind["vectors"] == "table":
+            w2v = WordTable.load(spark, f"{path}/word2vec")
+            cols = dict(w2v=w2v, input_col=w2v.input_col, features_col=w2v.features_col)
+        else:
+            w2v = Word2VecModel.load(f"{path}/word2vec")
+            cols = dict(w2v=w2v, input_col=w2v.getInputCol(), features_col=w2v.getOutputCol())
+        if kind["trainer"] == "linearsvc":
             return SentimentModel(svc=LinearSVCModel.load(f"{path}/classifier"), **cols)
         row = spark.read.parquet(f"{path}/sgd_weights").first()
         return SentimentModel(weights=list(row["weights"]), intercept=row["intercept"], **cols)
@@ -207,19 +218,27 @@ def hinge_sgd(rows: DataFrame, features_col: str, label_col: str, dim: int, iter
 def fit_sentiment(train: DataFrame, input_col: str = "comment", label_col: str = "sentiment",
                   vector_size: int = VECTOR_SIZE, min_count: int = MIN_COUNT, iterations: int = SVM_ITERATIONS,
                   trainer: str = "dual", seed: int | None = 42, num_partitions: int = TRAIN_PARTITIONS,
-                  reg_param: float = SGD_REG, max_train_rows: int = DEFAULT_MAX_TRAIN_ROWS) -> SentimentModel:
+                  reg_param: float = SGD_REG, max_train_rows: int = DEFAULT_MAX_TRAIN_ROWS,
+                  vectors: str = "word2vec", **table_kw) -> SentimentModel:
     """M1 + M3 + M5 (+M7's fit): word vectors on the training rows, then the classifier.
 
     Uses at most about ``max_train_rows`` rows. They are dealt to ``num_partitions`` partitions by hash and
     sorted there, so the result does not depend on the cluster's cores or on the input's layout.
+    ``vectors="table"`` learns word vectors from every row (``fit_word_table``, which takes ``table_kw``); only the
+    classifier keeps to ``max_train_rows``.
     """
     from pyspark import StorageLevel
 
+    if vectors not in ("word2vec", "table"):
+        raise ValueError(f"unknown word vectors {vectors!r}")
     rows = training_sample(train.select(input_col, label_col), max_train_rows, [input_col, label_col])
     rows = (rows.repartition(num_partitions, F.xxhash64(input_col, label_col)).sortWithinPartitions(input_col, label_col)
             .persist(StorageLevel.MEMORY_AND_DISK))
     try:
-        w2v_model = word2vec(input_col, "result", vector_size, min_count, seed, num_partitions).fit(rows)
+        if vectors == "table":
+            w2v_model = fit_word_table(train, input_col, "result", vector_size, min_count, seed=seed or 42, **table_kw)
+        else:
+            w2v_model = word2vec(input_col, "result", vector_size, min_count, seed, num_partitions).fit(rows)
         feats = (w2v_model.transform(rows).select(F.col(label_col).cast("double").alias("label"), "result")
                  .persist(StorageLevel.MEMORY_AND_DISK))
         try:

@@ -175,6 +175,44 @@ def q_w2v_vocab(spark, sf):
     return model.getVectors().select("word")
 
 
+# M1 over partitioned tables: the pairs it learns from can be stated, each word with its window of five on either side
+# (distance d counts 6 - d) inside runs of 1,000 words.
+_NEAR_SQL = f"""
+WITH toks AS (
+  SELECT doc_id, unnest(t) AS w, generate_subscripts(t, 1) - 1 AS pos FROM (SELECT doc_id, {S.tokens_sql('text')} AS t FROM documents)
+), near AS (
+  SELECT a.w AS a, b.w AS b, 6 - (b.pos - a.pos) AS n FROM (SELECT *, unnest([1, 2, 3, 4, 5]) AS d FROM toks) a
+  JOIN toks b ON b.doc_id = a.doc_id AND b.pos = a.pos + a.d AND b.pos // 1000 = a.pos // 1000
+), ends AS (
+  SELECT word, other, sum(n) AS n FROM (SELECT a AS word, b AS other, n FROM near UNION ALL SELECT b, a, n FROM near) GROUP BY 1, 2
+), per AS (SELECT word, count(*) AS contexts, sum(n) AS weight FROM ends GROUP BY word)
+SELECT c.word, c.n, coalesce(contexts, 0) AS contexts, CAST(coalesce(weight, 0) AS BIGINT) AS weight
+FROM (SELECT w AS word, count(*) AS n FROM toks GROUP BY w) c LEFT JOIN per USING (word)
+"""
+
+
+@register("w2v_pairs", _NEAR_SQL)
+def q_w2v_pairs(spark, sf):
+    from brandpulse.operators.word_table import context_counts, word_counts, word_pairs
+
+    tokens = _docs(spark, sf).select(clean_text_tokens("text").alias("tokens"))
+    return context_counts(word_counts(tokens, "tokens"), word_pairs(tokens, "tokens"))
+
+
+@register("w2v_table", f"""
+SELECT DISTINCT unnest(string_split(comment, ' ')) AS word, 16 AS dim, true AS finite
+FROM (SELECT {_comment_sql()} AS comment FROM documents d JOIN labels l USING (doc_id))
+WHERE {S.split_sql('comment')} = 'train'
+""")
+def q_w2v_table(spark, sf):
+    from brandpulse.operators.word_table import fit_word_table
+
+    train = training_rows(_reviews(spark, sf)).where(F.col("split") == "train")
+    vectors = fit_word_table(train, dim=16, epochs=1, seed=7).getVectors()
+    finite = F.forall("vector", lambda x: ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return vectors.select("word", F.size("vector").alias("dim"), finite.alias("finite"))
+
+
 @register("doc_vector", f"""
 WITH vocab AS (
   SELECT DISTINCT unnest(string_split(comment, ' ')) AS w

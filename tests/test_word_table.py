@@ -124,3 +124,20 @@ def test_mean_vectors_save_and_load(spark, tmp_path):
     got = {r["k"]: r["result"].toArray() for r in back.transform(probe).collect()}
     assert np.allclose(got[1], np.array(vec["left0"]) * 2 / 3) and (got[1] == got[4]).all()
     assert not got[2].any() and not got[3].any()
+
+
+def test_classifier_on_a_word_table(spark, tmp_path):
+    from brandpulse.operators.model import SentimentModel, fit_sentiment
+
+    rng = random.Random(2)
+    rows = [([rng.choice(["good", "fine", "nice"] if i % 2 else ["bad", "poor", "sad"]) for _ in range(5)], i % 2) for i in range(300)]
+    train = spark.createDataFrame(rows, "comment array<string>, sentiment int")
+    model = fit_sentiment(train, vector_size=6, vectors="table", seed=4, min_buckets=2)
+    probe = spark.createDataFrame([(1, ["good", "nice"]), (0, ["sad", "poor", "bad"])], "y int, comment array<string>")
+    assert all(r["y"] == r["prediction"] for r in model.predict(probe).collect())
+    model.save(str(tmp_path / "model"))
+    back = SentimentModel.load(spark, str(tmp_path / "model"))
+    assert isinstance(back.w2v, WordTable) and back.weights == model.weights
+    assert all(r["y"] == r["prediction"] for r in back.predict(probe).collect())
+    with pytest.raises(ValueError):
+        fit_sentiment(train, vectors="other")
