@@ -264,8 +264,9 @@ def fit_word_table(df: DataFrame, tokens_col: str = "comment", output_col: str =
 
     counts = fit.table("counts", lambda: word_counts(df, tokens_col, min_count), "word string, n long")
     met = fit.table("met", lambda: word_pairs(df, tokens_col, window, sentence), "a string, b string, n long")
-    size = counts.agg(F.count("*"), F.sum(F.pow("n", F.lit(NOISE_POWER)))).first()
-    n_words, noise_total, n_met = size[0], size[1] or 1.0, met.count()
+    # A decimal's sum does not depend on the order of the rows.
+    size = counts.agg(F.count("*"), F.sum(F.pow("n", F.lit(NOISE_POWER)).cast("decimal(28,6)"))).first()
+    n_words, noise_total, n_met = size[0], float(size[1] or 1), met.count()
     buckets = max(min_buckets, math.ceil(n_words / words_per_bucket), math.ceil(math.sqrt(2 * n_met / pairs_per_block)))
 
     dealt = counts.withColumn("bucket", F.pmod(F.xxhash64("word"), F.lit(buckets)).cast("int"))
