@@ -121,3 +121,46 @@ def test_single_estimator_save_load(spark):
     a = [r[0] for r in fitted.transform(df).select("prediction").collect()]
     b = [r[0] for r in again.transform(df).select("prediction").collect()]
     assert a == b
+
+
+def test_vectors_are_learned_without_a_vocabulary_on_the_driver(spark):
+    """Spark ML's model is a driver object; the table's vectors depend on the rows and the seed only."""
+    from pyspark.sql import functions as F
+
+    from brandpulse.operators.word_parts import fit_word_parts
+    from brandpulse.operators.word_table import WordTable
+    from test_word_table import planted, rows_of
+
+    df = spark.createDataFrame(planted(800) + [(["copy", "of", "one"],)] * 50 + [(None,), ([],), (["x", None, ""],)], "comment array<string>")
+    kw = dict(dim=16, passes=4, seed=3)
+    table = fit_word_parts(df, words_per_part=2500, **kw)
+    assert isinstance(table, WordTable) and isinstance(word2vec(vector_size=4, seed=1).fit(df.limit(5)), WordTable)
+    vec = rows_of(table)
+    assert set(vec) == {r[0] for r in df.select(F.explode("comment").alias("w")).where("w IS NOT NULL").distinct().collect()}
+    assert vec == rows_of(fit_word_parts(df.repartition(7), words_per_part=2500, **kw))
+    assert vec != rows_of(fit_word_parts(df, words_per_part=2500, **{**kw, "seed": 4}))
+    whole = fit_word_parts(df, **kw)
+    for t in range(6):
+        assert whole.nearest(f"left{t}", 1).first()["word"] == f"right{t}"
+        # Means of three small parts: the topic's own words are nearer than the filler.
+        assert table.nearest(f"left{t}", 1).first()["word"].rstrip("_01") in (f"right{t}", f"pre{t}", f"post{t}")
+    assert set(rows_of(fit_word_parts(df, min_count=50, **kw))) == {
+        r[0] for r in df.select(F.explode("comment").alias("w")).groupBy("w").count().where("count >= 50 AND w IS NOT NULL").collect()}
+
+
+def test_sums_by_parts_are_the_broadcast_ones(spark):
+    from pyspark.sql import functions as F
+
+    from brandpulse.operators.token_parts import list_key, list_sums
+
+    lists = [["a", "b", "a"], ["zzz"], [], None, ["b", None, "c"], ["a", "b", "a"], ["c"] * 40_000]
+    df = spark.createDataFrame(list(enumerate(lists)), "k int, t array<string>").withColumns(list_key("t"))
+    words = spark.createDataFrame([("a", [1.0, 2.0]), ("b", [10.0, 0.0]), ("c", [0.0, -1.0]), ("other", [5.0, 5.0])], "_w string, _v array<double>")
+    for per_part in (3, 1 << 20):
+        got = {r["k"]: (r["_n"], r["_sum"]) for r in df.join(list_sums(df, "t", words, 2, per_part), ["_k1", "_k2"]).collect()}
+        assert got == {0: (3, [12.0, 4.0]), 1: (1, [0.0, 0.0]), 2: (0, [0.0, 0.0]), 3: (0, [0.0, 0.0]), 4: (3, [10.0, -1.0]),
+                       5: (3, [12.0, 4.0]), 6: (40_000, [0.0, -40_000.0])}
+    pairs = spark.createDataFrame([(1, ["a"]), (1, ["b", "x"]), (2, None), (2, ["c"])], "k int, t array<string>")
+    want = doc_vectors(pairs, "t", words, ["k"], 2, word_col="_w", vector_col="_v").orderBy("k").collect()
+    assert doc_vectors(pairs, "t", words, ["k"], 2, word_col="_w", vector_col="_v", max_broadcast_bytes=0).orderBy("k").collect() == want
+    assert [r["result"] for r in want] == [[11 / 3, 2 / 3], [0.0, -0.5]]
