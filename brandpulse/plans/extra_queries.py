@@ -66,9 +66,9 @@ FROM documents d JOIN labels l USING (doc_id)
 
 @register("csv_split_scan", _CSV_SQL)
 def q_csv_split_scan(spark, sf):
-    # One file, whole texts with their line breaks, read by byte ranges.
+    # Whole texts with their line breaks, read by byte ranges; as many files as the input has tasks.
     path = scratch_path(spark, "csv_split")
-    (_reviews(spark, sf).coalesce(1).write.option("header", True).option("escape", '"')
+    (_reviews(spark, sf).write.option("header", True).option("escape", '"')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     back = read_reviews_csv_split(spark, path, schema="doc_id BIGINT, content STRING, recommended STRING")
     return back.select("doc_id", "content", "recommended")
@@ -80,7 +80,7 @@ def q_json_concat_scan(spark, sf):
     path = scratch_path(spark, "json_concat")
     docs = _docs(spark, sf, "doc_id", "text", "lang")
     record = F.to_json(F.struct("doc_id", "text", "lang", F.struct(F.lit("}{").alias("name")).alias("user")))
-    (docs.select(F.substr(record, F.lit(1), F.char_length(record) - 1).alias("value")).coalesce(1)
+    (docs.select(F.substr(record, F.lit(1), F.char_length(record) - 1).alias("value"))
      .write.option("lineSep", "}").text(path))
     back = read_json_concat(spark, path)
     return back.select(*[json_field("value", c, t).alias(c) for c, t in (("doc_id", "BIGINT"), ("text", "STRING"), ("lang", "STRING"))])

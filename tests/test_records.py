@@ -115,3 +115,21 @@ def test_changed_ranges_are_noticed(spark, small_ranges):
     fresh = df.select(F.length("value"))
     with pytest.raises(Exception, match="ranges of the files changed"):
         fresh.collect()
+
+
+def test_split_scans_are_written_by_as_many_tasks_as_the_input_has(spark, monkeypatch):
+    """One task once wrote the whole input of the scans."""
+    from pyspark.sql import functions as F
+
+    from brandpulse.plans import extra_queries as Q
+
+    docs = spark.range(40).select(F.col("id").alias("doc_id"), F.concat(F.lit("a \"}{\"\nline "), "id").alias("text"), F.lit("en").alias("lang")).repartition(4)
+    monkeypatch.setattr(Q, "_docs", lambda *a: docs)
+    monkeypatch.setattr(Q, "_reviews", lambda *a: docs.select("doc_id", F.col("text").alias("content"), F.lit("1").alias("recommended")))
+    paths = []
+    monkeypatch.setattr(Q, "scratch_path", lambda s, n, f=Q.scratch_path: paths.append(f(s, n)) or paths[-1])
+    want = sorted((r["doc_id"], r["text"]) for r in docs.collect())
+    assert sorted((r[0], r[1]) for r in Q.q_csv_split_scan(spark, "").collect()) == want
+    assert sorted((r[0], r[1]) for r in Q.q_json_concat_scan(spark, "").collect()) == want
+    for path in paths:
+        assert spark.read.text(path).select(F.input_file_name()).distinct().count() == 4
