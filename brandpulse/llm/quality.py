@@ -1,8 +1,8 @@
 """Quality rules: statistics of each whole text, two fixed rules, and an isolation forest over the
 statistics whose threshold is calibrated on labelled rows.
 
-The forest is fitted on a bounded sample of labelled rows; statistics, rules and path lengths cover
-every row, one map pass without a shuffle.
+Statistics, rules and path lengths cover every row, one map pass without a shuffle. The forest and its threshold
+come from all labelled rows: every tree draws its subsample from all of them, and the threshold weighs every one.
 """
 
 from __future__ import annotations
@@ -16,17 +16,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brandpulse.llm.common import Rolling, id_key, null_id, row_keys, run_hashes, slices, text_bytes, word_bounds
+from brandpulse.llm.common import Rolling, id_key, mix64, null_id, row_keys, run_hashes, scratch, slices, text_bytes, word_bounds
 
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
-# Documented bound of the fit: labelled rows used, chosen by hash of the id.
-MAX_FIT_ROWS = 20_000
+# Thresholds are multiples of one part in so many: at most that many counts come to the driver.
+BINS = 65_536
 TREES = 100
 SUBSAMPLE = 256
 # A good row that the threshold gives up costs as much as so many bad rows that it lets through.
 GOOD_COST = 10.0
-# Rows labelled bad enter the fit's sample at this share of the good ones, so that anomalies stay few and far.
+# Rows labelled bad enter the trees' draws at this share of the good ones, so that anomalies stay few and far.
 BAD_SHARE = 0.05
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -147,21 +147,21 @@ def _expected(n: int) -> float:
     return 0.0 if n <= 1 else 1.0 if n == 2 else 2.0 * (math.log(n - 1) + 0.5772156649015329) - 2.0 * (n - 1) / n
 
 
-def fit_forest(x: np.ndarray, trees: int = TREES, subsample: int = SUBSAMPLE, seed: int = 11) -> Forest:
-    """Random splits of random subsamples down to ceil(log2(subsample)) levels."""
+def fit_forest(drawn: list[np.ndarray], seed: int = 11) -> Forest:
+    """A tree for each subsample drawn: random splits down to ceil(log2(subsample)) levels."""
     rng = np.random.default_rng(seed)
-    m = min(subsample, len(x))
+    m = max((len(x) for x in drawn), default=0)
     depth = max(1, math.ceil(math.log2(max(m, 2))))
     size = 2 ** (depth + 1)
+    trees = len(drawn)
     feature = np.full((trees, size), -1, np.int64)
     value, length = np.zeros((trees, size)), np.zeros((trees, size))
     child = np.zeros((trees, size), np.int64)
-    for t in range(trees):
-        pick = x[rng.choice(len(x), m, replace=False)] if m else x
+    for t, pick in enumerate(drawn):
         todo, free = [(0, pick, 0)], 1
         while todo:
             node, rows, level = todo.pop()
-            low, high = (rows.min(0), rows.max(0)) if len(rows) else (np.zeros(x.shape[1]),) * 2
+            low, high = (rows.min(0), rows.max(0)) if len(rows) else (np.zeros(pick.shape[1]),) * 2
             can = np.flatnonzero(high > low)
             if level == depth or len(rows) <= 1 or not len(can):
                 length[t, node] = level + _expected(len(rows))
@@ -175,17 +175,23 @@ def fit_forest(x: np.ndarray, trees: int = TREES, subsample: int = SUBSAMPLE, se
     return Forest(feature, value, child, length, max(_expected(m), 1.0))
 
 
-def calibrate(forest: Forest, good: np.ndarray, bad: np.ndarray, good_cost: float = GOOD_COST) -> Forest:
-    """The threshold with the least cost over the labelled rows' scores: bad rows at or below it count 1, good rows
-    above it ``good_cost``. Of equal ones the highest; without good rows nothing is rejected."""
-    if len(good):
-        g, b = np.sort(forest.scores(good)), np.sort(forest.scores(bad)) if len(bad) else np.zeros(0)
-        cut = np.unique(np.concatenate([g, b]))
-        cost = good_cost * (len(g) - np.searchsorted(g, cut, side="right")) + np.searchsorted(b, cut, side="right")
-        at = len(cost) - 1 - int(np.argmin(cost[::-1]))
-        # Halfway to the next score: rows unlike any labelled one are judged by the nearer side.
-        forest.threshold = float((cut[at] + cut[at + 1]) / 2 if at + 1 < len(cut) else cut[at])
-    return forest
+def score_bins(scores: np.ndarray) -> np.ndarray:
+    """The bin k of each score: ``k / BINS < score <= (k + 1) / BINS``."""
+    return np.ceil(scores * BINS).astype(np.int64) - 1
+
+
+def threshold_of(bins: np.ndarray, good: np.ndarray, bad: np.ndarray, good_cost: float = GOOD_COST) -> float:
+    """The threshold with the least cost over the labelled rows' scores, given as counts of good and bad rows by bin:
+    bad rows at or below it count 1, good rows above it ``good_cost``. Of equal ones the highest; without good rows
+    nothing is rejected."""
+    if not good.sum():
+        return math.inf
+    order = np.argsort(bins)
+    bins, good, bad = bins[order], good[order], bad[order]
+    cost = good_cost * (good.sum() - np.cumsum(good)) + np.cumsum(bad)
+    at = len(cost) - 1 - int(np.argmin(cost[::-1]))
+    # Halfway to the next bin with rows: rows unlike any labelled one are judged by the nearer side.
+    return float((bins[at] + 1) / BINS if at + 1 == len(bins) else (bins[at] + 1 + bins[at + 1]) / 2 / BINS)
 
 
 _ALL = (*COUNTS, *_MORE)
@@ -212,31 +218,70 @@ def quality_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return rows.mapInArrow(_statistics, schema)
 
 
+def _counts(batches):
+    for batch in _statistics(batches):
+        yield batch.select(["_d", "_h", *_ALL])
+
+
+def labelled_statistics(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                        label_col: str = "quality") -> DataFrame:
+    """``(_d, _h, _y, counts)`` of every labelled row that passes the base rules (null labels and ids aside), written once.
+
+    One label (the least) and one text (the least hash) an id, however often the id is repeated. Counts meet the labels, texts never do.
+    """
+    label = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
+             .select(id_key(id_col).alias("_d"), F.col(label_col).cast("int").alias("_y"))
+             .groupBy("_d").agg(F.min("_y").alias("_y")))
+    counts = row_keys(docs, id_col, text_col).mapInArrow(_counts, "_d long, _h long" + "".join(f", {k} long" for k in _ALL))
+    once = counts.groupBy("_d").agg(F.min_by(F.struct("_h", *_ALL), "_h").alias("_s")).select("_d", "_s.*")
+    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return scratch(once.join(label, "_d").where(~failed).select("_d", "_h", "_y", *_ALL), "quality-labelled")
+
+
 def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                label_col: str = "quality", max_fit_rows: int = MAX_FIT_ROWS, **forest_args) -> Forest:
-    """Fit and calibrate on at most ``max_fit_rows`` labelled rows (null labels and ids aside), chosen by hash.
+                label_col: str = "quality", trees: int = TREES, subsample: int = SUBSAMPLE, seed: int = 11) -> Forest:
+    """Fit and calibrate on all labelled rows that pass the base rules.
 
-    The forest splits good rows and a few bad ones (``BAD_SHARE``) that pass the base rules, the threshold weighs all
-    of them; without labelled rows it rejects nothing.
+    A tree draws the ``subsample`` rows with the least hash of tree and row among all good rows and a few bad ones
+    (``BAD_SHARE``); the threshold weighs every row. The driver gets about twice the draws and one count for each bin of
+    scores. Without labelled rows nothing is rejected.
     """
-    chosen = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
-              .select(id_key(id_col).alias("_l"), F.col(label_col).cast("int").alias("_y"))
-              .groupBy("_l").agg(F.min("_y").alias("_y"))
-              .orderBy(F.xxhash64("_l"), "_l").limit(max_fit_rows))
-    # At most max_fit_rows keys: a proven bound for the broadcast.
-    some = docs.join(F.broadcast(chosen), id_key(id_col) == F.col("_l"), "inner")
-    # One text an id (the least hash), however often the id is repeated: at most max_fit_rows rows reach the driver.
-    keyed = row_keys(some, id_col, text_col, ["_y"])
-    once = keyed.groupBy("_d").agg(F.min_by(F.struct("_t", "_c0"), F.struct("_h", "_c0")).alias("_s"))
-    rows = quality_statistics(once.select("_d", F.col("_s._t").alias("_t"), F.col("_s._c0").alias("_y")), "_d", "_t", ["_y"])
-    table = rows.select("_c0", "_d", "_h", *_ALL).toPandas()
-    table = table.iloc[np.lexsort((table["_d"].to_numpy(), _salt(table["_h"].to_numpy(np.int64).view(np.uint64))))]
-    x = features({k: table[k].to_numpy() for k in _ALL})
-    passed = ~base_failed({k: table[k].to_numpy() for k in COUNTS})
-    label = table["_c0"].to_numpy() == 1
-    good, bad = x[label & passed], x[~label & passed]
-    forest = fit_forest(np.concatenate([good, bad[:math.ceil(BAD_SHARE * len(good))]]), **forest_args)
-    return calibrate(forest, good, bad)
+    rows = labelled_statistics(docs, labels, id_col, text_col, label_col)
+    is_good = F.col("_y") == 1
+    n_good, n_bad = rows.agg(F.count_if(is_good), F.count_if(~is_good)).first()
+    share = min(1.0, BAD_SHARE * n_good / max(n_bad, 1))
+    # About twice the rows a tree takes have a hash below this; where there are few rows, all have.
+    below = min(1.0, 2.0 * subsample / max(n_good + share * n_bad, 1.0))
+
+    def hashed(batch, salt: int) -> np.ndarray:
+        key = batch.column("_h").to_numpy().view(np.uint64) ^ mix64(batch.column("_d").to_numpy().view(np.uint64))
+        return mix64(key ^ mix64(np.array([seed * 1_000_003 + salt], np.uint64))) / 2.0 ** 64
+
+    def draw(batches):
+        for batch in batches:
+            x = features({k: batch.column(k).to_numpy() for k in _ALL})
+            inside = (batch.column("_y").to_numpy() == 1) | (hashed(batch, 0) < share)
+            for t in range(trees):
+                key = hashed(batch, t + 1)
+                at = np.flatnonzero(inside & (key <= below))
+                if len(at):
+                    yield pa.record_batch([pa.array(np.full(len(at), t)), pa.array(key[at]), pa.array(list(x[at]), pa.list_(pa.float64()))],
+                                          ["tree", "key", "x"])
+
+    drawn = rows.mapInArrow(draw, "tree long, key double, x array<double>").toPandas().sort_values(["tree", "key"])
+    width = features({k: np.zeros(1) for k in _ALL}).shape[1]
+    picks = {t: np.array(g["x"].tolist()[:subsample]) for t, g in drawn.groupby("tree")}
+    forest = fit_forest([picks.get(t, np.zeros((0, width))) for t in range(trees)], seed)
+
+    def judged(batches):
+        for batch in batches:
+            bins = score_bins(forest.scores(features({k: batch.column(k).to_numpy() for k in _ALL})))
+            yield pa.record_batch([pa.array(bins), batch.column("_y")], ["bin", "_y"])
+
+    by_bin = (rows.mapInArrow(judged, "bin long, _y int").groupBy("bin")
+              .agg(F.count_if(is_good).alias("good"), F.count_if(~is_good).alias("bad")).orderBy("bin").toPandas())
+    forest.threshold = threshold_of(*(by_bin[c].to_numpy(np.int64) for c in ("bin", "good", "bad")))
+    return forest
 
 
 def base_failed(c: dict[str, np.ndarray], min_words: int = MIN_WORDS) -> np.ndarray:

@@ -154,3 +154,27 @@ def test_top_k(spark, monkeypatch):
     few = vectors.where("vec_id < 3")
     assert {tuple(r) for r in topk.top_k(few, lambda i: i % 5 == 0, k=4).collect()} == brute_top(rows[:3], 4)
     assert topk.top_k(vectors.limit(0), lambda i: i % 5 == 0).count() == 0
+
+
+def test_quality_fit_weighs_every_labelled_row(spark, monkeypatch):
+    # More labelled rows than the fit once took, two of them repeated, one with a text too short for the base rules.
+    n, seen = 20_500, []
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.array_join(F.transform(
+        F.sequence(F.lit(1), F.lit(60)), lambda i: F.concat(F.lit("w"), i * 7919 % (F.col("id") % 97 + 61), F.lit("_"), i)), " ").alias("text"))
+    docs = docs.unionByName(docs.limit(2)).unionByName(spark.createDataFrame([(n, "short")], "doc_id long, text string"))
+    labels = spark.range(n + 1).select(F.col("id").alias("doc_id"), (F.col("id") % 4 > 0).cast("int").alias("quality"))
+    kept = quality.threshold_of
+    monkeypatch.setattr(quality, "threshold_of", lambda bins, good, bad: seen.append((good.sum(), bad.sum())) or kept(bins, good, bad))
+    forest = quality.fit_quality(docs, labels)
+    assert seen == [(n * 3 // 4, n // 4)] and 0 < forest.threshold <= 1
+    again = quality.fit_quality(docs.repartition(5), labels)
+    assert again.threshold == forest.threshold and (again.value == forest.value).all()
+
+
+def test_threshold_is_the_cheapest_bin():
+    bins, good, bad = np.array([30, 10, 20]), np.array([0, 5, 1]), np.array([7, 0, 12])
+    assert quality.threshold_of(bins, good, bad) == 15.5 / quality.BINS      # 12 bad rows cost more than a good one
+    assert quality.threshold_of(bins, good, bad - [0, 0, 3]) == 25.5 / quality.BINS
+    assert quality.threshold_of(bins, good * 0, bad) == math.inf
+    edge = np.array([1, 2, 3]) / quality.BINS
+    assert quality.score_bins(edge).tolist() == [0, 1, 2] and quality.score_bins(edge + 1e-9).tolist() == [1, 2, 3]
