@@ -85,10 +85,15 @@ def term_table(terms_df: DataFrame, term_col: str) -> DataFrame:
     return terms_df.select(normalize_term(term_col).alias("_term")).where(F.col("_term").isNotNull()).distinct()
 
 
+def fits_broadcast(terms: DataFrame, max_bytes: int) -> bool:
+    """Whether the measured size of ``(_term)`` is under ``max_bytes`` (not for an empty table)."""
+    size = terms.agg(F.sum(F.octet_length("_term") + 16)).first()[0]
+    return size is not None and size <= max_bytes
+
+
 def _checked_broadcast(terms: DataFrame, max_bytes: int) -> DataFrame:
     """Hint a broadcast only if the measured size is under ``max_bytes``."""
-    size = terms.agg(F.sum(F.octet_length("_term") + 16)).first()[0]
-    return F.broadcast(terms) if size is not None and size <= max_bytes else terms
+    return F.broadcast(terms) if fits_broadcast(terms, max_bytes) else terms
 
 
 def match_terms_table(df: DataFrame, tokens_col: str, terms_df: DataFrame, term_col: str = "term",

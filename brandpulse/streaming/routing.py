@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from brandpulse.functions.text import clean_tokens, emit_row_if, parsed_record, record_text, stream_file_name
-from brandpulse.operators.mentions import match_terms_table
+from brandpulse.functions.text import array_input, clean_tokens, emit_row_if, parsed_record, record_text, stream_file_name
+from brandpulse.operators.mentions import DEFAULT_BROADCAST_BYTES, fits_broadcast, match_terms_table, term_table
 from brandpulse.sinks.keyed import KeyedTable, Store
 from brandpulse.sources.readers import stream_json_lines
 from brandpulse.streaming.ingest import _trigger
@@ -114,11 +114,21 @@ def tracked_terms(spark: SparkSession, root: str) -> DataFrame:
 
 
 def routed_by_table(raw: DataFrame, terms: DataFrame, value_col: str = "value") -> DataFrame:
-    """X1 for a term table of any size: ``(value, term, stream)``, a record once under every term it names."""
+    """X1 for a term table of any size: ``(value, term, stream)``, a record once under every term it names.
+
+    A table under the checked size meets each record's different tokens where the record is read: no record is shuffled.
+    """
     rows = raw.select(F.col(value_col).alias("value"), clean_tokens(record_text(value_col), ascii_input=True).alias("_tok"))
-    hits = match_terms_table(rows, "_tok", terms, term_col=terms.columns[0])
-    return (hits.select("value", F.explode(F.array_distinct("hits")).alias("term"))
-            .withColumn("stream", stream_file_name("term")))
+    table = term_table(terms, terms.columns[0])
+    if fits_broadcast(table, DEFAULT_BROADCAST_BYTES):
+        # The generator stands between, so that the tokens are made once.
+        named = rows.select("value", F.explode(F.array(array_input("_tok"))).alias("_tok")).select(
+            "value", F.explode(F.array_distinct(F.transform("_tok", lambda t: F.lower(t)))).alias("_term"))
+        hits = named.join(F.broadcast(table), "_term").select("value", F.col("_term").alias("term"))
+    else:
+        hits = match_terms_table(rows, "_tok", terms, term_col=terms.columns[0])
+        hits = hits.select("value", F.explode(F.array_distinct("hits")).alias("term"))
+    return hits.withColumn("stream", stream_file_name("term"))
 
 
 def route_table_stream(spark: SparkSession, src: str, out: str, checkpoint: str, terms_root: str, available_now: bool = True,

@@ -79,6 +79,19 @@ def test_many_terms_route_like_a_list(spark):
     assert key(routed_by_table(raw, table)) == key(routed_records(raw, [t for t in terms if int(t[1:]) < 100]))
 
 
+def test_records_meet_a_small_table_without_a_shuffle(spark):
+    texts = ["klm and KLM and delta", "klm and KLM and delta", "nothing", "iberia", ""]
+    raw = spark.createDataFrame([(json.dumps({"text": t}),) for t in texts] + [("broken",), (None,)], "value string").repartition(3)
+    table = spark.createDataFrame([("K LM",), ("klm",), ("delta",), ("iberia",), (None,)], "term string")
+    out = routed_by_table(raw, table)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "collect_list" not in plan and "BroadcastHashJoin" in plan
+    both = json.dumps({"text": texts[0]})
+    assert sorted((r["value"], r["term"]) for r in out.collect()) == sorted(
+        [(both, "klm"), (both, "delta")] * 2 + [(json.dumps({"text": "iberia"}), "iberia")])
+    assert routed_by_table(raw, table.where("false")).count() == 0
+
+
 def test_records_collected_under_several_terms(spark):
     terms = ["klm", "delta", "iberia"]
     rows = [{"id": i, "text": t} for i, t in enumerate(["klm and delta", "klm and delta", "delta", "klm iberia delta", "nothing"])]
