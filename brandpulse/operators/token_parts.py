@@ -1,8 +1,9 @@
 """Means of word values over token lists, for word tables of any size.
 
-Lists are dealt to parts of about ``TOKENS_PER_PART`` tokens. A part needs the values of its own distinct words only:
-(part, word) pairs meet the word table by a join, and the values found go to the part. So a list crosses the network once
-and a word's value once for each part that holds the word, never once for each token.
+Lists are dealt to parts of about ``TOKENS_PER_PART`` tokens, copies of a list apart, a task for each part. A part needs the
+values of its own distinct words only: (part, word) pairs meet the word table by a join, and the values found go to the part.
+So a list crosses the network once and a word's value once for each part that holds the word, never once for each token. Only
+lists' sums are grouped, never the lists, so no task sorts more of them than a part.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from brandpulse.functions.text import array_input
 from brandpulse.session import scratch_path
 
-TOKENS_PER_PART = 4_000_000
+TOKENS_PER_PART = 1_000_000
 # Tokens whose values are summed at a time in a task.
 SLICE_TOKENS = 32_768
 
@@ -60,13 +61,14 @@ def list_sums(keyed: DataFrame, tokens_col: str, words: DataFrame, dim: int, tok
     """
     spark = keyed.sparkSession
     path = scratch_path(spark, "token-lists")
-    once = keyed.select("_k1", "_k2", array_input(tokens_col).alias("_t")).groupBy("_k1", "_k2").agg(F.first("_t").alias("_t"))
-    once.write.parquet(path)
-    lists = spark.read.schema("_k1 long, _k2 long, _t array<string>").parquet(path)
-    n = lists.agg(F.sum(F.size("_t"))).first()[0] or 0
-    part = F.pmod("_k1", F.lit(max(1, math.ceil(n / tokens_per_part)))).alias("_p")
+    rows = keyed.select("_k1", "_k2", array_input(tokens_col).alias("_t"))
+    rows.select("*", F.coalesce(F.size("_t"), F.lit(0)).alias("_size"), F.monotonically_increasing_id().alias("_row")).write.parquet(path)
+    lists = spark.read.schema("_k1 long, _k2 long, _t array<string>, _size int, _row long").parquet(path)
+    n = lists.agg(F.sum(F.greatest("_size", F.lit(0)))).first()[0] or 0
+    parts = max(1, math.ceil(n / tokens_per_part))
+    part = F.pmod(F.xxhash64("_k1", "_row"), F.lit(parts)).alias("_p")
     held = (lists.select(part, F.explode(F.array_compact("_t")).alias("_w")).distinct()
-            .join(words.select("_w", F.col("_v").cast("array<double>").alias("_v")), "_w").select("_p", "_w", "_v"))
+            .join(words.select("_w", "_v"), "_w").select("_p", "_w", "_v"))
     names = ["_k1", "_k2", "_n", "_sum"]
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -84,5 +86,6 @@ def list_sums(keyed: DataFrame, tokens_col: str, words: DataFrame, dim: int, tok
         return pa.Table.from_arrays([left.column("_k1"), left.column("_k2"), pa.array(np.diff(ends)), column], names)
 
     # A word that no list of the part holds is never sent, so a part without lists has no words either.
-    return (lists.select(part, "_k1", "_k2", "_t").groupBy("_p").cogroup(held.groupBy("_p"))
-            .applyInArrow(work, "_k1 long, _k2 long, _n long, _sum array<double>"))
+    sums = (lists.select(part, "_k1", "_k2", "_t").repartition(parts, "_p").groupBy("_p")
+            .cogroup(held.repartition(parts, "_p").groupBy("_p")).applyInArrow(work, "_k1 long, _k2 long, _n long, _sum array<double>"))
+    return sums.groupBy("_k1", "_k2").agg(F.first("_n").alias("_n"), F.first("_sum").alias("_sum"))

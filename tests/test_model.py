@@ -173,3 +173,15 @@ def test_repeated_and_null_words_count_alike_on_both_paths(spark):
     docs = spark.createDataFrame([(1, ["a", "b"]), (2, ["c", None, "x"]), (3, []), (4, None), (5, ["a"])], "k int, t array<string>")
     small, parts = ({r["k"]: r["margin"] for r in token_margins(docs, "t", words, -1.0, max_broadcast_bytes=b).collect()} for b in (1 << 20, 0))
     assert small == parts and small[1] == -1.0 + 10 / 3 and small[5] == 3.5
+
+
+def test_lists_are_dealt_whole_and_only_their_sums_are_grouped(spark):
+    # No aggregate or sort before the parts holds a token list, and the copies of one list are dealt to many parts.
+    from brandpulse.operators.token_parts import list_key, list_sums
+
+    df = spark.createDataFrame([(["a", f"w{k % 3}"],) for k in range(300)] + [(["a"] * 5,)] * 200, "t array<string>").withColumns(list_key("t"))
+    words = spark.createDataFrame([("a", [1.0]), ("w1", [4.0])], "_w string, _v array<float>")
+    sums = list_sums(df, "t", words, 1, tokens_per_part=20)
+    plan = sums._jdf.queryExecution().executedPlan().toString()
+    assert "first(_t" not in plan and "first(_sum" in plan and "REPARTITION_BY_NUM" in plan
+    assert sorted((r["_n"], r["_sum"][0]) for r in sums.collect()) == [(2, 1.0), (2, 1.0), (2, 5.0), (5, 5.0)]
