@@ -54,6 +54,29 @@ def test_pairs_are_counted_like_a_plain_loop(spark):
         assert near[w] == (len(ends), sum(n * (2 if p[0] == p[1] else 1) for p, n in ends))
 
 
+def test_pairs_are_counted_before_the_shuffle(spark, monkeypatch):
+    from brandpulse.operators import word_table
+
+    docs = [["é", "z", "a", "é", "\U0001F600"]] * 50 + [["z", "a"]] * 30 + [["one"], []]
+    rows = spark.createDataFrame([(d,) for d in docs], "t array<string>").coalesce(1)
+    pairs = word_pairs(rows, "t", 2, 4)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and plan.index("HashAggregate") < plan.index("Exchange hashpartitioning")
+    near = [("z", "é", 2), ("a", "é", 1), ("a", "z", 2), ("z", "é", 1), ("a", "é", 2)]
+    want = Counter()
+    for a, b, n in near:
+        want[a, b] += 50 * n
+    want["a", "z"] += 30 * 2
+    assert {(r["a"], r["b"]): r["n"] for r in pairs.collect()} == dict(want)
+    # A task's chunks: a batch is cut where a chunk is full, and a pair comes once from each.
+    import pyarrow as pa
+
+    monkeypatch.setattr(word_table, "CHUNK_WORDS", 40)
+    batches = [pa.record_batch([pa.array([["x", "y", "y"]] * 30, pa.list_(pa.string()))], ["_s"])] * 2
+    got = [(a, b, n) for out in word_table._met(2)(batches) for a, b, n in zip(*(c.to_pylist() for c in out.columns))]
+    assert len(got) < 20 and sum(n for a, b, n in got if (a, b) == ("x", "y")) == 60 * 3 and sum(n for *_, n in got) == 60 * 5
+
+
 def test_planted_words_are_nearest(spark):
     table = fit_word_table(spark.createDataFrame(planted(), "comment array<string>"), dim=16, epochs=8, min_buckets=4, seed=3)
     vec = rows_of(table)
