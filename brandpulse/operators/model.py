@@ -43,7 +43,8 @@ SGD_STEP = 1.0
 SGD_REG = 0.01
 SGD_TOLERANCE = 0.001
 
-DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+# The driver builds a broadcast table: some ten times these bytes, and a query may hold several.
+DEFAULT_MAX_BROADCAST_BYTES = 2 * 1024 * 1024
 # Labelled rows the classifier's fit may use (chosen by a stable hash beyond that): the driver holds 8 bytes for each.
 # Word vectors and scoring cover all rows.
 DEFAULT_MAX_TRAIN_ROWS = 1_000_000

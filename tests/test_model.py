@@ -185,3 +185,14 @@ def test_lists_are_dealt_whole_and_only_their_sums_are_grouped(spark):
     plan = sums._jdf.queryExecution().executedPlan().toString()
     assert "first(_t" not in plan and "first(_sum" in plan and "REPARTITION_BY_NUM" in plan
     assert sorted((r["_n"], r["_sum"][0]) for r in sums.collect()) == [(2, 1.0), (2, 1.0), (2, 5.0), (5, 5.0)]
+
+
+def test_a_table_the_driver_would_feel_is_not_broadcast(spark):
+    from brandpulse.operators.model import token_margins
+
+    words = spark.range(100_000).selectExpr("concat('w', id) AS _w", "CAST(id % 7 AS DOUBLE) AS _s")
+    docs = spark.createDataFrame([(k, [f"w{k}", "none"]) for k in range(20)], "k int, t array<string>")
+    out = token_margins(docs, "t", words, 0.5)
+    assert "BroadcastHashJoin" not in out.select("margin")._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in out._jdf.queryExecution().executedPlan().toString()
+    assert {r["k"]: r["margin"] for r in out.collect()} == {k: 0.5 + (k % 7) / 2 for k in range(20)}
