@@ -196,3 +196,14 @@ def test_a_table_the_driver_would_feel_is_not_broadcast(spark):
     assert "BroadcastHashJoin" not in out.select("margin")._jdf.queryExecution().optimizedPlan().toString()
     assert "FlatMapCoGroupsInArrow" in out._jdf.queryExecution().executedPlan().toString()
     assert {r["k"]: r["margin"] for r in out.collect()} == {k: 0.5 + (k % 7) / 2 for k in range(20)}
+
+
+def test_a_report_reads_token_rows_written_once(spark):
+    from brandpulse.operators.model import train_and_report
+
+    rows = spark.createDataFrame([(["good", "flight"], 1, "train"), (["bad", "flight"], 0, "train"), (["good"], 1, "valid")] * 10,
+                                 "comment array<string>, sentiment int, split string").selectExpr("*", "rand() AS _r").drop("_r")
+    _, report = train_and_report(rows, vector_size=4, iterations=5, seed=3)
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" not in plan and "LocalRelation" not in plan
+    assert {(r["split"], r["n"]) for r in report.collect()} == {("train", 20), ("valid", 10)}
