@@ -1,10 +1,12 @@
 """Language-model scores of whole texts: a causal self-attention model in numpy over subword ids.
 
 Texts (A-Z lower-cased) become ids of a public SentencePiece vocabulary. A token's probability is
-p(class | context) * p(id | class): classes are cut from the ids by their counts in all training texts,
-frequent ids alone and rarer ones together, and the second factor is the smoothed share of those counts.
-The first comes from one layer of masked self-attention over the ids before the token: each of the
-``CONTEXTS - CLASSES`` most frequent ids has an embedding of its own, rarer ones share that of their class.
+p(class | context) * p(id | class, context), a hierarchical softmax over the whole vocabulary: classes are cut
+from the ids by their counts in all training texts, frequent ids alone and rarer ones together, and the ids of a
+class are the leaves of a Huffman tree whose nodes each choose a side from the context. Before any step the tree
+gives the smoothed shares of the counts. The context is what one layer of masked self-attention makes of the ids before
+the token: each of the ``CONTEXTS - CLASSES`` most frequent ids has an embedding of its own, rarer ones share that
+of their class.
 Adjacent windows cover every token of every training text. They are learnt once, in ``ROUNDS`` rounds: a round
 takes its share of the parts, every part makes local steps from the last round's parameters, and the results
 are averaged. Scoring covers a text by overlapping windows; each token is scored once, where it has the most context.
@@ -12,6 +14,7 @@ are averaged. Scoring covers a text by overlapping windows; each token is scored
 
 from __future__ import annotations
 
+import heapq
 from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -38,6 +41,7 @@ PART_WINDOWS = 65_536            # training windows of a partition
 ROUNDS = 4
 BATCH = 256                      # windows of a step, reached by doubling from the first steps' size
 FIRST_BATCH, BATCH_STEPS = 8, 32
+NODE_RATE, NODE_START = 10.0, 1.0   # of Adagrad for the tree's nodes: its rate over the other parameters', its first sum of squares
 PIECE_NUMBERS = 1 << 13          # parameters that are averaged in one group
 FREQUENT = 200_000               # words whose counts travel with the task: the documented bound of that table
 END_WORD = np.uint64(0x1)        # stands for the end token among word hashes
@@ -47,36 +51,72 @@ SCORED_TOKENS = 1 << 13
 # ---------------------------------------------------------------------------
 # the model
 
+@dataclass
+class Tree:
+    """The ids inside the classes: id i passes the nodes ``node[first[i]:first[i + 1]]``, to the side in ``side`` (1 or -1)."""
+
+    class_of: np.ndarray
+    first: np.ndarray
+    node: np.ndarray
+    side: np.ndarray
+    bias: np.ndarray         # by node: the log-odds of side 1 in the counts
+
+    def paths(self, ids: np.ndarray):
+        """All choices on the way to the ids, level by level: ``(order, sizes, owner, node, side)``.
+
+        Longest ways first: ``order`` sorts the ids so, level j holds the first ``sizes[j]`` of them, ``owner`` is their place in ``ids``.
+        """
+        first = self.first.take(ids)
+        depth = self.first.take(ids + 1) - first
+        order = np.argsort(-depth.astype(np.int16), kind="stable")
+        first = first.take(order)
+        sizes = np.cumsum(np.bincount(depth, minlength=1)[::-1])[::-1][1:].tolist()
+        owner = np.concatenate([order[:0], *[order[:n] for n in sizes]])
+        at = np.concatenate([first[:0], *[first[:n] + j for j, n in enumerate(sizes)]])
+        return order, sizes, owner, self.node.take(at), self.side.take(at)
+
+
 @dataclass
 class Params:
-    """embed (K, d), place (W, d), qkv (d, 3d), out (d, d), up (d, C), bias (C): K contexts, C classes."""
+    """embed (K, d), place (W, d), qkv (d, 3d), out (d, d), up (d, C), bias (C): K contexts, C classes.
+
+    With a tree the model is over ids: ``nodes`` (N, d + 1) holds each node's weights, its bias last. Without one it is over classes.
+    """
 
     arrays: list[np.ndarray]
+    nodes: np.ndarray | None = None
+    tree: Tree | None = None
 
     @staticmethod
     def shapes(classes: int, contexts: int, width: int = WIDTH, window: int = WINDOW) -> list[tuple[int, ...]]:
         return [(contexts, width), (window, width), (width, 3 * width), (width, width), (width, classes), (classes,)]
 
     @staticmethod
-    def start(share: np.ndarray, contexts: int = CONTEXTS, seed: int = 13) -> "Params":
-        """Small random numbers; the bias alone gives the classes' shares."""
+    def start(share: np.ndarray, contexts: int = CONTEXTS, seed: int = 13, tree: Tree | None = None) -> "Params":
+        """Small random numbers; the biases alone give the classes' shares and the ids' inside them."""
         rng = np.random.default_rng(seed)
         arrays = [rng.normal(0, s, shape).astype(np.float32)
                   for s, shape in zip((0.3, 0.1, 0.25, 0.25, 0.05, 0), Params.shapes(len(share), contexts))]
         arrays[5] = np.log(share).astype(np.float32)
-        return Params(arrays)
+        if tree is None:
+            return Params(arrays)
+        nodes = np.zeros((len(tree.bias), arrays[0].shape[1] + 1), np.float32)
+        nodes[:, -1] = tree.bias
+        return Params(arrays, nodes, tree)
 
     def flat(self) -> np.ndarray:
-        return np.concatenate([a.ravel() for a in self.arrays]).astype(np.float64)
+        return np.concatenate([a.ravel() for a in self.arrays + ([] if self.tree is None else [self.nodes])]).astype(np.float64)
 
     @staticmethod
-    def unflat(flat: np.ndarray, classes: int, contexts: int) -> "Params":
+    def unflat(flat: np.ndarray, classes: int, contexts: int, tree: Tree | None = None) -> "Params":
         out, at = [], 0
         for shape in Params.shapes(classes, contexts):
             n = int(np.prod(shape))
             out.append(flat[at:at + n].reshape(shape).astype(np.float32))
             at += n
-        return Params(out)
+        if tree is None:
+            return Params(out)
+        return Params(out, flat[at:].reshape(len(tree.bias), -1).astype(np.float32), tree)
 
 
 def _sum_last(a: np.ndarray) -> np.ndarray:
@@ -89,7 +129,8 @@ def forward(p: Params, z: np.ndarray):
     embed, place, qkv, out, up, bias = p.arrays
     b, w = z.shape
     d = embed.shape[1]
-    x = embed[z] + place[:w]
+    x = embed.take(z, axis=0)
+    x += place[:w]
     q, k, v = np.split((x.reshape(-1, d) @ qkv).reshape(b, w, 3 * d), 3, axis=2)
     att = q @ k.transpose(0, 2, 1)
     att *= np.float32(d ** -0.5)
@@ -114,18 +155,53 @@ def _class_logits(p: Params, h: np.ndarray) -> np.ndarray:
     return logits
 
 
+def _choices(p: Params, h: np.ndarray, paths) -> tuple[np.ndarray, np.ndarray]:
+    """At every choice of the paths: the node's weights, and the log-odds of the side taken."""
+    _, _, owner, node, side = paths
+    w = p.nodes.take(node, axis=0)
+    odds = np.einsum("ij,ij->i", w[:, :-1], h.take(owner, axis=0))
+    odds += w[:, -1]
+    odds *= side
+    return w, odds
+
+
 def log_probs(p: Params, h: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Natural log-probability of class ``y`` at rows of ``h``."""
+    """Natural log-probability of ``y`` at rows of ``h``: ids if the model has a tree, else classes."""
     logits = _class_logits(p, h)
     top = logits.max(0)
-    own = logits[y, np.arange(len(y))] - top
+    own = logits[y if p.tree is None else p.tree.class_of[y], np.arange(len(y))] - top
     logits -= top
     np.exp(logits, out=logits)
-    return own - np.log(logits.sum(0))
-
-
-def gradients(p: Params, z: np.ndarray, y: np.ndarray, real: np.ndarray) -> list[np.ndarray]:
-    """Gradients of the mean cross-entropy over ``real`` places."""
+    out = own - np.log(logits.sum(0))
+    if p.tree is None:
+        return out
+    paths = p.tree.paths(y)
+    odds = _choices(p, h, paths)[1]
+    return out + np.bincount(paths[2], weights=np.minimum(odds, 0) - np.log(1 + np.exp(-np.abs(odds))), minlength=len(y))
+
+
+def tree_gradients(p: Params, h: np.ndarray, ids: np.ndarray, weight: np.ndarray):
+    """Of the weighted cross-entropy of the ids inside their classes, by ``h`` and by the nodes met: ``(gradient, (nodes, gradient))``."""
+    paths = p.tree.paths(ids)
+    (order, sizes, owner, node, side), (w, odds) = paths, _choices(p, h, paths)
+    g = -side * weight.take(owner) / (1 + np.exp(np.minimum(odds, 80)))
+    ranked = np.argsort(node, kind="stable")
+    by = np.concatenate([h, np.ones((len(h), 1), h.dtype)], axis=1).take(owner.take(ranked), axis=0)
+    by *= g.take(ranked)[:, None]
+    node = node.take(ranked)
+    heads = np.flatnonzero(np.append(True, node[1:] != node[:-1])[:len(node)])
+    w *= g[:, None]
+    total, a = np.zeros((len(h), w.shape[1] - 1), h.dtype), 0
+    for n in sizes:
+        total[:n] += w[a:a + n, :-1]
+        a += n
+    g_h = np.empty_like(total)
+    g_h[order] = total
+    return g_h, (node[heads], np.add.reduceat(by, heads, axis=0) if len(heads) else by)
+
+
+def gradients(p: Params, z: np.ndarray, y: np.ndarray, real: np.ndarray) -> list:
+    """Gradients of the mean cross-entropy over ``real`` places; with a tree, at last ``(nodes, gradient)`` of the nodes met."""
     embed, place, qkv, out, up, bias = p.arrays
     x, q, k, v, att, mixed, h = forward(p, z)
     b, w, d = x.shape
@@ -134,9 +210,14 @@ def gradients(p: Params, z: np.ndarray, y: np.ndarray, real: np.ndarray) -> list
     np.exp(logits, out=logits)
     weight = (real.ravel() / max(1, real.sum())).astype(logits.dtype)
     logits *= weight / logits.sum(0)
-    logits[y.ravel(), np.arange(b * w)] -= weight
+    logits[y.ravel() if p.tree is None else p.tree.class_of[y.ravel()], np.arange(b * w)] -= weight
     g_up = (logits @ h.reshape(-1, d)).T
     g_h = logits.T @ up.T
+    of_nodes = []
+    if p.tree is not None:
+        more, nodes = tree_gradients(p, h.reshape(-1, d), y.ravel(), weight)
+        g_h += more
+        of_nodes = [nodes]
     g_out = mixed.reshape(-1, d).T @ g_h
     g_mixed = (g_h @ out.T).reshape(b, w, d)
     g_v = att.transpose(0, 2, 1) @ g_mixed
@@ -151,15 +232,19 @@ def gradients(p: Params, z: np.ndarray, y: np.ndarray, real: np.ndarray) -> list
     order = np.argsort(z.ravel(), kind="stable")
     ranked = z.ravel()[order]
     heads = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
-    g_embed[ranked[heads]] = np.add.reduceat(g_x[order], heads, axis=0)
+    g_embed[ranked[heads]] = np.add.reduceat(g_x.take(order, axis=0), heads, axis=0)
     g_place = np.zeros_like(place)
     g_place[:w] = g_x.reshape(b, w, d).sum(0)
-    return [g_embed, g_place, x.reshape(-1, d).T @ g_all, g_out, g_up, logits.sum(1)]
+    return [g_embed, g_place, x.reshape(-1, d).T @ g_all, g_out, g_up, logits.sum(1), *of_nodes]
 
 
 def local_steps(p: Params, z: np.ndarray, y: np.ndarray, real: np.ndarray, rate: float, batch: int = BATCH) -> Params:
-    """One pass of Adam over the windows, in order; steps start small and double in size every ``BATCH_STEPS``."""
-    now = Params([a.copy() for a in p.arrays])
+    """One pass of Adam over the windows, in order; steps start small and double in size every ``BATCH_STEPS``.
+
+    The tree's nodes, of which a step meets few, take Adagrad's steps on summed gradients: an unmet node stays as it is.
+    """
+    now = Params([a.copy() for a in p.arrays], None if p.tree is None else p.nodes.copy(), p.tree)
+    squares = None if p.tree is None else np.full_like(now.nodes, NODE_START)
     m, s = [np.zeros_like(a) for a in now.arrays], [np.zeros_like(a) for a in now.arrays]
     t, a = 0, 0
     while a < len(z):
@@ -180,6 +265,12 @@ def local_steps(p: Params, z: np.ndarray, y: np.ndarray, real: np.ndarray, rate:
             np.divide(first, step, out=step)
             step *= up
             x -= step
+        if p.tree is not None:
+            node, g = grads[-1]
+            g *= np.float32(real[some].sum())
+            total = squares[node] + g * g
+            squares[node] = total
+            now.nodes[node] -= np.float32(NODE_RATE * rate) * g / np.sqrt(total)
     return now
 
 
@@ -216,10 +307,15 @@ def score_texts(p: Params, s: Symbols, ids: np.ndarray, lengths: np.ndarray) ->
     for a in range(0, len(text), SCORED_TOKENS // WINDOW):
         rows = slice(a, a + SCORED_TOKENS // WINDOW)
         at = np.minimum(base[rows, None] + step, len(ids) - 1)
-        h = forward(p, before[at])[-1]
+        h = forward(p, before.take(at))[-1]
         take = (step >= skip[rows, None]) & (step < left[rows, None])
-        flat = at[take]
-        lp = log_probs(p, h[take], classes[flat]).astype(np.float64) + s.inside[ids[flat]]
+        places = np.flatnonzero(take)
+        flat = at.ravel().take(places)
+        h = h.reshape(-1, h.shape[2]).take(places, axis=0)
+        if p.tree is None:
+            lp = log_probs(p, h, classes[flat]).astype(np.float64) + s.inside[ids[flat]]
+        else:
+            lp = log_probs(p, h, ids[flat])
         out += np.bincount(np.repeat(text[rows], take.sum(1)), weights=lp, minlength=len(lengths))
     return out / np.log(10.0)
 
@@ -242,6 +338,33 @@ def classes_of(counts: np.ndarray, classes: int = CLASSES) -> tuple[np.ndarray,
     return cls, np.log(weight / mass[cls]), np.maximum(mass, 0.5) / np.maximum(mass, 0.5).sum()
 
 
+def tree_of(counts: np.ndarray, class_of: np.ndarray) -> Tree:
+    """A Huffman tree of the ids of each class: frequent ids have few choices on their way."""
+    n = len(counts)
+    weight = (counts + 0.5).tolist()
+    parent, side, bias = np.full(2 * n, -1), np.zeros(2 * n, np.int8), []
+    for c in range(int(class_of.max()) + 1):
+        heap = [(weight[i], i) for i in np.flatnonzero(class_of == c).tolist()]
+        heapq.heapify(heap)
+        while len(heap) > 1:
+            (less, a), (more, b) = heapq.heappop(heap), heapq.heappop(heap)
+            parent[[a, b]], side[[a, b]] = n + len(bias), (-1, 1)
+            heapq.heappush(heap, (less + more, n + len(bias)))
+            bias.append(np.log(more / less))
+    at, ids, nodes, sides = np.arange(n), [], [], []
+    own = at
+    while len(own := own[parent[at] >= 0]):
+        at = at[parent[at] >= 0]
+        ids.append(own)
+        nodes.append(parent[at] - n)
+        sides.append(side[at])
+        at = parent[at]
+    whole = [np.concatenate([*x, np.zeros(0, np.int64)]) for x in (ids, nodes, sides)]
+    order = np.argsort(whole[0], kind="stable")
+    first = np.append(0, np.cumsum(np.bincount(whole[0].astype(np.int64), minlength=n)))
+    return Tree(class_of, first, whole[1][order].astype(np.uint16), whole[2][order].astype(np.float32), np.array(bias, np.float32))
+
+
 def contexts_of(counts: np.ndarray, class_of: np.ndarray, contexts: int = CONTEXTS) -> np.ndarray:
     """The embedding of each id: the start and the most frequent ids have one each, the others their class's."""
     shared = int(class_of.max()) + 1
@@ -256,12 +379,28 @@ def contexts_of(counts: np.ndarray, class_of: np.ndarray, contexts: int = CONTEX
 # ---------------------------------------------------------------------------
 # tasks
 
+def distinct(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(bytes, start, end, number)``: the distinct ones of ascending, disjoint byte runs, and which of them each run is.
+
+    Runs are compared by their bytes, so a word is hashed or encoded once for each slice that holds it.
+    """
+    edge = np.zeros(len(data) + 1, np.int8)
+    edge[start] += 1
+    edge[end] -= 1
+    held = data[np.cumsum(edge[:-1], dtype=np.int8).view(bool)]
+    off = np.zeros(len(start) + 1, np.int64)
+    np.cumsum(end - start, out=off[1:])
+    runs = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(off), pa.py_buffer(held)]).dictionary_encode()
+    data, off = text_bytes(runs.dictionary)
+    return data, off[:-1], off[1:], runs.indices.to_numpy()
+
+
 def _gather(v: Vocabulary):
     """One pass: ids and training windows of every text; counts of words and ids of each batch's training texts."""
     def run(batches):
         enc = Encoder(v)
         for batch in batches:
-            words, pieces = [], np.zeros(len(v.table), np.int64)
+            words, times, pieces = [], [], np.zeros(len(v.table), np.int64)
             n_end = 0
             for part in slices(batch):
                 data, off = text_bytes(part.column("_t"))
@@ -270,8 +409,10 @@ def _gather(v: Vocabulary):
                 start, end, first = word_bounds(data, off)
                 train = ~held
                 n_end += int(train.sum())
-                own = np.repeat(train, np.diff(first))
-                words.append(Rolling(data).of(start, end)[own])
+                some, a, b, number = distinct(data, start, end)
+                count = np.bincount(number[np.repeat(train, np.diff(first))], minlength=len(a))
+                words.append(Rolling(some).of(a, b)[count > 0])
+                times.append(count[count > 0])
                 ids, lengths = _ids(enc, v, data, off)
                 pieces += np.bincount(ids[np.repeat(train, lengths)], minlength=len(pieces))
                 ends = np.cumsum(lengths)
@@ -280,7 +421,12 @@ def _gather(v: Vocabulary):
                      pa.array([ids[e - n:e].astype("<u2").tobytes() for e, n in zip(ends.tolist(), lengths.tolist())], pa.binary()),
                      pa.array(np.where(train, -(-lengths // WINDOW), 0), pa.int64()),
                      *[pa.nulls(part.num_rows, pa.list_(pa.int64())) for _ in range(4)]], _GATHERED)
-            keys, counts = np.unique(np.concatenate([*words, np.full(n_end, END_WORD)]), return_counts=True)
+            if n_end:
+                words.append(np.array([END_WORD]))
+                times.append(np.array([n_end]))
+            keys, at = np.unique(np.concatenate([*words, np.zeros(0, np.uint64)]), return_inverse=True)
+            counts = np.zeros(len(keys), np.int64)
+            np.add.at(counts, at, np.concatenate([*times, np.zeros(0, np.int64)]))
             seen = np.flatnonzero(pieces)
             for a in range(0, len(keys), 1 << 16):
                 some = slice(a, a + (1 << 16))
@@ -301,7 +447,12 @@ def _ids(enc: Encoder, v: Vocabulary, data: np.ndarray, off: np.ndarray) -> tupl
     raw = data.tobytes()
     seen, edge = marked([raw[a:b] for a, b in zip(off[:-1].tolist(), off[1:].tolist())])
     start, end, first = unit_bounds(v, seen, edge)
-    ids, at, length = enc.units(seen, start, end) if len(start) else (np.zeros(0, np.int32),) * 3
+    if len(start):
+        some, a, b, number = distinct(seen, start, end)
+        ids, at, length = enc.units(some, a, b)
+        at, length = at[number], length[number]
+    else:
+        ids, at, length = (np.zeros(0, np.int32),) * 3
     total = np.zeros(len(length) + 1, np.int64)
     np.cumsum(length, out=total[1:])
     flat = ids[np.repeat(at - total[:-1], length) + np.arange(total[-1])] if len(start) else np.zeros(0, np.int32)
@@ -354,16 +505,14 @@ def windows_of(block: bytes) -> np.ndarray:
 
 
 def _trainer(p: Params, s: Symbols, rate: float):
-    flat0, shape = p.flat(), (len(p.arrays[5]), len(p.arrays[0]))
-
     def steps(blocks):
         w = np.concatenate([windows_of(x) for x in blocks])
         w = w[np.lexsort(w.T[::-1])]
         w = w[np.random.default_rng(17).permutation(len(w))]
         real = (w[:, 1:] != FILLER)
         w = np.where(w == FILLER, END, w)
-        z, y = s.context_of[w[:, :-1]], s.class_of[w[:, 1:]]
-        return local_steps(Params.unflat(flat0, *shape), z, y, real, rate).flat() * len(w), len(w)
+        z, y = s.context_of[w[:, :-1]], w[:, 1:].astype(np.int64)
+        return local_steps(p, z, y, real, rate).flat() * len(w), len(w)
 
     def run(batches):
         # A task may read several of the dealt partitions, one after the other; each is learnt on its own.
@@ -378,6 +527,7 @@ def _trainer(p: Params, s: Symbols, rate: float):
         if blocks:
             more, m = steps(blocks)
             total, n = total + more, n + m
+            total = (total / n).astype(np.float32)
             pieces = [total[a:a + PIECE_NUMBERS].tobytes() for a in range(0, len(total), PIECE_NUMBERS)]
             yield pa.record_batch([pa.array(np.arange(len(pieces))), pa.array(pieces, pa.binary()), pa.array(np.full(len(pieces), float(n)))],
                                   ["no", "p", "n"])
@@ -386,9 +536,9 @@ def _trainer(p: Params, s: Symbols, rate: float):
 
 def _averaged(pieces: pd.DataFrame) -> pd.DataFrame:
     """The mean of one piece of the parameters over all tasks, weighted by their windows."""
-    n = pieces["n"].sum()
-    total = sum(np.frombuffer(x, np.float64) for x in pieces.sort_values(["n", "p"], kind="stable")["p"])
-    return pd.DataFrame({"no": [pieces["no"].iloc[0]], "p": [(total / n).tobytes()]})
+    rows = pieces.sort_values(["n", "p"], kind="stable")
+    total = sum(np.frombuffer(x, np.float32) * n for x, n in zip(rows["p"], rows["n"]))
+    return pd.DataFrame({"no": [pieces["no"].iloc[0]], "p": [(total / rows["n"].sum()).astype(np.float32).tobytes()]})
 
 
 def _scorer(p: Params, s: Symbols):
@@ -412,12 +562,13 @@ def _based(keys: np.ndarray, logs: np.ndarray):
                 data = lower_ascii(data)
                 start, end, first = word_bounds(data, off)
                 n = part.num_rows
-                words = Rolling(data).of(start, end)
+                some, a, b, number = distinct(data, start, end)
+                words = Rolling(some).of(a, b)
                 text = np.repeat(np.arange(n), np.diff(first))
                 at = np.minimum(np.searchsorted(keys, words), max(len(keys) - 1, 0))
-                known = keys[at] == words if len(keys) else np.zeros(len(words), bool)
-                total = np.bincount(text[known], weights=logs[at[known]], minlength=n) if len(keys) else np.zeros(n)
-                rare, owner = words[~known], text[~known]
+                known = (keys[at] == words if len(keys) else np.zeros(len(words), bool))[number]
+                total = np.bincount(text[known], weights=logs[at[number[known]]], minlength=n) if len(keys) else np.zeros(n)
+                rare, owner = words[number[~known]], text[~known]
                 order = np.lexsort((rare, owner))
                 rare, owner = rare[order], owner[order]
                 new = np.flatnonzero(np.append(True, (rare[1:] != rare[:-1]) | (owner[1:] != owner[:-1]))) if len(rare) else \
@@ -488,17 +639,18 @@ def lm_scores(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col
     piece_counts[per_piece["piece"].to_numpy(np.int64)] = per_piece["c"].to_numpy(np.float64)
     class_of, inside, share = classes_of(piece_counts)
     symbols = Symbols(class_of, inside, contexts_of(piece_counts, class_of, contexts))
+    tree = tree_of(piece_counts, class_of)
 
     windows = int(seen.agg(F.coalesce(F.sum("windows"), F.lit(0))).first()[0])
-    params = Params.start(share, contexts)
+    params = Params.start(share, contexts, tree=tree)
     dealt = _dealt(seen, windows, rounds) if windows else None
     for r in range(rounds if windows else 0):
         mine = dealt.where(F.col("part") % rounds == r)
         parts = mine.mapInArrow(_trainer(params, symbols, 0.02 / (r + 1)), "no long, p binary, n double")
         mean = parts.groupBy("no").applyInPandas(_averaged, "no long, p binary").collect()    # one row for each piece
         if mean:
-            flat = np.concatenate([np.frombuffer(x["p"], np.float64) for x in sorted(mean, key=lambda x: x["no"])])
-            params = Params.unflat(flat, len(share), contexts)
+            flat = np.concatenate([np.frombuffer(x["p"], np.float32) for x in sorted(mean, key=lambda x: x["no"])])
+            params = Params.unflat(flat, len(share), contexts, tree)
 
     scored = (seen.where("ids IS NOT NULL").select("_d", "_h", "ids")
               .mapInArrow(_scorer(params, symbols), "_d long, _h long, score double")

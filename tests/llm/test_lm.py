@@ -160,3 +160,101 @@ def test_held_out_texts_beat_the_same_model_without_context(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     mean = lambda df: np.mean([r.score for r in df.collect() if r.held_out])
     assert mean(L.lm_scores(docs, MODEL)) > 0.7 * mean(L.lm_scores(docs, MODEL, rounds=0))
+
+
+def small_model(seed=6, ids=60, classes=5):
+    """A model over ids with a tree, its nodes moved off their start."""
+    rng = np.random.default_rng(seed)
+    counts = np.floor(400 / (1 + np.arange(ids)))
+    cls, inside, share = L.classes_of(counts, classes)
+    tree = L.tree_of(counts, cls)
+    p = L.Params.start(share, 20, tree=tree)
+    start = L.Params([a.astype(np.float64) for a in p.arrays], p.nodes.astype(np.float64), tree)
+    moved = L.Params(start.arrays, start.nodes + rng.normal(0, 0.5, start.nodes.shape), tree)
+    return start, moved, L.Symbols(cls, inside, L.contexts_of(counts, cls, 20))
+
+
+def test_the_tree_starts_from_the_shares_and_then_depends_on_the_context():
+    start, moved, s = small_model()
+    n = len(s.class_of)
+    h = np.random.default_rng(7).normal(0, 1, (4, 16))
+    at = lambda p: np.stack([L.log_probs(p, h, np.full(4, i)) for i in range(n)])
+    for p in (start, moved):
+        assert np.allclose(np.exp(at(p)).sum(0), 1)                  # over the whole vocabulary
+    plain = L.Params(start.arrays)
+    assert np.allclose(at(start), np.stack([L.log_probs(plain, h, np.full(4, s.class_of[i])) + s.inside[i] for i in range(n)]), atol=1e-6)
+    a, b = np.flatnonzero(s.class_of == s.class_of.max())[:2]
+    odds = at(moved)[a] - at(moved)[b]
+    assert np.ptp(odds) > 0.1                                        # ids of one class, told apart by the context
+
+
+def test_gradients_of_ids_and_nodes():
+    _, p, s = small_model()
+    rng = np.random.default_rng(2)
+    z, y = rng.integers(0, 20, (3, 9)), rng.integers(0, 60, (3, 9))
+    real = np.ones((3, 9), bool)
+    real[2, 6:] = False
+
+    def loss():
+        h = L.forward(p, z)[-1]
+        return -L.log_probs(p, h.reshape(-1, 16), y.ravel())[real.ravel()].mean()
+
+    *grads, (nodes, rows) = L.gradients(p, z, y, real)
+    of_nodes = np.zeros_like(p.nodes)
+    of_nodes[nodes] = rows
+    for a, g in zip([*p.arrays, p.nodes], [*grads, of_nodes]):
+        for k in range(12):
+            i = tuple(rng.integers(0, n) for n in a.shape) if k else np.unravel_index(np.abs(g).argmax(), g.shape)
+            old = a[i]
+            a[i] = old + 1e-4
+            up = loss()
+            a[i] = old - 1e-4
+            down = loss()
+            a[i] = old
+            assert abs((up - down) / 2e-4 - g[i]) < 1e-5
+
+
+def test_scores_of_ids_against_the_nodes_one_by_one():
+    _, p, s = small_model()
+    rng = np.random.default_rng(8)
+    texts = [rng.integers(1, 60, n) for n in (1, 2, 24, 25, 70)]
+    want = []
+    for ids in texts:
+        text, start, skip = L.cover(np.array([len(ids)]))
+        total = 0.0
+        for i, own in enumerate(ids):
+            w = max(k for k in range(len(text)) if start[k] + skip[k] <= i)
+            z = np.array([s.context_of[t] for t in [L.START, *ids][start[w]:i + 1]])
+            h = L.forward(p, z[None])[-1][0, -1]
+            logits = h @ p.arrays[4] + p.arrays[5]
+            total += logits[s.class_of[own]] - np.log(np.exp(logits).sum())
+            for j in range(p.tree.first[own], p.tree.first[own + 1]):
+                odds = p.tree.side[j] * (p.nodes[p.tree.node[j], :-1] @ h + p.nodes[p.tree.node[j], -1])
+                total -= math.log1p(math.exp(-odds))
+        want.append(total / math.log(10))
+    assert np.allclose(L.score_texts(p, s, np.concatenate(texts), np.array([len(t) for t in texts])), want, rtol=1e-5)
+
+
+def test_words_of_one_class_are_told_apart_by_what_precedes_them(spark, monkeypatch):
+    two = L.classes_of
+    monkeypatch.setattr(L, "classes_of", lambda counts: two(counts, 2))
+    pairs = [("red", "apple"), ("blue", "river"), ("green", "forest"), ("black", "stone")]
+    rng = random.Random(3)
+    rows = [(i, " ".join(" ".join(rng.choice(pairs)) for _ in range(20))) for i in range(300)]
+    right = " ".join(f"{a} {b}" for a, b in pairs * 4)
+    wrong = " ".join(f"{a} {pairs[k - 1][1]}" for k, (a, _) in enumerate(pairs)) + " "
+    docs = spark.createDataFrame([*rows, (1000, right), (1001, (wrong * 4).strip())], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in L.lm_scores(docs, MODEL, held_out=F.col("doc_id") >= 1000).collect()}
+    assert got[1000] > got[1001] + 10
+
+
+def test_distinct_runs():
+    text = " one two  one\tfé one two ".encode()
+    data = np.frombuffer(text * 3, np.uint8)
+    off = np.arange(4) * len(text)
+    start, end, _ = L.word_bounds(data, off)
+    some, a, b, number = L.distinct(data, start, end)
+    words = [some[x:y].tobytes() for x, y in zip(a, b)]
+    assert len(set(words)) == len(words) == 3
+    assert [words[i] for i in number] == [data[x:y].tobytes() for x, y in zip(start, end)]
+    assert [len(x) for x in L.distinct(data[:0], start[:0], end[:0])] == [0, 0, 0, 0]
