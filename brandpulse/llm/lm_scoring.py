@@ -18,6 +18,8 @@ import heapq
 from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -26,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brandpulse.llm.common import Rolling, lower_ascii, null_id, one_thread, row_keys, scratch, slices, text_bytes, word_bounds
-from brandpulse.llm.pieces import Encoder, Vocabulary, marked, unit_bounds
+from brandpulse.llm.pieces import LONG_UNIT, Encoder, Vocabulary, marked, unit_bounds
 from brandpulse.llm.repeats import _lists
 
 WINDOW = 24
@@ -41,6 +43,7 @@ PART_WINDOWS = 65_536            # training windows of a partition
 ROUNDS = 4
 BATCH = 256                      # windows of a step, reached by doubling from the first steps' size
 FIRST_BATCH, BATCH_STEPS = 8, 32
+LARGEST = 40.0                   # exponents of the attention above it are shifted down
 NODE_RATE, NODE_START = 10.0, 1.0   # of Adagrad for the tree's nodes: its rate over the other parameters', its first sum of squares
 PIECE_NUMBERS = 1 << 13          # parameters that are averaged in one group
 FREQUENT = 200_000               # words whose counts travel with the task: the documented bound of that table
@@ -119,33 +122,46 @@ class Params:
         return Params(out, flat[at:].reshape(len(tree.bias), -1).astype(np.float32), tree)
 
 
-def _sum_last(a: np.ndarray) -> np.ndarray:
-    """Sums over a short last axis, kept as an axis (a product is much faster than ``sum`` there)."""
-    return a @ np.ones((a.shape[-1], 1), a.dtype)
+@cache
+def _seen(w: int) -> np.ndarray:
+    """1 where a place (row) may see a place (column): itself and back."""
+    return np.tril(np.ones((w, w), np.float32))
+
+
+def _scaled(qkv: np.ndarray) -> np.ndarray:
+    """The weights with the attention's scale in those of the queries."""
+    out = qkv.copy()
+    out[:, :len(qkv)] *= np.float32(len(qkv) ** -0.5)
+    return out
 
 
 def forward(p: Params, z: np.ndarray):
-    """Context numbers before each place (B, W) to log-probabilities' ingredients; the mask lets a place see itself and back."""
+    """Context numbers before each place (B, W) to log-probabilities' ingredients; the mask lets a place see itself and back.
+
+    ``att`` holds exponentials and ``rec`` (B * W, 1) the reciprocals of their rows' sums: the attention is their product.
+    """
     embed, place, qkv, out, up, bias = p.arrays
     b, w = z.shape
     d = embed.shape[1]
     x = embed.take(z, axis=0)
     x += place[:w]
-    q, k, v = np.split((x.reshape(-1, d) @ qkv).reshape(b, w, 3 * d), 3, axis=2)
+    every = (x.reshape(-1, d) @ _scaled(qkv)).reshape(b, w, 3 * d)
+    q, k, v = every[..., :d], every[..., d:2 * d], every[..., 2 * d:]
     att = q @ k.transpose(0, 2, 1)
-    att *= np.float32(d ** -0.5)
-    # (The entry of a place for itself is always there, so the least of them bounds every row's top from below.)
+    # (The entry of a place for itself is always there, so the least of them bounds every row's sum from below.)
     top = att.max()
-    if top - att.diagonal(axis1=1, axis2=2).min() > 60.0:
-        att += np.triu(np.full((w, w), -1e9, np.float32), 1)
-        top = att.max(2, keepdims=True)
-    att -= top
+    if max(top, LARGEST) - att.diagonal(axis1=1, axis2=2).min() > LARGEST + 80.0:
+        att += np.where(_seen(w) > 0, np.float32(0), np.float32(-1e9))
+        att -= att.max(2, keepdims=True)
+    elif top > LARGEST:
+        att -= top - LARGEST
     np.exp(att, out=att)
-    att *= np.tril(np.ones((w, w), np.float32))
-    att /= _sum_last(att)
-    mixed = att @ v
-    h = x + (mixed.reshape(-1, d) @ out).reshape(b, w, d)
-    return x, q, k, v, att, mixed, h
+    att *= _seen(w)
+    rec = 1 / (att.reshape(-1, w) @ np.ones((w, 1), att.dtype))
+    mixed = (att @ v).reshape(-1, d)
+    mixed *= rec
+    h = x + (mixed @ out).reshape(b, w, d)
+    return x, q, k, v, att, rec, mixed, h
 
 
 def _class_logits(p: Params, h: np.ndarray) -> np.ndarray:
@@ -155,14 +171,14 @@ def _class_logits(p: Params, h: np.ndarray) -> np.ndarray:
     return logits
 
 
-def _choices(p: Params, h: np.ndarray, paths) -> tuple[np.ndarray, np.ndarray]:
-    """At every choice of the paths: the node's weights, and the log-odds of the side taken."""
+def _choices(p: Params, h: np.ndarray, paths) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """At every choice of the paths: the node's weights, ``h`` with a 1 for its bias, and the log-odds of the side taken."""
     _, _, owner, node, side = paths
     w = p.nodes.take(node, axis=0)
-    odds = np.einsum("ij,ij->i", w[:, :-1], h.take(owner, axis=0))
-    odds += w[:, -1]
+    seen = np.concatenate([h, np.ones((len(h), 1), h.dtype)], axis=1).take(owner, axis=0)
+    odds = ((w * seen) @ np.ones((w.shape[1], 1), w.dtype))[:, 0]
     odds *= side
-    return w, odds
+    return w, seen, odds
 
 
 def log_probs(p: Params, h: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -176,58 +192,66 @@ def log_probs(p: Params, h: np.ndarray, y: np.ndarray) -> np.ndarray:
     if p.tree is None:
         return out
     paths = p.tree.paths(y)
-    odds = _choices(p, h, paths)[1]
+    odds = _choices(p, h, paths)[2]
     return out + np.bincount(paths[2], weights=np.minimum(odds, 0) - np.log(1 + np.exp(-np.abs(odds))), minlength=len(y))
 
 
 def tree_gradients(p: Params, h: np.ndarray, ids: np.ndarray, weight: np.ndarray):
     """Of the weighted cross-entropy of the ids inside their classes, by ``h`` and by the nodes met: ``(gradient, (nodes, gradient))``."""
     paths = p.tree.paths(ids)
-    (order, sizes, owner, node, side), (w, odds) = paths, _choices(p, h, paths)
+    (order, sizes, owner, node, side), (w, by, odds) = paths, _choices(p, h, paths)
     g = -side * weight.take(owner) / (1 + np.exp(np.minimum(odds, 80)))
+    by *= g[:, None]
+    w *= g[:, None]
     ranked = np.argsort(node, kind="stable")
-    by = np.concatenate([h, np.ones((len(h), 1), h.dtype)], axis=1).take(owner.take(ranked), axis=0)
-    by *= g.take(ranked)[:, None]
     node = node.take(ranked)
     heads = np.flatnonzero(np.append(True, node[1:] != node[:-1])[:len(node)])
-    w *= g[:, None]
-    total, a = np.zeros((len(h), w.shape[1] - 1), h.dtype), 0
+    by = by.take(ranked, axis=0)
+    total, a = np.zeros((len(h), w.shape[1]), h.dtype), 0
     for n in sizes:
-        total[:n] += w[a:a + n, :-1]
+        total[:n] += w[a:a + n]
         a += n
-    g_h = np.empty_like(total)
-    g_h[order] = total
-    return g_h, (node[heads], np.add.reduceat(by, heads, axis=0) if len(heads) else by)
+    place = np.empty_like(order)
+    place[order] = np.arange(len(order))
+    return total.take(place, axis=0)[:, :-1], (node[heads], np.add.reduceat(by, heads, axis=0) if len(heads) else by)
 
 
 def gradients(p: Params, z: np.ndarray, y: np.ndarray, real: np.ndarray) -> list:
     """Gradients of the mean cross-entropy over ``real`` places; with a tree, at last ``(nodes, gradient)`` of the nodes met."""
     embed, place, qkv, out, up, bias = p.arrays
-    x, q, k, v, att, mixed, h = forward(p, z)
+    x, q, k, v, att, rec, mixed, h = forward(p, z)
     b, w, d = x.shape
-    logits = _class_logits(p, h.reshape(-1, d))
+    x, h = x.reshape(-1, d), h.reshape(-1, d)
+    logits = _class_logits(p, h)
     logits -= logits.max(0)
     np.exp(logits, out=logits)
     weight = (real.ravel() / max(1, real.sum())).astype(logits.dtype)
     logits *= weight / logits.sum(0)
     logits[y.ravel() if p.tree is None else p.tree.class_of[y.ravel()], np.arange(b * w)] -= weight
-    g_up = (logits @ h.reshape(-1, d)).T
+    g_up = (logits @ h).T
     g_h = logits.T @ up.T
     of_nodes = []
     if p.tree is not None:
-        more, nodes = tree_gradients(p, h.reshape(-1, d), y.ravel(), weight)
+        more, nodes = tree_gradients(p, h, y.ravel(), weight)
         g_h += more
         of_nodes = [nodes]
-    g_out = mixed.reshape(-1, d).T @ g_h
-    g_mixed = (g_h @ out.T).reshape(b, w, d)
-    g_v = att.transpose(0, 2, 1) @ g_mixed
-    g_att = g_mixed @ v.transpose(0, 2, 1)
-    g_s = g_att * att
-    g_att -= _sum_last(g_s)
-    g_att *= np.float32(d ** -0.5)
-    g_s = np.multiply(att, g_att, out=g_s)
-    g_all = np.concatenate([g_s @ k, g_s.transpose(0, 2, 1) @ q, g_v], axis=2).reshape(-1, 3 * d)
-    g_x = g_h + g_all @ qkv.T
+    g_out = mixed.T @ g_h
+    # The attention's gradient from its exponentials: a row's part of ``rec`` goes with the gradient of what it mixed.
+    g_mixed = g_h @ out.T
+    g_mixed *= rec
+    own = (g_mixed * mixed) @ np.ones((d, 1), mixed.dtype)
+    g_mixed = g_mixed.reshape(b, w, d)
+    g_s = g_mixed @ v.transpose(0, 2, 1)
+    g_s -= own.reshape(b, w, 1)
+    g_s *= att
+    g_all = np.empty((b, w, 3 * d), g_s.dtype)
+    np.matmul(g_s, k, out=g_all[..., :d])
+    np.matmul(g_s.transpose(0, 2, 1), q, out=g_all[..., d:2 * d])
+    np.matmul(att.transpose(0, 2, 1), g_mixed, out=g_all[..., 2 * d:])
+    g_all = g_all.reshape(-1, 3 * d)
+    g_qkv = _scaled(x.T @ g_all)
+    g_x = g_all @ _scaled(qkv).T
+    g_x += g_h
     g_embed = np.zeros_like(embed)
     order = np.argsort(z.ravel(), kind="stable")
     ranked = z.ravel()[order]
@@ -235,7 +259,7 @@ def gradients(p: Params, z: np.ndarray, y: np.ndarray, real: np.ndarray) -> list
     g_embed[ranked[heads]] = np.add.reduceat(g_x.take(order, axis=0), heads, axis=0)
     g_place = np.zeros_like(place)
     g_place[:w] = g_x.reshape(b, w, d).sum(0)
-    return [g_embed, g_place, x.reshape(-1, d).T @ g_all, g_out, g_up, logits.sum(1), *of_nodes]
+    return [g_embed, g_place, g_qkv, g_out, g_up, logits.sum(1), *of_nodes]
 
 
 def local_steps(p: Params, z: np.ndarray, y: np.ndarray, real: np.ndarray, rate: float, batch: int = BATCH) -> Params:
@@ -243,28 +267,31 @@ def local_steps(p: Params, z: np.ndarray, y: np.ndarray, real: np.ndarray, rate:
 
     The tree's nodes, of which a step meets few, take Adagrad's steps on summed gradients: an unmet node stays as it is.
     """
-    now = Params([a.copy() for a in p.arrays], None if p.tree is None else p.nodes.copy(), p.tree)
+    flat = np.concatenate([a.ravel() for a in p.arrays])
+    ends = np.cumsum([a.size for a in p.arrays])
+    now = Params([x.reshape(a.shape) for x, a in zip(np.split(flat, ends[:-1]), p.arrays)],       # views of ``flat``
+                 None if p.tree is None else p.nodes.copy(), p.tree)
     squares = None if p.tree is None else np.full_like(now.nodes, NODE_START)
-    m, s = [np.zeros_like(a) for a in now.arrays], [np.zeros_like(a) for a in now.arrays]
+    first, second, step = np.zeros_like(flat), np.zeros_like(flat), np.empty_like(flat)
     t, a = 0, 0
     while a < len(z):
         some = slice(a, a + min(batch, FIRST_BATCH << min(t // BATCH_STEPS, 20)))
         t, a = t + 1, some.stop
         grads = gradients(now, z[some], y[some], real[some])
         up, down = np.float32(rate / (1 - 0.9 ** t)), np.float32((1 - 0.98 ** t) ** -0.5)
-        for x, g, first, second in zip(now.arrays, grads, m, s):
-            first *= np.float32(0.9)
-            first += np.float32(0.1) * g
-            second *= np.float32(0.98)
-            g *= g
-            g *= np.float32(0.02)
-            second += g
-            step = np.sqrt(second)
-            step *= down
-            step += np.float32(1e-6)
-            np.divide(first, step, out=step)
-            step *= up
-            x -= step
+        g = np.concatenate([x.ravel() for x in grads[:len(p.arrays)]])
+        first *= np.float32(0.9)
+        first += np.multiply(g, np.float32(0.1), out=step)
+        second *= np.float32(0.98)
+        g *= g
+        g *= np.float32(0.02)
+        second += g
+        np.sqrt(second, out=step)
+        step *= down
+        step += np.float32(1e-6)
+        np.divide(first, step, out=step)
+        step *= up
+        flat -= step
         if p.tree is not None:
             node, g = grads[-1]
             g *= np.float32(real[some].sum())
@@ -395,10 +422,52 @@ def distinct(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.n
     return data, off[:-1], off[1:], runs.indices.to_numpy()
 
 
-def _gather(v: Vocabulary):
+def unit_model(model_path: str) -> bytes:
+    """The vocabulary's model for units, as the library reads it: no space is put in front."""
+    from sentencepiece import sentencepiece_model_pb2
+
+    with open(model_path, "rb") as f:
+        proto = sentencepiece_model_pb2.ModelProto.FromString(f.read())
+    proto.normalizer_spec.add_dummy_prefix = False
+    return proto.SerializeToString()
+
+
+class LibraryEncoder(Encoder):
+    """New units go to the library, many in one call; long units and bytes that are no UTF-8 are merged as in ``Encoder``."""
+
+    def __init__(self, v: Vocabulary, model: bytes):
+        from sentencepiece import SentencePieceProcessor
+
+        super().__init__(v)
+        self._library = SentencePieceProcessor(model_proto=model)
+
+    def encode(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        raw, short, units = data.tobytes(), end - start <= LONG_UNIT, []
+        for u, (a, b) in enumerate(zip(start.tolist(), end.tolist())):
+            if b - a <= LONG_UNIT:
+                try:
+                    units.append(str(raw[a:b], "utf-8"))
+                except UnicodeDecodeError:
+                    short[u] = False
+        ids = self._library.encode(units, num_threads=1) if units else []
+        lengths = np.zeros(len(start), np.int64)
+        lengths[short] = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(lengths.sum()))
+        if short.all():
+            return flat, lengths
+        far = np.flatnonzero(~short)
+        far = far[np.argsort(start[far])]
+        more, lengths[far] = super().encode(data, start[far], end[far])
+        out, first = np.empty(int(lengths.sum()), np.int32), np.cumsum(lengths) - lengths
+        out[np.repeat(short, lengths)] = flat
+        out[np.repeat(first[far] - (np.cumsum(lengths[far]) - lengths[far]), lengths[far]) + np.arange(len(more))] = more
+        return out, lengths
+
+
+def _gather(v: Vocabulary, model: bytes):
     """One pass: ids and training windows of every text; counts of words and ids of each batch's training texts."""
     def run(batches):
-        enc = Encoder(v)
+        enc = LibraryEncoder(v, model)
         for batch in batches:
             words, times, pieces = [], [], np.zeros(len(v.table), np.int64)
             n_end = 0
@@ -622,7 +691,7 @@ def lm_scores(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col
     held = is_held_out(id_col) if held_out is None else held_out
     rows = row_keys(docs.withColumn("_held_out", held), id_col, text_col, ["_held_out"]).withColumnRenamed("_c0", "held")
     one_thread(docs.sparkSession)
-    seen = scratch(rows.mapInArrow(_gather(v), _GATHERED_KINDS), "lm-gathered")
+    seen = scratch(rows.mapInArrow(_gather(v, unit_model(model_path)), _GATHERED_KINDS), "lm-gathered")
 
     counts = scratch(seen.where("word IS NOT NULL").select(F.inline(F.arrays_zip("word", "count")))
                      .groupBy("word").agg(F.sum("count").alias("c")), "lm-words")

@@ -258,3 +258,39 @@ def test_distinct_runs():
     assert len(set(words)) == len(words) == 3
     assert [words[i] for i in number] == [data[x:y].tobytes() for x, y in zip(start, end)]
     assert [len(x) for x in L.distinct(data[:0], start[:0], end[:0])] == [0, 0, 0, 0]
+
+
+def test_masked_attention_whatever_its_scale():
+    rng = np.random.default_rng(12)
+    z = rng.integers(0, 7, (4, 9))
+    for scale in (0.1, 1, 8, 40):               # exponents below, shifted, and beyond what one shift for all rows can hold
+        p = L.Params.start(np.full(7, 1 / 7), 7)
+        p.arrays[0] *= np.float32(scale)
+        embed, place, qkv, out, *_ = (a.astype(np.float64) for a in p.arrays)
+        x = embed[z] + place[:9]
+        q, k, v = np.split(x @ qkv, 3, axis=2)
+        a = np.where(np.tril(np.ones((9, 9))) > 0, q @ k.transpose(0, 2, 1) / 4, -np.inf)
+        a = np.exp(a - a.max(2, keepdims=True))
+        want = x + (a / a.sum(2, keepdims=True)) @ v @ out
+        assert np.allclose(L.forward(p, z)[-1], want, rtol=1e-3, atol=1e-3 * scale)
+        for g in L.gradients(p, z, z, np.ones(z.shape, bool)):
+            assert np.isfinite(g).all()
+
+
+def test_library_and_merges_give_the_same_pieces():
+    v = L.Vocabulary.load(MODEL)
+    rng = random.Random(21)
+    marks = ["<s>", "</s>", "<unk>", "<0x41>", "▁", "\0", "\u200d", "é", "日本", "😀", "e\u0301", "\n", "\t", "  ", "0", "a", "the", "ing", "."]
+    texts = ["".join(rng.choice(marks) for _ in range(rng.randint(1, 12))) for _ in range(400)] + ["x" * 500, "ab" * 90_000, "日" * 300, ""]
+    data, off = L.text_bytes(L.pa.array([t.encode() for t in texts], L.pa.binary()))
+    plain, fast = L.Encoder(v), L.LibraryEncoder(v, L.unit_model(MODEL))
+    got = L._ids(fast, v, data, off)
+    want = [L._ids(plain, v, data[a:b], np.array([0, b - a])) for a, b in zip(off[:-1], off[1:])]
+    assert np.concatenate([w[0] for w in want]).tolist() == got[0].tolist() and [w[1][0] for w in want] == got[1].tolist()
+    calls = []
+    fast.encode = lambda *a: calls.append(1)
+    assert L._ids(fast, v, data, off)[0].tolist() == got[0].tolist() and not calls      # a unit is encoded once
+    broken = np.frombuffer(b"ab \xff\xfe cd", np.uint8)
+    one = np.array([0, len(broken)])
+    fast = L.LibraryEncoder(v, L.unit_model(MODEL))
+    assert L._ids(fast, v, broken, one)[0].tolist() == L._ids(plain, v, broken, one)[0].tolist()
