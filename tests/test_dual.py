@@ -42,3 +42,17 @@ def test_odd_rows(spark):
                                  "x array<double>, y double")
     a, b = (hinge_dual(many.repartition(k), "x", "y", 2, REG, tolerance=1e-6) for k in (1, 6))
     assert abs(a.objective - b.objective) < 1e-5
+
+
+def test_dual_variables_stay_off_the_driver_and_blocks_depend_on_the_rows(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from brandpulse.operators import dual
+
+    seen, collect = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: seen.append(self.columns) or collect(self))
+    monkeypatch.setattr(dual, "BLOCK_ROWS", 64)
+    rows = spark.createDataFrame([([1.0, 0.1 * (i % 9), 0.01 * i], float(i % 3 > 0)) for i in range(300)], "x array<double>, y double")
+    a, b = (hinge_dual(rows.repartition(k), "x", "y", 3, REG, parts=3) for k in (1, 5))
+    assert a == b and a.gap <= 1e-3 * a.objective
+    assert seen and not [c for c in seen if {"alpha", "x"} & set(c)]

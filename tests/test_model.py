@@ -207,3 +207,14 @@ def test_a_report_reads_token_rows_written_once(spark):
     plan = report._jdf.queryExecution().optimizedPlan().toString()
     assert "LogicalRDD" not in plan and "LocalRelation" not in plan
     assert {(r["split"], r["n"]) for r in report.collect()} == {("train", 20), ("valid", 10)}
+
+
+@pytest.mark.parametrize("trainer", ["dual", "sgd", "linearsvc"])
+def test_a_fit_uses_all_rows_unless_told_otherwise(spark, monkeypatch, trainer):
+    from brandpulse.operators import model
+
+    def refuse(*_):
+        raise AssertionError("rows were left out")
+
+    monkeypatch.setattr(model, "training_sample", refuse)
+    fit_sentiment(_separable(spark, 40), vector_size=4, iterations=2, seed=1, trainer=trainer)
