@@ -20,6 +20,8 @@ from brandpulse.llm.common import scratch
 PARTS = 2
 BLOCK_ROWS = 1024      # candidates of a block
 BLOCK_QUERIES = 2048   # queries of a block
+# Up to so many blocks of a side travel alone; of more, so many travel to a task together (candidates, queries).
+FREE_BLOCKS, GROUP_BLOCKS = 64, (16, 4)
 _EXACT = 2.0 ** 53
 
 
@@ -45,6 +47,23 @@ def _pack(rows: DataFrame, key: str, n_blocks: int, dim: int) -> DataFrame:
             .groupBy(key).applyInPandas(pack, f"{key} int, ids binary, m binary"))
 
 
+def _groups(n_blocks: int, size: int) -> int:
+    return n_blocks if n_blocks <= FREE_BLOCKS else max(FREE_BLOCKS, -(-n_blocks // size))
+
+
+def _met(cand: DataFrame, query: DataFrame, n_c: int, n_q: int) -> DataFrame:
+    """Every block of candidates beside every block of queries.
+
+    Blocks are dealt to groups, and a group of one side goes to every group of the other: what is moved is a block once for
+    each group it meets. The copies that makes are not in the optimizer's estimate of a side's size, which may look small enough for
+    a broadcast and would then stand whole on the driver, so the sides are merged.
+    """
+    g_c, g_q = _groups(n_c, GROUP_BLOCKS[0]), _groups(n_q, GROUP_BLOCKS[1])
+    c = cand.withColumn("_gc", F.pmod("cb", F.lit(g_c))).withColumn("_gq", F.explode(F.sequence(F.lit(0), F.lit(g_q - 1))))
+    q = query.withColumn("_gq", F.pmod("qb", F.lit(g_q))).withColumn("_gc", F.explode(F.sequence(F.lit(0), F.lit(g_c - 1))))
+    return c.join(q.hint("merge"), ["_gc", "_gq"]).drop("_gc", "_gq")
+
+
 def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Integer inner products; in floating point where every sum is exact, else in 64-bit integers."""
     most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(a.shape[1], 1)
@@ -86,8 +105,8 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vect
     count once; a query id with several vectors is asked once, with its smallest; scores must fit a long;
     an empty table gives no rows; other columns are not read.
 
-    Both sides are packed into blocks (rows of about half a megabyte) and meet by an equi-join on the
-    pair of block numbers: every task sees one block of queries and one of candidates, of bounded size.
+    Both sides are packed into blocks (rows of about half a megabyte) and meet by an equi-join on the pair of their
+    groups' numbers (``_met``), never by a broadcast: a product is of one block of queries and one of candidates.
     """
     rows = scratch(quantised(vectors, id_col, vector_col, scale), "topk-vectors")
     n, dim = rows.agg(F.count(F.lit(1)), F.max(F.size("_v"))).first()
@@ -98,8 +117,6 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vect
     cand = scratch(_pack(rows.distinct(), "cb", n_c, dim), "topk-candidates")
     query = scratch(_pack(asked, "qb", n_q, dim).select("qb", F.col("ids").alias("qids"), F.col("m").alias("qm")),
                     "topk-queries")
-    pairs = (cand.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_q - 1))))
-             .join(query.withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(n_c - 1)))), ["cb", "qb"]))
 
     def local_lists(batches):
         for batch in batches:
@@ -115,14 +132,14 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vect
 
     entry = "query_id long, vec_id long, score long"
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    bound = (pairs.mapInArrow(local_lists, entry)
+    bound = (_met(cand, query, n_c, n_q).mapInArrow(local_lists, entry)
              .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
              .groupBy("query_id").agg(F.min("score").alias("bound"), F.count(F.lit(1)).alias("found")))
     # A query with fewer than k entries has no bound: everything is collected (it has few candidates).
     bound = scratch(bound.select("query_id", F.when(F.col("found") >= k, F.col("bound")).alias("bound")), "topk-bounds")
     cutoffs = (
         asked.select(F.col("_id").alias("query_id"), F.pmod(F.xxhash64("_id", "_v"), F.lit(n_q)).cast("int").alias("qb"))
-        .join(bound, "query_id", "left")
+        .join(bound.hint("merge"), "query_id", "left")
         .groupBy("qb").agg(F.sort_array(F.collect_list(F.struct("query_id", "bound"))).alias("c"))
         .select("qb", F.transform("c", lambda s: F.coalesce(s["bound"], F.lit(_LOW))).alias("cut"))
     )
@@ -143,6 +160,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vect
                 yield pa.record_batch([pa.array(q[i[keep]]), pa.array(x[j[keep]]), pa.array(total[keep])],
                                       ["query_id", "vec_id", "score"])
 
-    return (pairs.join(cutoffs, "qb").mapInArrow(collect, entry)
+    asking = scratch(query.join(cutoffs.hint("merge"), "qb"), "topk-asking")     # a query's cutoff travels with it
+    return (_met(cand, asking, n_c, n_q).mapInArrow(collect, entry)
             .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))

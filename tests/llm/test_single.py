@@ -178,3 +178,16 @@ def test_threshold_is_the_cheapest_bin():
     assert quality.threshold_of(bins, good * 0, bad) == math.inf
     edge = np.array([1, 2, 3]) / quality.BINS
     assert quality.score_bins(edge).tolist() == [0, 1, 2] and quality.score_bins(edge + 1e-9).tolist() == [1, 2, 3]
+
+
+def test_top_k_never_broadcasts_blocks(spark, monkeypatch):
+    # Copies of blocks are not in the optimizer's estimate; a broadcast of them would stand whole on the driver.
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 4)
+    monkeypatch.setattr(topk, "BLOCK_QUERIES", 2)
+    monkeypatch.setattr(topk, "FREE_BLOCKS", 3)
+    rng = random.Random(3)
+    rows = [(i, [rng.choice([-1.0, 0.25, 0.5]) for _ in range(3)]) for i in range(90)]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), lambda i: i % 5 == 0, k=3)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert {tuple(r) for r in got.collect()} == brute_top(rows, 3)
