@@ -164,3 +164,20 @@ def test_classifier_on_a_word_table(spark, tmp_path):
     assert all(r["y"] == r["prediction"] for r in back.predict(probe).collect())
     with pytest.raises(ValueError):
         fit_sentiment(train, vectors="other")
+
+
+def test_pairs_are_moved_as_packed_rows_and_once(spark):
+    words = [f"w{k % 37}é" for k in range(900)]
+    rows = spark.createDataFrame([(words[k:k + 30],) for k in range(0, 900, 30)] * 2, "t array<string>").repartition(3)
+    pairs = word_pairs(rows, "t", 3, 12)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "hashpartitioning(part" in plan
+    want = Counter()
+    for k in list(range(0, 900, 30)) * 2:
+        for lo in range(0, 30, 12):
+            run = words[k:k + 30][lo:lo + 12]
+            for d in (1, 2, 3):
+                for x, y in zip(run[:-d], run[d:]):
+                    want[min(x, y), max(x, y)] += 4 - d
+    got = pairs.collect()
+    assert len(got) == len(want) and {(r["a"], r["b"]): r["n"] for r in got} == dict(want)
