@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from brandpulse.functions.text import array_input, clean_tokens, emit_row_if, parsed_record, record_text, stream_file_name
 from brandpulse.operators.mentions import DEFAULT_BROADCAST_BYTES, fits_broadcast, match_terms_table, term_table
+from brandpulse.session import shuffles_freed
 from brandpulse.sinks.keyed import KeyedTable, Store
 from brandpulse.sources.readers import stream_json_lines
 from brandpulse.streaming.ingest import _trigger
@@ -136,13 +137,16 @@ def route_table_stream(spark: SparkSession, src: str, out: str, checkpoint: str,
     """X1 + K5 with the terms of ``term_store(terms_root)``, read anew for every batch.
 
     A term added between two batches takes effect from the next one on. The table is broadcast only under a
-    checked size. Output: text files under ``batch=<id>/stream=<name>``.
+    checked size. Output: text files, packed by gzip (a record stands under every term it names), under
+    ``batch=<id>/stream=<name>``.
     """
     raw = stream_json_lines(spark, src, max_files_per_trigger)
 
     def each(batch: DataFrame, batch_id: int) -> None:
         routed = routed_by_table(batch, tracked_terms(spark, terms_root)).select("value", "stream").hint("rebalance", "stream")
-        routed.write.mode("overwrite").partitionBy("stream").text(f"{out.rstrip('/')}/batch={batch_id}")
+        with shuffles_freed(spark):
+            (routed.write.mode("overwrite").partitionBy("stream").option("compression", "gzip")
+             .text(f"{out.rstrip('/')}/batch={batch_id}"))
 
     writer = raw.writeStream.option("checkpointLocation", checkpoint).foreachBatch(each)
     return _trigger(writer, available_now, processing_time).start()

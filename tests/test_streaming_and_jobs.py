@@ -240,3 +240,32 @@ def test_scratch_folder_must_be_named_on_a_cluster():
 
     with pytest.raises(RuntimeError):
         checkpoint_root(Session())
+
+
+def test_files_are_dealt_by_text_and_brand_and_shuffles_freed(spark, tmp_path):
+    import os
+    import time
+
+    from brandpulse.session import shuffles_freed
+
+    model, texts = _model(spark), ["klm vs delta klm klm", "delta", "klm delta delta", "none"] * 2
+    for mode in ("per_mention", "last_mention", "distinct"):
+        res = score_mentions(_msgs(spark, texts), None, "klm, delta", mode=mode, model=model, run_id="r")
+        rows = res.rows_of(res.by_brand)
+        assert rows.columns == res.predictions.columns
+        drop = "processing_time"
+        assert sorted(map(str, rows.drop(drop).collect())) == sorted(map(str, res.predictions.drop(drop).collect()))
+        assert res.by_brand.count() == (3 if mode == "last_mention" else 5)
+
+    def shuffled():
+        folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+        return {f for d in folders for _, _, names in os.walk(d.getPath()) for f in names if f.startswith("shuffle_")}
+
+    rows, before = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), shuffled()
+    with shuffles_freed(spark):
+        rows.write.parquet(f"{tmp_path}/rows")
+    for _ in range(100):
+        if not shuffled() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffled() - before
